@@ -141,7 +141,8 @@ def delivery_log_from_events(events: DataFrame) -> DataFrame:
         F.lit("telemetry").alias("topic"),
         F.lit("collectors").alias("consumer_group"),
         F.concat(F.lit("consumer-"), (F.col("event_id") % 4).cast("string")).alias("consumer_id"),
-        F.col("user_id").cast("string").alias("message_id"),
+        # one message per user and day
+        F.concat(F.col("user_id").cast("string"), F.lit(":"), F.date_format("ts", "yyyy-MM-dd")).alias("message_id"),
         op.alias("op"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("event_id").alias("seq"),

@@ -117,3 +117,19 @@ def messages_dir(spark: SparkSession, sf_dir: str) -> str:
 
 def messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_messages(spark, messages_dir(spark, sf_dir), extra_schema="seq bigint")
+
+
+def delivery_log_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Delivery-event log derived from events, as parquet (a stream source)."""
+    path = derived_path(spark, sf_dir, "delivery_log", ["events"])
+    if not fs.exists(spark, f"{path}/_SUCCESS"):
+        log = adapters.delivery_log_from_events(adapters.load(spark, sf_dir, "events"))
+        log.write.mode("overwrite").parquet(path)
+    return path
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """Fresh output folder for one stream run."""
+    import uuid
+
+    return f"{shared_dir(spark)}/telemetry_engine/runs/{name}-{uuid.uuid4().hex[:12]}"

@@ -208,7 +208,7 @@ bulk AS (
 LOG = """log AS (
   SELECT 'telemetry' AS topic, 'collectors' AS consumer_group,
          'consumer-' || CAST(event_id % 4 AS VARCHAR) AS consumer_id,
-         CAST(user_id AS VARCHAR) AS message_id,
+         CAST(user_id AS VARCHAR) || ':' || strftime(ts, '%Y-%m-%d') AS message_id,
          CASE event_type WHEN 'signup' THEN 'publish' WHEN 'view' THEN 'fetch'
                          WHEN 'purchase' THEN 'ack' WHEN 'error' THEN 'nack' END AS op,
          CAST(ts AS TIMESTAMP) AS ts, event_id AS seq

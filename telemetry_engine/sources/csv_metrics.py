@@ -65,20 +65,53 @@ def read_metrics_csv(
     if missing:
         raise ValueError(f"failed to parse header: missing required column: {missing[0]}")
     schema, field_of = header_schema(header)
+    _no_csv_pruning(spark)
+    raw = _csv_options(spark.read.schema(schema), multi_line).csv(path)
+    return project_metrics(raw, field_of)
+
+
+def stream_metrics_csv(
+    spark: SparkSession,
+    path: str,
+    header: list[str] | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Streaming twin of :func:`read_metrics_csv` (file source over ``path``).
+
+    The header is taken from the first file already present, or given.
+    """
+    header = header if header is not None else read_header(spark, path)
+    missing = [c for c in CSV_REQUIRED if c not in header]
+    if missing:
+        raise ValueError(f"failed to parse header: missing required column: {missing[0]}")
+    schema, field_of = header_schema(header)
+    _no_csv_pruning(spark)
+    r = _csv_options(spark.readStream.schema(schema), False)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return project_metrics(r.csv(path), field_of)
+
+
+def _no_csv_pruning(spark: SparkSession) -> None:
     # With CSV column pruning the parser only checks the selected columns, so a
     # short row missing only unselected fields would pass.  The reject split
     # must not depend on the projection: parse every header field.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
+
+
+def _csv_options(reader, multi_line: bool):
+    return (
+        reader.option("header", True)
         .option("enforceSchema", True)          # bind by position to this header
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
     )
+
+
+def project_metrics(raw: DataFrame, field_of: dict[str, str]) -> DataFrame:
+    """Raw header-bound rows -> 12 trimmed text columns, source_file, reject_reason."""
     cols = [
         go_trim(F.coalesce(F.col(f"`{field_of[c]}`"), F.lit(""))).alias(c) if c in field_of else F.lit("").alias(c)
         for c in CSV_COLUMNS

@@ -1,6 +1,158 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries.
+
+Each runs its stream with ``availableNow`` (drain, then stop) into a fresh
+folder under the shared directory and returns a batch DataFrame over what
+the stream wrote, so the result can be compared with its SQL twin.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from telemetry_engine.operators.messages import decode_messages
+from telemetry_engine.plans import catalog
+from telemetry_engine.plans.oracle import ACK, CSV, DEC, LOG, MSG, REC, TEL, K, _open, _w
+from telemetry_engine.schemas import DELIVERY_EVENT_SCHEMA, DEVICE_COLUMNS, TELEMETRY_SCHEMA
+from telemetry_engine.sources.messages_io import read_messages
+from telemetry_engine.streaming.dedup import dedup_stream
+from telemetry_engine.streaming.leases import lease_expiries
+from telemetry_engine.streaming.pipeline import (
+    read_epochs, registry_from_updates, start_collector, start_ingest,
+)
+
+_collector_runs: dict[str, tuple[str, dict]] = {}
+
+
+def _run_ingest(spark: SparkSession, sf: str) -> str:
+    out = catalog.run_dir(spark, "ingest")
+    q = start_ingest(spark, catalog.metrics_csv_dir(spark, sf), out)
+    q.awaitTermination()
+    return out
+
+
+def _run_collector(spark: SparkSession, sf: str) -> tuple[str, dict]:
+    """One collector run per input per process; returns (out dir, observed totals)."""
+    key = catalog.derived_path(spark, sf, "collector", ["events", "customer", "nation"])
+    if key not in _collector_runs:
+        out = catalog.run_dir(spark, "collector")
+        q = start_collector(spark, catalog.messages_dir(spark, sf), out, extra_schema="seq bigint")
+        q.awaitTermination()
+        totals: dict[str, int] = {}
+        for p in q.recentProgress:
+            row = (p.observedMetrics or {}).get("collector")
+            if row is not None:
+                for k, v in row.asDict().items():
+                    totals[k] = totals.get(k, 0) + int(v)
+        _collector_runs[key] = (out, totals)
+    return _collector_runs[key]
+
+
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    out = _run_ingest(spark, sf)
+    m = decode_messages(read_messages(spark, f"{out}/messages/epoch=*"))
+    return m.select("gpu_uuid", "metric_name", "value", "labels_raw", "reject_reason")
+
+
+def q_stream_ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
+    out = _run_ingest(spark, sf)
+    s = read_epochs(spark, f"{out}/stats")
+    return s.agg(*[F.sum(c).cast("bigint").alias(c) for c in ["rows_total", "rows_sent", "rows_rejected"]])
+
+
+def q_collector_stream(spark: SparkSession, sf: str) -> DataFrame:
+    out, _ = _run_collector(spark, sf)
+    t = read_epochs(spark, f"{out}/telemetry")
+    return t.select("gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "labels_raw", "seq")
+
+
+def q_collector_registry(spark: SparkSession, sf: str) -> DataFrame:
+    out, _ = _run_collector(spark, sf)
+    return registry_from_updates(read_epochs(spark, f"{out}/device_updates"))
+
+
+def q_stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    _, totals = _run_collector(spark, sf)
+    cols = ["processed", "errors", "gpus_stored", "telemetry_stored"]
+    return spark.createDataFrame([tuple(totals.get(c, 0) for c in cols)], ", ".join(f"{c} bigint" for c in cols))
+
+
+def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    catalog.telemetry_table(spark, sf)
+    src_path = catalog.derived_path(spark, sf, "telemetry", ["events"])
+    schema = TELEMETRY_SCHEMA.add("event_date", "date")
+    src = spark.readStream.schema(schema).parquet(src_path)
+    out = catalog.run_dir(spark, "dedup")
+    q = (
+        dedup_stream(src, delay="1 hour")
+        .select("point_key", "gpu_uuid", "metric_name", "batch_id")
+        .writeStream.format("parquet")
+        .option("path", f"{out}/data")
+        .option("checkpointLocation", f"{out}/_checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+def q_lease_expiry_stream(spark: SparkSession, sf: str) -> DataFrame:
+    src = spark.readStream.schema(DELIVERY_EVENT_SCHEMA).parquet(catalog.delivery_log_dir(spark, sf))
+    out = catalog.run_dir(spark, "leases")
+    q = (
+        lease_expiries(spark, src)
+        .writeStream.format("parquet")
+        .option("path", f"{out}/data")
+        .option("checkpointLocation", f"{out}/_checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    r = spark.read.parquet(f"{out}/data")
+    return r.withColumn("fetch_ts", F.col("fetch_ts").cast("timestamp_ntz"))
+
+
+STREAM_QUERIES = {
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+}
+
+_DEV_FIELDS = [("device", "device_id"), ("gpu_index", "gpu_index"), ("model_name", "model_name"),
+               ("hostname", "hostname"), ("container", "container"), ("pod", "pod"),
+               ("namespace", "namespace")]
+
+STREAM_ORACLE: dict[str, str] = {
+    "stream_ingest": _w(REC, CSV) + """SELECT uuid AS gpu_uuid, metric_name, value, labels_raw,
+        CAST(NULL AS VARCHAR) AS reject_reason FROM csv WHERE reject_reason IS NULL""",
+    "stream_ingest_stats": _w(REC, CSV) + """SELECT count(*) AS rows_total,
+        count(*) FILTER (WHERE reject_reason IS NULL) AS rows_sent,
+        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rows_rejected FROM csv""",
+    "collector_stream": _w(REC, MSG, DEC) + """SELECT gpu_uuid, metric_name, value, timestamp, batch_id,
+        labels_raw, seq FROM decv WHERE reject_reason IS NULL""",
+    "collector_registry": _w(REC, MSG, DEC) + """, d AS (SELECT gpu_uuid AS uuid, seq, """ + ", ".join(
+        f"CASE WHEN json_type(metadata, '$.{k}') = 'VARCHAR' THEN json_extract_string(metadata, '$.{k}') ELSE '' END AS {o}"
+        for k, o in _DEV_FIELDS) + """ FROM decv WHERE reject_reason IS NULL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY seq DESC) AS rn FROM d)
+        SELECT """ + ", ".join(DEVICE_COLUMNS) + " FROM r WHERE rn = 1",
+    "stream_progress": _w(REC, MSG, DEC) + """SELECT count(*) AS processed,
+        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS errors,
+        count(*) FILTER (WHERE reject_reason IS NULL) AS gpus_stored,
+        count(*) FILTER (WHERE reject_reason IS NULL) AS telemetry_stored FROM decv""",
+    "stream_dedup": _w(TEL) + """SELECT DISTINCT gpu_uuid || ':' || metric_name || ':' || batch_id AS point_key,
+        gpu_uuid, metric_name, batch_id FROM tel""",
+    "lease_expiry_stream": _w(LOG, ACK) + f""", lf AS (
+          SELECT {K}, ts, seq,
+            row_number() OVER (PARTITION BY {K} ORDER BY ts, seq) AS deliveries,
+            lead(ts) OVER (PARTITION BY {K} ORDER BY ts, seq) AS next_fetch_ts
+          FROM log WHERE op = 'fetch'),
+        closed AS (SELECT DISTINCT {K}, lease_seq FROM acks WHERE matched),
+        wm AS (SELECT max(ts) AS wm_ts FROM log WHERE op IN ('fetch', 'ack', 'nack'))
+        SELECT lf.topic, lf.consumer_group, lf.message_id, lf.ts AS fetch_ts, lf.seq AS fetch_seq,
+               lf.deliveries, CASE WHEN lf.deliveries >= 3 THEN 'dead_letter' ELSE 'redeliver' END AS outcome
+        FROM lf LEFT JOIN closed c
+          ON c.topic = lf.topic AND c.consumer_group = lf.consumer_group
+         AND c.message_id = lf.message_id AND c.lease_seq = lf.seq
+        WHERE c.lease_seq IS NULL
+          AND NOT (lf.next_fetch_ts IS NOT NULL AND {_open('lf.ts', 'lf.next_fetch_ts')})
+          AND date_trunc('second', lf.ts + INTERVAL 300 SECOND) <= (SELECT wm_ts FROM wm)""",
+}

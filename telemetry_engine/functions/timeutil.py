@@ -16,6 +16,10 @@ RFC3339_REGEX = (
 )
 
 
+RFC3339_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -33,23 +37,15 @@ def is_rfc3339(s: Column | str) -> Column:
 def parse_rfc3339(s: Column | str) -> Column:
     """Strict RFC 3339 text -> UTC ``timestamp_ntz``; invalid text -> null.
 
-    Digits below the microsecond are truncated (Spark keeps microseconds).
+    One regex guards the strict shape (Spark's own parser is lenient about
+    case); Spark's offset-aware parser yields the instant, and its epoch
+    microseconds give the UTC wall time without touching the session zone.
+    Digits below the microsecond are truncated.
     """
     s = _c(s)
-    date = F.regexp_extract(s, RFC3339_REGEX, 1)
-    clock = F.regexp_extract(s, RFC3339_REGEX, 2)
-    frac = F.substring(F.regexp_extract(s, RFC3339_REGEX, 3), 1, 7)
-    zone = F.regexp_extract(s, RFC3339_REGEX, 4)
-    local = F.when(
-        s.rlike(RFC3339_REGEX),
-        F.concat(date, F.lit(" "), clock, frac).try_cast("timestamp_ntz"),
-    )
-    sign = F.when(zone.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    hh = F.when(zone == "Z", F.lit(0)).otherwise(F.substring(zone, 2, 2).try_cast("int"))
-    mm = F.when(zone == "Z", F.lit(0)).otherwise(F.substring(zone, 5, 2).try_cast("int"))
-    offset_ok = (hh < 24) & (mm < 60)
-    shifted = local - F.make_dt_interval(F.lit(0), sign * hh, sign * mm, F.lit(0))
-    return F.when(offset_ok, shifted)
+    instant = F.try_to_timestamp(s, F.lit(RFC3339_PATTERN))
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.when(s.rlike(RFC3339_REGEX), utc)
 
 
 def format_rfc3339(ts: Column | str) -> Column:

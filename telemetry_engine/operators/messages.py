@@ -72,23 +72,31 @@ def _struct_of_text(names: list[str]) -> str:
     return "struct<" + ", ".join(f"{n}: string" for n in names) + ">"
 
 
-def _json_text_fields(v: Column, names: list[str]) -> tuple[Column, Column, dict[str, Column]]:
-    """One pass over a parsed JSON value.
-
-    Returns (is_object, fields struct with every name as text, per-name
-    "is a JSON string" flags).  The types come from a single
-    ``schema_of_variant`` string and the values from a single struct cast,
-    so the variant is referenced twice however many fields are read.
+def _parse_once(df: DataFrame, column: str, names: list[str], prefix: str) -> DataFrame:
+    """Parse JSON text once per row into ``<prefix>_sch`` and ``<prefix>_val``.
+
+    ``_sch`` is the ``schema_of_variant`` string (the JSON types), ``_val``
+    a struct with every name as text.  The pair is produced by a generator
+    (``inline`` of a one-element array): filters on the decoded values cannot
+    be pushed below it, so Catalyst never re-inlines the parse into each
+    predicate that depends on it.
     """
-    sch = F.schema_of_variant(v)
-    is_object = F.coalesce(sch.startswith("OBJECT<"), F.lit(False))
-    fields = F.try_variant_get(v, "$", _struct_of_text(names))
-    is_text = {n: F.coalesce(sch.rlike(f"[<,] ?{n}: STRING[,>]"), F.lit(False)) for n in names}
-    # a present field of another type (number, object, ...) is a type error
-    wrong = {
-        n: F.coalesce(sch.rlike(f"[<,] ?{n}: (?!STRING[,>]|VOID[,>])"), F.lit(False)) for n in names
-    }
-    return is_object, fields, {"text": is_text, "wrong": wrong}
+    v = F.try_parse_json(F.col(column))
+    parsed = F.struct(
+        F.schema_of_variant(v).alias(f"{prefix}_sch"),
+        F.try_variant_get(v, "$", _struct_of_text(names)).alias(f"{prefix}_val"),
+    )
+    return df.select("*", F.inline(F.array(parsed)))
+
+
+def _is_text(sch: Column, name: str) -> Column:
+    return F.coalesce(sch.rlike(f"[<,] ?{name}: STRING[,>]"), F.lit(False))
+
+
+def _all_text_or_absent(sch: Column, names: list[str]) -> Column:
+    """JSON object whose listed fields are all strings, null or absent (one regex)."""
+    alt = "|".join(names)
+    return F.coalesce(sch.rlike(f"^OBJECT<(?!.*[<,] ?({alt}): (?!STRING[,>]|VOID[,>]))"), F.lit(False))
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -98,21 +106,17 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     timestamp_ntz (null when absent or the zero time), and ``reject_reason``:
     bad_json, missing_uuid, missing_metric, missing_timestamp, or null.
     """
-    is_object, fields, flags = _json_text_fields(F.try_parse_json(F.col("payload")), PAYLOAD_FIELDS)
-    type_ok = F.lit(True)
-    for f in PAYLOAD_FIELDS:
-        type_ok = type_ok & ~flags["wrong"][f]
-    df = messages.withColumn("_ok", is_object & type_ok).withColumn("_p", fields)
-    ts_text = F.col("_p.timestamp")
-    parsed_ts = parse_rfc3339(ts_text)
-    bad = ~F.col("_ok") | (ts_text.isNotNull() & parsed_ts.isNull())
+    df = _parse_once(messages, "payload", PAYLOAD_FIELDS, "_pl")
+    ts_text = F.col("_pl_val.timestamp")
+    df = df.withColumn("_ts", parse_rfc3339(ts_text))
+    bad = ~_all_text_or_absent(F.col("_pl_sch"), PAYLOAD_FIELDS) | (ts_text.isNotNull() & F.col("_ts").isNull())
     df = df.withColumn("_bad", bad)
     out = {
-        f: F.when(~F.col("_bad"), F.coalesce(F.col(f"_p.{f}"), F.lit("")))
+        f: F.when(~F.col("_bad"), F.coalesce(F.col(f"_pl_val.{f}"), F.lit("")))
         for f in PAYLOAD_FIELDS if f != "timestamp"
     }
     # the zero time means "not set": surfaced as null
-    ts = F.when(~F.col("_bad") & (parsed_ts != F.lit(ZERO_TIME).cast("timestamp_ntz")), parsed_ts)
+    ts = F.when(~F.col("_bad") & (F.col("_ts") != F.lit(ZERO_TIME).cast("timestamp_ntz")), F.col("_ts"))
     df = df.select(
         *[c for c in messages.columns if c != "timestamp"],
         F.col("timestamp").alias("message_timestamp"),
@@ -148,12 +152,11 @@ def message_devices(decoded: DataFrame) -> DataFrame:
     metadata is missing)."""
     keys = ["device", "gpu_index", "model_name", "hostname", "container", "pod", "namespace"]
     out_name = {"device": "device_id"}
-    _, fields, flags = _json_text_fields(F.try_parse_json(F.col("metadata")), keys)
-    m = decoded.where(F.col("reject_reason").isNull()).withColumn("_m", fields)
-    cols = []
-    for k in keys:
-        val = F.when(flags["text"][k], F.col(f"_m.{k}"))
-        cols.append(F.coalesce(val, F.lit("")).alias(out_name.get(k, k)))
+    m = _parse_once(decoded.where(F.col("reject_reason").isNull()), "metadata", keys, "_md")
+    cols = [
+        F.coalesce(F.when(_is_text(F.col("_md_sch"), k), F.col(f"_md_val.{k}")), F.lit("")).alias(out_name.get(k, k))
+        for k in keys
+    ]
     return m.select(
         F.col("gpu_uuid").alias("uuid"), *cols, *[c for c in ["seq"] if c in decoded.columns]
     )

@@ -7,7 +7,7 @@ watermark passes the timer, or a later event of the same key arrives after
 the expiry, one row is emitted: ``redeliver`` or, once the number of
 deliveries reaches ``max_retries``, ``dead_letter``.
 
-State per key is two small values (open lease, delivery count) kept in the
+State per key is one small value (open lease, delivery count) kept in the
 RocksDB state store; nothing per key is buffered beyond that.
 """
 
@@ -15,8 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,68 +23,70 @@ from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
 
 KEY = ["topic", "consumer_group", "message_id"]
 EXPIRY_SCHEMA = (
-    "topic string, consumer_group string, message_id string, fetch_ts timestamp, "
+    "topic string, consumer_group string, message_id string, fetch_us long, "
     "fetch_seq long, deliveries long, outcome string"
 )
+EPOCH = "1970-01-01 00:00:00"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class LeaseExpiry(StatefulProcessor):
+    """Per key state: (fetch_us, fetch_seq, expiry_s, deliveries); the three
+    lease fields are null while no lease is open.
+
+    Every state or timer call is a round trip to the JVM, so a key's rows are
+    processed locally and the state is read once and written once per batch.
+    Rows carry event time as epoch microseconds (``ts_us``).
+    """
+
     def __init__(self, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS, max_retries: int = MAX_RETRIES):
-        self.timeout_s = visibility_timeout
+        self.timeout_us = visibility_timeout * 1_000_000
         self.max_retries = max_retries
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.lease = handle.getValueState("lease", "fetch_us long, fetch_seq long, expiry_s long")
-        self.deliveries = handle.getValueState("deliveries", "n long")
+        self.state = handle.getValueState(
+            "lease", "fetch_us long, fetch_seq long, expiry_s long, deliveries long"
+        )
 
-    def _expire(self, key, lease) -> pd.DataFrame:
-        n = self.deliveries.get()[0] if self.deliveries.exists() else 0
-        self.lease.clear()
+    def _row(self, key, fetch_us: int, fetch_seq: int, n: int) -> Row:
         outcome = "dead_letter" if n >= self.max_retries else "redeliver"
-        return pd.DataFrame({
-            "topic": [key[0]], "consumer_group": [key[1]], "message_id": [key[2]],
-            "fetch_ts": [pd.Timestamp(int(lease[0]), unit="us")],
-            "fetch_seq": [int(lease[1])], "deliveries": [int(n)], "outcome": [outcome],
-        })
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
-        ts = pdf["ts"]
-        if getattr(ts.dt, "tz", None) is not None:
-            ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
-        ts_us = ts.astype("datetime64[us]").astype("int64").to_numpy()
-        ops = pdf["op"].to_numpy()
-        seqs = pdf["seq"].to_numpy()
+        return Row(
+            topic=key[0], consumer_group=key[1], message_id=key[2], fetch_us=int(fetch_us),
+            fetch_seq=int(fetch_seq), deliveries=int(n), outcome=outcome,
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        events = sorted(((r.ts_us, r.seq, r.op) for r in rows))
+        st = self.state.get()
+        fetch_us, fetch_seq, expiry_s, n = (None, None, None, 0) if st is None else (st[0], st[1], st[2], st[3] or 0)
+        timer_before = expiry_s
         out = []
-        for t_us, op, seq in zip(ts_us, ops, seqs):
-            t_s = t_us // 1_000_000
-            lease = self.lease.get() if self.lease.exists() else None
-            if lease is not None and lease[2] <= t_s:
+        for t_us, seq, op in events:
+            if expiry_s is not None and expiry_s <= t_us // 1_000_000:
                 # expired before this event: report it now, as the timer would have
-                self.handle.deleteTimer(int(lease[2]) * 1000)
-                out.append(self._expire(key, lease))
-                lease = None
+                out.append(self._row(key, fetch_us, fetch_seq, n))
+                fetch_us = fetch_seq = expiry_s = None
             if op == "fetch":
-                if lease is not None:
-                    self.handle.deleteTimer(int(lease[2]) * 1000)
-                n = (self.deliveries.get()[0] if self.deliveries.exists() else 0) + 1
-                self.deliveries.update((n,))
-                expiry_s = (t_us + self.timeout_s * 1_000_000) // 1_000_000
-                self.lease.update((int(t_us), int(seq), int(expiry_s)))
+                n += 1
+                fetch_us, fetch_seq = t_us, seq
+                expiry_s = (t_us + self.timeout_us) // 1_000_000
+            elif expiry_s is not None:  # first ack/nack of an open lease closes it
+                fetch_us = fetch_seq = expiry_s = None
+        if expiry_s != timer_before:
+            if timer_before is not None:
+                self.handle.deleteTimer(int(timer_before) * 1000)
+            if expiry_s is not None:
                 self.handle.registerTimer(int(expiry_s) * 1000)
-            elif op in ("ack", "nack") and lease is not None:
-                self.handle.deleteTimer(int(lease[2]) * 1000)
-                self.lease.clear()
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.lease.exists():
-            lease = self.lease.get()
-            if int(lease[2]) * 1000 == expiredTimerInfo.getExpiryTimeInMs():
-                yield self._expire(key, lease)
+        self.state.update((fetch_us, fetch_seq, expiry_s, n))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        st = self.state.get()
+        if st is not None and st[2] is not None and int(st[2]) * 1000 == expiredTimerInfo.getExpiryTimeInMs():
+            self.state.update((None, None, None, st[3]))
+            return iter([self._row(key, st[0], st[1], st[3] or 0)])
+        return iter([])
 
     def close(self) -> None:
         pass
@@ -102,12 +103,18 @@ def lease_expiries(
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     events = (
         log_stream.where(F.col("op").isin("fetch", "ack", "nack"))
-        .select(*KEY, "op", F.col("ts").cast("timestamp").alias("ts"), "seq")
+        .select(
+            *KEY, "op", "seq",
+            F.col("ts").cast("timestamp").alias("ts"),
+            F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col("ts")).alias("ts_us"),
+        )
         .withWatermark("ts", delay)
     )
-    return events.groupBy(*KEY).transformWithStateInPandas(
+    out = events.groupBy(*KEY).transformWithState(
         statefulProcessor=LeaseExpiry(visibility_timeout, max_retries),
         outputStructType=EXPIRY_SCHEMA,
         outputMode="Append",
         timeMode="EventTime",
     )
+    fetch_ts = F.timestamp_add("MICROSECOND", F.col("fetch_us"), F.lit(EPOCH).cast("timestamp_ntz"))
+    return out.select(*KEY, fetch_ts.alias("fetch_ts"), "fetch_seq", "deliveries", "outcome")

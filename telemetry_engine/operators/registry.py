@@ -46,8 +46,13 @@ def list_devices(devices: DataFrame, telemetry: DataFrame | None = None) -> Data
 
 
 def devices_with_telemetry(devices: DataFrame, telemetry: DataFrame) -> DataFrame:
-    """Left-semi join: the registry side is never multiplied."""
-    t = telemetry.select(F.col("gpu_uuid"))
+    """Left-semi join: the registry side is never multiplied.
+
+    Telemetry uuids are de-duplicated first; the partial (map-side)
+    aggregate forwards at most one row per uuid per task, so a device that
+    owns a large share of telemetry does not skew the join.
+    """
+    t = telemetry.select(F.col("gpu_uuid")).distinct()
     return devices.join(t, devices.uuid == t.gpu_uuid, "left_semi").select(*DEVICE_COLUMNS)
 
 

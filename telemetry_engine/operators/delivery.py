@@ -25,26 +25,55 @@ def _lease_open(fetch_ts: Column, at: Column, timeout: int) -> Column:
     return whole_seconds(add_seconds(fetch_ts, timeout)) > whole_seconds(at)
 
 
-def match_acks(log: DataFrame, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS) -> DataFrame:
+def match_acks(
+    log: DataFrame,
+    visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
+    bucket: str = "HOUR",
+) -> DataFrame:
     """Every ack/nack with ``matched`` and the lease (fetch) it refers to.
 
-    The lease of a close is the latest fetch before it (a running
-    ``last(..., ignorenulls)`` window, streamed without buffering the key's
-    rows); it is matched when it is the first close of that lease and the
-    lease was still open.
+    The lease of a close is the latest fetch before it; the close is matched
+    when it is the first close of that lease and the lease was still open.
+
+    The as-of lookup is split by time so no message key is funnelled through
+    one task: per (key, ``bucket``) the last fetch is a map-side-combined
+    aggregate; the carry from earlier buckets is a window over those
+    one-row-per-bucket summaries; only the running lease *inside* a bucket is
+    a window over (key, bucket).  The first close per lease is an aggregate.
     """
-    e = log.where(F.col("op").isin("fetch", *CLOSES))
-    w = Window.partitionBy(*KEY).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_fetch = F.col("op") == "fetch"
-    e = e.withColumn("lease_ts", F.last(F.when(is_fetch, F.col("ts")), ignorenulls=True).over(w))
-    e = e.withColumn("lease_seq", F.last(F.when(is_fetch, F.col("seq")), ignorenulls=True).over(w))
-    closes = e.where(F.col("op").isin(*CLOSES))
-    w2 = Window.partitionBy(*KEY, "lease_seq").orderBy("ts", "seq")
-    first = F.row_number().over(w2) == 1
+    e = log.where(F.col("op").isin("fetch", *CLOSES)).withColumn(
+        "_b", F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz")
+    )
+    fetch_pos = F.when(is_fetch, F.struct(F.col("ts").alias("ts"), F.col("seq").alias("seq")))
+    per_bucket = e.groupBy(*KEY, "_b").agg(F.max(fetch_pos).alias("_bf"))
+    before = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*KEY, "_b", F.max("_bf").over(before).alias("_carry"))
+    inside = Window.partitionBy(*KEY, "_b").orderBy("ts", "seq").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    e = e.withColumn("_in", F.max(fetch_pos).over(inside))
+    closes = (
+        e.where(F.col("op").isin(*CLOSES))
+        .join(carry, [*KEY, "_b"], "left")
+        .withColumn("_lease", F.coalesce("_in", "_carry"))
+        .select(
+            *KEY, "consumer_id", "op", "ts", "seq",
+            F.col("_lease.ts").alias("lease_ts"), F.col("_lease.seq").alias("lease_seq"),
+        )
+    )
+    first = (
+        closes.where(F.col("lease_seq").isNotNull())
+        .groupBy(*KEY, "lease_seq")
+        .agg(F.min(F.struct("ts", "seq")).alias("_first"))
+    )
+    out = closes.join(first, [*KEY, "lease_seq"], "left")
     matched = (
-        F.col("lease_seq").isNotNull() & first & _lease_open(F.col("lease_ts"), F.col("ts"), visibility_timeout)
+        F.col("_first").isNotNull()
+        & (F.struct("ts", "seq") == F.col("_first"))
+        & _lease_open(F.col("lease_ts"), F.col("ts"), visibility_timeout)
     )
-    return closes.withColumn("matched", F.coalesce(matched, F.lit(False))).select(
+    return out.withColumn("matched", F.coalesce(matched, F.lit(False))).select(
         *KEY, "consumer_id", "op", "ts", "seq", "lease_ts", "lease_seq", "matched"
     )
 

@@ -184,8 +184,17 @@ def bulk_history(
     ok = statuses.where(F.col("status") == "ok").select(
         "request_id", F.col("uuid").alias("_uuid"), "start_ts", "end_ts", "limit_n"
     )
+    t = telemetry
+    if "event_date" in telemetry.columns:
+        # Dynamic partition pruning from the requests: scalar subqueries over the
+        # valid requests become PartitionFilters on event_date.  A bound only
+        # applies when every request has one.
+        lo = ok.agg(F.when(F.count_if(F.col("start_ts").isNull()) == 0, F.min("start_ts"))).scalar()
+        hi = ok.agg(F.when(F.count_if(F.col("end_ts").isNull()) == 0, F.max("end_ts"))).scalar()
+        t = t.where(F.coalesce(F.col("event_date") >= F.to_date(lo), F.lit(True)))
+        t = t.where(F.coalesce(F.col("event_date") <= F.to_date(hi), F.lit(True)))
     ok = bounded_broadcast(ok, broadcast_rows)
-    t = telemetry.select(*API_COLUMNS, "seq")
+    t = t.select(*API_COLUMNS, "seq")
     cond = (
         (t.gpu_uuid == ok._uuid)
         & F.coalesce(t.timestamp >= ok.start_ts, F.lit(True))

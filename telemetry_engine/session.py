@@ -67,3 +67,4 @@ def shared_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir().rstrip("/")
+

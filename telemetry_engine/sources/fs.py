@@ -32,16 +32,20 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Small driver-side marker file (overwrites)."""
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Small driver-side file (overwrites): markers, the code archive."""
     fs, p = _fs_and_path(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode("utf-8"))
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs_and_path(spark, path)
     if not fs.exists(p):

@@ -30,6 +30,20 @@ EPOCH = "1970-01-01 00:00:00"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _pickle_by_value() -> None:
+    """Serialise this module's processor by value.
+
+    The processor runs in Python processes started by Spark (executors and a
+    driver-side pre-init runner) that may not have this package on their
+    path; shipping the class by value makes it self-contained.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class LeaseExpiry(StatefulProcessor):
     """Per key state: (fetch_us, fetch_seq, expiry_s, deliveries); the three
     lease fields are null while no lease is open.
@@ -100,6 +114,7 @@ def lease_expiries(
     max_retries: int = MAX_RETRIES,
 ) -> DataFrame:
     """Streaming DataFrame of lease expiries (append mode)."""
+    _pickle_by_value()
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     events = (
         log_stream.where(F.col("op").isin("fetch", "ack", "nack"))

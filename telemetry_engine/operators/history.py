@@ -189,10 +189,14 @@ def bulk_history(
         # Dynamic partition pruning from the requests: scalar subqueries over the
         # valid requests become PartitionFilters on event_date.  A bound only
         # applies when every request has one.
-        lo = ok.agg(F.when(F.count_if(F.col("start_ts").isNull()) == 0, F.min("start_ts"))).scalar()
-        hi = ok.agg(F.when(F.count_if(F.col("end_ts").isNull()) == 0, F.max("end_ts"))).scalar()
-        t = t.where(F.coalesce(F.col("event_date") >= F.to_date(lo), F.lit(True)))
-        t = t.where(F.coalesce(F.col("event_date") <= F.to_date(hi), F.lit(True)))
+        bounds = ok.agg(
+            F.struct(
+                F.when(F.count_if(F.col("start_ts").isNull()) == 0, F.to_date(F.min("start_ts"))).alias("lo"),
+                F.when(F.count_if(F.col("end_ts").isNull()) == 0, F.to_date(F.max("end_ts"))).alias("hi"),
+            )
+        ).scalar()  # one subquery, evaluated once, read twice
+        t = t.where(F.coalesce(F.col("event_date") >= bounds.getField("lo"), F.lit(True)))
+        t = t.where(F.coalesce(F.col("event_date") <= bounds.getField("hi"), F.lit(True)))
     ok = bounded_broadcast(ok, broadcast_rows)
     t = t.select(*API_COLUMNS, "seq")
     cond = (

@@ -17,7 +17,7 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from telemetry_engine.operators.ingest import batch_stamp
 from telemetry_engine.operators.messages import (
@@ -144,3 +144,38 @@ def registry_from_updates(updates: DataFrame) -> DataFrame:
     order = [F.col("epoch").desc()] + ([F.col("seq").desc()] if "seq" in updates.columns else [])
     order += [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
     return latest_per_key(updates, "uuid", order).select(*DEVICE_COLUMNS)
+
+
+class ObservedMetricsReporter(StreamingQueryListener):
+    """Progress reporter: accumulates (and logs) observed counters per query.
+
+    ``recentProgress`` keeps only the last few updates; a listener sees every
+    micro-batch, so totals stay right for streams that run for days.
+    Register with ``spark.streams.addListener(reporter)``.
+    """
+
+    def __init__(self, name: str = "collector", log_every: int = 1):
+        self.name = name
+        self.log_every = max(1, log_every)
+        self.totals: dict[str, dict[str, int]] = {}
+        self._batches = 0
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - listener API
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        row = (event.progress.observedMetrics or {}).get(self.name)
+        if row is None:
+            return
+        acc = self.totals.setdefault(str(event.progress.id), {})
+        for k, v in row.asDict().items():
+            acc[k] = acc.get(k, 0) + int(v or 0)
+        self._batches += 1
+        if self._batches % self.log_every == 0:
+            log.info("%s stats for %s: %s", self.name, event.progress.id, acc)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass

@@ -22,9 +22,9 @@ def blank_to_empty(c: Column | str) -> Column:
     return F.coalesce(_c(c).cast("string"), F.lit(""))
 
 
-def go_trim(c: Column | str) -> Column:
-    """Trim every leading/trailing whitespace char, tabs and newlines included."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+def trim_whitespace(c: Column | str) -> Column:
+    """Trim leading/trailing Unicode whitespace (tabs, newlines, NBSP, ideographic space...)."""
+    return F.regexp_replace(_c(c), r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
 
 
 def empty_to_null(c: Column | str) -> Column:

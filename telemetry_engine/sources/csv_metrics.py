@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetry_engine.functions.scalars import go_trim
+from telemetry_engine.functions.scalars import trim_whitespace
 from telemetry_engine.schemas import CSV_COLUMNS, CSV_REQUIRED
 
 CORRUPT = "_corrupt_record"
@@ -113,7 +113,7 @@ def _csv_options(reader, multi_line: bool):
 def project_metrics(raw: DataFrame, field_of: dict[str, str]) -> DataFrame:
     """Raw header-bound rows -> 12 trimmed text columns, source_file, reject_reason."""
     cols = [
-        go_trim(F.coalesce(F.col(f"`{field_of[c]}`"), F.lit(""))).alias(c) if c in field_of else F.lit("").alias(c)
+        trim_whitespace(F.coalesce(F.col(f"`{field_of[c]}`"), F.lit(""))).alias(c) if c in field_of else F.lit("").alias(c)
         for c in CSV_COLUMNS
     ]
     out = raw.select(*cols, F.col(CORRUPT), F.col("_metadata.file_path").alias("source_file"))

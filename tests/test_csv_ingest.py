@@ -64,3 +64,8 @@ def test_short_row_rejected_even_when_missing_fields_not_selected(spark, tmp):
     short = ",".join(ROW.format(v="1").split(",")[:7])
     df = read_metrics_csv(spark, _write(tmp, "a.csv", HEADER + "\n" + short + "\n"))
     assert [r.reject_reason for r in df.select("uuid", "reject_reason").collect()] == ["field_count"]
+
+
+def test_unicode_whitespace_trimmed(spark, tmp):
+    p = _write(tmp, "u.csv", HEADER + "\n" + ROW.format(v="\t75　") + "\n")
+    assert [r.value for r in good_rows(read_metrics_csv(spark, p)).collect()] == ["75"]

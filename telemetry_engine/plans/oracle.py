@@ -308,6 +308,8 @@ ORACLE: dict[str, str] = {
     "encode_messages": _w(REC, MSG) + """SELECT id, topic, payload, metadata, timestamp,
         'streamer-0' AS header_instance_id, uuid AS header_gpu_uuid,
         metric_name AS header_metric_name, batch_id AS header_batch_id FROM msg""",
+    "message_ids": _w(REC, CSV) + """SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_uuid_v4
+        FROM csv WHERE reject_reason IS NULL""",
     "message_headers": _w(REC, MSG) + """
         SELECT id, 'instance_id' AS header_key, 'streamer-0' AS header_value FROM msg
         UNION ALL SELECT id, 'gpu_uuid', uuid FROM msg

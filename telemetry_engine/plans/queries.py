@@ -115,6 +115,18 @@ def q_encode_messages(spark, sf):
     )
 
 
+def q_message_ids(spark, sf):
+    """Random ids (uuid v4) for every encoded row: all present, all distinct."""
+    recs = good_rows(_scan(spark, sf))
+    m = messages.encode_messages(recs, batch_ts=F.lit(BATCH_TS).cast("timestamp_ntz"), batch_id=F.lit("b"))
+    v4 = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return m.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("id").alias("n_distinct"),
+        F.count_if(F.col("id").rlike(v4)).alias("n_uuid_v4"),
+    )
+
+
 def q_message_headers(spark, sf):
     m = messages_table(spark, sf)
     return m.select("id", F.explode("headers").alias("header_key", "header_value"))

@@ -17,10 +17,12 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts ``limit(max_rows + 1)``, so a large input stops early instead of
-    being scanned in full.
+    A plain ``count()``: a fully parallel partial aggregate.  (A
+    ``limit(n + 1).count()`` would plan a single-partition global limit that
+    funnels up to n + 1 rows per input partition into one task.)  Callers
+    pass small or already materialised sides, so the pass is cheap.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

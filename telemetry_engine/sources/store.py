@@ -1,10 +1,9 @@
 """Telemetry table (append-only) and device registry (versioned snapshots).
 
-Telemetry layout: parquet partitioned by ``event_date``; inside a date the
-rows are range-partitioned and sorted by (gpu_uuid, timestamp), so each file
-covers a narrow uuid range and parquet min/max statistics let a point
-lookup skip almost every row group.  Range partitioning splits a hot date
-or a hot device over several tasks instead of one.
+Telemetry layout: parquet partitioned by ``event_date``; every file is
+sorted by (gpu_uuid, timestamp), so parquet row-group min/max statistics let
+a point lookup skip almost every row group.  Writes are rebalanced by AQE,
+which splits a hot date over several tasks instead of one.
 
 Registry: every upsert writes a complete new snapshot directory
 ``v=<n>``; readers always open the newest complete one, so a reader never
@@ -28,14 +27,21 @@ def with_event_date(df: DataFrame) -> DataFrame:
 
 
 def append_telemetry(df: DataFrame, path: str, num_partitions: int | None = None, mode: str = "append") -> None:
-    """Append telemetry rows (empty input is a no-op commit)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = (
-        with_event_date(df)
-        .repartitionByRange(n, "event_date", "gpu_uuid", "timestamp")
-        .sortWithinPartitions("event_date", "gpu_uuid", "timestamp")
-    )
+    """Append telemetry rows (empty input is a no-op commit).
+
+    ``rebalance`` by event_date lets AQE size the write tasks: small dates
+    are coalesced, a hot date is split into several size-bounded tasks, and
+    no sampling pass over the input is needed.  Each task sorts its rows by
+    (event_date, gpu_uuid, timestamp), which is also the order the
+    partitioned writer needs, so parquet row groups cover narrow uuid ranges.
+    ``num_partitions`` forces a fixed count instead (mainly for tests).
+    """
+    staged = with_event_date(df)
+    if num_partitions:
+        staged = staged.repartition(num_partitions, "event_date")
+    else:
+        staged = staged.hint("rebalance", "event_date")
+    out = staged.sortWithinPartitions("event_date", "gpu_uuid", "timestamp")
     (
         out.write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)

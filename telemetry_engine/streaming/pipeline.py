@@ -113,7 +113,13 @@ def start_collector(
     def process(batch: DataFrame, epoch_id: int) -> None:
         b = batch.persist()
         try:
-            t = with_event_date(telemetry_of(b))
+            # same layout as the telemetry table: AQE-sized tasks per date (no
+            # file per task and date), rows sorted by device inside each file
+            t = (
+                with_event_date(telemetry_of(b))
+                .hint("rebalance", "event_date")
+                .sortWithinPartitions("event_date", "gpu_uuid", "timestamp")
+            )
             t.write.mode("overwrite").partitionBy("event_date").parquet(_epoch_dir(f"{out_dir}/telemetry", epoch_id))
             b.where(F.col("reject_reason").isNotNull()).drop("headers").write.mode("overwrite").parquet(
                 _epoch_dir(f"{out_dir}/quarantine", epoch_id)

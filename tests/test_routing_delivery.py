@@ -64,3 +64,20 @@ def test_ack_matching(spark):
     ])
     got = [(r.op, r.matched) for r in D.match_acks(log).orderBy("seq").collect()]
     assert got == [("ack", False), ("nack", True), ("ack", False), ("ack", True), ("ack", False)]
+
+
+def test_ack_matching_carries_leases_across_time_buckets(spark):
+    base = datetime(2025, 1, 18, 10, 59, 50)
+    rows = [
+        ("q", "g", "c1", "m", "fetch", base, 1),                              # 10:59:50
+        ("q", "g", "c1", "m", "ack", base + timedelta(seconds=15), 2),        # 11:00:05, next hour: matched
+        ("q", "g", "c1", "m", "fetch", base + timedelta(hours=2), 3),         # 12:59:50
+        ("q", "g", "c1", "m", "nack", base + timedelta(hours=3), 4),          # 13:59:50, lease expired: unmatched
+        ("q", "g", "c1", "n", "ack", base + timedelta(hours=5), 5),           # other key, no lease
+    ]
+    log = spark.createDataFrame(rows, LOG)
+    got = [(r.seq, r.lease_seq, r.matched) for r in D.match_acks(log, bucket="HOUR").orderBy("seq").collect()]
+    assert got == [(2, 1, True), (4, 3, False), (5, None, False)]
+    # the same answer with one bucket per day (no carry needed)
+    day = [(r.seq, r.lease_seq, r.matched) for r in D.match_acks(log, bucket="DAY").orderBy("seq").collect()]
+    assert day == got

@@ -8,8 +8,9 @@ back with ``reject_reason`` set, so one pass yields good rows and a
 quarantine with the same schema.
 
 One header layout per call: a path (file, directory or glob) is bound to
-the header of its first file.  Files with different layouts are read by
-:func:`read_metrics_csv_files`, one call per layout, then unioned by name.
+the header of its first file.  Directories whose files differ in layout are
+read by :func:`read_metrics_csv_by_header` (files grouped by header, one
+scan per layout, unioned by name).
 """
 
 from __future__ import annotations
@@ -26,15 +27,19 @@ from telemetry_engine.schemas import CSV_COLUMNS, CSV_REQUIRED
 CORRUPT = "_corrupt_record"
 
 
+def parse_header(line: str) -> list[str]:
+    names = next(csv.reader([line], skipinitialspace=True), [])
+    if not names or names == [""]:
+        raise ValueError("failed to parse header: empty header")
+    return [n.strip() for n in names]
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Trimmed header names of the first file under ``path`` (one-line read)."""
     rows = spark.read.text(path).limit(1).collect()
     if not rows or rows[0].value is None:
         raise ValueError(f"failed to read header: no data under {path}")
-    names = next(csv.reader([rows[0].value], skipinitialspace=True), [])
-    if not names or names == [""]:
-        raise ValueError("failed to parse header: empty header")
-    return [n.strip() for n in names]
+    return parse_header(rows[0].value)
 
 
 def header_schema(header: list[str]) -> tuple[T.StructType, dict[str, str]]:
@@ -52,7 +57,7 @@ def header_schema(header: list[str]) -> tuple[T.StructType, dict[str, str]]:
 
 def read_metrics_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     multi_line: bool = False,
     header: list[str] | None = None,
 ) -> DataFrame:
@@ -60,7 +65,8 @@ def read_metrics_csv(
 
     ``multi_line=True`` accepts quoted newlines but makes each file one task.
     """
-    header = header if header is not None else read_header(spark, path)
+    if header is None:
+        header = read_header(spark, path if isinstance(path, str) else path[0])
     missing = [c for c in CSV_REQUIRED if c not in header]
     if missing:
         raise ValueError(f"failed to parse header: missing required column: {missing[0]}")
@@ -123,15 +129,44 @@ def project_metrics(raw: DataFrame, field_of: dict[str, str]) -> DataFrame:
     return out.withColumn("reject_reason", reason).drop(CORRUPT)
 
 
-def read_metrics_csv_files(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
-    """Read files that may differ in header layout; each keeps its own binding."""
-    frames = [read_metrics_csv(spark, p, multi_line) for p in paths]
+def read_metrics_csv_files(spark: SparkSession, paths: list, multi_line: bool = False) -> DataFrame:
+    """Read files that may differ in header layout; each keeps its own binding.
+
+    ``paths`` items are paths (header read from the file) or
+    ``(header, [files])`` pairs with the header already known.
+    """
+    frames = [
+        read_metrics_csv(spark, p[1], multi_line, header=p[0]) if isinstance(p, tuple)
+        else read_metrics_csv(spark, p, multi_line)
+        for p in paths
+    ]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def read_metrics_csv_by_header(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Read a directory (or glob) whose files may differ in header layout.
+
+    The driver reads the first line of every file (one small read per file,
+    no data) and groups files by header; each group is scanned by Spark with
+    its own column binding and the groups are unioned by name.  Empty files
+    hold no rows and are skipped.
+    """
+    from telemetry_engine.sources import fs
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in fs.list_files(spark, path):
+        line = fs.first_line(spark, f)
+        if line is None or not line.strip():
+            continue
+        groups.setdefault(tuple(parse_header(line)), []).append(f)
+    if not groups:
+        raise ValueError(f"failed to read header: no data under {path}")
+    return read_metrics_csv_files(spark, [(list(h), files) for h, files in groups.items()], multi_line)
+
+
 def good_rows(scanned: DataFrame) -> DataFrame:
     return scanned.where(F.col("reject_reason").isNull()).drop("reject_reason")
 

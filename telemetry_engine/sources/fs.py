@@ -57,3 +57,21 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return reader.readLine()
     finally:
         stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files under a file, directory or glob, skipping ``_``/``.`` names (as Spark does)."""
+    fs, p = _fs_and_path(spark, path)
+    statuses = fs.globStatus(p) or []
+    out = []
+    for st in statuses:
+        if st.isDirectory():
+            out.extend(str(c.getPath()) for c in fs.listStatus(st.getPath()) if c.isFile())
+        else:
+            out.append(str(st.getPath()))
+    return sorted(f for f in out if not f.rsplit("/", 1)[-1].startswith(("_", ".")))
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file (None when the file is empty)."""
+    return read_text(spark, path)

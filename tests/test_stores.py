@@ -53,3 +53,24 @@ def test_progress_listener_accumulates(spark, tmp):
         assert sum(t.get("rows", 0) for t in rep.totals.values()) == 10
     finally:
         spark.streams.removeListener(rep)
+
+
+def test_directory_with_mixed_header_layouts(spark, tmp):
+    import os
+
+    from telemetry_engine.sources.csv_metrics import read_metrics_csv_by_header
+
+    d = f"{tmp}/mixed"
+    os.makedirs(d)
+    layouts = {
+        "a.csv": "timestamp,metric_name,gpu_id,device,uuid,modelName,Hostname,value\nt,m,0,n0,GPU-1,H,h,1\n",
+        "b.csv": "value,uuid,metric_name,Hostname,modelName,device,gpu_id,timestamp\n2,GPU-2,m,h,H,n1,1,t\n",
+        "c.csv": "timestamp,metric_name,gpu_id,device,uuid,modelName,Hostname,value\nt,m,0,n3,GPU-3,H,h,3\n",
+        "empty.csv": "",
+        "_SUCCESS": "",
+    }
+    for name, text in layouts.items():
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    rows = sorted((r.uuid, r.value, r.device) for r in good_rows(read_metrics_csv_by_header(spark, d)).collect())
+    assert rows == [("GPU-1", "1", "n0"), ("GPU-2", "2", "n1"), ("GPU-3", "3", "n3")]

@@ -87,3 +87,18 @@ def test_lease_expiry_stream(spark, tmp):
     q.awaitTermination()
     got = sorted((r.message_id, r.deliveries, r.outcome) for r in spark.read.parquet(f"{tmp}/out").collect())
     assert got == [("m2", 1, "redeliver"), ("m2", 2, "redeliver"), ("m2", 3, "dead_letter")]
+
+
+def test_device_write_failure_does_not_block_telemetry(spark, tmp):
+    src = f"{tmp}/queue"
+    write_messages(_messages(spark, 6), f"{src}/a", mode="overwrite")
+    out = f"{tmp}/collector"
+    import os
+
+    os.makedirs(out)
+    with open(f"{out}/device_updates", "w") as f:  # a file where the directory should go
+        f.write("blocked")
+    q = start_collector(spark, f"{src}/*", out, extra_schema="seq bigint")
+    q.awaitTermination()
+    assert q.exception() is None
+    assert read_epochs(spark, f"{out}/telemetry").count() == 6

@@ -50,6 +50,26 @@ def get_spark(
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized to the input.
+
+    Shuffle partitions start at input / 256 MiB (AQE then coalesces small ones
+    and splits skewed ones at run time); scan splits stay at 256 MiB so a
+    task's input fits comfortably in executor memory; the stateful lease
+    stream keeps its state in RocksDB with changelog checkpointing.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors, taken from ``spark.checkpoint.dir``.
 

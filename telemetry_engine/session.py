@@ -50,15 +50,18 @@ def get_spark(
     return spark
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Session settings sized to the input.
+def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized to the largest expected shuffle.
 
-    Shuffle partitions start at input / 256 MiB (AQE then coalesces small ones
-    and splits skewed ones at run time); scan splits stay at 256 MiB so a
-    task's input fits comfortably in executor memory; the stateful lease
-    stream keeps its state in RocksDB with changelog checkpointing.
+    Shuffle partitions start at shuffle_bytes / 256 MiB (AQE then coalesces
+    small ones and splits skewed ones at run time); scan splits stay at
+    256 MiB so a task's input fits comfortably in executor memory; the
+    stateful lease stream keeps its state in RocksDB with changelog
+    checkpointing.  Most plans here shuffle far less than they scan (partial
+    aggregates, broadcast request sides), so size from the shuffle, not the
+    input.
     """
-    parts = max(200, -(-input_bytes // target_partition_bytes))
+    parts = max(200, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -7,8 +7,11 @@ watermark passes the timer, or a later event of the same key arrives after
 the expiry, one row is emitted: ``redeliver`` or, once the number of
 deliveries reaches ``max_retries``, ``dead_letter``.
 
-State per key is one small value (open lease, delivery count) kept in the
-RocksDB state store; nothing per key is buffered beyond that.
+State per key is one small value (open lease, delivery count, cleanup time)
+kept in the RocksDB state store; nothing per key is buffered beyond that.
+A key with no open lease and no event for ``idle_seconds`` of event time is
+dropped by a cleanup timer, so state holds active messages, not every id
+ever seen (a message id reappearing after that starts a new count).
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ EXPIRY_SCHEMA = (
     "fetch_seq long, deliveries long, outcome string"
 )
 EPOCH = "1970-01-01 00:00:00"
+IDLE_SECONDS = 7 * 24 * 3600
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -45,22 +49,30 @@ def _pickle_by_value() -> None:
 
 
 class LeaseExpiry(StatefulProcessor):
-    """Per key state: (fetch_us, fetch_seq, expiry_s, deliveries); the three
-    lease fields are null while no lease is open.
+    """Per key state: (fetch_us, fetch_seq, expiry_s, deliveries, cleanup_s);
+    the three lease fields are null while no lease is open.
 
     Every state or timer call is a round trip to the JVM, so a key's rows are
     processed locally and the state is read once and written once per batch.
+    Timers that no longer match the state (a replaced cleanup time) are
+    ignored when they fire instead of being deleted up front.
     Rows carry event time as epoch microseconds (``ts_us``).
     """
 
-    def __init__(self, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS, max_retries: int = MAX_RETRIES):
+    def __init__(
+        self,
+        visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
+        max_retries: int = MAX_RETRIES,
+        idle_seconds: int = IDLE_SECONDS,
+    ):
         self.timeout_us = visibility_timeout * 1_000_000
         self.max_retries = max_retries
+        self.idle_s = idle_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState(
-            "lease", "fetch_us long, fetch_seq long, expiry_s long, deliveries long"
+            "lease", "fetch_us long, fetch_seq long, expiry_s long, deliveries long, cleanup_s long"
         )
 
     def _row(self, key, fetch_us: int, fetch_seq: int, n: int) -> Row:
@@ -73,7 +85,11 @@ class LeaseExpiry(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         events = sorted(((r.ts_us, r.seq, r.op) for r in rows))
         st = self.state.get()
-        fetch_us, fetch_seq, expiry_s, n = (None, None, None, 0) if st is None else (st[0], st[1], st[2], st[3] or 0)
+        if st is None:
+            fetch_us = fetch_seq = expiry_s = cleanup_s = None
+            n = 0
+        else:
+            fetch_us, fetch_seq, expiry_s, n, cleanup_s = st[0], st[1], st[2], st[3] or 0, st[4]
         timer_before = expiry_s
         out = []
         for t_us, seq, op in events:
@@ -92,14 +108,25 @@ class LeaseExpiry(StatefulProcessor):
                 self.handle.deleteTimer(int(timer_before) * 1000)
             if expiry_s is not None:
                 self.handle.registerTimer(int(expiry_s) * 1000)
-        self.state.update((fetch_us, fetch_seq, expiry_s, n))
+        if expiry_s is None and events:
+            cleanup_s = events[-1][0] // 1_000_000 + self.idle_s
+            self.handle.registerTimer(int(cleanup_s) * 1000)
+        self.state.update((fetch_us, fetch_seq, expiry_s, n, cleanup_s))
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         st = self.state.get()
-        if st is not None and st[2] is not None and int(st[2]) * 1000 == expiredTimerInfo.getExpiryTimeInMs():
-            self.state.update((None, None, None, st[3]))
-            return iter([self._row(key, st[0], st[1], st[3] or 0)])
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        if st is None:
+            return iter([])
+        fetch_us, fetch_seq, expiry_s, n, cleanup_s = st[0], st[1], st[2], st[3] or 0, st[4]
+        if expiry_s is not None and int(expiry_s) * 1000 == at:
+            cleanup_s = int(expiry_s) + self.idle_s
+            self.handle.registerTimer(cleanup_s * 1000)
+            self.state.update((None, None, None, n, cleanup_s))
+            return iter([self._row(key, fetch_us, fetch_seq, n)])
+        if expiry_s is None and cleanup_s is not None and int(cleanup_s) * 1000 == at:
+            self.state.clear()  # idle key: forget it
         return iter([])
 
     def close(self) -> None:
@@ -112,6 +139,7 @@ def lease_expiries(
     delay: str = "0 seconds",
     visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
     max_retries: int = MAX_RETRIES,
+    idle_seconds: int = IDLE_SECONDS,
 ) -> DataFrame:
     """Streaming DataFrame of lease expiries (append mode)."""
     _pickle_by_value()
@@ -126,7 +154,7 @@ def lease_expiries(
         .withWatermark("ts", delay)
     )
     out = events.groupBy(*KEY).transformWithState(
-        statefulProcessor=LeaseExpiry(visibility_timeout, max_retries),
+        statefulProcessor=LeaseExpiry(visibility_timeout, max_retries, idle_seconds),
         outputStructType=EXPIRY_SCHEMA,
         outputMode="Append",
         timeMode="EventTime",

@@ -102,3 +102,25 @@ def test_device_write_failure_does_not_block_telemetry(spark, tmp):
     q.awaitTermination()
     assert q.exception() is None
     assert read_epochs(spark, f"{out}/telemetry").count() == 6
+
+
+def test_lease_state_of_idle_keys_is_dropped(spark, tmp):
+    ddl = "topic string, consumer_group string, consumer_id string, message_id string, op string, ts timestamp_ntz, seq long"
+    day = 24 * 3600
+
+    def write(part, ev):
+        rows = [("q", "g", "c", m, op, T0 + timedelta(seconds=s), i) for m, op, s, i in ev]
+        spark.createDataFrame(rows, ddl).write.parquet(f"{tmp}/log/{part}")
+
+    def run():
+        src = spark.readStream.schema(ddl).parquet(f"{tmp}/log/*")
+        q = (lease_expiries(spark, src).writeStream.format("parquet").option("path", f"{tmp}/out")
+             .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    write("a", [("m1", "fetch", 0, 1), ("m1", "ack", 10, 2), ("m2", "fetch", 9 * day, 3)])
+    run()   # watermark passes m1's idle cleanup (ack + 7 days): m1 is forgotten
+    write("b", [("m1", "fetch", 9 * day + 3600, 4), ("m1", "fetch", 9 * day + 7200, 5)])
+    run()
+    got = sorted((r.message_id, r.deliveries, r.outcome) for r in spark.read.parquet(f"{tmp}/out").collect())
+    assert got == [("m1", 1, "redeliver"), ("m2", 1, "redeliver")]

@@ -162,7 +162,13 @@ def request_status(requests: DataFrame, devices: DataFrame) -> DataFrame:
     registry with repeated uuids cannot multiply requests.
     """
     v = validate_requests(requests).alias("_req")
+    # Narrow the registry to the requested uuids first: the (size-checked)
+    # request uuids are broadcast into a semi join, so a large registry is
+    # scanned once and never shuffled; the existence join then sees only
+    # the few registry rows that matter.
+    wanted = bounded_broadcast(v.select(F.col("uuid").alias("_w")).distinct())
     d = devices.select(F.col("uuid").alias("_dev_uuid"))
+    d = d.join(wanted, d._dev_uuid == wanted._w, "left_semi")
     known = d.where(F.col("_dev_uuid") == F.col("_req.uuid").outer()).exists()
     found = v.withColumn("_found", known)
     status = F.coalesce(

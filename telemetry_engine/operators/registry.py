@@ -66,8 +66,14 @@ def unknown_devices(uuids: DataFrame, devices: DataFrame, column: str = "uuid")
 
     De-duplicates before the anti join so the join sees one row per uuid.
     """
+    from telemetry_engine.plans.sizing import bounded_broadcast
+
     u = uuids.select(F.col(column).alias("uuid")).where(F.col("uuid") != "").distinct()
+    # narrow the registry to the asked-for uuids (broadcast when proven small)
+    # so a large registry is scanned once rather than shuffled
+    asked = bounded_broadcast(u.select(F.col("uuid").alias("_asked")))
     d = devices.select(F.col("uuid").alias("_known"))
+    d = d.join(asked, d._known == asked._asked, "left_semi")
     return u.join(d, u.uuid == d._known, "left_anti")
 
 

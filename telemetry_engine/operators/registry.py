@@ -25,16 +25,22 @@ def upsert_devices(current: DataFrame, updates: DataFrame, order_col: str | None
     Every field is set from the winning update (a blank value overwrites).
     Among updates of one uuid the greatest ``order_col`` wins; remaining
     ties fall back to the row contents so the result is deterministic.
+    ``current`` is a registry (one row per uuid).
+
+    Only the updates are shuffled (latest per uuid).  The registry is
+    anti-joined against the set of updated uuids, broadcast when proven
+    small, so the unchanged bulk of a large registry is never shuffled.
     """
-    cur = current.select(
-        *DEVICE_COLUMNS, F.lit(0).alias("_src"), F.lit(None).cast("long").alias("_ord")
-    )
+    from telemetry_engine.plans.sizing import bounded_broadcast
+
     ordv = F.col(order_col).cast("long") if order_col else F.lit(None).cast("long")
-    upd = updates.select(*DEVICE_COLUMNS, F.lit(1).alias("_src"), ordv.alias("_ord"))
-    order = [F.col("_src").desc(), F.col("_ord").desc_nulls_last()] + [
-        F.col(c).desc() for c in DEVICE_COLUMNS[1:]
-    ]
-    return latest_per_key(cur.unionByName(upd), "uuid", order).select(*DEVICE_COLUMNS)
+    upd = updates.select(*DEVICE_COLUMNS, ordv.alias("_ord"))
+    order = [F.col("_ord").desc_nulls_last()] + [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
+    latest = latest_per_key(upd, "uuid", order).select(*DEVICE_COLUMNS)
+    changed = bounded_broadcast(latest.select(F.col("uuid").alias("_changed")))
+    keep = current.select(*DEVICE_COLUMNS)
+    keep = keep.join(changed, keep.uuid == changed._changed, "left_anti")
+    return keep.unionByName(latest)
 
 
 def list_devices(devices: DataFrame, telemetry: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_engine.functions.timeutil import format_rfc3339_nano
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -217,10 +216,3 @@ def history_requests_from_customers(customer: DataFrame) -> DataFrame:
         end.alias("end_time"), limit.alias("limit"),
     )
 
-
-__all__ = [
-    "TABLES", "load", "gpu_uuid_of", "hour_batch_id", "telemetry_from_events",
-    "devices_from_customers", "csv_records_from_events", "messages_from_events",
-    "delivery_log_from_events", "routing_messages_from_events", "subscriptions",
-    "SUBSCRIPTIONS", "history_requests_from_customers", "format_rfc3339_nano",
-]

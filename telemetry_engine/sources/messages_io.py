@@ -9,7 +9,6 @@ published, so decoding can apply strict type rules later.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from telemetry_engine.schemas import MESSAGE_SCHEMA
 
@@ -42,5 +41,3 @@ def stream_messages(spark: SparkSession, path: str, extra_schema: str | None = N
         r = r.option("maxFilesPerTrigger", max_files)
     return r.json(path)
 
-
-__all__ = ["write_messages", "read_messages", "stream_messages", "F"]

@@ -28,9 +28,18 @@ def route_messages(
     return routed.withColumn("handler_error", fails)
 
 
-def unrouted_messages(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Messages whose topic has no subscriber (dropped by the router)."""
-    subs = subscriptions.select(F.col("topic").alias("_sub_topic"))
+def unrouted_messages(
+    messages: DataFrame, subscriptions: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+) -> DataFrame:
+    """Messages whose topic has no subscriber (dropped by the router).
+
+    The subscribed topics are broadcast after the size check (a table built
+    from a local list has no size statistics, so Catalyst alone would
+    shuffle every message for this anti join).
+    """
+    subs = bounded_broadcast(
+        subscriptions.select(F.col("topic").alias("_sub_topic")).distinct(), broadcast_rows
+    )
     return messages.join(subs, messages.topic == subs._sub_topic, "left_anti")
 
 

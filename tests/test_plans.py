@@ -59,3 +59,10 @@ def test_semi_join_pre_aggregates_telemetry(spark, store):
     devs = spark.createDataFrame([(U,) + ("",) * 7], DEV)
     p = plan(registry.devices_with_telemetry(devs, store))
     assert "HashAggregate" in p
+
+
+def test_unrouted_anti_join_does_not_shuffle_messages(spark):
+    msgs = spark.range(100).selectExpr("cast(id as string) id", "if(id % 2 = 0, 't', 'u') topic")
+    subs = spark.createDataFrame([("t", "a")], "topic string, subscriber_id string")
+    p = plan(routing.unrouted_messages(msgs, subs))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p

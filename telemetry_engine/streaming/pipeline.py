@@ -121,7 +121,7 @@ def start_collector(
                 .sortWithinPartitions("event_date", "gpu_uuid", "timestamp")
             )
             t.write.mode("overwrite").partitionBy("event_date").parquet(_epoch_dir(f"{out_dir}/telemetry", epoch_id))
-            b.where(F.col("reject_reason").isNotNull()).drop("headers").write.mode("overwrite").parquet(
+            b.where(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(
                 _epoch_dir(f"{out_dir}/quarantine", epoch_id)
             )
             try:

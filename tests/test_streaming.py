@@ -124,3 +124,19 @@ def test_lease_state_of_idle_keys_is_dropped(spark, tmp):
     run()
     got = sorted((r.message_id, r.deliveries, r.outcome) for r in spark.read.parquet(f"{tmp}/out").collect())
     assert got == [("m1", 1, "redeliver"), ("m2", 1, "redeliver")]
+
+
+def test_collector_keeps_running_on_a_processing_time_trigger(spark, tmp):
+    src = f"{tmp}/queue"
+    write_messages(_messages(spark, 4), f"{src}/a", mode="overwrite")
+    out = f"{tmp}/collector"
+    q = start_collector(spark, f"{src}/*", out, extra_schema="seq bigint", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        write_messages(_messages(spark, 3, start=50), f"{src}/b", mode="overwrite")
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert read_epochs(spark, f"{out}/telemetry").count() == 7
+    assert read_epochs(spark, f"{out}/quarantine").select("headers").count() == 2

@@ -298,7 +298,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE reject_reason IS NULL) AS rows_sent,
         count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rows_rejected
         FROM csv GROUP BY 1""",
-    "append_roundtrip": _w(TEL) + "SELECT *, CAST(timestamp AS DATE) AS event_date FROM tel",
+    "append_roundtrip": _w(TEL) + "SELECT *, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date FROM tel",
     "to_telemetry": _w(REC, CSV) + f"""SELECT uuid AS gpu_uuid, metric_name, value, {BATCH_TS_SQL} AS timestamp,
         {BATCH_ID_SQL} AS batch_id, labels_raw FROM csv WHERE reject_reason IS NULL""",
     "to_devices": _w(REC, CSV) + """SELECT uuid, device AS device_id, gpu_id AS gpu_index, modelName AS model_name,

@@ -83,8 +83,10 @@ def q_ingest_stats(spark, sf):
 
 
 def q_append_roundtrip(spark, sf):
+    # the partition value is rendered as ISO text so both engines compare alike
     return telemetry_table(spark, sf).select(
-        "gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "labels_raw", "seq", "event_date"
+        "gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "labels_raw", "seq",
+        F.col("event_date").cast("string").alias("event_date"),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telemetry_engine.operators.messages import decode_messages
 from telemetry_engine.plans import catalog
@@ -80,7 +81,7 @@ def q_stream_progress(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     catalog.telemetry_table(spark, sf)
     src_path = catalog.derived_path(spark, sf, "telemetry", ["events"])
-    schema = TELEMETRY_SCHEMA.add("event_date", "date")
+    schema = T.StructType(TELEMETRY_SCHEMA.fields + [T.StructField("event_date", T.DateType())])
     src = spark.readStream.schema(schema).parquet(src_path)
     out = catalog.run_dir(spark, "dedup")
     q = (

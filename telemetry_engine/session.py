@@ -19,6 +19,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # reliable checkpoints (bulk history's validated requests) are removed
+    # once their datasets are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # parquet written by this engine is sorted by (gpu_uuid, timestamp) inside
     # each event_date partition, so row-group min/max stats prune point lookups
     "spark.sql.parquet.filterPushdown": "true",

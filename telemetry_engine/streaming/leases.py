@@ -85,6 +85,8 @@ class LeaseExpiry(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         events = sorted(((r.ts_us, r.seq, r.op) for r in rows))
         st = self.state.get()
+        if st is None and not any(op == "fetch" for _, _, op in events):
+            return iter([])  # acks/nacks without any lease: nothing to track
         if st is None:
             fetch_us = fetch_seq = expiry_s = cleanup_s = None
             n = 0

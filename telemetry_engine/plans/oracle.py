@@ -411,3 +411,15 @@ ORACLE: dict[str, str] = {
                coalesce(cat.family, 'unknown') AS family, coalesce(m.n, 0) AS n
         FROM m FULL OUTER JOIN cat ON m.metric_name = cat.metric_name""",
 }
+
+DEVICE_DOC = """'{"uuid":' || CAST(to_json(uuid) AS VARCHAR) || ',"device_id":' || CAST(to_json(device_id) AS VARCHAR) || ',"gpu_index":' || CAST(to_json(gpu_index) AS VARCHAR) || ',"model_name":' || CAST(to_json(model_name) AS VARCHAR) || ',"hostname":' || CAST(to_json(hostname) AS VARCHAR) || CASE WHEN container <> '' THEN ',"container":' || CAST(to_json(container) AS VARCHAR) ELSE '' END || CASE WHEN pod <> '' THEN ',"pod":' || CAST(to_json(pod) AS VARCHAR) ELSE '' END || CASE WHEN namespace <> '' THEN ',"namespace":' || CAST(to_json(namespace) AS VARCHAR) ELSE '' END || '}'"""
+POINT_DOC = """'{"gpu_uuid":' || CAST(to_json(gpu_uuid) AS VARCHAR) || ',"metric_name":' || CAST(to_json(metric_name) AS VARCHAR) || ',"value":' || CAST(to_json(value) AS VARCHAR) || ',"timestamp":"' || {NANO_TS} || '"' || CASE WHEN labels_raw <> '' THEN ',"labels_raw":' || CAST(to_json(labels_raw) AS VARCHAR) ELSE '' END || '}'""".replace("{NANO_TS}", _nano("timestamp"))
+ORACLE["device_documents"] = _w(DEV) + f"SELECT uuid, {DEVICE_DOC} AS document FROM dev"
+ORACLE["history_documents"] = _w(DEV, TEL, REQ, VAL, BULK) + f"SELECT request_id, {POINT_DOC} AS document FROM bulk"
+ORACLE["history_envelopes"] = _w(DEV, TEL, REQ, VAL, BULK) + f""", c AS (SELECT request_id, count(*) AS n FROM bulk GROUP BY 1)
+    SELECT st.request_id,
+      '{{"total":' || CAST(coalesce(c.n, 0) AS VARCHAR) || ',"gpu_uuid":' || CAST(to_json(st.uuid) AS VARCHAR)
+      || CASE WHEN st.start_ts IS NOT NULL THEN ',"start_time":"' || {_nano('st.start_ts')} || '"' ELSE '' END
+      || CASE WHEN st.end_ts IS NOT NULL THEN ',"end_time":"' || {_nano('st.end_ts')} || '"' ELSE '' END
+      || '}}' AS document
+    FROM st LEFT JOIN c USING (request_id) WHERE st.status = 'ok'"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from telemetry_engine import adapters
 from telemetry_engine.functions import scalars, timeutil
-from telemetry_engine.operators import delivery, dedup, history, ingest, messages, registry, routing
+from telemetry_engine.operators import delivery, dedup, history, ingest, messages, registry, render, routing
 from telemetry_engine.plans.catalog import messages_table, metrics_csv_dir, telemetry_table
 from telemetry_engine.schemas import METRIC_CATALOGUE
 from telemetry_engine.sources.csv_metrics import good_rows, read_metrics_csv, rejected_rows
@@ -227,6 +227,21 @@ def q_history_total(spark, sf):
     return history.history_totals(st, history.bulk_history(st, telemetry_table(spark, sf)))
 
 
+def q_device_documents(spark, sf):
+    return render.device_documents(registry.list_devices(_devices(spark, sf)))
+
+
+def q_history_documents(spark, sf):
+    rows = history.bulk_history(_statuses(spark, sf), telemetry_table(spark, sf))
+    return render.point_documents(rows, keep=["request_id"])
+
+
+def q_history_envelopes(spark, sf):
+    st = _statuses(spark, sf)
+    totals = history.history_totals(st, history.bulk_history(st, telemetry_table(spark, sf)))
+    return render.history_envelopes(totals, st)
+
+
 def q_dedup_telemetry(spark, sf):
     return dedup.dedup_telemetry(telemetry_table(spark, sf)).select(
         "gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "seq", "point_key"

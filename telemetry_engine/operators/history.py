@@ -24,7 +24,7 @@ from telemetry_engine.functions.timeutil import parse_rfc3339
 from telemetry_engine.functions.pytime import parse_rfc3339_py
 from telemetry_engine.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from telemetry_engine.schemas import HISTORY_MAX_LIMIT, UUID_PATTERN
-from telemetry_engine.session import shared_dir
+from telemetry_engine.session import materialize
 
 API_COLUMNS = ["gpu_uuid", "metric_name", "value", "timestamp", "labels_raw"]
 
@@ -194,10 +194,7 @@ def bulk_history(
     # The validated request set feeds the size check, the partition bounds and
     # both join branches: materialise it once (reliable checkpoint in the
     # shared folder, lineage cut) instead of re-validating for every use.
-    shared_dir(ok.sparkSession)
-    pending = ok.persist()            # the checkpoint's write job reads this
-    ok = pending.checkpoint(eager=True)
-    pending.unpersist()
+    ok = materialize(ok)
     t = telemetry
     if "event_date" in telemetry.columns:
         # Dynamic partition pruning from the requests: scalar subqueries over the

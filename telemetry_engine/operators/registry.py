@@ -32,11 +32,13 @@ def upsert_devices(current: DataFrame, updates: DataFrame, order_col: str | None
     small, so the unchanged bulk of a large registry is never shuffled.
     """
     from telemetry_engine.plans.sizing import bounded_broadcast
+    from telemetry_engine.session import materialize
 
     ordv = F.col(order_col).cast("long") if order_col else F.lit(None).cast("long")
     upd = updates.select(*DEVICE_COLUMNS, ordv.alias("_ord"))
     order = [F.col("_ord").desc_nulls_last()] + [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
-    latest = latest_per_key(upd, "uuid", order).select(*DEVICE_COLUMNS)
+    # used by the size check, the broadcast side and the union: compute once
+    latest = materialize(latest_per_key(upd, "uuid", order).select(*DEVICE_COLUMNS))
     changed = bounded_broadcast(latest.select(F.col("uuid").alias("_changed")))
     keep = current.select(*DEVICE_COLUMNS)
     keep = keep.join(changed, keep.uuid == changed._changed, "left_anti")

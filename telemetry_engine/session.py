@@ -94,3 +94,18 @@ def shared_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir().rstrip("/")
 
+
+
+def materialize(df):
+    """Compute ``df`` once into a reliable checkpoint in the shared folder.
+
+    For results used several times (a size check, a broadcast side, a union
+    branch): the lineage is cut and later uses read the checkpoint files.  The
+    temporary persist lets the checkpoint's write job reuse the first
+    computation instead of running the plan twice.
+    """
+    shared_dir(df.sparkSession)
+    pending = df.persist()
+    out = pending.checkpoint(eager=True)
+    pending.unpersist()
+    return out

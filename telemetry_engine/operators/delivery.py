@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from telemetry_engine.functions.timeutil import add_seconds, whole_seconds
 from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
+from telemetry_engine.session import materialize
 
 KEY = ["topic", "consumer_group", "message_id"]
 CLOSES = ["ack", "nack"]
@@ -96,10 +97,12 @@ def delivery_state(
     at = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else log.agg(F.max("ts")).scalar()
     e = log.where(F.col("ts") <= at)
     is_fetch = F.col("op") == "fetch"
-    per_key = e.groupBy(*KEY).agg(
+    # per_key feeds both the close search and the final join: computing it
+    # once (checkpoint) saves a second scan and shuffle of the whole log
+    per_key = materialize(e.groupBy(*KEY).agg(
         F.max(F.when(is_fetch, F.struct("ts", "seq"))).alias("last_fetch"),
         F.count_if(is_fetch).alias("deliveries"),
-    )
+    ))
     fetched = per_key.where(F.col("last_fetch").isNotNull()).select(*KEY, "last_fetch")
     closes = e.where(F.col("op").isin(*CLOSES)).select(*KEY, "ts", "seq", "op")
     after = closes.join(fetched, KEY).where(F.struct("ts", "seq") > F.col("last_fetch"))

@@ -52,3 +52,26 @@ def test_columnar_validation_matches_driver_validation(spark, reqs):
         assert g[0] == status, (r, g)
         if status is None:
             assert (g[1], g[2], g[3]) == (start, end, limit), (r, g)
+
+
+LABEL_KEYS = st.sampled_from(["a", "b", "Hostname", "DCGM_FI_DRIVER_VERSION", "x.y", "_k"])
+BS = chr(92)  # backslash
+LABEL_VALUES = st.text(alphabet='abc ,="\\\\1', max_size=8)
+
+
+def _render(pairs):
+    def esc(v):
+        return v.replace(BS, BS + BS).replace('"', BS + '"')
+    return ",".join(f'{k}="{esc(v)}"' for k, v in pairs)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(LABEL_KEYS, LABEL_VALUES), max_size=5), min_size=40, max_size=80))
+def test_label_parsing_matches_python(spark, label_lists):
+    from telemetry_engine.functions.scalars import label_pairs
+
+    texts = [_render(pairs) for pairs in label_lists]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: {p.label_key: p.label_value for p in r.p} for r in df.select("i", label_pairs("t").alias("p")).collect()}
+    for i, pairs in enumerate(label_lists):
+        assert got[i] == dict(pairs), (texts[i], got[i])  # dict(): the last duplicate wins

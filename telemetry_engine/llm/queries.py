@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import huffman, packing, tokens
+from telemetry_engine.llm import huffman, jaccard, packing, tokens
 
 
 def _bpe() -> str:
@@ -28,8 +28,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
     "op4_packing": op4_packing,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLE: dict[str, str] = {}

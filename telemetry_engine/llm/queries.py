@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import huffman, jaccard, packing, tokens
+from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, tokens
 
 
 def _bpe() -> str:
@@ -28,6 +28,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -35,6 +39,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
     "op4_packing": op4_packing,
+    "op5_decontamination": op5_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, tokens
+from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, tokens, toxicity
 
 
 def _bpe() -> str:
@@ -32,6 +32,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, C.table(spark, sf_dir, "labels"))
+    return toxicity.result(toxicity.scored(docs, model, with_text=False), 0.7)
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -40,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, tokens, toxicity
+from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, quality, tokens, toxicity
 
 
 def _bpe() -> str:
@@ -23,6 +23,12 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_digests(spark, path)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    model = quality.train(docs, C.table(spark, sf_dir, "labels"))
+    return toxicity.result(quality.scored(docs, model), 0.5)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(C.table(spark, sf_dir, "documents"), _bpe())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -44,6 +50,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
+    "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,

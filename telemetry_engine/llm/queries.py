@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, quality, tokens, toxicity
+from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, quality, tokens, topk, toxicity
 
 
 def _bpe() -> str:
@@ -17,6 +17,10 @@ def _bpe() -> str:
     return tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(C.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = C.work_dir(spark, "token_binary")
     huffman.write_ids(C.table(spark, sf_dir, "documents"), path, _bpe(), end_id=0)
@@ -49,6 +53,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op2_token_binary": op2_token_binary,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
@@ -56,4 +61,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 100 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+}

@@ -64,6 +64,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Consecutive runs of ``values`` as binary values."""
+    width = values.itemsize
+    if offsets[-1] * width >= 1 << 31:
+        raw = memoryview(values.tobytes())
+        return pa.array([bytes(raw[a * width:b * width]) for a, b in zip(offsets, offsets[1:])], pa.binary())
+    buffers = [None, pa.py_buffer((offsets * width).astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
 def chunks(offsets: np.ndarray, size: int = 1 << 20):
     """Runs [a, b) of values with about ``size`` bytes each (a longer value stands alone)."""
     a, n = 0, len(offsets) - 1

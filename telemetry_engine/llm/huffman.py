@@ -166,18 +166,16 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None =
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = T.encoder(vocab.value)
-        tail = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
         small = max(enc.size, (end_id or 0) + 1) <= 1 << 16
         for b in batches:
             for a in range(0, b.num_rows, 2000):
                 part = b.slice(a, 2000)
-                got = [x + tail for x in enc.encode(part.column(1).to_pylist())]
-                n = [len(x) // 4 for x in got]
-                if small:
-                    got = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in got]
+                flat, off = enc.documents(part.column(1), end_id)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(n, pa.int32()), pa.array(got, pa.binary()),
-                     pa.array([2 if small else 4] * len(n), pa.int32())], ["doc_id", "n_tokens", "ids", "width"])
+                    [part.column(0), pa.array(np.diff(off), pa.int32()),
+                     C.binary(flat.astype("<u2" if small else "<u4"), off),
+                     pa.array(np.full(part.num_rows, 2 if small else 4), pa.int32())],
+                    ["doc_id", "n_tokens", "ids", "width"])
 
     picked = docs.select(C.col(id_col).cast("long").alias("doc_id"), C.col(text_col).cast("string").alias("text"))
     ids = C.store(picked.mapInArrow(tokenise, "doc_id long, n_tokens int, ids binary, width int"), ids_path)

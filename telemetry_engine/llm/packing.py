@@ -19,7 +19,6 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -95,7 +94,6 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = T.encoder(vocab.value)
-        tail = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         items: list[tuple] = []
@@ -121,9 +119,10 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int | N
         for b in batches:
             for a in range(0, b.num_rows, 2000):
                 part = b.slice(a, 2000)
-                for doc, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
-                    ids += tail
-                    n = len(ids) // 4
+                flat, off = enc.documents(part.column(1), end_id)
+                raw = flat.astype("<u4").tobytes()
+                for doc, x, y in zip(part.column(0).to_pylist(), off.tolist(), off[1:].tolist()):
+                    ids, n = raw[4 * x:4 * y], y - x
                     for s in range(0, n // window * window, window):
                         rows.append((doc, s, window, n, number, 0, window, ids[4 * s:4 * (s + window)]))
                         number += 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, quality, tokens, topk, toxicity
+from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, pii, quality, tokens, topk, toxicity
 
 
 def _bpe() -> str:
@@ -48,6 +48,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.result(toxicity.scored(docs, model, with_text=False), 0.7)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(C.table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLE: dict[str, str] = {

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, pii, quality, tokens, topk, toxicity
+from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, pii, preference, quality, tokens, topk, toxicity
 
 
 def _bpe() -> str:
@@ -52,6 +52,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(C.table(spark, sf_dir, "documents"))
 
 
+def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
+    rows = preference.preferences(C.table(spark, sf_dir, "conversations"))
+    return (rows.withColumn("chosen_spans", text("chosen_spans")).withColumn("rejected_spans", text("rejected_spans"))
+            .withColumn("prompt_turns", F.col("prompt_turns").cast("long")))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -64,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op9_preference": op9_preference,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLE: dict[str, str] = {
@@ -82,5 +90,60 @@ r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
          vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op9_preference": """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'),
+                                     coalesce(text, '')) AS k,
+         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ends AS (
+  SELECT conv_id, max(k) AS last, min(k) AS first FROM t WHERE role = 'assistant' GROUP BY conv_id),
+replies AS (
+  SELECT e.conv_id, e.last, f.text AS first_text FROM ends e
+  JOIN t f ON f.conv_id = e.conv_id AND f.k = e.first
+  JOIN t l ON l.conv_id = e.conv_id AND l.k = e.last WHERE f.text <> l.text),
+heads AS (
+  SELECT role, text, min(conv_id) AS chosen_id FROM t WHERE k = 1 GROUP BY role, text),
+openings AS (
+  SELECT h.chosen_id, t.conv_id AS rejected_id FROM t JOIN heads h ON h.role = t.role AND h.text = t.text
+  WHERE t.k = 1 AND t.conv_id <> h.chosen_id),
+sides AS (
+  SELECT 'reply' AS kind, r.conv_id AS chosen_id, r.conv_id AS rejected_id, 'c' AS side, t.k, t.role, t.text
+  FROM replies r JOIN t ON t.conv_id = r.conv_id AND t.k <= r.last
+  UNION ALL
+  SELECT 'reply', r.conv_id, r.conv_id, 'r', t.k, t.role, CASE WHEN t.k = r.last THEN r.first_text ELSE t.text END
+  FROM replies r JOIN t ON t.conv_id = r.conv_id AND t.k <= r.last
+  UNION ALL
+  SELECT 'opening', o.chosen_id, o.rejected_id, 'c', t.k, t.role, t.text
+  FROM openings o JOIN t ON t.conv_id = o.chosen_id
+  UNION ALL
+  SELECT 'opening', o.chosen_id, o.rejected_id, 'r', t.k, t.role, t.text
+  FROM openings o JOIN t ON t.conv_id = o.rejected_id),
+prefix AS (
+  SELECT kind, chosen_id, rejected_id, min(k) AS differ FROM (
+    SELECT kind, chosen_id, rejected_id, k FROM sides GROUP BY kind, chosen_id, rejected_id, k
+    HAVING count(*) < 2 OR min(role) <> max(role) OR min(text) <> max(text))
+  GROUP BY kind, chosen_id, rejected_id),
+cut AS (
+  SELECT s.*, coalesce(p.differ, 1000000000) AS differ,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece
+  FROM sides s LEFT JOIN prefix p USING (kind, chosen_id, rejected_id)),
+placed AS (
+  SELECT *, CASE WHEN k >= differ THEN sum(CASE WHEN k >= differ THEN length(piece) ELSE 0 END)
+                 OVER (PARTITION BY kind, chosen_id, rejected_id, side ORDER BY k) - length(piece) END AS pos
+  FROM cut)
+SELECT kind, chosen_id, rejected_id,
+       count(*) FILTER (WHERE side = 'c' AND k < differ) AS prompt_turns,
+       coalesce(string_agg(piece, '' ORDER BY k) FILTER (WHERE side = 'c' AND k < differ), '') AS prompt,
+       coalesce(string_agg(piece, '' ORDER BY k) FILTER (WHERE side = 'c' AND k >= differ), '') AS chosen,
+       coalesce(string_agg(piece, '' ORDER BY k) FILTER (WHERE side = 'r' AND k >= differ), '') AS rejected,
+       coalesce(string_agg(CAST(CAST(pos + length(role) + 5 AS BIGINT) AS VARCHAR) || '-'
+                           || CAST(CAST(pos + length(piece) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY k)
+                FILTER (WHERE side = 'c' AND k >= differ AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg(CAST(CAST(pos + length(role) + 5 AS BIGINT) AS VARCHAR) || '-'
+                           || CAST(CAST(pos + length(piece) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY k)
+                FILTER (WHERE side = 'r' AND k >= differ AND role = 'assistant'), '') AS rejected_spans
+FROM placed GROUP BY kind, chosen_id, rejected_id
 """,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm import decontaminate, huffman, jaccard, packing, pii, preference, quality, tokens, topk, toxicity
+from telemetry_engine.llm import decontaminate, huffman, jaccard, licenses, packing, pii, preference, quality, tokens, topk, toxicity
 
 
 def _bpe() -> str:
@@ -52,6 +52,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(C.table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs)).withColumn("paragraph", F.col("paragraph").cast("long"))
+
+
 def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
     rows = preference.preferences(C.table(spark, sf_dir, "conversations"))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op8_license_scan": op8_license_scan,
     "op9_preference": op9_preference,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }

@@ -20,7 +20,8 @@ Texts of fewer than five words have one shingle of all their words.  Texts
 without words (null, empty, blank) match nothing and stay alone.  Repeated
 rows are copies of each other.  A row whose id is null takes part under a
 number from its text, at least 2**62, which names a class only if no row of
-the class has an id.
+the class has an id of its own; so do the rows of an id that occurs with
+different texts.
 """
 
 from __future__ import annotations
@@ -251,28 +252,35 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, tile: int = TILE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, text_key (xxhash64 of its text), class_id (least id of its class),
-    n_links (rows it is linked to), n_shingles.
+    """One row per input row: doc_id, rid (the id, or what stands for a null one), text_key (xxhash64 of its
+    text), class_id (least id of its class), n_links (rows it is linked to), n_shingles.
 
     ``class_id`` names the connected component of links; a row without links
     is its own class.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     path = C.work_dir(spark, "jaccard")
-    picked = (docs.select(C.col(id_col).cast("long").alias("doc_id"),
-                          F.coalesce(C.col(text_col).cast("string"), F.lit("")).alias("text"))
-              .withColumn("text_key", F.xxhash64("text"))
-              .withColumn("rid", F.coalesce("doc_id", F.lit(1 << 62) + F.shiftrightunsigned("text_key", 2)))
-              .select("doc_id", "rid", "text_key", "text"))
+    keys = _keys(docs, id_col, text_col)
+    picked = docs.select(C.col(id_col).cast("long").alias("doc_id"), keys["jaccard_rid"].alias("rid"),
+                         keys["jaccard_key"].alias("text_key"),
+                         F.coalesce(C.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     rows = C.store(picked.mapInArrow(_sketch, "doc_id long, rid long, text_key long, n_shingles int, k1 long, k2 long, "
                                               "minhash binary"), f"{path}/rows")
+    rows = rows.withColumn("node", F.col("rid"))
+    shared_ids = C.store(rows.groupBy("rid").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
+                         .where("a != b").select("rid", F.lit(True).alias("shared")), f"{path}/shared_ids")
+    if not shared_ids.isEmpty():
+        own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text_key", "rid"), 2)
+        rows = C.store(rows.join(shared_ids, "rid", "left").withColumn("node", F.when(F.col("shared"), own).otherwise(F.col("rid")))
+                       .drop("shared"), f"{path}/own_rows")
     key = ["n_shingles", "k1", "k2"]
     classes = C.store(
         rows.where("n_shingles > 0").groupBy(*key)
-        .agg(F.min(F.struct("rid", "text_key")).alias("least"), F.count("*").alias("n_docs"),
+        .agg(F.min(F.struct("node", "rid", "text_key")).alias("least"), F.count("*").alias("n_docs"),
              F.first("minhash").alias("minhash"))
-        .select(*key, F.col("least.rid").alias("cls"), F.col("least.text_key").alias("text_key"), "n_docs", "minhash"),
+        .select(*key, F.col("least.node").alias("cls"), F.col("least.rid").alias("rid"),
+                F.col("least.text_key").alias("text_key"), "n_docs", "minhash"),
         f"{path}/classes")
 
     bands = classes.select("cls", "minhash").mapInArrow(_bands, "bucket long, cls long")
@@ -290,10 +298,43 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
                 (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links")),
         f"{path}/found")
     return (rows.drop("minhash").join(found, key, "left")
-            .select("doc_id", "text_key", F.coalesce("class_id", "rid").alias("class_id"),
+            .select("doc_id", "rid", "text_key", F.coalesce("class_id", "node").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_shingles"))
 
 
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, tile: int = TILE,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of which one of each class stays: that of the least id.
+
+    Texts without words all stay.
+    """
+    spark = docs.sparkSession
+    found = C.store(near_duplicates(docs, threshold, tolerance, tile, id_col, text_col), C.work_dir(spark, "classes"))
+    words = found.where("n_shingles > 0")
+    keep = (words.groupBy("class_id").agg(F.min(F.struct("rid", "text_key")).alias("r")).select("r.*")
+            .union(found.where("n_shingles = 0").select("rid", "text_key").distinct()))
+    keys = _keys(docs, id_col, text_col)
+    kept = docs.withColumns(keys).join(keep.select(F.col("rid").alias("jaccard_rid"), F.col("text_key").alias("jaccard_key")),
+                                       list(keys), "left_semi")
+    # rows that repeat an id with its text are told apart only here; usually there are none
+    again = words.groupBy("rid", "text_key").count().where("count > 1").select("rid", "text_key")
+    again = C.store(again, C.work_dir(spark, "repeated")).select(F.col("rid").alias("jaccard_rid"),
+                                                                 F.col("text_key").alias("jaccard_key"))
+    if not again.isEmpty():
+        rest = [c for c in kept.columns if c not in keys]
+        few = (kept.join(again, list(keys), "left_semi").groupBy(*keys)
+               .agg(F.min_by(F.struct(*[C.col(c) for c in rest]), F.xxhash64(*[C.col(c) for c in rest])).alias("row"))
+               .select(*keys, *[F.col("row")[c].alias(c) for c in rest]))
+        kept = kept.join(again, list(keys), "left_anti").unionByName(few)
+    return kept.select(*[C.col(c) for c in docs.columns])
+
+
+def _keys(docs: DataFrame, id_col: str, text_col: str) -> dict:
+    text_key = F.xxhash64(F.coalesce(C.col(text_col).cast("string"), F.lit("")))
+    return {"jaccard_rid": F.coalesce(C.col(id_col).cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(text_key, 2)),
+            "jaccard_key": text_key}
+
+
 def _verify(picked: DataFrame, classes: DataFrame, parts: DataFrame, threshold: float, tolerance: float, tile: int,
             path: str) -> DataFrame:
     """(cls, links, root) of every tile, written below ``path``."""
@@ -302,10 +343,9 @@ def _verify(picked: DataFrame, classes: DataFrame, parts: DataFrame, threshold:
     member = (parts.join(sizes, "component")
               .select(F.col("node").alias("cls"), "component", blocks.alias("blocks"))
               .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
-    member = C.store(member.join(classes.select("cls", "text_key", "n_docs", "minhash"), "cls"), f"{path}/members")
+    member = C.store(member.join(classes.select("cls", "rid", "text_key", "n_docs", "minhash"), "cls"), f"{path}/members")
     # one text per class: that of its least row
-    texts = picked.join(member.select(F.col("cls").alias("rid"), "text_key"), ["rid", "text_key"])
-    full = C.store(member.join(texts.select(F.col("rid").alias("cls"), "text"), "cls"), f"{path}/texts")
+    full = C.store(picked.select("rid", "text_key", "text").join(member, ["rid", "text_key"]), f"{path}/texts")
     dealt = (full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("component", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                      F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),

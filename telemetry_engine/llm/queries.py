@@ -11,7 +11,7 @@ from telemetry_engine.llm import common as C
 from telemetry_engine.llm import decontaminate, huffman, jaccard, licenses, packing, pii, preference, quality, tokens, topk, toxicity
 
 
-def _bpe() -> str:
+def byte_bpe() -> str:
     import public_tokenizers
 
     return tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
@@ -23,7 +23,7 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = C.work_dir(spark, "token_binary")
-    huffman.write_ids(C.table(spark, sf_dir, "documents"), path, _bpe(), end_id=0)
+    huffman.write_ids(C.table(spark, sf_dir, "documents"), path, byte_bpe(), end_id=0)
     return huffman.read_digests(spark, path)
 
 
@@ -34,7 +34,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(C.table(spark, sf_dir, "documents"), _bpe())
+    pieces = packing.pack(C.table(spark, sf_dir, "documents"), byte_bpe())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
@@ -65,7 +65,7 @@ def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_key")
+    return jaccard.near_duplicates(C.table(spark, sf_dir, "documents")).drop("rid", "text_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -314,19 +314,16 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     keep = (words.groupBy("class_id").agg(F.min(F.struct("rid", "text_key")).alias("r")).select("r.*")
             .union(found.where("n_shingles = 0").select("rid", "text_key").distinct()))
     keys = _keys(docs, id_col, text_col)
-    kept = docs.withColumns(keys).join(keep.select(F.col("rid").alias("jaccard_rid"), F.col("text_key").alias("jaccard_key")),
-                                       list(keys), "left_semi")
+    own = docs.select(F.struct(*[C.col(c) for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()])
+    named = [F.col("rid").alias("jaccard_rid"), F.col("text_key").alias("jaccard_key")]
+    kept = own.join(keep.select(*named), list(keys), "left_semi")
     # rows that repeat an id with its text are told apart only here; usually there are none
-    again = words.groupBy("rid", "text_key").count().where("count > 1").select("rid", "text_key")
-    again = C.store(again, C.work_dir(spark, "repeated")).select(F.col("rid").alias("jaccard_rid"),
-                                                                 F.col("text_key").alias("jaccard_key"))
+    again = C.store(words.groupBy("rid", "text_key").count().where("count > 1").select(*named), C.work_dir(spark, "repeated"))
     if not again.isEmpty():
-        rest = [c for c in kept.columns if c not in keys]
         few = (kept.join(again, list(keys), "left_semi").groupBy(*keys)
-               .agg(F.min_by(F.struct(*[C.col(c) for c in rest]), F.xxhash64(*[C.col(c) for c in rest])).alias("row"))
-               .select(*keys, *[F.col("row")[c].alias(c) for c in rest]))
+               .agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row", *keys))
         kept = kept.join(again, list(keys), "left_anti").unionByName(few)
-    return kept.select(*[C.col(c) for c in docs.columns])
+    return kept.select("row.*")
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> dict:

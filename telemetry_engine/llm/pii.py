@@ -250,10 +250,11 @@ def _label(x: Column) -> Column:
 
 def sanitised(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
     """The rows with every span of ``text_col`` replaced; all columns stay, a null text too."""
-    spanned = with_spans(docs, text_col, **limits)
-    merged = spanned.withColumn("pii_merged", _merged(F.col("pii_spans")))
-    new = merged.withColumn(text_col, replaced(C.col(text_col), F.col("pii_merged"), _label))
-    return new.select(*[C.col(c) for c in docs.columns])
+    own = docs.select(F.struct(*[C.col(c) for c in docs.columns]).alias("row"), C.col(text_col).cast("string").alias("text"))
+    merged = with_spans(own, "text", **limits).withColumn("pii_merged", _merged(F.col("pii_spans")))
+    new = replaced(F.col("text"), F.col("pii_merged"), _label)
+    return merged.select(*[(new if c == text_col else F.col("row")["`" + c + "`" if "." in c else c]).alias(c)
+                           for c in docs.columns])
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:

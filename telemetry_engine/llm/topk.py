@@ -143,7 +143,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         if not got:
             continue
         kept = spark.sparkContext.broadcast({
-            d: (np.array([r["vec_id"] for r in own], np.int64), whole(np.array([r["v"] for r in own], float).reshape(-1, d)))
+            d: (np.array([r["vec_id"] for r in own], np.int64), whole(np.array([r["v"] for r in own], float).reshape(len(own), d)))
             for d, own in by_length.items()})
 
         def find(batches: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:

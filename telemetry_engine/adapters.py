@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry_engine.functions.timeutil import format_hour, format_micros
+
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -29,8 +31,7 @@ def gpu_uuid_of(id_col: Column | str) -> Column:
 
 
 def hour_batch_id(ts: Column | str) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(F.date_trunc("HOUR", c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return format_hour(ts)
 
 
 def _labels(props: Column) -> Column:
@@ -74,7 +75,7 @@ def csv_records_from_events(events: DataFrame, customer: DataFrame, nation: Data
     )
     slot = F.col("user_id") % 8
     return events.join(cust, events.user_id == cust.c_custkey, "left").select(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        format_micros("ts").alias("timestamp"),
         F.col("event_type").alias("metric_name"),
         slot.cast("string").alias("gpu_id"),
         F.concat(F.lit("nvidia"), slot.cast("string")).alias("device"),
@@ -96,8 +97,12 @@ def messages_from_events(events: DataFrame, customer: DataFrame, nation: DataFra
 
     Defect rules (data driven): error events with value >= 300 carry a
     truncated payload (undecodable); click events with value < 1 lost their
-    uuid; signup events with value >= 300 carry the zero time.  One batch per
-    hour of ``ts``; the message is stamped with its event time.
+    uuid; signup events with value >= 300 carry the zero time; click events with
+    value >= 300 carry further, nested fields; purchase events with value >= 300
+    repeat a key (the last counts).  In the metadata, view events with value < 10
+    give gpu_index as a number, purchase events with value < 10 a numeric device
+    beside a nested text one.  One batch per hour of ``ts``; the message is
+    stamped with its event time.
     """
     from telemetry_engine.operators.messages import encode_messages
 
@@ -120,11 +125,14 @@ def messages_from_events(events: DataFrame, customer: DataFrame, nation: DataFra
     payload = (
         F.when((mt == "error") & (v >= 300), F.substring("payload", 1, 40))
         .when((mt == "signup") & (v >= 300), zero_time)
+        .when((mt == "click") & (v >= 300), F.regexp_replace("payload", r"\}$", ',"extra":{"value":1,"gpu_uuid":2}}'))
+        .when((mt == "purchase") & (v >= 300), F.regexp_replace("payload", r"^\{", '{"value":"0",'))
         .otherwise(F.col("payload"))
     )
-    # view events with value < 10 carry gpu_index as a JSON number
     numeric_index = F.regexp_replace("metadata", r'"gpu_index":"([0-9]+)"', '"gpu_index":$1')
-    metadata = F.when((mt == "view") & (v < 10), numeric_index).otherwise(F.col("metadata"))
+    nested_device = F.regexp_replace("metadata", r'"device":"nvidia([0-9]+)"', '"device":$1,"x":{"device":"a"}')
+    metadata = (F.when((mt == "view") & (v < 10), numeric_index)
+                .when((mt == "purchase") & (v < 10), nested_device).otherwise(F.col("metadata")))
     return msgs.withColumns({"payload": payload, "metadata": metadata}).drop("_mt", "_val")
 
 
@@ -141,7 +149,7 @@ def delivery_log_from_events(events: DataFrame) -> DataFrame:
         F.lit("collectors").alias("consumer_group"),
         F.concat(F.lit("consumer-"), (F.col("event_id") % 4).cast("string")).alias("consumer_id"),
         # one message per user and day
-        F.concat(F.col("user_id").cast("string"), F.lit(":"), F.date_format("ts", "yyyy-MM-dd")).alias("message_id"),
+        F.concat(F.col("user_id").cast("string"), F.lit(":"), F.col("ts").cast("date").cast("string")).alias("message_id"),
         op.alias("op"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("event_id").alias("seq"),

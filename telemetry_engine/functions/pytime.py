@@ -10,7 +10,7 @@ from telemetry_engine.functions.timeutil import RFC3339_REGEX
 
 def parse_rfc3339_py(s: str) -> datetime | None:
     """Strict RFC 3339 -> naive UTC datetime (microseconds), else None."""
-    m = re.match(RFC3339_REGEX, s or "")
+    m = re.fullmatch(RFC3339_REGEX, s or "")
     if not m:
         return None
     date, clock, frac, zone = m.group(1), m.group(2), m.group(3) or "", m.group(4)

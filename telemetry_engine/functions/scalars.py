@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from telemetry_engine.functions.timeutil import format_rfc3339_nano
+from telemetry_engine.functions.timeutil import format_rfc3339_nano, matches_whole
 from telemetry_engine.schemas import PREFETCH_MAX, PREFETCH_MIN, UUID_PATTERN
 
-INT_REGEX = r"^[+-]?[0-9]+$"
+INT_REGEX = r"[+-]?[0-9]+"
 # One Prometheus-style label: name="value" with backslash escapes in value.
 LABEL_REGEX = r'([A-Za-z_][A-Za-z0-9_.]*)="((?:[^"\\]|\\.)*)"'
 
@@ -33,7 +33,7 @@ def empty_to_null(c: Column | str) -> Column:
 
 
 def uuid_is_valid(c: Column | str) -> Column:
-    return F.coalesce(_c(c).rlike(UUID_PATTERN), F.lit(False))
+    return F.coalesce(matches_whole(_c(c), UUID_PATTERN), F.lit(False))
 
 
 def device_key(hostname: Column | str, device_id: Column | str) -> Column:
@@ -55,7 +55,7 @@ def point_key(gpu_uuid, metric_name, batch_id, ts) -> Column:
 def parse_int(c: Column | str) -> Column:
     """Strict base-10 integer text -> bigint, else null (overflow too)."""
     c = _c(c)
-    return F.when(c.rlike(INT_REGEX), c.try_cast("bigint"))
+    return F.when(matches_whole(c, INT_REGEX), c.try_cast("bigint"))
 
 
 def clamp(c: Column | str, lo: int = PREFETCH_MIN, hi: int = PREFETCH_MAX) -> Column:

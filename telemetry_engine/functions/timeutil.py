@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # RFC 3339 as accepted by a strict parser: date 'T' time, optional fraction,
 # then 'Z' or a +hh:mm / -hh:mm offset.  A bare date is rejected.
 RFC3339_REGEX = (
-    r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
+    r"([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2}:[0-9]{2}:[0-9]{2})(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})"
 )
 
 
@@ -24,14 +24,14 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_ntz(c: Column | str) -> Column:
-    """Normalise any timestamp-typed column to timestamp_ntz."""
-    return _c(c).cast("timestamp_ntz")
+def matches_whole(s: Column, pattern: str) -> Column:
+    """The whole text matches; unlike with ``$``, a final line feed counts."""
+    return s.rlike(rf"\A(?:{pattern})\z")
 
 
 def is_rfc3339(s: Column | str) -> Column:
     s = _c(s)
-    return s.rlike(RFC3339_REGEX) & parse_rfc3339(s).isNotNull()
+    return matches_whole(s, RFC3339_REGEX) & parse_rfc3339(s).isNotNull()
 
 
 def parse_rfc3339(s: Column | str) -> Column:
@@ -45,12 +45,18 @@ def parse_rfc3339(s: Column | str) -> Column:
     s = _c(s)
     instant = F.try_to_timestamp(s, F.lit(RFC3339_PATTERN))
     utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
-    return F.when(s.rlike(RFC3339_REGEX), utc)
+    return F.when(matches_whole(s, RFC3339_REGEX), utc)
+
+
+def _text(ts: Column | str) -> Column:
+    """``YYYY-MM-DD HH:MM:SS`` with the shortest exact fraction: the wall time's own text, in no zone."""
+    return _c(ts).cast("timestamp_ntz").cast("string")
 
 
 def format_rfc3339(ts: Column | str) -> Column:
     """UTC timestamp -> ``YYYY-MM-DDTHH:MM:SSZ`` (seconds precision)."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    t = _text(ts)
+    return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 8), F.lit("Z"))
 
 
 def format_rfc3339_nano(ts: Column | str) -> Column:
@@ -59,17 +65,29 @@ def format_rfc3339_nano(ts: Column | str) -> Column:
     Trailing zeros of the fraction are removed, and the dot with them when the
     fraction is zero, then ``Z`` is appended.
     """
-    full = F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    trimmed = F.regexp_replace(F.regexp_replace(full, "0+$", ""), r"\.$", "")
-    return F.concat(trimmed, F.lit("Z"))
+    return F.concat(F.translate(_text(ts), " ", "T"), F.lit("Z"))
+
+
+def format_hour(ts: Column | str) -> Column:
+    """``YYYY-MM-DDTHH:00:00Z`` of the hour that holds ``ts``."""
+    t = _text(ts)
+    return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 2), F.lit(":00:00Z"))
+
+
+def format_micros(ts: Column | str) -> Column:
+    """``YYYY-MM-DD HH:MM:SS.ffffff``."""
+    t = _text(ts)
+    return F.concat(F.substring(t, 1, 19), F.lit("."), F.rpad(F.substring(t, 21, 6), 6, "0"))
 
 
 def whole_seconds(ts: Column | str) -> Column:
-    return F.date_trunc("SECOND", _c(ts)).cast("timestamp_ntz")
+    second = F.extract(F.lit("SECOND"), _c(ts))
+    none = F.lit(0)
+    return _c(ts) - F.make_dt_interval(none, none, none, second - F.floor(second))
 
 
 def start_of_day(ts: Column | str) -> Column:
-    return F.date_trunc("DAY", _c(ts)).cast("timestamp_ntz")
+    return _c(ts).cast("date").cast("timestamp_ntz")
 
 
 def end_of_day(ts: Column | str) -> Column:
@@ -83,5 +101,7 @@ def add_seconds(ts: Column | str, seconds: Column | int) -> Column:
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
-    """Signed whole seconds from ``start`` to ``end`` (end - start)."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end))
+    """Signed whole seconds from ``start`` to ``end`` (end - start), of timestamp_ntz values."""
+    gap = _c(end) - _c(start)
+    part = lambda unit: F.extract(F.lit(unit), gap)
+    return (part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60).cast("bigint") + part("SECOND").cast("bigint")

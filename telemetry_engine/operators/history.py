@@ -60,7 +60,7 @@ def validate_request(uuid: str, start_time: str = "", end_time: str = "", limit:
 
     if not uuid:
         raise HistoryRequestError("missing_uuid", "GPU UUID is required")
-    if not re.match(UUID_PATTERN, uuid):
+    if not re.fullmatch(UUID_PATTERN, uuid):
         raise HistoryRequestError("invalid_uuid", uuid)
     start = end = None
     if start_time:

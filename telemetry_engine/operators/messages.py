@@ -1,9 +1,9 @@
 """Telemetry messages: encode, decode, validate, extract devices, count.
 
 A message is a row (id, topic, payload JSON text, headers map, timestamp,
-metadata JSON text).  JSON is parsed with ``try_parse_json`` into VARIANT so
-value *types* can be checked like a strict decoder does: a number where text
-is expected makes the payload undecodable, and a non-text metadata value is
+metadata JSON text).  The fields of interest are parsed as VARIANT, so their
+*types* can be checked like a strict decoder does: a number where text is
+expected makes the payload undecodable, and a non-text metadata value is
 treated as absent.
 """
 
@@ -68,35 +68,33 @@ def encode_messages(
     )
 
 
-def _struct_of_text(names: list[str]) -> str:
-    return "struct<" + ", ".join(f"{n}: string" for n in names) + ">"
-
-
 def _parse_once(df: DataFrame, column: str, names: list[str], prefix: str) -> DataFrame:
-    """Parse JSON text once per row into ``<prefix>_sch`` and ``<prefix>_val``.
-
-    ``_sch`` is the ``schema_of_variant`` string (the JSON types), ``_val``
-    a struct with every name as text.  The pair is produced by a generator
-    (``inline`` of a one-element array): filters on the decoded values cannot
-    be pushed below it, so Catalyst never re-inlines the parse into each
-    predicate that depends on it.
+    """Parse JSON text once per row into ``<prefix>_bad`` and ``<prefix>_val``.
+
+    ``_val``: the named fields of the JSON object itself, as text where they
+    are JSON text, else null.  ``_bad``: the text is no JSON object, or some of
+    the fields are neither text, null nor absent.  Each field is asked for its
+    own type, so what lies deeper or beside it has no say; of a repeated key
+    the last counts.  The values are produced by a generator (``inline`` of a
+    one-element array): filters on them cannot be pushed below it, so Catalyst
+    never re-inlines the parse into each predicate.
     """
-    v = F.try_parse_json(F.col(column))
-    parsed = F.struct(
-        F.schema_of_variant(v).alias(f"{prefix}_sch"),
-        F.try_variant_get(v, "$", _struct_of_text(names)).alias(f"{prefix}_val"),
+    schema = "struct<" + ", ".join(f"{n}: variant" for n in names) + ", _broken: string>"
+    text = F.col(column)
+    parsed = df.select("*", F.inline(F.array(F.struct(
+        F.from_json(text, schema, {"columnNameOfCorruptRecord": "_broken"}).alias(f"{prefix}_raw")))))
+    raw = lambda n: F.col(f"{prefix}_raw.{n}")
+    kind = {n: F.schema_of_variant(raw(n)) for n in names}
+    wrong = [~F.coalesce(kind[n].isin("STRING", "VOID"), F.lit(True)) for n in names]
+    # one object and nothing after it
+    whole = (text.rlike(r"\A\s*\{") & raw("_broken").isNull()
+             & (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1))
+    values = F.struct(
+        (~F.coalesce(whole, F.lit(False)) | F.array_contains(F.array(*wrong), True)).alias(f"{prefix}_bad"),
+        F.struct(*[F.when(kind[n] == "STRING", F.try_variant_get(raw(n), "$", "string")).alias(n) for n in names])
+        .alias(f"{prefix}_val"),
     )
-    return df.select("*", F.inline(F.array(parsed)))
-
-
-def _is_text(sch: Column, name: str) -> Column:
-    return F.coalesce(sch.rlike(f"[<,] ?{name}: STRING[,>]"), F.lit(False))
-
-
-def _all_text_or_absent(sch: Column, names: list[str]) -> Column:
-    """JSON object whose listed fields are all strings, null or absent (one regex)."""
-    alt = "|".join(names)
-    return F.coalesce(sch.rlike(f"^OBJECT<(?!.*[<,] ?({alt}): (?!STRING[,>]|VOID[,>]))"), F.lit(False))
+    return parsed.select("*", F.inline(F.array(values))).drop(f"{prefix}_raw")
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -109,7 +107,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     df = _parse_once(messages, "payload", PAYLOAD_FIELDS, "_pl")
     ts_text = F.col("_pl_val.timestamp")
     df = df.withColumn("_ts", parse_rfc3339(ts_text))
-    bad = ~_all_text_or_absent(F.col("_pl_sch"), PAYLOAD_FIELDS) | (ts_text.isNotNull() & F.col("_ts").isNull())
+    bad = F.col("_pl_bad") | (ts_text.isNotNull() & F.col("_ts").isNull())
     df = df.withColumn("_bad", bad)
     out = {
         f: F.when(~F.col("_bad"), F.coalesce(F.col(f"_pl_val.{f}"), F.lit("")))
@@ -141,11 +139,6 @@ def with_validation(points: DataFrame) -> DataFrame:
     return points.withColumn("reject_reason", reason)
 
 
-def validate_telemetry(points: DataFrame) -> DataFrame:
-    """Validation on already-typed telemetry rows (no JSON stage)."""
-    return with_validation(points.withColumn("_bad", F.lit(False))).drop("_bad")
-
-
 def message_devices(decoded: DataFrame) -> DataFrame:
     """Device rows from valid messages: uuid from the payload, the seven
     metadata fields only when they are JSON text ('' otherwise or when the
@@ -154,7 +147,7 @@ def message_devices(decoded: DataFrame) -> DataFrame:
     out_name = {"device": "device_id"}
     m = _parse_once(decoded.where(F.col("reject_reason").isNull()), "metadata", keys, "_md")
     cols = [
-        F.coalesce(F.when(_is_text(F.col("_md_sch"), k), F.col(f"_md_val.{k}")), F.lit("")).alias(out_name.get(k, k))
+        F.coalesce(F.col(f"_md_val.{k}"), F.lit("")).alias(out_name.get(k, k))
         for k in keys
     ]
     return m.select(
@@ -173,12 +166,6 @@ def collector_stats(decoded: DataFrame) -> DataFrame:
     )
 
 
-def reject_counts(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-
-
 def telemetry_of(decoded: DataFrame) -> DataFrame:
     """Valid decoded messages -> telemetry rows."""
     keep = [c for c in ["seq"] if c in decoded.columns]

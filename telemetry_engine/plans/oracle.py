@@ -114,9 +114,15 @@ msg AS (
     CASE WHEN metric_name = 'error' AND v >= 300 THEN substring(payload0, 1, 40)
          WHEN metric_name = 'signup' AND v >= 300
            THEN regexp_replace(payload0, '"timestamp":"[^"]*"', '"timestamp":"0001-01-01T00:00:00Z"')
+         WHEN metric_name = 'click' AND v >= 300
+           THEN left(payload0, length(payload0) - 1) || ',"extra":{{"value":1,"gpu_uuid":2}}}}'
+         WHEN metric_name = 'purchase' AND v >= 300 THEN '{{"value":"0",' || substring(payload0, 2)
          ELSE payload0 END AS payload,
+    (metric_name = 'purchase' AND v >= 300) AS repeated, payload0,
     CASE WHEN metric_name = 'view' AND v < 10
-         THEN regexp_replace(metadata0, '"gpu_index":"([0-9]+)"', '"gpu_index":\\1')
+         THEN replace(metadata0, '"gpu_index":"' || gpu_id || '"', '"gpu_index":' || gpu_id)
+         WHEN metric_name = 'purchase' AND v < 10
+         THEN replace(metadata0, '"device":"' || device || '"', '"device":' || gpu_id || ',"x":{{"device":"a"}}')
          ELSE metadata0 END AS metadata
   FROM msg1)"""
 
@@ -126,7 +132,7 @@ _type_ok = " AND ".join(
 )
 _ts_txt = "json_extract_string(payload, '$.timestamp')"
 DEC = f"""dec0 AS (
-  SELECT id, seq, metadata, payload,
+  SELECT id, seq, metadata, CASE WHEN repeated THEN payload0 ELSE payload END AS payload,
          CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT' ELSE false END AS obj
   FROM msg),
 dec1 AS (

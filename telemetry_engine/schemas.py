@@ -41,8 +41,9 @@ METRIC_CATALOGUE = [
     ("DCGM_FI_DEV_POWER_USAGE", "W", "power"),
     ("DCGM_FI_DEV_GPU_TEMP", "C", "temperature"),
 ]
-# Device uuid format; the "GPU-" prefix is optional.
-UUID_PATTERN = r"^(GPU-)?[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+# Device uuid format; the "GPU-" prefix is optional.  Patterns here match whole texts:
+# Python uses fullmatch, columns functions.scalars.matches_whole.
+UUID_PATTERN = r"(GPU-)?[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 # Request limits and queue defaults.
 HISTORY_MAX_LIMIT = 10000
 PREFETCH_DEFAULT, PREFETCH_MIN, PREFETCH_MAX = 500, 1, 2500

@@ -136,17 +136,20 @@ def messages_from_events(events: DataFrame, customer: DataFrame, nation: DataFra
     return msgs.withColumns({"payload": payload, "metadata": metadata}).drop("_mt", "_val")
 
 
-# signup -> publish, view -> fetch, purchase -> ack, error -> nack; click dropped.
-DELIVERY_OPS = {"signup": "publish", "view": "fetch", "purchase": "ack", "error": "nack"}
+DELIVERY_OPS = {"signup": "publish", "click": "fetch", "view": "fetch", "purchase": "ack", "error": "nack"}
+DELIVERY_TOPICS = ["telemetry", "alerts", "audit"]
 
 
 def delivery_log_from_events(events: DataFrame) -> DataFrame:
+    """Every event as a delivery event: the topic by user, ``audit`` with a second group that never fetches."""
     op = F.lit(None).cast("string")
     for k, v in DELIVERY_OPS.items():
         op = F.when(F.col("event_type") == k, F.lit(v)).otherwise(op)
-    return events.where(F.col("event_type").isin(list(DELIVERY_OPS))).select(
-        F.lit("telemetry").alias("topic"),
-        F.lit("collectors").alias("consumer_group"),
+    topic = F.element_at(F.array(*map(F.lit, DELIVERY_TOPICS)), (F.col("user_id") % 3 + 1).cast("int"))
+    idle = (F.col("user_id") % 3 == 2) & F.col("event_type").isin("signup", "error")
+    return events.select(
+        topic.alias("topic"),
+        F.when(idle, F.lit("archivers")).otherwise(F.lit("collectors")).alias("consumer_group"),
         F.concat(F.lit("consumer-"), (F.col("event_id") % 4).cast("string")).alias("consumer_id"),
         # one message per user and day
         F.concat(F.col("user_id").cast("string"), F.lit(":"), F.col("ts").cast("date").cast("string")).alias("message_id"),

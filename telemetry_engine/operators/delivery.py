@@ -22,61 +22,81 @@ KEY = ["topic", "consumer_group", "message_id"]
 CLOSES = ["ack", "nack"]
 
 
+# A key with more log rows than this is split by time; a task sorts fewer with ease.
+HOT_ROWS = 1_000_000
+
+
 def _lease_open(fetch_ts: Column, at: Column, timeout: int) -> Column:
     return whole_seconds(add_seconds(fetch_ts, timeout)) > whole_seconds(at)
 
 
+def _with_leases(e: DataFrame) -> DataFrame:
+    """Rows with ``lease`` (ts, seq of the latest fetch so far) and ``close_no``, the closes since then.
+
+    One shuffle by key and one sort: both running values share the window.
+    """
+    w = Window.partitionBy(*KEY).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.withColumn("_closes", F.count_if(F.col("op").isin(*CLOSES)).over(w))
+    e = e.withColumn("_last", F.max(F.when(F.col("op") == "fetch", F.struct("ts", "seq", "_closes"))).over(w))
+    return _leased(e, F.col("_closes"))
+
+
+def _with_leases_by_time(e: DataFrame) -> DataFrame:
+    """``_with_leases`` for keys too large for one task.
+
+    Per (key, hour) the number of closes and the last fetch are aggregates;
+    what earlier hours leave is a window over those one-row summaries; only the
+    running values inside an hour are a window over its rows.
+    """
+    e = e.withColumn("_b", F.substring(F.col("ts").cast("string"), 1, 13))
+    inside = Window.partitionBy(*KEY, "_b").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.withColumn("_c", F.count_if(F.col("op").isin(*CLOSES)).over(inside))
+    e = e.withColumn("_in", F.max(F.when(F.col("op") == "fetch", F.struct("ts", "seq", "_c"))).over(inside))
+    per = e.groupBy(*KEY, "_b").agg(F.max("_c").alias("_n"), F.max("_in").alias("_l"))
+    upto = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    whole = lambda c: F.when(F.col(c).isNotNull(), F.struct(
+        F.col(f"{c}.ts").alias("ts"), F.col(f"{c}.seq").alias("seq"), (F.col("_before") + F.col(f"{c}._c")).alias("_closes")))
+    carry = per.select(*KEY, "_b", "_before", F.max(whole("_l")).over(upto).alias("_carry"))
+    e = e.join(carry, [*KEY, "_b"]).withColumn("_last", F.coalesce(whole("_in"), F.col("_carry")))
+    return _leased(e, F.col("_before") + F.col("_c"))
+
+
+def _leased(e: DataFrame, closes: Column) -> DataFrame:
+    lease = F.struct(F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"))
+    return e.select(*KEY, "consumer_id", "op", "ts", "seq", F.when(F.col("_last").isNotNull(), lease).alias("lease"),
+                    (closes - F.col("_last._closes")).alias("close_no"))
+
+
+def leases(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The log with the lease that each row falls under; only keys found hot are split by time.
+
+    The count per key is one pass with map-side combine; usually no key is hot
+    and the rest is one scan, one shuffle and one sort.
+    """
+    e = log.select(*KEY, "consumer_id", "op", "ts", "seq")
+    hot = e.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).select(*KEY)
+    hot = materialize(hot)  # at most (rows of the log / hot_rows) keys
+    if hot.isEmpty():
+        return _with_leases(e)
+    hot = F.broadcast(hot)
+    return _with_leases(e.join(hot, KEY, "left_anti")).unionByName(_with_leases_by_time(e.join(hot, KEY, "left_semi")))
+
+
 def match_acks(
     log: DataFrame,
     visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
-    bucket: str = "HOUR",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every ack/nack with ``matched`` and the lease (fetch) it refers to.
 
     The lease of a close is the latest fetch before it; the close is matched
     when it is the first close of that lease and the lease was still open.
-
-    The as-of lookup is split by time so no message key is funnelled through
-    one task: per (key, ``bucket``) the last fetch is a map-side-combined
-    aggregate; the carry from earlier buckets is a window over those
-    one-row-per-bucket summaries; only the running lease *inside* a bucket is
-    a window over (key, bucket).  The first close per lease is an aggregate.
     """
-    is_fetch = F.col("op") == "fetch"
-    e = log.where(F.col("op").isin("fetch", *CLOSES)).withColumn(
-        "_b", F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz")
-    )
-    fetch_pos = F.when(is_fetch, F.struct(F.col("ts").alias("ts"), F.col("seq").alias("seq")))
-    per_bucket = e.groupBy(*KEY, "_b").agg(F.max(fetch_pos).alias("_bf"))
-    before = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*KEY, "_b", F.max("_bf").over(before).alias("_carry"))
-    inside = Window.partitionBy(*KEY, "_b").orderBy("ts", "seq").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    e = e.withColumn("_in", F.max(fetch_pos).over(inside))
-    closes = (
-        e.where(F.col("op").isin(*CLOSES))
-        .join(carry, [*KEY, "_b"], "left")
-        .withColumn("_lease", F.coalesce("_in", "_carry"))
-        .select(
-            *KEY, "consumer_id", "op", "ts", "seq",
-            F.col("_lease.ts").alias("lease_ts"), F.col("_lease.seq").alias("lease_seq"),
-        )
-    )
-    first = (
-        closes.where(F.col("lease_seq").isNotNull())
-        .groupBy(*KEY, "lease_seq")
-        .agg(F.min(F.struct("ts", "seq")).alias("_first"))
-    )
-    out = closes.join(first, [*KEY, "lease_seq"], "left")
-    matched = (
-        F.col("_first").isNotNull()
-        & (F.struct("ts", "seq") == F.col("_first"))
-        & _lease_open(F.col("lease_ts"), F.col("ts"), visibility_timeout)
-    )
-    return out.withColumn("matched", F.coalesce(matched, F.lit(False))).select(
-        *KEY, "consumer_id", "op", "ts", "seq", "lease_ts", "lease_seq", "matched"
-    )
+    first = (F.col("close_no") == 1) & _lease_open(F.col("lease.ts"), F.col("ts"), visibility_timeout)
+    return leases(log.where(F.col("op").isin("fetch", *CLOSES)), hot_rows).where(F.col("op") != "fetch").select(
+        *KEY, "consumer_id", "op", "ts", "seq", F.col("lease.ts").alias("lease_ts"), F.col("lease.seq").alias("lease_seq"),
+        F.coalesce(first, F.lit(False)).alias("matched"))
 
 
 def delivery_state(
@@ -84,46 +104,65 @@ def delivery_state(
     as_of: datetime | None = None,
     visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
     max_retries: int = MAX_RETRIES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """State of every message key as of ``as_of`` (default: latest log time).
 
     ready | in_flight | acked | redeliver | dead_letter, plus the number of
     deliveries (fetches) and the open/expired lease's fetch time.
 
-    Built from aggregations (partial, map-side combined) and key-aligned
-    joins only, so a key holding a large share of the log is never funnelled
-    through a single sort.
+    One aggregation by key over the log with its leases, which is already
+    partitioned by key: no further shuffle.
     """
-    at = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else log.agg(F.max("ts")).scalar()
-    e = log.where(F.col("ts") <= at)
+    if as_of is None:
+        as_of = log.agg(F.max("ts")).first()[0]
+    at = F.lit(as_of).cast("timestamp_ntz")
     is_fetch = F.col("op") == "fetch"
-    # per_key feeds both the close search and the final join: computing it
-    # once (checkpoint) saves a second scan and shuffle of the whole log
-    per_key = materialize(e.groupBy(*KEY).agg(
+    first_close = F.when(F.col("op").isin(*CLOSES) & (F.col("close_no") == 1), F.struct("lease", "ts", "seq", "op"))
+    s = leases(log.where(F.col("ts") <= at), hot_rows).groupBy(*KEY).agg(
         F.max(F.when(is_fetch, F.struct("ts", "seq"))).alias("last_fetch"),
         F.count_if(is_fetch).alias("deliveries"),
-    ))
-    fetched = per_key.where(F.col("last_fetch").isNotNull()).select(*KEY, "last_fetch")
-    closes = e.where(F.col("op").isin(*CLOSES)).select(*KEY, "ts", "seq", "op")
-    after = closes.join(fetched, KEY).where(F.struct("ts", "seq") > F.col("last_fetch"))
-    first_close = after.groupBy(*KEY).agg(F.min(F.struct("ts", "seq", "op")).alias("first_close"))
-    s = per_key.join(first_close, KEY, "left")
+        F.max(first_close).alias("closed_by"),
+    )
     lf_ts = F.col("last_fetch.ts")
-    closed = F.col("first_close").isNotNull() & _lease_open(lf_ts, F.col("first_close.ts"), visibility_timeout)
+    closed = F.coalesce((F.col("closed_by.lease") == F.col("last_fetch"))
+                        & _lease_open(lf_ts, F.col("closed_by.ts"), visibility_timeout), F.lit(False))
     state = (
         F.when(F.col("last_fetch").isNull(), F.lit("ready"))
-        .when(closed & (F.col("first_close.op") == "ack"), F.lit("acked"))
+        .when(closed & (F.col("closed_by.op") == "ack"), F.lit("acked"))
         .when(closed, F.lit("ready"))
         .when(_lease_open(lf_ts, at, visibility_timeout), F.lit("in_flight"))
         .when(F.col("deliveries") >= max_retries, F.lit("dead_letter"))
         .otherwise(F.lit("redeliver"))
     )
-    return s.select(
-        *KEY,
-        state.alias("state"),
-        F.col("deliveries"),
-        lf_ts.alias("last_fetch_ts"),
-    )
+    return s.select(*KEY, state.alias("state"), F.col("deliveries"), lf_ts.alias("last_fetch_ts"))
+
+
+def lease_outcomes(
+    log: DataFrame,
+    as_of: datetime | None,
+    visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
+    max_retries: int = MAX_RETRIES,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Every lease of the log: fetch_ts, fetch_seq, deliveries (fetches of its key so far), expires, ``ended``.
+
+    ``ended``: closed, refetched (a later fetch came while it was open), or
+    null: it ran out, or will at ``expires``.  ``as_of`` leaves out later rows.
+    """
+    e = log if as_of is None else log.where(F.col("ts") <= F.lit(as_of).cast("timestamp_ntz"))
+    l = leases(e.where(F.col("op").isin("fetch", *CLOSES)), hot_rows)  # noqa: E741
+    first = F.when((F.col("op") != "fetch") & (F.col("close_no") == 1), F.col("ts"))
+    per = (l.where(F.col("lease").isNotNull()).groupBy(*KEY, "lease").agg(F.min(first).alias("close_ts"))
+           .select(*KEY, F.col("lease.ts").alias("fetch_ts"), F.col("lease.seq").alias("fetch_seq"), "close_ts"))
+    w = Window.partitionBy(*KEY).orderBy("fetch_ts", "fetch_seq")
+    per = per.withColumn("deliveries", F.row_number().over(w).cast("bigint")).withColumn("_next", F.lead("fetch_ts").over(w))
+    open_at = lambda at: F.coalesce(_lease_open(F.col("fetch_ts"), at, visibility_timeout), F.lit(False))
+    ended = F.when(open_at(F.col("close_ts")), F.lit("closed")).when(open_at(F.col("_next")), F.lit("refetched"))
+    return per.select(
+        *KEY, "fetch_ts", "fetch_seq", "deliveries", whole_seconds(add_seconds("fetch_ts", visibility_timeout)).alias("expires"),
+        ended.alias("ended"),
+        F.when(F.col("deliveries") >= max_retries, F.lit("dead_letter")).otherwise(F.lit("redeliver")).alias("outcome"))
 
 
 def dead_letters(states: DataFrame) -> DataFrame:
@@ -137,13 +176,9 @@ def expired_leases(states: DataFrame) -> DataFrame:
 
 def queue_stats(states: DataFrame, log: DataFrame) -> DataFrame:
     """Per (topic, consumer_group): ready depth, in-flight (pending), acked,
-    dead letters, and the number of distinct consumers that fetched."""
-    s = states.groupBy("topic", "consumer_group").agg(
-        F.count_if(F.col("state").isin("ready", "redeliver")).alias("queue_depth"),
-        F.count_if(F.col("state") == "in_flight").alias("pending"),
-        F.count_if(F.col("state") == "acked").alias("acked"),
-        F.count_if(F.col("state") == "dead_letter").alias("dead_letters"),
-    )
+    dead letters, and the number of distinct consumers that fetched (0 for a
+    group without a fetch)."""
+    s = states.groupBy("topic", "consumer_group").agg(*_depths())
     c = (
         log.where(F.col("op") == "fetch")
         .groupBy("topic", "consumer_group")
@@ -153,3 +188,19 @@ def queue_stats(states: DataFrame, log: DataFrame) -> DataFrame:
         "topic", "consumer_group", "queue_depth", "pending", "acked", "dead_letters",
         F.coalesce(F.col("consumers"), F.lit(0)).alias("consumers"),
     )
+
+
+def topic_depth(states: DataFrame) -> DataFrame:
+    """Per topic and, as topic ``*``, over all: groups, ready depth, pending, acked, dead letters."""
+    per = states.groupBy("topic", "consumer_group").agg(*_depths())
+    out = per.rollup("topic").agg(
+        F.count(F.lit(1)).alias("groups"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("queue_depth", "pending", "acked", "dead_letters")])
+    return out.withColumn("topic", F.coalesce("topic", F.lit("*")))
+
+
+def _depths() -> list[Column]:
+    state = F.col("state")
+    return [F.count_if(state.isin("ready", "redeliver")).alias("queue_depth"),
+            F.count_if(state == "in_flight").alias("pending"), F.count_if(state == "acked").alias("acked"),
+            F.count_if(state == "dead_letter").alias("dead_letters")]

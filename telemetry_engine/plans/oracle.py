@@ -212,13 +212,14 @@ bulk AS (
   FROM hj WHERE limit_n IS NULL OR r <= limit_n)"""
 
 LOG = """log AS (
-  SELECT 'telemetry' AS topic, 'collectors' AS consumer_group,
+  SELECT CASE user_id % 3 WHEN 0 THEN 'telemetry' WHEN 1 THEN 'alerts' ELSE 'audit' END AS topic,
+         CASE WHEN user_id % 3 = 2 AND event_type IN ('signup', 'error') THEN 'archivers' ELSE 'collectors' END AS consumer_group,
          'consumer-' || CAST(event_id % 4 AS VARCHAR) AS consumer_id,
          CAST(user_id AS VARCHAR) || ':' || strftime(ts, '%Y-%m-%d') AS message_id,
-         CASE event_type WHEN 'signup' THEN 'publish' WHEN 'view' THEN 'fetch'
+         CASE event_type WHEN 'signup' THEN 'publish' WHEN 'view' THEN 'fetch' WHEN 'click' THEN 'fetch'
                          WHEN 'purchase' THEN 'ack' WHEN 'error' THEN 'nack' END AS op,
          CAST(ts AS TIMESTAMP) AS ts, event_id AS seq
-  FROM events WHERE event_type IN ('signup', 'view', 'purchase', 'error'))"""
+  FROM events)"""
 
 K = "topic, consumer_group, message_id"
 
@@ -395,6 +396,14 @@ ORACLE: dict[str, str] = {
         c AS (SELECT topic, consumer_group, count(DISTINCT consumer_id) AS consumers
               FROM log WHERE op = 'fetch' GROUP BY 1, 2)
         SELECT q.*, coalesce(c.consumers, 0) AS consumers FROM q LEFT JOIN c USING (topic, consumer_group)""",
+    "topic_depth": _w(LOG, STATE) + """, g AS (
+          SELECT topic, consumer_group, count(*) FILTER (WHERE state IN ('ready', 'redeliver')) AS queue_depth,
+            count(*) FILTER (WHERE state = 'in_flight') AS pending, count(*) FILTER (WHERE state = 'acked') AS acked,
+            count(*) FILTER (WHERE state = 'dead_letter') AS dead_letters FROM states GROUP BY 1, 2)
+        SELECT coalesce(topic, '*') AS topic, count(*) AS groups, CAST(sum(queue_depth) AS BIGINT) AS queue_depth,
+               CAST(sum(pending) AS BIGINT) AS pending, CAST(sum(acked) AS BIGINT) AS acked,
+               CAST(sum(dead_letters) AS BIGINT) AS dead_letters
+        FROM g GROUP BY ROLLUP (topic)""",
     "point_key": _w(TEL) + f"""SELECT seq, gpu_uuid || ':' || metric_name || ':' ||
         CASE WHEN metric_name = 'click' THEN {_nano('timestamp')} ELSE batch_id END AS point_key FROM tel""",
     "rfc3339": _w(REQ) + f"""SELECT request_id, start_time, {_rfc('start_time')} AS start_ts,

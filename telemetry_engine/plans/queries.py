@@ -294,6 +294,10 @@ def q_queue_stats(spark, sf):
     return delivery.queue_stats(delivery.delivery_state(log), log)
 
 
+def q_topic_depth(spark, sf):
+    return delivery.topic_depth(delivery.delivery_state(_log(spark, sf)))
+
+
 # ---------------------------------------------------------------- scalars
 
 

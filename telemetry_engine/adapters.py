@@ -179,7 +179,8 @@ SUBSCRIPTIONS = [
 
 
 def subscriptions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SUBSCRIPTIONS, "topic string, subscriber_id string")
+    rows = ", ".join(f"('{t}', '{s}')" for t, s in SUBSCRIPTIONS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS subscriptions(topic, subscriber_id)")  # of known size
 
 
 def history_requests_from_customers(customer: DataFrame) -> DataFrame:

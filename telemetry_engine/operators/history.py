@@ -5,10 +5,11 @@ partitioned by ``event_date`` and sorted by (gpu_uuid, timestamp) inside each
 partition, the uuid/time predicates become PushedFilters + partition pruning
 and the ordered limit plans as TakeOrderedAndProject.
 
-Bulk query: requests are validated as columns, joined to telemetry on
-gpu_uuid with the time range as a residual predicate, then cut to each
-request's limit with a two-stage (salted) top-k so a device holding a large
-share of all rows is spread over many tasks.
+Bulk query: requests are validated as columns and answered in branches (with or
+without limit, start, end), each joined to telemetry on gpu_uuid with its own
+date pruning and the time range as a residual predicate; limited branches are
+cut with a two-stage (salted) top-k so a device holding a large share of all
+rows is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 from telemetry_engine.functions.scalars import blank_to_empty, parse_int, uuid_is_valid
 from telemetry_engine.functions.timeutil import parse_rfc3339
 from telemetry_engine.functions.pytime import parse_rfc3339_py
-from telemetry_engine.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from telemetry_engine.schemas import HISTORY_MAX_LIMIT, UUID_PATTERN
 from telemetry_engine.session import materialize
 
@@ -32,7 +32,10 @@ API_COLUMNS = ["gpu_uuid", "metric_name", "value", "timestamp", "labels_raw"]
 def newest_first() -> list:
     """Newest first; seq breaks ties (a whole batch shares one timestamp)."""
     return [F.col("timestamp").desc(), F.col("seq").desc()]
-DEFAULT_SALTS = 32
+
+
+# Spark's default for the greatest limit that it pushes below a window's shuffle.
+SMALL_LIMIT = 1000
 
 
 class HistoryRequestError(ValueError):
@@ -59,7 +62,7 @@ def validate_request(uuid: str, start_time: str = "", end_time: str = "", limit:
     import re
 
     if not uuid:
-        raise HistoryRequestError("missing_uuid", "GPU UUID is required")
+        raise HistoryRequestError("missing_uuid", "no device named")
     if not re.fullmatch(UUID_PATTERN, uuid):
         raise HistoryRequestError("invalid_uuid", uuid)
     start = end = None
@@ -72,7 +75,7 @@ def validate_request(uuid: str, start_time: str = "", end_time: str = "", limit:
         if end is None:
             raise HistoryRequestError("invalid_end", end_time)
     if start is not None and end is not None and start > end:
-        raise HistoryRequestError("invalid_range", "start_time must be before end_time")
+        raise HistoryRequestError("invalid_range", f"{start_time} .. {end_time}")
     n = None
     if limit:
         if not re.fullmatch(r"[+-]?[0-9]+", limit):
@@ -158,91 +161,105 @@ def validate_requests(requests: DataFrame) -> DataFrame:
 def request_status(requests: DataFrame, devices: DataFrame) -> DataFrame:
     """Validate requests and decide not_found / ok for the valid ones.
 
-    Existence is an EXISTS subquery (planned as an existence join), so a
-    registry with repeated uuids cannot multiply requests.
+    The requests are validated once (written to the shared folder), as both the
+    lookup and the result read them.  The requested uuids are joined to the
+    registry's distinct matches, so a registry with repeated uuids cannot
+    multiply requests.
     """
-    v = validate_requests(requests).alias("_req")
-    # Narrow the registry to the requested uuids first: the (size-checked)
-    # request uuids are broadcast into a semi join, so a large registry is
-    # scanned once and never shuffled; the existence join then sees only
-    # the few registry rows that matter.
-    wanted = bounded_broadcast(v.select(F.col("uuid").alias("_w")).distinct())
-    d = devices.select(F.col("uuid").alias("_dev_uuid"))
-    d = d.join(wanted, d._dev_uuid == wanted._w, "left_semi")
-    known = d.where(F.col("_dev_uuid") == F.col("_req.uuid").outer()).exists()
-    found = v.withColumn("_found", known)
-    status = F.coalesce(
-        F.col("status"), F.when(F.col("_found"), F.lit("ok")).otherwise(F.lit("not_found"))
-    )
-    return found.withColumn("status", status).drop("_found")
+    v = materialize(validate_requests(requests))
+    wanted = v.where("status is null").select("uuid").distinct()
+    known = devices.select("uuid").join(wanted, "uuid", "left_semi").distinct().withColumn("_found", F.lit(True))
+    status = F.coalesce("status", F.when(F.col("_found"), F.lit("ok")).otherwise(F.lit("not_found")))
+    return v.join(known, "uuid", "left").withColumn("status", status).select(*v.columns)
 
 
-def bulk_history(
-    statuses: DataFrame,
-    telemetry: DataFrame,
-    salts: int = DEFAULT_SALTS,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+@dataclass(frozen=True)
+class _Branch:
+    """Requests that are answered alike: without a limit (0) or with one up to ``most``, and their time bounds."""
+
+    most: int
+    requests: DataFrame
+    lo: datetime | None
+    hi: datetime | None
+
+
+def _branches(statuses: DataFrame) -> list[_Branch]:
+    """The non-empty groups of ``ok`` requests by (limit: none, small, large; has a start; has an end).
+
+    One open-ended request leaves the bounds of the others alone, and one large
+    limit leaves the early cut of the others alone.
+    """
+    ok = materialize(statuses.where(F.col("status") == "ok").select(
+        "request_id", F.col("uuid").alias("_uuid"), "start_ts", "end_ts", "limit_n"))
+    size = F.when(F.col("limit_n").isNull(), 0).when(F.col("limit_n") <= SMALL_LIMIT, 1).otherwise(2)
+    flags = [size, F.col("start_ts").isNotNull(), F.col("end_ts").isNotNull()]
+    groups = (ok.groupBy(*[f.alias(n) for n, f in zip(("l", "s", "e"), flags)])
+              .agg(F.coalesce(F.max("limit_n"), F.lit(0)).alias("most"), F.min("start_ts").alias("lo"), F.max("end_ts").alias("hi"))
+              .collect())  # at most twelve rows
+    return [_Branch(g["most"], ok.where((flags[0] == g["l"]) & (flags[1] == g["s"]) & (flags[2] == g["e"])), g["lo"], g["hi"])
+            for g in sorted(groups)]
+
+
+def _matches(branch: _Branch, telemetry: DataFrame, columns: list[str]) -> DataFrame:
+    """Telemetry within reach of the branch, joined to its requests; small request sides are broadcast by size."""
+    t = telemetry
+    for p in _time_predicates(telemetry, branch.lo, branch.hi):
+        t = t.where(p)
+    t, r = t.select(*columns), branch.requests
+    in_time = F.coalesce(t.timestamp >= r.start_ts, F.lit(True)) & F.coalesce(t.timestamp <= r.end_ts, F.lit(True))
+    return t.join(r, (t.gpu_uuid == r._uuid) & in_time, "inner")
+
+
+def bulk_history(statuses: DataFrame, telemetry: DataFrame, salts: int | None = None) -> DataFrame:
     """Rows answering every ``ok`` request of ``statuses`` (see request_status).
 
     Output: request_id + API columns.  Requests without a limit get every
-    matching row; limited requests get their newest ``limit_n`` rows.
+    matching row; limited requests get their newest ``limit_n`` rows.  Requests
+    with and without limits and bounds are answered in branches of their own,
+    each with its own pruning of dates.
     """
-    ok = statuses.where(F.col("status") == "ok").select(
-        "request_id", F.col("uuid").alias("_uuid"), "start_ts", "end_ts", "limit_n"
-    )
-    # The validated request set feeds the size check, the partition bounds and
-    # both join branches: materialise it once (reliable checkpoint in the
-    # shared folder, lineage cut) instead of re-validating for every use.
-    ok = materialize(ok)
-    t = telemetry
-    if "event_date" in telemetry.columns:
-        # Dynamic partition pruning from the requests: scalar subqueries over the
-        # valid requests become PartitionFilters on event_date.  A bound only
-        # applies when every request has one.
-        bounds = ok.agg(
-            F.struct(
-                F.when(F.count_if(F.col("start_ts").isNull()) == 0, F.to_date(F.min("start_ts"))).alias("lo"),
-                F.when(F.count_if(F.col("end_ts").isNull()) == 0, F.to_date(F.max("end_ts"))).alias("hi"),
-            )
-        ).scalar()  # one subquery, evaluated once, read twice
-        t = t.where(F.coalesce(F.col("event_date") >= bounds.getField("lo"), F.lit(True)))
-        t = t.where(F.coalesce(F.col("event_date") <= bounds.getField("hi"), F.lit(True)))
-    ok = bounded_broadcast(ok, broadcast_rows)
-    t = t.select(*API_COLUMNS, "seq")
-    cond = (
-        (t.gpu_uuid == ok._uuid)
-        & F.coalesce(t.timestamp >= ok.start_ts, F.lit(True))
-        & F.coalesce(t.timestamp <= ok.end_ts, F.lit(True))
-    )
-    joined = t.join(ok, cond, "inner")
-    unlimited = joined.where(F.col("limit_n").isNull())
-    limited = joined.where(F.col("limit_n").isNotNull())
-    # stage 1: top-k inside (request, salt) buckets spreads a hot request over
-    # `salts` tasks; stage 2: top-k over at most salts * limit survivors.
-    salt = F.pmod(F.xxhash64("seq"), F.lit(salts))
+    cols = ["request_id", *API_COLUMNS]
+    out = None
+    for b in _branches(statuses):
+        rows = _matches(b, telemetry, [*API_COLUMNS, "seq"])
+        one = (_newest(rows, b.most, salts) if b.most else rows).select(*cols)
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        kind = statuses.schema["request_id"].dataType
+        out = telemetry.where(F.lit(False)).select(F.lit(None).cast(kind).alias("request_id"), *API_COLUMNS)
+    return out
+
+
+def _newest(rows: DataFrame, most: int, salts: int | None) -> DataFrame:
+    """The newest ``limit_n`` rows of each request, by a two-stage top-k.
+
+    ``most``, the branch's greatest limit, is a constant bound that lets Spark cut
+    each map task's rows before the shuffle (up to its own threshold, ``SMALL_LIMIT``).  Stage 1 spreads a hot request over ``salts``
+    tasks (as many as there are shuffle partitions); stage 2 sees at most
+    salts * limit survivors of it.
+    """
+    n = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w1 = Window.partitionBy("request_id", "_salt").orderBy(*newest_first())
     w2 = Window.partitionBy("request_id").orderBy(*newest_first())
-    top = (
-        limited.withColumn("_salt", salt)
-        .withColumn("_r", F.row_number().over(w1))
-        .where(F.col("_r") <= F.col("limit_n"))
-        .withColumn("_r", F.row_number().over(w2))
-        .where(F.col("_r") <= F.col("limit_n"))
-    )
-    cols = ["request_id", *API_COLUMNS]
-    return top.select(*cols).unionByName(unlimited.select(*cols))
+    cut = lambda df, w: (df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most)
+                         .where(F.col("_r") <= F.col("limit_n")))
+    return cut(cut(rows.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(n))), w1), w2)
 
 
-def history_totals(statuses: DataFrame, history: DataFrame) -> DataFrame:
-    """Per request: status and ``total`` = rows returned after the limit.
+def history_totals(statuses: DataFrame, telemetry: DataFrame) -> DataFrame:
+    """Per request: status and ``total`` = rows that ``bulk_history`` would return.
 
-    Non-ok requests have a null total; ok requests with no rows have 0.
+    Counts need no order: the matches are counted (map-side combined) and cut
+    to the limit.  Non-ok requests have a null total; ok requests with no rows 0.
     """
-    counts = history.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
-    return statuses.join(counts, "request_id", "left").select(
-        "request_id",
-        "uuid",
-        "status",
-        F.when(F.col("status") == "ok", F.coalesce(F.col("_n"), F.lit(0))).alias("total"),
-    )
+    statuses = materialize(statuses)
+    counts = None
+    for b in _branches(statuses):
+        one = _matches(b, telemetry, ["gpu_uuid", "timestamp"]).groupBy("request_id", "limit_n").agg(
+            F.count(F.lit(1)).alias("_n")).select("request_id", F.least("_n", F.coalesce("limit_n", "_n")).alias("_n"))
+        counts = one if counts is None else counts.unionByName(one)
+    total = F.lit(0)
+    out = statuses
+    if counts is not None:
+        out, total = statuses.join(counts, "request_id", "left"), F.coalesce(F.col("_n"), F.lit(0))
+    return out.select("request_id", "uuid", "status", F.when(F.col("status") == "ok", total.cast("bigint")).alias("total"))

@@ -27,19 +27,17 @@ def upsert_devices(current: DataFrame, updates: DataFrame, order_col: str | None
     ties fall back to the row contents so the result is deterministic.
     ``current`` is a registry (one row per uuid).
 
-    Only the updates are shuffled (latest per uuid).  The registry is
-    anti-joined against the set of updated uuids, broadcast when proven
-    small, so the unchanged bulk of a large registry is never shuffled.
+    The updates are cut to the latest per uuid; the registry is anti-joined
+    against their uuids, broadcast by Spark where they are small.
     """
-    from telemetry_engine.plans.sizing import bounded_broadcast
     from telemetry_engine.session import materialize
 
     ordv = F.col(order_col).cast("long") if order_col else F.lit(None).cast("long")
     upd = updates.select(*DEVICE_COLUMNS, ordv.alias("_ord"))
     order = [F.col("_ord").desc_nulls_last()] + [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
-    # used by the size check, the broadcast side and the union: compute once
+    # used by the anti join and the union: compute once
     latest = materialize(latest_per_key(upd, "uuid", order).select(*DEVICE_COLUMNS))
-    changed = bounded_broadcast(latest.select(F.col("uuid").alias("_changed")))
+    changed = latest.select(F.col("uuid").alias("_changed"))
     keep = current.select(*DEVICE_COLUMNS)
     keep = keep.join(changed, keep.uuid == changed._changed, "left_anti")
     return keep.unionByName(latest)
@@ -74,14 +72,8 @@ def unknown_devices(uuids: DataFrame, devices: DataFrame, column: str = "uuid")
 
     De-duplicates before the anti join so the join sees one row per uuid.
     """
-    from telemetry_engine.plans.sizing import bounded_broadcast
-
     u = uuids.select(F.col(column).alias("uuid")).where(F.col("uuid") != "").distinct()
-    # narrow the registry to the asked-for uuids (broadcast when proven small)
-    # so a large registry is scanned once rather than shuffled
-    asked = bounded_broadcast(u.select(F.col("uuid").alias("_asked")))
     d = devices.select(F.col("uuid").alias("_known"))
-    d = d.join(asked, d._known == asked._asked, "left_semi")
     return u.join(d, u.uuid == d._known, "left_anti")
 
 

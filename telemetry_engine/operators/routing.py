@@ -1,64 +1,56 @@
-"""Topic routing: fan a message out to every subscriber of its exact topic."""
+"""Topic routing: fan a message out to every subscriber of its exact topic.
+
+Joins leave the choice of strategy to Spark: a subscription table of known size
+below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a larger one is
+joined by shuffle, and adaptive execution corrects a wrong estimate.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_engine.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-
 
 def route_messages(
     messages: DataFrame,
     subscriptions: DataFrame,
     handler_fails: Column | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per (message, subscriber) on an equal topic.
 
-    Subscriptions are broadcast when proven small, so the message side is
-    never shuffled and a hot topic costs nothing extra.  ``handler_fails`` is
-    a predicate over the joined row marking deliveries whose handler failed.
+    ``handler_fails`` is a predicate over the joined row marking deliveries
+    whose handler failed.
     """
-    subs = bounded_broadcast(
-        subscriptions.select(F.col("topic").alias("_sub_topic"), "subscriber_id"), broadcast_rows
-    )
+    subs = subscriptions.select(F.col("topic").alias("_sub_topic"), "subscriber_id")
     routed = messages.join(subs, messages.topic == subs._sub_topic, "inner").drop("_sub_topic")
-    fails = F.coalesce(handler_fails, F.lit(False)) if handler_fails is not None else F.lit(False)
-    return routed.withColumn("handler_error", fails)
+    return routed.withColumn("handler_error", _fails(handler_fails))
 
 
-def unrouted_messages(
-    messages: DataFrame, subscriptions: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
-    """Messages whose topic has no subscriber (dropped by the router).
+def _fails(handler_fails: Column | None) -> Column:
+    return F.coalesce(handler_fails, F.lit(False)) if handler_fails is not None else F.lit(False)
 
-    The subscribed topics are broadcast after the size check (a table built
-    from a local list has no size statistics, so Catalyst alone would
-    shuffle every message for this anti join).
-    """
-    subs = bounded_broadcast(
-        subscriptions.select(F.col("topic").alias("_sub_topic")).distinct(), broadcast_rows
-    )
+
+def unrouted_messages(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Messages whose topic has no subscriber (dropped by the router)."""
+    subs = subscriptions.select(F.col("topic").alias("_sub_topic")).distinct()
     return messages.join(subs, messages.topic == subs._sub_topic, "left_anti")
 
 
-def routing_stats(messages: DataFrame, subscriptions: DataFrame, routed: DataFrame) -> DataFrame:
+def routing_stats(messages: DataFrame, subscriptions: DataFrame, handler_fails: Column | None = None) -> DataFrame:
     """published, delivered, errors, unrouted, active_subscribers (= subscribed topics).
 
-    One aggregation over a tagged union: no join between the counters.
+    One left join to the list of subscribers per topic and one aggregate: the
+    messages are read once.
     """
-    tag = F.col("_k")
-    parts = (
-        messages.select(F.lit("published").alias("_k"))
-        .unionByName(routed.select(F.when(F.col("handler_error"), "errors").otherwise("delivered").alias("_k")))
-        .unionByName(unrouted_messages(messages, subscriptions).select(F.lit("unrouted").alias("_k")))
-        .unionByName(subscriptions.select("topic").distinct().select(F.lit("topics").alias("_k")))
-    )
-    return parts.agg(
-        F.count_if(tag == "published").alias("published"),
-        F.count_if(tag == "delivered").alias("delivered"),
-        F.count_if(tag == "errors").alias("errors"),
-        F.count_if(tag == "unrouted").alias("unrouted"),
-        F.count_if(tag == "topics").alias("active_subscribers"),
-    )
+    lists = subscriptions.groupBy(F.col("topic").alias("_topic")).agg(F.collect_list("subscriber_id").alias("_subs"))
+    each = messages.join(lists, messages.topic == lists._topic, "left").select(
+        *messages.columns, F.posexplode_outer("_subs").alias("_pos", "subscriber_id"))
+    each = each.withColumn("_error", _fails(handler_fails))
+    sent = F.col("_pos").isNotNull()
+    topics = subscriptions.agg(F.count_distinct("topic")).scalar()
+    return each.agg(
+        F.count_if(~sent | (F.col("_pos") == 0)).alias("published"),
+        F.count_if(sent & ~F.col("_error")).alias("delivered"),
+        F.count_if(sent & F.col("_error")).alias("errors"),
+        F.count_if(~sent).alias("unrouted"),
+    ).withColumn("active_subscribers", topics)

@@ -290,7 +290,6 @@ CATALOGUE = """cat(metric_name, unit, family) AS (
          ('DCGM_FI_DEV_GPU_TEMP', 'C', 'temperature'))"""
 
 API = "gpu_uuid, metric_name, value, timestamp, labels_raw"
-LABEL_RE = r'([A-Za-z_][A-Za-z0-9_.]*)="((?:[^"\\]|\\.)*)"'
 DAY_END = "(date_trunc('day', ts) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND)"
 
 
@@ -358,7 +357,7 @@ ORACLE: dict[str, str] = {
     "device_history": _w(TEL) + f"""SELECT {API} FROM tel
         WHERE gpu_uuid = 'GPU-00000007-0000-0000-0000-000000000007'
           AND timestamp >= TIMESTAMP '2024-01-05 00:00:00' AND timestamp <= TIMESTAMP '2024-01-20 00:00:00'
-        ORDER BY timestamp DESC, seq DESC LIMIT 50""",
+        ORDER BY timestamp DESC, seq DESC LIMIT 20""",
     "uuid_check": _w(REQ) + f"""SELECT request_id, uuid,
         coalesce(regexp_matches(uuid, '{UUID_RE}'), false) AS uuid_valid FROM req""",
     "validate_requests": _w(DEV, REQ, VAL) + "SELECT * FROM val",
@@ -418,13 +417,17 @@ ORACLE: dict[str, str] = {
         (epoch_us({DAY_END}) - epoch_us(ts)) // 1000000 AS secs_to_day_end FROM log""",
     "clamp_prefetch": """SELECT event_id AS seq, CAST(trunc(value * 10) AS INTEGER) - 100 AS requested,
         least(greatest(CAST(trunc(value * 10) AS INTEGER) - 100, 1), 2500) AS prefetch FROM events""",
-    "labels_map": _w(TEL) + f"""SELECT seq, unnest(regexp_extract_all(labels_raw, '{LABEL_RE}', 1)) AS label_key,
-        unnest(regexp_extract_all(labels_raw, '{LABEL_RE}', 2)) AS label_value FROM tel""",
+    "labels_map": _w(TEL) + """SELECT seq, 'metric' AS label_key, metric_name || ', "raw"' AS label_value
+        FROM tel WHERE metric_name <> 'view'
+        UNION ALL SELECT seq, 'k', batch_id FROM tel WHERE metric_name <> 'view'
+        UNION ALL SELECT seq, NULL, NULL FROM tel WHERE metric_name = 'view'""",
     "numeric_value": _w(TEL) + "SELECT seq, value, TRY_CAST(value AS DOUBLE) AS value_num FROM tel",
-    "metric_catalogue": _w(TEL, CATALOGUE) + """, m AS (SELECT metric_name, count(*) AS n FROM tel GROUP BY 1)
-        SELECT coalesce(m.metric_name, cat.metric_name) AS metric_name, coalesce(cat.unit, '') AS unit,
-               coalesce(cat.family, 'unknown') AS family, coalesce(m.n, 0) AS n
-        FROM m FULL OUTER JOIN cat ON m.metric_name = cat.metric_name""",
+    "metric_catalogue": _w(TEL, CATALOGUE) + """, m AS (
+          SELECT CASE metric_name WHEN 'click' THEN 'DCGM_FI_DEV_GPU_UTIL' WHEN 'view' THEN 'DCGM_FI_DEV_FB_USED'
+                   WHEN 'purchase' THEN 'DCGM_FI_DEV_POWER_USAGE' WHEN 'signup' THEN 'DCGM_FI_DEV_GPU_TEMP'
+                   ELSE metric_name END AS metric_name, count(*) AS n FROM tel GROUP BY 1)
+        SELECT m.metric_name, coalesce(cat.unit, '') AS unit, coalesce(cat.family, 'unknown') AS family, m.n
+        FROM m LEFT JOIN cat ON m.metric_name = cat.metric_name""",
 }
 
 DEVICE_DOC = """'{"uuid":' || CAST(to_json(uuid) AS VARCHAR) || ',"device_id":' || CAST(to_json(device_id) AS VARCHAR) || ',"gpu_index":' || CAST(to_json(gpu_index) AS VARCHAR) || ',"model_name":' || CAST(to_json(model_name) AS VARCHAR) || ',"hostname":' || CAST(to_json(hostname) AS VARCHAR) || CASE WHEN container <> '' THEN ',"container":' || CAST(to_json(container) AS VARCHAR) ELSE '' END || CASE WHEN pod <> '' THEN ',"pod":' || CAST(to_json(pod) AS VARCHAR) ELSE '' END || CASE WHEN namespace <> '' THEN ',"namespace":' || CAST(to_json(namespace) AS VARCHAR) ELSE '' END || '}'"""

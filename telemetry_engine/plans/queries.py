@@ -17,7 +17,8 @@ from telemetry_engine import adapters
 from telemetry_engine.functions import scalars, timeutil
 from telemetry_engine.operators import delivery, dedup, history, ingest, messages, registry, render, routing
 from telemetry_engine.plans.catalog import messages_table, metrics_csv_dir, telemetry_table
-from telemetry_engine.schemas import METRIC_CATALOGUE
+from telemetry_engine.schemas import CSV_COLUMNS, METRIC_CATALOGUE
+from telemetry_engine.session import materialize
 from telemetry_engine.sources.csv_metrics import good_rows, read_metrics_csv, rejected_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +27,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 POINT_DEVICE_ID = 7
 HISTORY_START = "2024-01-05T00:00:00Z"
 HISTORY_END = "2024-01-20T00:00:00Z"
-HISTORY_LIMIT = 50
+HISTORY_LIMIT = 20  # fewer than the device has in that time
 BATCH_TS = datetime(2024, 2, 1, 0, 0, 0, 123450)
 ROUTING_FAILS_ABOVE = 250.0
+CATALOGUE_NAMES = {"click": METRIC_CATALOGUE[0][0], "view": METRIC_CATALOGUE[4][0],
+                   "purchase": METRIC_CATALOGUE[8][0], "signup": METRIC_CATALOGUE[9][0]}
 
 
 def _t(spark, sf, name):
@@ -60,17 +63,14 @@ def _routing(spark, sf):
     msgs = adapters.routing_messages_from_events(_t(spark, sf, "events"))
     subs = adapters.subscriptions(spark)
     fails = (F.col("subscriber_id") == "sub-c") & (F.col("value") > ROUTING_FAILS_ABOVE)
-    return msgs, subs, routing.route_messages(msgs, subs, fails)
+    return msgs, subs, fails
 
 
-CSV12 = ["timestamp", "metric_name", "gpu_id", "device", "uuid", "modelName", "Hostname",
-         "container", "pod", "namespace", "value", "labels_raw"]
-
 # ---------------------------------------------------------------- sources / sinks
 
 
 def q_csv_scan(spark, sf):
-    return good_rows(_scan(spark, sf)).select(*CSV12)
+    return good_rows(_scan(spark, sf)).select(*CSV_COLUMNS)
 
 
 def q_csv_rejects(spark, sf):
@@ -223,8 +223,7 @@ def q_bulk_history(spark, sf):
 
 
 def q_history_total(spark, sf):
-    st = _statuses(spark, sf)
-    return history.history_totals(st, history.bulk_history(st, telemetry_table(spark, sf)))
+    return history.history_totals(_statuses(spark, sf), telemetry_table(spark, sf))
 
 
 def q_device_documents(spark, sf):
@@ -237,9 +236,8 @@ def q_history_documents(spark, sf):
 
 
 def q_history_envelopes(spark, sf):
-    st = _statuses(spark, sf)
-    totals = history.history_totals(st, history.bulk_history(st, telemetry_table(spark, sf)))
-    return render.history_envelopes(totals, st)
+    st = materialize(_statuses(spark, sf))
+    return render.history_envelopes(history.history_totals(st, telemetry_table(spark, sf)), st)
 
 
 def q_dedup_telemetry(spark, sf):
@@ -252,8 +250,7 @@ def q_dedup_telemetry(spark, sf):
 
 
 def q_route_messages(spark, sf):
-    _, _, routed = _routing(spark, sf)
-    return routed.select("id", "topic", "subscriber_id", "handler_error")
+    return routing.route_messages(*_routing(spark, sf)).select("id", "topic", "subscriber_id", "handler_error")
 
 
 def q_unrouted_messages(spark, sf):
@@ -262,8 +259,7 @@ def q_unrouted_messages(spark, sf):
 
 
 def q_routing_stats(spark, sf):
-    msgs, subs, routed = _routing(spark, sf)
-    return routing.routing_stats(msgs, subs, routed)
+    return routing.routing_stats(*_routing(spark, sf))
 
 
 def q_ack_match(spark, sf):
@@ -358,10 +354,12 @@ def q_clamp_prefetch(spark, sf):
 
 
 def q_labels_map(spark, sf):
+    """Several labels, a comma and an escaped quote within values, a repeated key; as pairs of the map."""
     t = telemetry_table(spark, sf)
-    return t.select("seq", F.explode(scalars.label_pairs("labels_raw")).alias("p")).select(
-        "seq", "p.label_key", "p.label_value"
-    )
+    raw = F.concat(F.col("labels_raw"), F.lit(',metric="'), F.col("metric_name"), F.lit(', \\"raw\\"",k="'),
+                   F.col("batch_id"), F.lit('"'))
+    raw = F.when(F.col("metric_name") == "view", F.lit("")).otherwise(raw)
+    return t.select("seq", F.explode_outer(scalars.labels_map(raw)).alias("label_key", "label_value"))
 
 
 def q_numeric_value(spark, sf):
@@ -371,14 +369,18 @@ def q_numeric_value(spark, sf):
 
 def q_metric_catalogue(spark, sf):
     t = telemetry_table(spark, sf)
-    per_metric = t.groupBy("metric_name").agg(F.count(F.lit(1)).alias("n"))
-    cat = spark.createDataFrame(METRIC_CATALOGUE, "metric_name string, unit string, family string")
-    j = per_metric.join(F.broadcast(cat), "metric_name", "full")
-    return j.select(
+    # the event types as catalogued metrics; one type keeps a name that the catalogue lacks
+    name = F.col("metric_name")
+    for kind, metric in CATALOGUE_NAMES.items():
+        name = F.when(F.col("metric_name") == kind, F.lit(metric)).otherwise(name)
+    per_metric = t.groupBy(name.alias("metric_name")).agg(F.count(F.lit(1)).alias("n"))
+    rows = ", ".join(f"('{m}', '{u}', '{f}')" for m, u, f in METRIC_CATALOGUE)
+    cat = spark.sql(f"SELECT * FROM VALUES {rows} AS catalogue(metric_name, unit, family)")
+    return per_metric.join(cat, "metric_name", "left").select(
         "metric_name",
         F.coalesce("unit", F.lit("")).alias("unit"),
         F.coalesce("family", F.lit("unknown")).alias("family"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "n",
     )
 
 

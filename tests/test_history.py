@@ -82,7 +82,7 @@ def test_bulk_matches_point_queries(spark, tel, devs):
         got.setdefault(r.request_id, []).append((r.timestamp, r.value))
     assert sorted(got[1], reverse=True) == [(r.timestamp, r.value) for r in H.device_history(tel, U1, limit=3).collect()]
     assert len(got[2]) == 6
-    totals = {r.request_id: r.total for r in H.history_totals(st, rows).collect()}
+    totals = {r.request_id: r.total for r in H.history_totals(st, tel).collect()}
     assert totals == {1: 3, 2: 6, 3: None, 4: None, 5: 0}
 
 

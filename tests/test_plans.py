@@ -43,14 +43,27 @@ def test_bulk_history_prunes_partitions_from_request_bounds(spark, store):
     reqs = spark.createDataFrame([(1, U, "2024-01-02T00:00:00Z", "2024-01-03T00:00:00Z", "5")],
                                  "request_id long, uuid string, start_time string, end_time string, limit string")
     df = history.bulk_history(history.request_status(reqs, devs), store)
-    text = df._jdf.queryExecution().optimizedPlan().toString() + plan(df)
-    assert "event_date" in text and "scalar-subquery" in text.lower() or "Subquery" in text
-    assert "BroadcastHashJoin" in plan(df)
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(event_date" in p and p.count("FileScan") == 1
+    assert p.count("WindowGroupLimit") == 4  # before and after the shuffle, in both stages of the top-k
+
+
+def test_bulk_history_answers_each_kind_of_request_with_its_own_bounds(spark, store):
+    devs = spark.createDataFrame([(U,) + ("",) * 7], DEV)
+    reqs = spark.createDataFrame([
+        (1, U, "2024-01-02T00:00:00Z", "2024-01-03T00:00:00Z", "5"), (2, U, "", "", "5"),
+        (3, U, "2024-01-04T00:00:00Z", "2024-01-05T00:00:00Z", "")],
+        "request_id long, uuid string, start_time string, end_time string, limit string")
+    statuses = history.request_status(reqs, devs)
+    p = plan(history.bulk_history(statuses, store))
+    assert p.count("FileScan") == 3 and p.count("PartitionFilters: [isnotnull(event_date") == 2
+    totals = plan(history.history_totals(statuses, store))
+    assert "Window" not in totals.replace("WindowGroupLimit", "Window")
 
 
 def test_routing_broadcasts_checked_subscriptions(spark):
     msgs = spark.range(100).selectExpr("cast(id as string) id", "if(id % 2 = 0, 't', 'u') topic")
-    subs = spark.createDataFrame([("t", "a")], "topic string, subscriber_id string")
+    subs = spark.sql("SELECT * FROM VALUES ('t', 'a') AS s(topic, subscriber_id)")
     p = plan(routing.route_messages(msgs, subs))
     assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
 
@@ -63,6 +76,6 @@ def test_semi_join_pre_aggregates_telemetry(spark, store):
 
 def test_unrouted_anti_join_does_not_shuffle_messages(spark):
     msgs = spark.range(100).selectExpr("cast(id as string) id", "if(id % 2 = 0, 't', 'u') topic")
-    subs = spark.createDataFrame([("t", "a")], "topic string, subscriber_id string")
+    subs = spark.sql("SELECT * FROM VALUES ('t', 'a') AS s(topic, subscriber_id)")
     p = plan(routing.unrouted_messages(msgs, subs))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p

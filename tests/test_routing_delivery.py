@@ -14,15 +14,16 @@ T0 = datetime(2025, 1, 18, 12, 0, 0)
 def test_fan_out_50_by_5(spark):
     msgs = spark.createDataFrame([(str(i), "t") for i in range(50)], "id string, topic string")
     subs = spark.createDataFrame([("t", f"s{i}") for i in range(5)], "topic string, subscriber_id string")
-    s = R.routing_stats(msgs, subs, R.route_messages(msgs, subs)).first()
+    s = R.routing_stats(msgs, subs).first()
     assert (s.published, s.delivered, s.errors, s.active_subscribers) == (50, 250, 0, 1)
 
 
 def test_handler_errors_and_topics(spark):
     msgs = spark.createDataFrame([(str(i), "a" if i < 10 else "b", i) for i in range(25)], "id string, topic string, n int")
     subs = spark.createDataFrame([("a", "s1"), ("b", "s2")], "topic string, subscriber_id string")
-    routed = R.route_messages(msgs, subs, handler_fails=F.col("n") >= 20)
-    s = R.routing_stats(msgs, subs, routed).first()
+    fails = F.col("n") >= 20
+    assert R.route_messages(msgs, subs, fails).where("handler_error").count() == 5
+    s = R.routing_stats(msgs, subs, fails).first()
     assert (s.published, s.delivered, s.errors, s.active_subscribers, s.unrouted) == (25, 20, 5, 2, 0)
     none = spark.createDataFrame([("c", "s3")], "topic string, subscriber_id string")
     assert R.unrouted_messages(msgs, none).count() == 25
@@ -76,8 +77,39 @@ def test_ack_matching_carries_leases_across_time_buckets(spark):
         ("q", "g", "c1", "n", "ack", base + timedelta(hours=5), 5),           # other key, no lease
     ]
     log = spark.createDataFrame(rows, LOG)
-    got = [(r.seq, r.lease_seq, r.matched) for r in D.match_acks(log, bucket="HOUR").orderBy("seq").collect()]
+    got = [(r.seq, r.lease_seq, r.matched) for r in D.match_acks(log).orderBy("seq").collect()]
     assert got == [(2, 1, True), (4, 3, False), (5, None, False)]
-    # the same answer with one bucket per day (no carry needed)
-    day = [(r.seq, r.lease_seq, r.matched) for r in D.match_acks(log, bucket="DAY").orderBy("seq").collect()]
-    assert day == got
+    # the same answer when every key counts as hot and is split by time
+    split = [(r.seq, r.lease_seq, r.matched) for r in D.match_acks(log, hot_rows=0).orderBy("seq").collect()]
+    assert split == got
+
+
+def test_hot_keys_give_the_same_leases_and_states(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [("q", f"g{rng.randint(0, 1)}", "c", f"m{rng.randint(0, 3)}", rng.choice(["fetch", "fetch", "ack", "nack", "publish"]),
+             T0 + timedelta(seconds=rng.randint(0, 40_000)), k) for k in range(900)]
+    log = spark.createDataFrame(rows, LOG)
+    for f in (D.leases, D.match_acks):
+        assert sorted(map(str, f(log).collect())) == sorted(map(str, f(log, hot_rows=100).collect()))
+    assert sorted(map(str, D.delivery_state(log).collect())) == sorted(map(str, D.delivery_state(log, hot_rows=100).collect()))
+    assert sorted(map(str, D.lease_outcomes(log, None).collect())) == sorted(map(str, D.lease_outcomes(log, None, hot_rows=100).collect()))
+
+
+def test_matching_and_states_take_one_shuffle(spark, tmp):
+    rows = [("q", "g", "c", f"m{k % 7}", "fetch" if k % 2 else "ack", T0 + timedelta(seconds=k), k) for k in range(60)]
+    spark.createDataFrame(rows, LOG).write.parquet(f"{tmp}/log")
+    log = spark.read.parquet(f"{tmp}/log")
+    for df in (D.match_acks(log), D.delivery_state(log)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+
+
+def test_topic_depth_and_groups_without_fetches(spark):
+    log = _log(spark, [("a", "publish", 0), ("b", "fetch", 1), ("b", "fetch", 1000), ("b", "fetch", 2000), ("c", "publish", 9000)])
+    log = log.unionByName(log.where("op = 'publish'").withColumn("topic", F.lit("other")).withColumn("consumer_group", F.lit("idle")))
+    s = D.delivery_state(log)
+    depth = {r.topic: (r.groups, r.queue_depth, r.dead_letters) for r in D.topic_depth(s).collect()}
+    assert depth == {"q": (1, 2, 1), "other": (1, 2, 0), "*": (2, 4, 1)}
+    assert {r.consumer_group: r.consumers for r in D.queue_stats(s, log).collect()} == {"g": 1, "idle": 0}

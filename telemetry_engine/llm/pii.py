@@ -34,6 +34,7 @@ from telemetry_engine.llm import common as C
 SUPPORT = 3
 GENERALISE = 0.8
 REMOVE = 0.95
+BROADCAST_BYTES = 16 << 20  # of the terms by text, measured before they are sent to every task
 
 KINDS = ["email", "ip", "card", "phone", "term", "removed"]
 BASE = 4  # of these kinds
@@ -171,14 +172,20 @@ def disclosing_terms(docs: DataFrame, path: str, support: int = SUPPORT, general
     shared = (pairs.join(often, "entity").select("entity", "n_e", F.explode("words").alias("term"))
               .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e"))
               .where(F.col("n_te") >= support))
-    shared = C.store(shared, f"{path}/shared")
+    # n(t) is at least what the entities' own contexts show; where that alone rules a term out (as it does for
+    # common words), the corpus need not be searched for it
+    total = docs.agg(F.sum(F.size(F.split("text", "\n", -1)))).first()[0] or 0
+    least = context.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("least"))
+    most = F.col("n_te") * F.pow(F.greatest(F.lit(float(total)) / F.col("n_e"), F.lit(1.0)), F.lit(1 - generalise))
+    shared = C.store(shared.join(least, "term").where(F.col("least") <= most * 1.000001), f"{path}/shared")
     if shared.isEmpty():
         return None
 
     all_lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
-    total = docs.agg(F.sum(F.size(F.split("text", "\n", -1)))).first()[0]
     wanted = C.store(shared.select("term").distinct(), f"{path}/wanted")
-    with_term = (all_lines.select(F.xxhash64("line").alias("line_key"), F.explode(_words(F.col("line"))).alias("term"))
+    # the hash first, so that the text is not carried to every word
+    with_term = (all_lines.select(F.xxhash64("line").alias("line_key"), _words(F.col("line")).alias("words"))
+                 .select("line_key", F.explode("words").alias("term"))
                  .join(wanted, "term").distinct().groupBy("term").agg(F.count("*").alias("n_t")))
     pmi = F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     share = F.when(F.col("n_e") < total, pmi / F.log2(F.lit(float(total)) / F.col("n_e"))).otherwise(F.lit(0.0))
@@ -207,10 +214,14 @@ def with_spans(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
 
     # which terms a text holds, by the text's hash and length; only texts with a term are kept
     ident = [F.xxhash64("text").alias("pii_key"), F.length("text").alias("pii_length")]
-    held = (plain.select(*ident, F.explode(_words(F.col("text"))).alias("term")).distinct().join(terms, "term")
+    held = (plain.select(*ident, _words(F.col("text")).alias("words"))
+            .select("pii_key", "pii_length", F.explode("words").alias("term")).join(terms, "term").distinct()
             .groupBy("pii_key", "pii_length")
             .agg(F.sort_array(F.collect_list(F.struct("term", "kind"))).alias("pii_terms")))
     held = C.store(held, f"{path}/held")
+    size = held.agg(F.sum(F.aggregate("pii_terms", F.lit(64), lambda a, t: a + F.octet_length(t["term"]) + 32))).first()[0] or 0
+    if size <= BROADCAST_BYTES:  # else the texts are shuffled once
+        held = F.broadcast(held)
     out = (out.withColumn("pii_key", F.xxhash64("pii_text")).withColumn("pii_length", F.length("pii_text"))
            .join(held, ["pii_key", "pii_length"], "left"))
     none = F.expr("cast(array() AS array<string>)")

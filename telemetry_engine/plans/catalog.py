@@ -24,7 +24,7 @@ from telemetry_engine.sources.store import append_telemetry, read_telemetry
 
 
 # Bump when the layout or content rules of a derived table change.
-LAYOUT_VERSION = 4
+LAYOUT_VERSION = 5
 
 
 def derived_path(spark: SparkSession, sf_dir: str, name: str, sources: list[str]) -> str:
@@ -57,13 +57,18 @@ def _quoted(c) -> F.Column:
     return F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
 
 
-def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+# A second layout: two columns swapped, one left out.
+CSV_SWAPPED_HEADER = ["metric_name", "uuid", *CSV_FILE_HEADER[2:-1]]
+
+
+def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame, header: list[str] | None = None) -> DataFrame:
     """Raw CSV lines for every event, with data-driven defects.
 
     click & value < 1      -> blank uuid            (missing_required)
     error & value >= 300   -> last three fields cut (field_count)
     view & value >= 300    -> one extra field        (field_count)
     purchase & value >= 300-> quoted model name containing a comma
+    click & value >= 1     -> space before the quoted labels
     every row              -> value written with a leading space
     """
     r = adapters.csv_records_from_events(events, customer, nation)
@@ -75,10 +80,10 @@ def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame)
         "modelName": F.when(
             (mt == "purchase") & (v >= 300), _quoted(F.concat(F.col("modelName"), F.lit(", rev B")))
         ).otherwise(F.col("modelName")),
-        "labels_raw": _quoted(F.col("labels_raw")),
+        "labels_raw": F.concat(F.when((mt == "click") & (v >= 1), F.lit("  ")).otherwise(F.lit("")), _quoted(F.col("labels_raw"))),
         "rack": F.concat(F.lit("r"), F.col("gpu_id")),
     }
-    cols = [field.get(c, F.col(c)) for c in CSV_FILE_HEADER]
+    cols = [field.get(c, F.col(c)) for c in header or CSV_FILE_HEADER]
     full = F.concat_ws(",", *cols)
     short = F.concat_ws(",", *cols[:-3])
     line = (
@@ -90,16 +95,16 @@ def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame)
 
 
 def metrics_csv_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Directory of metrics CSV files derived from events/customer/nation."""
+    """Metrics CSV files derived from events/customer/nation: a glob over two folders, one per header layout."""
     path = derived_path(spark, sf_dir, "metrics_csv", ["events", "customer", "nation"])
     if not fs.exists(spark, f"{path}/_SUCCESS"):
-        lines = metrics_csv_lines(
-            adapters.load(spark, sf_dir, "events"),
-            adapters.load(spark, sf_dir, "customer"),
-            adapters.load(spark, sf_dir, "nation"),
-        )
-        write_csv_lines(lines, path, ",".join(CSV_FILE_HEADER), mode="overwrite")
-    return path
+        events = adapters.load(spark, sf_dir, "events")
+        for k, header in enumerate((CSV_FILE_HEADER, CSV_SWAPPED_HEADER)):
+            lines = metrics_csv_lines(events.where(F.col("event_id") % 2 == k), adapters.load(spark, sf_dir, "customer"),
+                                      adapters.load(spark, sf_dir, "nation"), header)
+            write_csv_lines(lines, f"{path}/layout{k}", ",".join(header), mode="overwrite")
+        fs.write_text(spark, f"{path}/_SUCCESS", "")
+    return f"{path}/layout*"
 
 
 def messages_dir(spark: SparkSession, sf_dir: str) -> str:
@@ -119,12 +124,25 @@ def messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_messages(spark, messages_dir(spark, sf_dir), extra_schema="seq bigint")
 
 
+ARRIVAL_FILES = 12
+
+
 def delivery_log_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Delivery-event log derived from events, as parquet (a stream source)."""
-    path = derived_path(spark, sf_dir, "delivery_log", ["events"])
+    """Delivery-event log derived from events, as parquet files that each span the whole time (a stream source)."""
+    log = lambda: adapters.delivery_log_from_events(adapters.load(spark, sf_dir, "events"))
+    return _arrivals(spark, sf_dir, "delivery_log", log)
+
+
+def telemetry_arrivals_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Telemetry points in an order of arrival that is not that of their time (a stream source)."""
+    points = lambda: adapters.telemetry_from_events(adapters.load(spark, sf_dir, "events"))
+    return _arrivals(spark, sf_dir, "telemetry_arrivals", points)
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, name: str, rows) -> str:
+    path = derived_path(spark, sf_dir, name, ["events"])
     if not fs.exists(spark, f"{path}/_SUCCESS"):
-        log = adapters.delivery_log_from_events(adapters.load(spark, sf_dir, "events"))
-        log.write.mode("overwrite").parquet(path)
+        rows().repartition(ARRIVAL_FILES, "seq").write.mode("overwrite").parquet(path)
     return path
 
 

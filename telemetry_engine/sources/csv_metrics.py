@@ -1,16 +1,15 @@
 """Metrics CSV source (header-resolved, permissive, with a reject reason).
 
 Columns are found by header *name*: any order, extra columns ignored, names
-trimmed, the last of a repeated name wins.  Eight columns are required; the
-scan fails without them.  Bad rows never fail the scan: a row whose field
-count differs from the header, or whose uuid / metric_name is empty, comes
-back with ``reject_reason`` set, so one pass yields good rows and a
-quarantine with the same schema.
-
-One header layout per call: a path (file, directory or glob) is bound to
-the header of its first file.  Directories whose files differ in layout are
-read by :func:`read_metrics_csv_by_header` (files grouped by header, one
-scan per layout, unioned by name).
+trimmed, the last of a repeated name wins.  Eight columns are required.  Every
+file is bound by its own header: the headers are read in one Spark job, files
+are grouped by header, each group is scanned with its own binding, and the
+groups are unioned by name.  Empty files hold no rows.
+
+Bad rows never fail the scan: a row whose field count differs from its file's
+header, or whose uuid / metric_name is empty, comes back with
+``reject_reason`` set, so one pass yields good rows and a quarantine with the
+same schema.  Space before a field, quoted or not, does not belong to it.
 """
 
 from __future__ import annotations
@@ -30,16 +29,17 @@ CORRUPT = "_corrupt_record"
 def parse_header(line: str) -> list[str]:
     names = next(csv.reader([line], skipinitialspace=True), [])
     if not names or names == [""]:
-        raise ValueError("failed to parse header: empty header")
+        raise ValueError("the header line names no column")
     return [n.strip() for n in names]
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Trimmed header names of the first file under ``path`` (one-line read)."""
-    rows = spark.read.text(path).limit(1).collect()
-    if not rows or rows[0].value is None:
-        raise ValueError(f"failed to read header: no data under {path}")
-    return parse_header(rows[0].value)
+def file_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Trimmed header names of every file with data under ``path``: one Spark job over the files' first blocks."""
+    line = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = (line.where("file_block_start = 0").withColumn("_n", F.monotonically_increasing_id())
+             .groupBy("file_path").agg(F.min_by("value", "_n").alias("header")))
+    rows = first.collect()  # one line per file
+    return {r["file_path"]: parse_header(r["header"]) for r in rows if r["header"].strip()}
 
 
 def header_schema(header: list[str]) -> tuple[T.StructType, dict[str, str]]:
@@ -55,6 +55,10 @@ def header_schema(header: list[str]) -> tuple[T.StructType, dict[str, str]]:
     return schema, {n: fields[i] for n, i in seen.items()}
 
 
+def missing_column(header: list[str]) -> str | None:
+    return next((c for c in CSV_REQUIRED if c not in header), None)
+
+
 def read_metrics_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -63,46 +67,42 @@ def read_metrics_csv(
 ) -> DataFrame:
     """Scan metrics CSV -> the 12 text columns, ``source_file``, ``reject_reason``.
 
-    ``multi_line=True`` accepts quoted newlines but makes each file one task.
+    Without ``header`` each file is bound by its own.  ``multi_line=True``
+    accepts quoted newlines but makes each file one task.
     """
-    if header is None:
-        header = read_header(spark, path if isinstance(path, str) else path[0])
-    missing = [c for c in CSV_REQUIRED if c not in header]
+    if header is not None:
+        return _scan(spark, path, header, multi_line)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f, names in sorted(file_headers(spark, path).items()):
+        groups.setdefault(tuple(names), []).append(f)
+    if not groups:
+        raise ValueError(f"no header line under {path}")
+    out = None
+    for names, files in groups.items():
+        one = _scan(spark, files, list(names), multi_line)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _scan(spark: SparkSession, path: str | list[str], header: list[str], multi_line: bool) -> DataFrame:
+    missing = missing_column(header)
     if missing:
-        raise ValueError(f"failed to parse header: missing required column: {missing[0]}")
+        raise ValueError(f"missing required column: {missing}")
     schema, field_of = header_schema(header)
-    _no_csv_pruning(spark)
     raw = _csv_options(spark.read.schema(schema), multi_line).csv(path)
     return project_metrics(raw, field_of)
 
 
-def stream_metrics_csv(
-    spark: SparkSession,
-    path: str,
-    header: list[str] | None = None,
-    max_files: int | None = None,
-) -> DataFrame:
-    """Streaming twin of :func:`read_metrics_csv` (file source over ``path``).
+def stream_metrics_files(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """A stream of the names of files that appear under ``path`` (their content is not read).
 
-    The header is taken from the first file already present, or given.
+    ``read_metrics_csv`` of a micro-batch's names binds each file by its header.
     """
-    header = header if header is not None else read_header(spark, path)
-    missing = [c for c in CSV_REQUIRED if c not in header]
-    if missing:
-        raise ValueError(f"failed to parse header: missing required column: {missing[0]}")
-    schema, field_of = header_schema(header)
-    _no_csv_pruning(spark)
-    r = _csv_options(spark.readStream.schema(schema), False)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return project_metrics(r.csv(path), field_of)
+    return (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("maxFilesPerTrigger", max_files)
+            .load(path).select("path"))
 
 
-def _no_csv_pruning(spark: SparkSession) -> None:
-    # With CSV column pruning the parser only checks the selected columns, so a
-    # short row missing only unselected fields would pass.  The reject split
-    # must not depend on the projection: parse every header field.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _csv_options(reader, multi_line: bool):
@@ -111,8 +111,12 @@ def _csv_options(reader, multi_line: bool):
         .option("enforceSchema", True)          # bind by position to this header
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("ignoreLeadingWhiteSpace", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        # with pruning the parser only checks the selected columns, and a short
+        # row would pass whenever its missing fields are not selected
+        .option("columnPruning", False)
     )
 
 
@@ -129,44 +133,6 @@ def project_metrics(raw: DataFrame, field_of: dict[str, str]) -> DataFrame:
     return out.withColumn("reject_reason", reason).drop(CORRUPT)
 
 
-def read_metrics_csv_files(spark: SparkSession, paths: list, multi_line: bool = False) -> DataFrame:
-    """Read files that may differ in header layout; each keeps its own binding.
-
-    ``paths`` items are paths (header read from the file) or
-    ``(header, [files])`` pairs with the header already known.
-    """
-    frames = [
-        read_metrics_csv(spark, p[1], multi_line, header=p[0]) if isinstance(p, tuple)
-        else read_metrics_csv(spark, p, multi_line)
-        for p in paths
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def read_metrics_csv_by_header(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Read a directory (or glob) whose files may differ in header layout.
-
-    The driver reads the first line of every file (one small read per file,
-    no data) and groups files by header; each group is scanned by Spark with
-    its own column binding and the groups are unioned by name.  Empty files
-    hold no rows and are skipped.
-    """
-    from telemetry_engine.sources import fs
-
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in fs.list_files(spark, path):
-        line = fs.first_line(spark, f)
-        if line is None or not line.strip():
-            continue
-        groups.setdefault(tuple(parse_header(line)), []).append(f)
-    if not groups:
-        raise ValueError(f"failed to read header: no data under {path}")
-    return read_metrics_csv_files(spark, [(list(h), files) for h, files in groups.items()], multi_line)
-
-
 def good_rows(scanned: DataFrame) -> DataFrame:
     return scanned.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
@@ -175,11 +141,6 @@ def rejected_rows(scanned: DataFrame) -> DataFrame:
     return scanned.where(F.col("reject_reason").isNotNull())
 
 
-def write_metrics_csv(records: DataFrame, path: str, mode: str = "error") -> None:
-    """Metrics CSV sink: header + the 12 columns, standard quoting."""
-    records.select(*CSV_COLUMNS).write.mode(mode).option("header", True).csv(path)
-
-
 def write_csv_lines(lines: DataFrame, path: str, header: str, mode: str = "error") -> None:
     """Write pre-rendered CSV lines (column ``line``) under ``header`` in every file.
 

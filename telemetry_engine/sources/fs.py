@@ -32,46 +32,25 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
-    """Small driver-side file (overwrites): markers, the code archive."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a directory ([] if there is none)."""
     fs, p = _fs_and_path(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(data))
-    finally:
-        out.close()
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    write_bytes(spark, path, text.encode("utf-8"))
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
+    """Small driver-side file (overwrites): markers."""
     fs, p = _fs_and_path(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
+    out = fs.create(p, True)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        out.write(bytearray(text.encode("utf-8")))
     finally:
-        stream.close()
+        out.close()
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files under a file, directory or glob, skipping ``_``/``.`` names (as Spark does)."""
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or directory that this run made."""
     fs, p = _fs_and_path(spark, path)
-    statuses = fs.globStatus(p) or []
-    out = []
-    for st in statuses:
-        if st.isDirectory():
-            out.extend(str(c.getPath()) for c in fs.listStatus(st.getPath()) if c.isFile())
-        else:
-            out.append(str(st.getPath()))
-    return sorted(f for f in out if not f.rsplit("/", 1)[-1].startswith(("_", ".")))
-
-
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of a text file (None when the file is empty)."""
-    return read_text(spark, path)
+    fs.delete(p, True)

@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from telemetry_engine.operators.dedup import with_point_key
 
 
-def dedup_stream(telemetry: DataFrame, delay: str = "1 hour", keys: list[str] | None = None) -> DataFrame:
-    """Drop redelivered points: same key seen within ``delay`` of event time.
+def dedup_stream(telemetry: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The first arrival of every point; a redelivery is dropped however late it comes.
 
-    State per key lives only until the watermark passes it, so the state
-    store stays bounded by (keys per ``delay`` window), not by history.
+    No watermark: no row is too late, and the result holds the same keys as the
+    batch twin in any order of arrival.  The state is the set of keys; start the
+    query within ``epochs.state_on_disk`` so that it lives in RocksDB, spread
+    over the shuffle partitions, and not on the heap.
     """
-    df = with_point_key(telemetry).withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-    return (
-        df.withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(keys or ["point_key"])
-        .drop("_event_time")
-    )
+    return with_point_key(telemetry).dropDuplicates(keys or ["point_key"])

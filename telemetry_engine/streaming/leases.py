@@ -1,37 +1,36 @@
-"""Lease expiry over a delivery-event stream (stateful, event-time timers).
-
-Per (topic, consumer_group, message_id): a fetch opens a lease and registers
-an event-time timer at floor(fetch_ts + timeout) (whole seconds); the first
-ack/nack while the lease is open closes it and deletes the timer.  When the
-watermark passes the timer, or a later event of the same key arrives after
-the expiry, one row is emitted: ``redeliver`` or, once the number of
-deliveries reaches ``max_retries``, ``dead_letter``.
-
-State per key is one small value (open lease, delivery count, cleanup time)
-kept in the RocksDB state store; nothing per key is buffered beyond that.
-A key with no open lease and no event for ``idle_seconds`` of event time is
-dropped by a cleanup timer, so state holds active messages, not every id
-ever seen (a message id reappearing after that starts a new count).
+"""Lease expiry over a delivery-event stream, in any order of arrival.
+
+Per (topic, consumer_group, message_id) the state is the list of the key's
+fetches and closes in order of event time.  A micro-batch's events of a key are
+merged into it wherever they belong, and the leases from the first change on
+are emitted again under the key's next version: a late ack closes the lease
+that it refers to, a late fetch renumbers those after it.  There is no
+watermark and no eviction, so no event is dropped and no delivery count is
+forgotten.  ``expired_leases`` reads what the stream wrote: the latest version
+of every lease, as of the greatest event time seen or a given one.
+
+State lives in RocksDB (start the query within ``epochs.state_on_disk``); it
+and a batch's work for a key grow with the key's own events only.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
 
 KEY = ["topic", "consumer_group", "message_id"]
-EXPIRY_SCHEMA = (
-    "topic string, consumer_group string, message_id string, fetch_us long, "
-    "fetch_seq long, deliveries long, outcome string"
+UPDATE_SCHEMA = (
+    "topic string, consumer_group string, message_id string, version long, seen_us long, fetch_us long, "
+    "fetch_seq long, expires_s long, deliveries long, ended boolean"
 )
 EPOCH = "1970-01-01 00:00:00"
-IDLE_SECONDS = 7 * 24 * 3600
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _pickle_by_value() -> None:
@@ -48,118 +47,83 @@ def _pickle_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class LeaseExpiry(StatefulProcessor):
-    """Per key state: (fetch_us, fetch_seq, expiry_s, deliveries, cleanup_s);
-    the three lease fields are null while no lease is open.
+def key_leases(events: list[tuple[int, int, str]], timeout_us: int) -> list[tuple[int, int, int, int, bool]]:
+    """(fetch_us, fetch_seq, expires_s, deliveries, ended) of each lease of one key's ordered events."""
+    out: list[list] = []
+    for us, seq, op in events:
+        if out and not out[-1][5]:
+            # the first close of a lease ends it if it is still open, and so does another fetch
+            out[-1][4] = us // 1_000_000 < out[-1][2]
+            out[-1][5] = True
+        if op == "f":
+            out.append([us, seq, (us + timeout_us) // 1_000_000, len(out) + 1, False, False])
+    return [tuple(x[:5]) for x in out]
 
-    Every state or timer call is a round trip to the JVM, so a key's rows are
-    processed locally and the state is read once and written once per batch.
-    Timers that no longer match the state (a replaced cleanup time) are
-    ignored when they fire instead of being deleted up front.
-    Rows carry event time as epoch microseconds (``ts_us``).
+
+class LeaseLog(StatefulProcessor):
+    """State: the key's version and its events, as text of ``us:seq:op`` entries.
+
+    Every state call is a round trip to the JVM: the state is read once and
+    written once per key and micro-batch.
     """
 
-    def __init__(
-        self,
-        visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
-        max_retries: int = MAX_RETRIES,
-        idle_seconds: int = IDLE_SECONDS,
-    ):
+    def __init__(self, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS):
         self.timeout_us = visibility_timeout * 1_000_000
-        self.max_retries = max_retries
-        self.idle_s = idle_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState(
-            "lease", "fetch_us long, fetch_seq long, expiry_s long, deliveries long, cleanup_s long"
-        )
-
-    def _row(self, key, fetch_us: int, fetch_seq: int, n: int) -> Row:
-        outcome = "dead_letter" if n >= self.max_retries else "redeliver"
-        return Row(
-            topic=key[0], consumer_group=key[1], message_id=key[2], fetch_us=int(fetch_us),
-            fetch_seq=int(fetch_seq), deliveries=int(n), outcome=outcome,
-        )
+        self.state = handle.getValueState("lease", "version long, events string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        events = sorted(((r.ts_us, r.seq, r.op) for r in rows))
+        new = sorted((int(r.ts_us), int(r.seq), r.op[0]) for r in rows)
         st = self.state.get()
-        if st is None and not any(op == "fetch" for _, _, op in events):
-            return iter([])  # acks/nacks without any lease: nothing to track
-        if st is None:
-            fetch_us = fetch_seq = expiry_s = cleanup_s = None
-            n = 0
-        else:
-            fetch_us, fetch_seq, expiry_s, n, cleanup_s = st[0], st[1], st[2], st[3] or 0, st[4]
-        timer_before = expiry_s
-        out = []
-        for t_us, seq, op in events:
-            if expiry_s is not None and expiry_s <= t_us // 1_000_000:
-                # expired before this event: report it now, as the timer would have
-                out.append(self._row(key, fetch_us, fetch_seq, n))
-                fetch_us = fetch_seq = expiry_s = None
-            if op == "fetch":
-                n += 1
-                fetch_us, fetch_seq = t_us, seq
-                expiry_s = (t_us + self.timeout_us) // 1_000_000
-            elif expiry_s is not None:  # first ack/nack of an open lease closes it
-                fetch_us = fetch_seq = expiry_s = None
-        if expiry_s != timer_before:
-            if timer_before is not None:
-                self.handle.deleteTimer(int(timer_before) * 1000)
-            if expiry_s is not None:
-                self.handle.registerTimer(int(expiry_s) * 1000)
-        if expiry_s is None and events:
-            cleanup_s = events[-1][0] // 1_000_000 + self.idle_s
-            self.handle.registerTimer(int(cleanup_s) * 1000)
-        self.state.update((fetch_us, fetch_seq, expiry_s, n, cleanup_s))
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        st = self.state.get()
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        if st is None:
-            return iter([])
-        fetch_us, fetch_seq, expiry_s, n, cleanup_s = st[0], st[1], st[2], st[3] or 0, st[4]
-        if expiry_s is not None and int(expiry_s) * 1000 == at:
-            cleanup_s = int(expiry_s) + self.idle_s
-            self.handle.registerTimer(cleanup_s * 1000)
-            self.state.update((None, None, None, n, cleanup_s))
-            return iter([self._row(key, fetch_us, fetch_seq, n)])
-        if expiry_s is None and cleanup_s is not None and int(cleanup_s) * 1000 == at:
-            self.state.clear()  # idle key: forget it
-        return iter([])
+        version, events = 1, []
+        if st is not None:
+            version = int(st[0]) + 1
+            events = [(int(a), int(b), op) for a, b, op in (x.split(":") for x in st[1].split(";"))]
+        first = bisect_left(events, new[0])
+        events = events[:first] + sorted(events[first:] + new) if first < len(events) else events + new
+        self.state.update((version, ";".join(f"{a}:{b}:{op}" for a, b, op in events)))
+        leases = key_leases(events, self.timeout_us)
+        # leases that an event at ``new[0]`` or later can change: from the one before it on
+        start = max(0, bisect_left([(x[0], x[1]) for x in leases], new[0][:2]) - 1)
+        base = dict(topic=key[0], consumer_group=key[1], message_id=key[2], version=version, seen_us=new[-1][0])
+        out = [Row(**base, fetch_us=a, fetch_seq=b, expires_s=c, deliveries=d, ended=e) for a, b, c, d, e in leases[start:]]
+        return iter(out or [Row(**base, fetch_us=None, fetch_seq=None, expires_s=None, deliveries=None, ended=None)])
 
     def close(self) -> None:
         pass
 
 
-def lease_expiries(
-    spark: SparkSession,
-    log_stream: DataFrame,
-    delay: str = "0 seconds",
-    visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,
-    max_retries: int = MAX_RETRIES,
-    idle_seconds: int = IDLE_SECONDS,
-) -> DataFrame:
-    """Streaming DataFrame of lease expiries (append mode)."""
+def lease_updates(log_stream: DataFrame, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS) -> DataFrame:
+    """Streaming DataFrame of lease versions (append mode)."""
     _pickle_by_value()
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    events = (
-        log_stream.where(F.col("op").isin("fetch", "ack", "nack"))
-        .select(
-            *KEY, "op", "seq",
-            F.col("ts").cast("timestamp").alias("ts"),
-            F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col("ts")).alias("ts_us"),
-        )
-        .withWatermark("ts", delay)
-    )
-    out = events.groupBy(*KEY).transformWithState(
-        statefulProcessor=LeaseExpiry(visibility_timeout, max_retries, idle_seconds),
-        outputStructType=EXPIRY_SCHEMA,
+    gap = F.col("ts") - F.lit(EPOCH).cast("timestamp_ntz")
+    part = lambda unit: F.extract(F.lit(unit), gap)  # noqa: E731  in no zone
+    us = ((part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60).cast("bigint") * 1_000_000
+          + (part("SECOND") * 1_000_000).cast("bigint"))
+    events = log_stream.where(F.col("op").isin("fetch", "ack", "nack")).select(*KEY, "op", "seq", us.alias("ts_us"))
+    return events.groupBy(*KEY).transformWithState(
+        statefulProcessor=LeaseLog(visibility_timeout),
+        outputStructType=UPDATE_SCHEMA,
         outputMode="Append",
-        timeMode="EventTime",
+        timeMode="None",
     )
-    fetch_ts = F.timestamp_add("MICROSECOND", F.col("fetch_us"), F.lit(EPOCH).cast("timestamp_ntz"))
-    return out.select(*KEY, fetch_ts.alias("fetch_ts"), "fetch_seq", "deliveries", "outcome")
+
+
+def expired_leases(updates: DataFrame, as_of: datetime | None = None, max_retries: int = MAX_RETRIES) -> DataFrame:
+    """Leases that had run out by ``as_of`` (default: the greatest event time seen), by the latest versions.
+
+    fetch_ts, fetch_seq, deliveries and ``outcome``: redeliver, or dead_letter
+    from ``max_retries`` deliveries on.
+    """
+    if as_of is None:
+        now = updates.agg(F.max("seen_us")).scalar()
+    else:
+        now = F.lit(int((as_of - datetime(1970, 1, 1)).total_seconds() * 1_000_000))
+    last = (updates.where("fetch_seq is not null").groupBy(*KEY, "fetch_seq")
+            .agg(F.max_by(F.struct("fetch_us", "expires_s", "deliveries", "ended"), "version").alias("l")))
+    fetch_ts = F.timestamp_add("MICROSECOND", F.col("l.fetch_us"), F.lit(EPOCH).cast("timestamp_ntz"))
+    outcome = F.when(F.col("l.deliveries") >= max_retries, F.lit("dead_letter")).otherwise(F.lit("redeliver"))
+    return (last.where(~F.col("l.ended") & (F.col("l.expires_s") * 1_000_000 <= now))
+            .select(*KEY, fetch_ts.alias("fetch_ts"), "fetch_seq", F.col("l.deliveries").alias("deliveries"),
+                    outcome.alias("outcome")))

@@ -1,19 +1,19 @@
 """Ingest and collector streams (Structured Streaming, foreachBatch sinks).
 
-Ingest:    metrics CSV files -> stamped, encoded messages (JSON lines) + quarantine.
-Collector: message files -> decode/validate -> telemetry + device updates + quarantine.
+Ingest:    metrics CSV files -> stamped, encoded messages (JSON lines) + quarantine + stats.
+Collector: message files -> decode/validate -> telemetry + registry + quarantine + stats.
 
 Exactly-once output without a transactional table format: every micro-batch
-writes into directories named by its epoch id with ``overwrite``, and the
-checkpoint commits the epoch only after ``foreachBatch`` returns.  A
-replayed epoch therefore rewrites the same directories instead of appending
-twice.  Each micro-batch is stamped once on the driver (one batch time and
-batch id for every row of the pass).
+writes into directories named by its epoch id with ``overwrite`` and puts its
+commit marker last (see ``epochs``).  A replayed epoch therefore rewrites the
+same directories instead of appending twice.  Each micro-batch is stamped once
+on the driver (one batch time and batch id for every row of the pass).
 """
 
 from __future__ import annotations
 
 import logging
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +25,18 @@ from telemetry_engine.operators.messages import (
 )
 from telemetry_engine.operators.registry import latest_per_key
 from telemetry_engine.schemas import DEVICE_COLUMNS
-from telemetry_engine.sources.csv_metrics import good_rows, rejected_rows, stream_metrics_csv
+from telemetry_engine.sources import fs
+from telemetry_engine.sources.csv_metrics import (
+    file_headers, good_rows, missing_column, read_metrics_csv, rejected_rows, stream_metrics_files,
+)
 from telemetry_engine.sources.messages_io import stream_messages, write_messages
 from telemetry_engine.sources.store import with_event_date
+from telemetry_engine.streaming.epochs import commit, committed, epoch_dir, epoch_paths, read_epochs
 
 log = logging.getLogger(__name__)
 
-
-def _epoch_dir(base: str, epoch_id: int) -> str:
-    return f"{base}/epoch={epoch_id:010d}"
+REPORT_SECONDS = 10
+STORE_ATTEMPTS = 3
 
 
 def _trigger(writer, available_now: bool, processing_time: str | None):
@@ -48,49 +51,64 @@ def start_ingest(
     spark: SparkSession,
     csv_path: str,
     out_dir: str,
-    header: list[str] | None = None,
     instance_id: str = "streamer-0",
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files: int | None = None,
+    max_files: int = 1000,
 ) -> StreamingQuery:
-    """CSV directory -> ``out_dir/messages`` (+ ``quarantine``, ``stats``).
+    """CSV files -> ``out_dir/messages`` (+ ``quarantine``, ``stats``), each file by its own header.
 
+    A file whose header lacks a required column is counted in ``files_rejected``
+    and named in the quarantine; it does not stop the stream.
     ``available_now`` drains what is there (one pass); ``processing_time``
     (e.g. '5 seconds') keeps polling for new files.
     """
-    src = stream_metrics_csv(spark, csv_path, header=header, max_files=max_files)
+    src = stream_metrics_files(spark, csv_path, max_files)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
         ts, bid = batch_stamp()
-        b = batch.persist()
-        try:
-            msgs = encode_messages(good_rows(b), batch_ts=ts, batch_id=bid, instance_id=F.lit(instance_id))
-            write_messages(msgs, _epoch_dir(f"{out_dir}/messages", epoch_id), mode="overwrite")
-            rejected_rows(b).write.mode("overwrite").parquet(_epoch_dir(f"{out_dir}/quarantine", epoch_id))
-            stats = b.agg(
-                F.count(F.lit(1)).alias("rows_total"),
-                F.count_if(F.col("reject_reason").isNull()).alias("rows_sent"),
-                F.count_if(F.col("reject_reason").isNotNull()).alias("rows_rejected"),
-            ).withColumn("batch_id", bid)
-            stats.write.mode("overwrite").parquet(_epoch_dir(f"{out_dir}/stats", epoch_id))
-        finally:
-            b.unpersist()
+        names = [r["path"] for r in batch.collect()]  # at most ``max_files`` names
+        headers = file_headers(session, names) if names else {}
+        bad = sorted(f for f, h in headers.items() if missing_column(h))
+        good = sorted(f for f in headers if f not in set(bad))
+        if good:
+            b = read_metrics_csv(session, good).persist()
+            try:
+                msgs = encode_messages(good_rows(b), batch_ts=ts, batch_id=bid, instance_id=F.lit(instance_id))
+                write_messages(msgs, epoch_dir(f"{out_dir}/messages", epoch_id), mode="overwrite")
+                rejected_rows(b).write.mode("overwrite").parquet(epoch_dir(f"{out_dir}/quarantine", epoch_id))
+                stats = b.agg(
+                    F.count(F.lit(1)).alias("rows_total"),
+                    F.count_if(F.col("reject_reason").isNull()).alias("rows_sent"),
+                    F.count_if(F.col("reject_reason").isNotNull()).alias("rows_rejected"),
+                )
+                _write_stats(stats.withColumns({"files_rejected": F.lit(len(bad)).cast("bigint"), "batch_id": bid}), out_dir, epoch_id)
+            finally:
+                b.unpersist()
+        elif bad:
+            zero = F.lit(0).cast("bigint")
+            _write_stats(session.range(1).select(
+                zero.alias("rows_total"), zero.alias("rows_sent"), zero.alias("rows_rejected"),
+                F.lit(len(bad)).cast("bigint").alias("files_rejected"), bid.alias("batch_id")), out_dir, epoch_id)
+        if bad:
+            rows = [(f, f"header lacks {missing_column(headers[f])}") for f in bad]
+            (session.createDataFrame(rows, "source_file string, reject_reason string").coalesce(1)
+             .write.mode("overwrite").parquet(epoch_dir(f"{out_dir}/rejected_files", epoch_id)))
+        commit(session, out_dir, epoch_id)
 
     w = src.writeStream.foreachBatch(process).option("checkpointLocation", f"{out_dir}/_checkpoints/ingest")
     return _trigger(w, available_now, processing_time).start()
 
 
+def _write_stats(stats: DataFrame, out_dir: str, epoch_id: int) -> None:
+    stats.coalesce(1).write.mode("overwrite").parquet(epoch_dir(f"{out_dir}/stats", epoch_id))
+
+
 def collector_metrics(decoded: DataFrame) -> DataFrame:
-    """Attach the collector counters as observed metrics named 'collector'."""
+    """Attach the decoding counters as observed metrics named 'collector'."""
     ok = F.col("reject_reason").isNull()
-    return decoded.observe(
-        "collector",
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(~ok).alias("errors"),
-        F.count_if(ok).alias("gpus_stored"),
-        F.count_if(ok).alias("telemetry_stored"),
-    )
+    return decoded.observe("collector", F.count(F.lit(1)).alias("processed"), F.count_if(~ok).alias("rejected"))
 
 
 def start_collector(
@@ -101,16 +119,21 @@ def start_collector(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files: int | None = None,
+    report_seconds: float = REPORT_SECONDS,
 ) -> StreamingQuery:
-    """Message files -> ``out_dir/telemetry``, ``device_updates``, ``quarantine``.
+    """Message files -> ``out_dir/telemetry``, ``registry``, ``quarantine``, ``stats``.
 
-    A failing device write is logged and does not block telemetry (the
-    telemetry of the epoch is written first).
+    Telemetry is written first.  Then the epoch's latest row per device is
+    folded into the registry snapshot.  A failing fold is tried again, then the
+    rows are set aside in ``devices_pending`` for the next epoch's fold and
+    counted as errors; telemetry is not held up.  ``stats`` counts what was
+    written, after it was written.  Progress is logged every ``report_seconds``.
     """
     src = stream_messages(spark, messages_path, extra_schema=extra_schema, max_files=max_files)
     decoded = collector_metrics(decode_messages(src))
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
         b = batch.persist()
         try:
             # same layout as the telemetry table: AQE-sized tasks per date (no
@@ -120,51 +143,99 @@ def start_collector(
                 .hint("rebalance", "event_date")
                 .sortWithinPartitions("event_date", "gpu_uuid", "timestamp")
             )
-            t.write.mode("overwrite").partitionBy("event_date").parquet(_epoch_dir(f"{out_dir}/telemetry", epoch_id))
+            at = epoch_dir(f"{out_dir}/telemetry", epoch_id)
+            t.write.mode("overwrite").partitionBy("event_date").parquet(at)
+            stored = session.read.schema(t.schema).parquet(at).count()  # from the files' footers
             b.where(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(
-                _epoch_dir(f"{out_dir}/quarantine", epoch_id)
+                epoch_dir(f"{out_dir}/quarantine", epoch_id)
             )
-            try:
-                upd = message_devices(b)
-                upd.write.mode("overwrite").parquet(_epoch_dir(f"{out_dir}/device_updates", epoch_id))
-            except Exception:  # noqa: BLE001 - non-fatal by contract
-                log.exception("device updates of epoch %s not stored", epoch_id)
+            folded = _store_devices(session, message_devices(b), out_dir, epoch_id)
+            processed, rejected = b.agg(F.count(F.lit(1)), F.count_if(F.col("reject_reason").isNotNull())).first()
+            valid = processed - rejected
+            counts = {"processed": processed, "errors": rejected + (0 if folded else valid),
+                      "gpus_stored": valid if folded else 0, "telemetry_stored": stored}
+            _write_stats(session.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in counts.items()]),
+                         out_dir, epoch_id)
+            commit(session, out_dir, epoch_id)
         finally:
             b.unpersist()
 
+    reporter = ObservedMetricsReporter(seconds=report_seconds)
+    spark.streams.addListener(reporter)
     w = decoded.writeStream.foreachBatch(process).option("checkpointLocation", f"{out_dir}/_checkpoints/collector")
-    return _trigger(w, available_now, processing_time).start()
-
-
-def read_epochs(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """All committed epochs under ``base`` (the ``epoch`` column is the partition)."""
-    return spark.read.format(fmt).option("basePath", base).load(base)
+    query = _trigger(w, available_now, processing_time).start()
+    reporter.watch(spark, str(query.id))
+    return query
 
 
-def registry_from_updates(updates: DataFrame) -> DataFrame:
-    """Registry view over the device change log: latest update per uuid.
+def _store_devices(session: SparkSession, updates: DataFrame, out_dir: str, epoch_id: int) -> bool:
+    """Fold the epoch's devices, and those that earlier epochs set aside, into a new snapshot.
 
-    Ordered by (epoch, seq) when seq is present; the change log is append
-    only, so compaction is a batch job writing this view as a snapshot.
+    The base is the newest snapshot of a committed epoch before this one, so a
+    replayed epoch folds the same rows into the same base.
     """
-    order = [F.col("epoch").desc()] + ([F.col("seq").desc()] if "seq" in updates.columns else [])
-    order += [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
-    return latest_per_key(updates, "uuid", order).select(*DEVICE_COLUMNS)
+    order = F.col("seq") if "seq" in updates.columns else F.lit(epoch_id)
+    own = _latest(updates.select(*DEVICE_COLUMNS, order.cast("bigint").alias("ord")))
+    for attempt in range(1, STORE_ATTEMPTS + 1):
+        try:
+            base, rows = f"{out_dir}/registry", own
+            before = [e for e in committed(session, out_dir) if e < epoch_id]
+            there = set(fs.list_names(session, base))
+            last = max((e for e in before if epoch_dir("", e)[1:] in there), default=-1)
+            if last >= 0:
+                rows = rows.unionByName(session.read.parquet(epoch_dir(base, last)))
+            waiting = set(fs.list_names(session, f"{out_dir}/devices_pending"))
+            for e in before:
+                if e > last and epoch_dir("", e)[1:] in waiting:
+                    rows = rows.unionByName(session.read.parquet(epoch_dir(f"{out_dir}/devices_pending", e)))
+            _latest(rows).write.mode("overwrite").parquet(epoch_dir(base, epoch_id))
+            return True
+        except Exception:  # noqa: BLE001 - non-fatal by contract
+            log.exception("devices of epoch %s not stored (attempt %s)", epoch_id, attempt)
+    try:
+        own.write.mode("overwrite").parquet(epoch_dir(f"{out_dir}/devices_pending", epoch_id))
+    except Exception:  # noqa: BLE001
+        log.exception("devices of epoch %s not set aside", epoch_id)
+    return False
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """The row of the greatest ``ord`` per uuid; ties fall back to the contents."""
+    order = [F.col("ord").desc_nulls_last()] + [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
+    return latest_per_key(rows, "uuid", order)
+
+
+def read_collected_registry(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The registry snapshot of the newest committed epoch that has one."""
+    paths = epoch_paths(spark, f"{out_dir}/registry")
+    if not paths:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in DEVICE_COLUMNS))
+    return spark.read.parquet(paths[-1]).select(*DEVICE_COLUMNS)
+
+
+def stream_totals(spark: SparkSession, out_dir: str, columns: list[str]) -> DataFrame:
+    """Sums of the committed epochs' stats, however many there are."""
+    return read_epochs(spark, f"{out_dir}/stats").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in columns])
 
 
 class ObservedMetricsReporter(StreamingQueryListener):
-    """Progress reporter: accumulates (and logs) observed counters per query.
+    """Accumulates one query's observed counters and logs them every ``seconds``.
 
-    ``recentProgress`` keeps only the last few updates; a listener sees every
-    micro-batch, so totals stay right for streams that run for days.
-    Register with ``spark.streams.addListener(reporter)``.
+    It removes itself when its query ends.  Totals that have to be exact come
+    from the epochs' stats (``stream_totals``), which also outlive the process.
     """
 
-    def __init__(self, name: str = "collector", log_every: int = 1):
-        self.name = name
-        self.log_every = max(1, log_every)
+    def __init__(self, name: str = "collector", seconds: float = REPORT_SECONDS):
+        self.name, self.seconds = name, seconds
         self.totals: dict[str, dict[str, int]] = {}
-        self._batches = 0
+        self.reports = 0
+        self._last = time.monotonic()
+        self._spark: SparkSession | None = None
+        self._query: str | None = None
+
+    def watch(self, spark: SparkSession, query_id: str) -> None:
+        self._spark, self._query = spark, query_id
 
     def onQueryStarted(self, event) -> None:  # noqa: N802 - listener API
         pass
@@ -176,12 +247,18 @@ class ObservedMetricsReporter(StreamingQueryListener):
         acc = self.totals.setdefault(str(event.progress.id), {})
         for k, v in row.asDict().items():
             acc[k] = acc.get(k, 0) + int(v or 0)
-        self._batches += 1
-        if self._batches % self.log_every == 0:
-            log.info("%s stats for %s: %s", self.name, event.progress.id, acc)
+        self._report(str(event.progress.id))
+
+    def _report(self, query_id: str, always: bool = False) -> None:
+        if always or time.monotonic() - self._last >= self.seconds:
+            self._last = time.monotonic()
+            self.reports += 1
+            log.info("%s stats for %s: %s", self.name, query_id, self.totals.get(query_id))
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
+        if self._query == str(event.id):
+            self._report(self._query, always=True)
+            self._spark.streams.removeListener(self)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from telemetry_engine.operators.messages import decode_messages
 from telemetry_engine.plans import catalog
@@ -17,100 +16,83 @@ from telemetry_engine.plans.oracle import ACK, CSV, DEC, LOG, MSG, REC, TEL, K,
 from telemetry_engine.schemas import DELIVERY_EVENT_SCHEMA, DEVICE_COLUMNS, TELEMETRY_SCHEMA
 from telemetry_engine.sources.messages_io import read_messages
 from telemetry_engine.streaming.dedup import dedup_stream
-from telemetry_engine.streaming.leases import lease_expiries
+from telemetry_engine.streaming.epochs import epoch_paths, read_epochs, state_on_disk
+from telemetry_engine.streaming.leases import expired_leases, lease_updates
 from telemetry_engine.streaming.pipeline import (
-    read_epochs, registry_from_updates, start_collector, start_ingest,
+    read_collected_registry, start_collector, start_ingest, stream_totals,
 )
 
-_collector_runs: dict[str, tuple[str, dict]] = {}
+COUNTERS = ["processed", "errors", "gpus_stored", "telemetry_stored"]
+FILES_PER_BATCH = 3  # several micro-batches, whose events are out of order
 
 
 def _run_ingest(spark: SparkSession, sf: str) -> str:
     out = catalog.run_dir(spark, "ingest")
-    q = start_ingest(spark, catalog.metrics_csv_dir(spark, sf), out)
-    q.awaitTermination()
+    start_ingest(spark, catalog.metrics_csv_dir(spark, sf), out).awaitTermination()
     return out
 
 
-def _run_collector(spark: SparkSession, sf: str) -> tuple[str, dict]:
-    """One collector run per input per process; returns (out dir, observed totals)."""
-    key = catalog.derived_path(spark, sf, "collector", ["events", "customer", "nation"])
-    if key not in _collector_runs:
-        out = catalog.run_dir(spark, "collector")
-        q = start_collector(spark, catalog.messages_dir(spark, sf), out, extra_schema="seq bigint")
-        q.awaitTermination()
-        totals: dict[str, int] = {}
-        for p in q.recentProgress:
-            row = (p.observedMetrics or {}).get("collector")
-            if row is not None:
-                for k, v in row.asDict().items():
-                    totals[k] = totals.get(k, 0) + int(v)
-        _collector_runs[key] = (out, totals)
-    return _collector_runs[key]
+def _run_collector(spark: SparkSession, sf: str) -> str:
+    out = catalog.run_dir(spark, "collector")
+    start_collector(spark, catalog.messages_dir(spark, sf), out, extra_schema="seq bigint").awaitTermination()
+    return out
 
 
 def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     out = _run_ingest(spark, sf)
-    m = decode_messages(read_messages(spark, f"{out}/messages/epoch=*"))
+    m = decode_messages(read_messages(spark, epoch_paths(spark, f"{out}/messages")))
     return m.select("gpu_uuid", "metric_name", "value", "labels_raw", "reject_reason")
 
 
 def q_stream_ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
-    out = _run_ingest(spark, sf)
-    s = read_epochs(spark, f"{out}/stats")
-    return s.agg(*[F.sum(c).cast("bigint").alias(c) for c in ["rows_total", "rows_sent", "rows_rejected"]])
+    return stream_totals(spark, _run_ingest(spark, sf), ["rows_total", "rows_sent", "rows_rejected"])
 
 
 def q_collector_stream(spark: SparkSession, sf: str) -> DataFrame:
-    out, _ = _run_collector(spark, sf)
-    t = read_epochs(spark, f"{out}/telemetry")
+    t = read_epochs(spark, f"{_run_collector(spark, sf)}/telemetry")
     return t.select("gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "labels_raw", "seq")
 
 
 def q_collector_registry(spark: SparkSession, sf: str) -> DataFrame:
-    out, _ = _run_collector(spark, sf)
-    return registry_from_updates(read_epochs(spark, f"{out}/device_updates"))
+    return read_collected_registry(spark, _run_collector(spark, sf))
+
+
+def q_collector_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters of every epoch that has input, with its number of telemetry rows found in the store."""
+    out = _run_collector(spark, sf)
+    stats = read_epochs(spark, f"{out}/stats").groupBy().agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    rows = read_epochs(spark, f"{out}/telemetry").agg(F.count(F.lit(1)).alias("telemetry_rows"))
+    devices = read_collected_registry(spark, out).agg(F.count(F.lit(1)).alias("devices"))
+    return stats.select(*COUNTERS, rows.scalar().alias("telemetry_rows"), devices.scalar().alias("devices"))
 
 
 def q_stream_progress(spark: SparkSession, sf: str) -> DataFrame:
-    _, totals = _run_collector(spark, sf)
-    cols = ["processed", "errors", "gpus_stored", "telemetry_stored"]
-    return spark.createDataFrame([tuple(totals.get(c, 0) for c in cols)], ", ".join(f"{c} bigint" for c in cols))
+    return stream_totals(spark, _run_collector(spark, sf), COUNTERS)
 
 
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    catalog.telemetry_table(spark, sf)
-    src_path = catalog.derived_path(spark, sf, "telemetry", ["events"])
-    schema = T.StructType(TELEMETRY_SCHEMA.fields + [T.StructField("event_date", T.DateType())])
-    src = spark.readStream.schema(schema).parquet(src_path)
+    src = (spark.readStream.schema(TELEMETRY_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH)
+           .parquet(catalog.telemetry_arrivals_dir(spark, sf)))
     out = catalog.run_dir(spark, "dedup")
-    q = (
-        dedup_stream(src, delay="1 hour")
-        .select("point_key", "gpu_uuid", "metric_name", "batch_id")
-        .writeStream.format("parquet")
-        .option("path", f"{out}/data")
-        .option("checkpointLocation", f"{out}/_checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    rows = dedup_stream(src).select("point_key", "gpu_uuid", "metric_name", "batch_id")
+    _drain(spark, rows, out)
     return spark.read.parquet(f"{out}/data")
 
 
 def q_lease_expiry_stream(spark: SparkSession, sf: str) -> DataFrame:
-    src = spark.readStream.schema(DELIVERY_EVENT_SCHEMA).parquet(catalog.delivery_log_dir(spark, sf))
+    src = (spark.readStream.schema(DELIVERY_EVENT_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH)
+           .parquet(catalog.delivery_log_dir(spark, sf)))
     out = catalog.run_dir(spark, "leases")
-    q = (
-        lease_expiries(spark, src)
-        .writeStream.format("parquet")
-        .option("path", f"{out}/data")
-        .option("checkpointLocation", f"{out}/_checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    _drain(spark, lease_updates(src), out)
+    return expired_leases(spark.read.parquet(f"{out}/data"))
+
+
+def _drain(spark: SparkSession, rows: DataFrame, out: str) -> None:
+    with state_on_disk(spark):
+        query = (rows.writeStream.format("parquet").option("path", f"{out}/data")
+                 .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
 
 
 STREAM_QUERIES = {
@@ -138,6 +120,12 @@ STREAM_ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE reject_reason IS NOT NULL) AS errors,
         count(*) FILTER (WHERE reject_reason IS NULL) AS gpus_stored,
         count(*) FILTER (WHERE reject_reason IS NULL) AS telemetry_stored FROM decv""",
+    "collector_stats_stream": _w(REC, MSG, DEC) + """SELECT count(*) AS processed,
+        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS errors,
+        count(*) FILTER (WHERE reject_reason IS NULL) AS gpus_stored,
+        count(*) FILTER (WHERE reject_reason IS NULL) AS telemetry_stored,
+        count(*) FILTER (WHERE reject_reason IS NULL) AS telemetry_rows,
+        count(DISTINCT gpu_uuid) FILTER (WHERE reject_reason IS NULL) AS devices FROM decv""",
     "stream_dedup": _w(TEL) + """SELECT DISTINCT gpu_uuid || ':' || metric_name || ':' || batch_id AS point_key,
         gpu_uuid, metric_name, batch_id FROM tel""",
     "lease_expiry_stream": _w(LOG, ACK) + f""", lf AS (

@@ -6,7 +6,7 @@ import pytest
 
 from telemetry_engine.operators import history as H
 
-U1 = "GPU-5fd4f087-86f3-7a43-b711-4771313afc50"
+U1 = "GPU-0000002a-0000-0000-0000-00000000002a"
 U2 = "GPU-00000000-0000-0000-0000-000000000000"
 T0 = datetime(2025, 1, 18, 12, 0, 0)
 TEL_DDL = "gpu_uuid string, metric_name string, value string, timestamp timestamp_ntz, batch_id string, labels_raw string, seq long"

@@ -2,7 +2,7 @@
 
 import time
 
-from telemetry_engine.sources.csv_metrics import good_rows, read_metrics_csv_files
+from telemetry_engine.sources.csv_metrics import good_rows, read_metrics_csv
 from telemetry_engine.sources.store import read_registry, upsert_registry
 from telemetry_engine.streaming.pipeline import ObservedMetricsReporter
 
@@ -32,7 +32,7 @@ def test_files_with_different_header_layouts(spark, tmp):
         f.write("timestamp,metric_name,gpu_id,device,uuid,modelName,Hostname,value\nt,m,0,n0,GPU-1,H,h,1\n")
     with open(b, "w") as f:
         f.write("value,uuid,metric_name,Hostname,modelName,device,gpu_id,timestamp,pod\n2,GPU-2,m,h,H,n1,1,t,p9\n")
-    rows = sorted((r.uuid, r.value, r.pod, r.device) for r in good_rows(read_metrics_csv_files(spark, [a, b])).collect())
+    rows = sorted((r.uuid, r.value, r.pod, r.device) for r in good_rows(read_metrics_csv(spark, [a, b])).collect())
     assert rows == [("GPU-1", "1", "", "n0"), ("GPU-2", "2", "p9", "n1")]
 
 
@@ -58,7 +58,6 @@ def test_progress_listener_accumulates(spark, tmp):
 def test_directory_with_mixed_header_layouts(spark, tmp):
     import os
 
-    from telemetry_engine.sources.csv_metrics import read_metrics_csv_by_header
 
     d = f"{tmp}/mixed"
     os.makedirs(d)
@@ -72,5 +71,5 @@ def test_directory_with_mixed_header_layouts(spark, tmp):
     for name, text in layouts.items():
         with open(f"{d}/{name}", "w") as f:
             f.write(text)
-    rows = sorted((r.uuid, r.value, r.device) for r in good_rows(read_metrics_csv_by_header(spark, d)).collect())
+    rows = sorted((r.uuid, r.value, r.device) for r in good_rows(read_metrics_csv(spark, d)).collect())
     assert rows == [("GPU-1", "1", "n0"), ("GPU-2", "2", "n1"), ("GPU-3", "3", "n3")]

@@ -58,6 +58,26 @@ def parse_int(c: Column | str) -> Column:
     return F.when(matches_whole(c, INT_REGEX), c.try_cast("bigint"))
 
 
+def metadata_get(c: Column | str, key: str) -> Column:
+    """Struct (found, value) of one key of a JSON object in text.
+
+    ``found`` is true for a key that is there, also with a JSON null; ``value``
+    is its text, or the JSON text of what is no string; null for null or absent.
+    Text that is no object holds no key.
+    """
+    raw = F.from_json(_c(c), f"struct<`{key}`: variant>")[key]
+    kind = F.schema_of_variant(raw)
+    value = F.when(kind == "STRING", F.try_variant_get(raw, "$", "string")).when(kind != "VOID", F.to_json(raw))
+    found = F.coalesce(_c(c).rlike(r"\A\s*\{"), F.lit(False)) & raw.isNotNull()
+    return F.struct(found.alias("found"), value.alias("value"))
+
+
+def header_get(c: Column | str, key: str) -> Column:
+    """Struct (found, value) of one key of a map."""
+    return F.struct(F.coalesce(F.map_contains_key(_c(c), key), F.lit(False)).alias("found"),
+                    F.try_element_at(_c(c), F.lit(key)).alias("value"))
+
+
 def clamp(c: Column | str, lo: int = PREFETCH_MIN, hi: int = PREFETCH_MAX) -> Column:
     return F.least(F.greatest(_c(c), F.lit(lo)), F.lit(hi))
 

@@ -125,6 +125,7 @@ def messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ARRIVAL_FILES = 12
+RUN_HOURS = 24
 
 
 def delivery_log_dir(spark: SparkSession, sf_dir: str) -> str:
@@ -147,7 +148,10 @@ def _arrivals(spark: SparkSession, sf_dir: str, name: str, rows) -> str:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """Fresh output folder for one stream run."""
+    """Fresh output folder for one run; its result reads from it, so it is removed by a later run, after a day."""
     import uuid
 
-    return f"{shared_dir(spark)}/telemetry_engine/runs/{name}-{uuid.uuid4().hex[:12]}"
+    base = f"{shared_dir(spark)}/telemetry_engine/runs"
+    for old in fs.older_than(spark, base, RUN_HOURS):
+        fs.delete(spark, old)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"

@@ -304,7 +304,13 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE reject_reason IS NULL) AS rows_sent,
         count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rows_rejected
         FROM csv GROUP BY 1""",
-    "append_roundtrip": _w(TEL) + "SELECT *, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date FROM tel",
+    "append_roundtrip": _w(TEL) + """SELECT *, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date
+        FROM (SELECT * FROM tel UNION ALL SELECT * FROM tel WHERE metric_name = 'signup')""",
+    "metadata_get": _w(REC, MSG) + "SELECT id, " + ", ".join(
+        f"json_type(metadata, '$.{k}') IS NOT NULL AS {k}_found, json_extract_string(metadata, '$.{k}') AS {k}_value"
+        for k in ("device", "gpu_index", "x", "rack"))
+        + """, true AS instance_id_found, 'streamer-0' AS instance_id_value, false AS trace_found,
+        CAST(NULL AS VARCHAR) AS trace_value FROM msg""",
     "to_telemetry": _w(REC, CSV) + f"""SELECT uuid AS gpu_uuid, metric_name, value, {BATCH_TS_SQL} AS timestamp,
         {BATCH_ID_SQL} AS batch_id, labels_raw FROM csv WHERE reject_reason IS NULL""",
     "to_devices": _w(REC, CSV) + """SELECT uuid, device AS device_id, gpu_id AS gpu_index, modelName AS model_name,

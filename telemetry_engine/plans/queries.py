@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from telemetry_engine import adapters
 from telemetry_engine.functions import scalars, timeutil
 from telemetry_engine.operators import delivery, dedup, history, ingest, messages, registry, render, routing
-from telemetry_engine.plans.catalog import messages_table, metrics_csv_dir, telemetry_table
+from telemetry_engine.plans.catalog import messages_table, metrics_csv_dir, run_dir, telemetry_table
 from telemetry_engine.schemas import CSV_COLUMNS, METRIC_CATALOGUE
 from telemetry_engine.session import materialize
 from telemetry_engine.sources.csv_metrics import good_rows, read_metrics_csv, rejected_rows
+from telemetry_engine.sources.store import append_telemetry, read_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,8 +84,15 @@ def q_ingest_stats(spark, sf):
 
 
 def q_append_roundtrip(spark, sf):
+    """Two appends and an empty one; points that are appended again stay twice."""
+    t = adapters.telemetry_from_events(_t(spark, sf, "events"))
+    path = run_dir(spark, "append")
+    signup = F.col("metric_name") == "signup"
+    append_telemetry(t.where(F.col("metric_name") != "error"), path)
+    append_telemetry(t.where(signup | (F.col("metric_name") == "error")), path)
+    append_telemetry(t.where(F.lit(False)), path)
     # the partition value is rendered as ISO text so both engines compare alike
-    return telemetry_table(spark, sf).select(
+    return read_telemetry(spark, path).select(
         "gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "labels_raw", "seq",
         F.col("event_date").cast("string").alias("event_date"),
     )
@@ -134,6 +142,14 @@ def q_message_headers(spark, sf):
     return m.select("id", F.explode("headers").alias("header_key", "header_value"))
 
 
+def q_metadata_get(spark, sf):
+    """Found and absent keys of the metadata text and of the headers."""
+    m = messages_table(spark, sf)
+    got = {k: scalars.metadata_get("metadata", k) for k in ("device", "gpu_index", "x", "rack")}
+    heads = {k: scalars.header_get("headers", k) for k in ("instance_id", "trace")}
+    return m.select("id", *[c[f].alias(f"{k}_{f}") for k, c in {**got, **heads}.items() for f in ("found", "value")])
+
+
 def q_decode_messages(spark, sf):
     return _decoded(spark, sf).select(
         "id", "gpu_uuid", "metric_name", "value", "timestamp", "batch_id", "labels_raw", "reject_reason"

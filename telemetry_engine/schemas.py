@@ -46,24 +46,15 @@ METRIC_CATALOGUE = [
 UUID_PATTERN = r"(GPU-)?[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 # Request limits and queue defaults.
 HISTORY_MAX_LIMIT = 10000
-PREFETCH_DEFAULT, PREFETCH_MIN, PREFETCH_MAX = 500, 1, 2500
+PREFETCH_MIN, PREFETCH_MAX = 1, 2500
 VISIBILITY_TIMEOUT_SECONDS = 300
 MAX_RETRIES = 3
 DEFAULT_TOPIC = "telemetry"
-# Request status values, in validation precedence order.
-STATUS_ORDER = [
-    "missing_uuid", "invalid_uuid", "invalid_start", "invalid_end",
-    "invalid_range", "invalid_limit", "not_found", "ok",
-]
-# Delivery states derived from a delivery-event log.
-DELIVERY_STATES = ["ready", "in_flight", "acked", "redeliver", "dead_letter"]
 
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
 
-CSV_SCHEMA = T.StructType([T.StructField(c, S) for c in CSV_COLUMNS])
-
 TELEMETRY_SCHEMA = T.StructType([
     T.StructField("gpu_uuid", S),
     T.StructField("metric_name", S),
@@ -78,7 +69,6 @@ DEVICE_COLUMNS = [
     "uuid", "device_id", "gpu_index", "model_name", "hostname",
     "container", "pod", "namespace",
 ]
-DEVICE_SCHEMA = T.StructType([T.StructField(c, S) for c in DEVICE_COLUMNS])
 
 # payload and metadata are JSON text; metadata values may be of any JSON type.
 MESSAGE_SCHEMA = T.StructType([
@@ -90,16 +80,6 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("metadata", S),
 ])
 
-# What a telemetry payload decodes to.
-PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("gpu_uuid", S),
-    T.StructField("metric_name", S),
-    T.StructField("value", S),
-    T.StructField("timestamp", S),
-    T.StructField("batch_id", S),
-    T.StructField("labels_raw", S),
-])
-
 DELIVERY_EVENT_SCHEMA = T.StructType([
     T.StructField("topic", S),
     T.StructField("consumer_group", S),
@@ -109,11 +89,3 @@ DELIVERY_EVENT_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampNTZType()),
     T.StructField("seq", T.LongType()),
 ])
-
-REQUEST_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType()),
-    T.StructField("uuid", S),
-    T.StructField("start_time", S),
-    T.StructField("end_time", S),
-    T.StructField("limit", S),
-])

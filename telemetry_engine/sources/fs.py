@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -54,3 +56,12 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or directory that this run made."""
     fs, p = _fs_and_path(spark, path)
     fs.delete(p, True)
+
+
+def older_than(spark: SparkSession, path: str, hours: float) -> list[str]:
+    """Directories directly under ``path`` that were last changed that long ago."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    limit = int(time.time() * 1000 - hours * 3_600_000)
+    return [str(s.getPath()) for s in fs.listStatus(p) if s.isDirectory() and s.getModificationTime() < limit]

@@ -186,13 +186,14 @@ def subscriptions(spark: SparkSession) -> DataFrame:
 def history_requests_from_customers(customer: DataFrame) -> DataFrame:
     """One history request per customer, covering every validation outcome.
 
-    uuid: nation 24 -> missing, 23 -> malformed, 22 -> well formed but unknown.
-    start: AUTOMOBILE -> none, nation 21 -> garbage, 15 -> bare date,
+    uuid: nation 24 -> missing, 23 -> malformed, 22 -> well formed but unknown,
+           12 -> a line feed at the end.
+    start: AUTOMOBILE -> none, nation 21 -> garbage, 15 -> bare date, 11 -> a line feed at the end,
            14 -> +02:00 offset, else 2024-01-(1 + nation % 10) at hour custkey % 24.
     end:   FURNITURE -> none, nation 20 -> month 13, 19 -> before any start,
            else start day + 1 + custkey % 7 at 12:00.
     limit: HOUSEHOLD -> none, nation 18 -> 'abc', 17 -> 0, 16 -> 10001,
-           13 -> 10000, else 1 + custkey % 7.
+           13 -> 10000, 10 -> a line feed at the end, else 1 + custkey % 7.
     """
     k, n, seg = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
     day_s = F.lit(1) + n % 10
@@ -200,12 +201,14 @@ def history_requests_from_customers(customer: DataFrame) -> DataFrame:
         F.when(n == 24, F.lit(""))
         .when(n == 23, F.concat(F.lit("gpu-"), F.col("c_name")))
         .when(n == 22, gpu_uuid_of(k + F.lit(1000000000)))
+        .when(n == 12, F.concat(gpu_uuid_of(k), F.lit("\n")))
         .otherwise(gpu_uuid_of(k))
     )
     start = (
         F.when(seg == "AUTOMOBILE", F.lit(""))
         .when(n == 21, F.lit("invalid"))
         .when(n == 15, F.lit("2024-01-05"))
+        .when(n == 11, F.lit("2024-01-05T00:00:00Z\n"))
         .when(n == 14, F.format_string("2024-01-%02dT%02d:00:00+02:00", day_s, k % 24))
         .otherwise(F.format_string("2024-01-%02dT%02d:00:00Z", day_s, k % 24))
     )
@@ -221,6 +224,7 @@ def history_requests_from_customers(customer: DataFrame) -> DataFrame:
         .when(n == 17, F.lit("0"))
         .when(n == 16, F.lit("10001"))
         .when(n == 13, F.lit("10000"))
+        .when(n == 10, F.lit("5\n"))
         .otherwise((F.lit(1) + k % 7).cast("string"))
     )
     return customer.select(

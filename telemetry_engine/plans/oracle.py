@@ -41,7 +41,12 @@ def _open(fetch_ts: str, at: str) -> str:
     return f"(date_trunc('second', {fetch_ts} + INTERVAL 300 SECOND) > date_trunc('second', {at}))"
 
 
-UUID_RE = r"^(GPU-)?[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+def _uuid_ok(x: str) -> str:
+    """The uuid format, by lengths and places instead of a pattern."""
+    bare = f"(CASE WHEN starts_with({x}, 'GPU-') THEN substring({x}, 5) ELSE {x} END)"
+    dashes = " AND ".join(f"substring({bare}, {k}, 1) = '-'" for k in (9, 14, 19, 24))
+    return (f"coalesce(length({bare}) = 36 AND {dashes} AND length(replace({bare}, '-', '')) = 32"
+            f" AND translate(lower({bare}), '0123456789abcdef-', '') = '', false)")
 
 TEL = f"""tel AS (
   SELECT {_uuid('user_id')} AS gpu_uuid, event_type AS metric_name,
@@ -161,10 +166,12 @@ REQ = f"""req AS (
     CASE WHEN c_nationkey = 24 THEN ''
          WHEN c_nationkey = 23 THEN 'gpu-' || c_name
          WHEN c_nationkey = 22 THEN {_uuid('(c_custkey + 1000000000)')}
+         WHEN c_nationkey = 12 THEN {_uuid('c_custkey')} || chr(10)
          ELSE {_uuid('c_custkey')} END AS uuid,
     CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN ''
          WHEN c_nationkey = 21 THEN 'invalid'
          WHEN c_nationkey = 15 THEN '2024-01-05'
+         WHEN c_nationkey = 11 THEN '2024-01-05T00:00:00Z' || chr(10)
          WHEN c_nationkey = 14 THEN printf('2024-01-%02dT%02d:00:00+02:00', 1 + c_nationkey % 10, c_custkey % 24)
          ELSE printf('2024-01-%02dT%02d:00:00Z', 1 + c_nationkey % 10, c_custkey % 24) END AS start_time,
     CASE WHEN c_mktsegment = 'FURNITURE' THEN ''
@@ -176,6 +183,7 @@ REQ = f"""req AS (
          WHEN c_nationkey = 17 THEN '0'
          WHEN c_nationkey = 16 THEN '10001'
          WHEN c_nationkey = 13 THEN '10000'
+         WHEN c_nationkey = 10 THEN '5' || chr(10)
          ELSE CAST(1 + c_custkey % 7 AS VARCHAR) END AS "limit"
   FROM customer)"""
 
@@ -188,7 +196,7 @@ VAL = f"""val0 AS (
 val AS (
   SELECT request_id, uuid, start_ts, end_ts, limit_n,
     CASE WHEN uuid = '' THEN 'missing_uuid'
-         WHEN NOT regexp_matches(uuid, '{UUID_RE}') THEN 'invalid_uuid'
+         WHEN NOT {_uuid_ok('uuid')} THEN 'invalid_uuid'
          WHEN start_time <> '' AND start_ts IS NULL THEN 'invalid_start'
          WHEN end_time <> '' AND end_ts IS NULL THEN 'invalid_end'
          WHEN start_ts > end_ts THEN 'invalid_range'
@@ -346,7 +354,7 @@ ORACLE: dict[str, str] = {
     "devices_with_telemetry": _w(DEV, TEL) + "SELECT * FROM dev WHERE uuid IN (SELECT gpu_uuid FROM tel)",
     "get_device": _w(DEV) + "SELECT * FROM dev WHERE uuid = 'GPU-00000007-0000-0000-0000-000000000007'",
     "unknown_devices": _w(DEV, REQ) + f"""SELECT DISTINCT uuid FROM req
-        WHERE regexp_matches(uuid, '{UUID_RE}') AND uuid NOT IN (SELECT uuid FROM dev)""",
+        WHERE {_uuid_ok('uuid')} AND uuid NOT IN (SELECT uuid FROM dev)""",
     "device_upsert": _w(DEV, REC) + """, u AS (
           SELECT uuid, device_id, gpu_index, model_name, hostname, container, pod, namespace,
                  0 AS src, CAST(NULL AS BIGINT) AS ord FROM dev
@@ -365,7 +373,7 @@ ORACLE: dict[str, str] = {
           AND timestamp >= TIMESTAMP '2024-01-05 00:00:00' AND timestamp <= TIMESTAMP '2024-01-20 00:00:00'
         ORDER BY timestamp DESC, seq DESC LIMIT 20""",
     "uuid_check": _w(REQ) + f"""SELECT request_id, uuid,
-        coalesce(regexp_matches(uuid, '{UUID_RE}'), false) AS uuid_valid FROM req""",
+        {_uuid_ok('uuid')} AS uuid_valid FROM req""",
     "validate_requests": _w(DEV, REQ, VAL) + "SELECT * FROM val",
     "bulk_history_status": _w(DEV, REQ, VAL) + "SELECT request_id, uuid, status FROM st",
     "bulk_history": _w(DEV, TEL, REQ, VAL, BULK) + "SELECT * FROM bulk",

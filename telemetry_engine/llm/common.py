@@ -27,6 +27,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/telemetry_engine/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns that are computed once.
+
+    They come out of a generator (``inline`` of a one-element array), so that
+    neither a filter on them nor an expression that uses them several times, a
+    lambda above all, makes Catalyst put the whole computation in their place.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
@@ -83,6 +93,15 @@ def chunks(offsets: np.ndarray, size: int = 1 << 20):
         a = b
 
 
+def pieces(batch: pa.RecordBatch, column: int, size: int = 2 << 20):
+    """Slices of a batch with about ``size`` bytes of text each, so that the arrays over a text's bytes stay small."""
+    if not batch.num_rows:
+        return
+    _, offsets = utf8(batch.column(column))
+    for a, b in chunks(offsets, size):
+        yield batch.slice(a, b - a)
+
+
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)

@@ -205,7 +205,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, m
 
         def find(batches: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:
             block = kept.value
-            for b in batches:
+            for b in (part for whole in batches for part in C.pieces(whole, 1)):
                 ids = b.column(0).to_pylist()
                 rows = []
                 for d, k, tiles in block.matches(b.column(1)):
@@ -239,7 +239,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, m
 
         def keep(batches: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:
             block = kept.value
-            for b in batches:
+            for b in (part for whole in batches for part in C.pieces(whole, column)):
                 ok = np.ones(b.num_rows, bool)
                 for d, k, tiles in block.matches(b.column(column)):
                     ok[d] &= block.coverage(k, tiles) < threshold

@@ -147,7 +147,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kept = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in C.pieces(whole, 1)):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept.value.score(b.column(1)), pa.float64())],
                                              ["doc_id", "score"])
 

@@ -186,9 +186,12 @@ class Restorer:
             lattice.append([(x, 0.0) for x in LOOK_ALIKES.get(c, c if c.isalpha() else " ")])
         return viterbi(lattice, self.model)
 
-    def text(self, lower: str) -> str:
-        lower = _APART.sub(self._apart, lower)
-        lower = _LEET.sub(lambda m: self.word(m[0]), lower)
+    def text(self, lower: str, kinds: int = 7) -> str:
+        """``kinds``: as ``disguised`` gives them; what one step restores may need the next."""
+        if kinds & 4:
+            lower = _APART.sub(self._apart, lower)
+        if kinds & 6:
+            lower = _LEET.sub(lambda m: self.word(m[0]), lower)
         return _DRAWN.sub(lambda m: self.word(m[0]), lower)
 
 
@@ -198,41 +201,53 @@ _BYTE_SYMBOL = np.zeros(256, bool)
 _BYTE_SYMBOL[[ord(c) for c in LOOK_ALIKES if ord(c) < 128]] = True
 _BYTE_MARK = np.zeros(256, bool)
 _BYTE_MARK[[ord(c) for c in " ._-*"]] = True
+_BYTE_WORD = _BYTE_LETTER | _BYTE_SYMBOL
+_BYTE_WORD[[*range(48, 58), ord("_")]] = True
 
 
 def disguised(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Which lower-case texts may hold a disguised word (a cheap test that misses none)."""
+    """What each lower-case text may hold: drawn-out words (1), symbols for letters (2), letters set apart (4).
+
+    A cheap test that misses none.
+    """
     n = len(offsets) - 1
+    out = np.zeros(n, np.int8)
     if len(data) < 2:
-        return np.zeros(n, bool)
-    letter, symbol, mark = _BYTE_LETTER[data], _BYTE_SYMBOL[data], _BYTE_MARK[data]
-    hit = np.zeros(len(data), bool)
-    hit[1:] |= symbol[:-1] & letter[1:]
-    hit[1:] |= letter[:-1] & symbol[1:] & (data[1:] < 58) & (data[1:] > 47)
-    hit[2:] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
-    # a letter of two bytes, three times
-    if len(data) >= 6:
-        hit[5:] |= (data[5:] > 127) & (data[5:] == data[3:-2]) & (data[3:-2] == data[1:-4])
-    single = letter | symbol
-    # mark, single, mark: letters of one byte or two
-    hit[2:] |= mark[:-2] & single[1:-1] & mark[2:]
-    hit[3:] |= mark[:-3] & (data[1:-2] > 127) & (data[2:-1] > 127) & mark[3:]
-    at = np.flatnonzero(hit)
-    out = np.zeros(n, bool)
-    out[np.searchsorted(offsets, at, side="right") - 1] = True
+        return out
+
+    def note(at: np.ndarray, kind: int) -> None:
+        out[np.unique(np.searchsorted(offsets, at, side="right") - 1)] |= kind
+
+    letter, symbol = _BYTE_LETTER[data], _BYTE_SYMBOL[data]
+    drawn = np.zeros(len(data), bool)
+    drawn[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
+    if len(data) >= 6:  # a letter of two bytes, three times
+        drawn[5:] |= ((data[5:] & 0xC0) == 0x80) & (data[5:] == data[3:-2]) & (data[3:-2] == data[1:-4])
+    note(np.flatnonzero(drawn), 1)
+    # a symbol before a letter, or a digit after one
+    note(np.flatnonzero((symbol[:-1] & letter[1:]) | (letter[:-1] & symbol[1:] & (data[1:] < 58) & (data[1:] > 47))), 2)
+    # three single characters with one mark between each two
+    first = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of characters
+    if len(first) >= 5:
+        char = data[first]
+        inside, mark = _BYTE_WORD[char], _BYTE_MARK[char]
+        apart = ~inside | mark
+        alone = inside.copy()
+        alone[1:] &= apart[:-1]
+        alone[:-1] &= apart[1:]
+        note(first[4:][alone[:-4] & mark[1:-3] & alone[2:-2] & mark[3:-1] & alone[4:]], 4)
     return out
 
 
 def restore(texts: pa.Array, restorer: Restorer) -> pa.Array:
     """Lower-case texts with disguised words restored; null counts as empty."""
     lower = pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
-    some = np.flatnonzero(disguised(*C.utf8(lower)))
+    kinds = disguised(*C.utf8(lower))
+    some = np.flatnonzero(kinds)
     if not len(some):
         return lower
-    mask = np.zeros(len(lower), bool)
-    mask[some] = True
-    fixed = [restorer.text(x) for x in lower.take(pa.array(some)).to_pylist()]
-    return pc.replace_with_mask(lower, pa.array(mask), pa.array(fixed, pa.large_string()))
+    fixed = [restorer.text(x, k) for x, k in zip(lower.take(pa.array(some)).to_pylist(), kinds[some].tolist())]
+    return pc.replace_with_mask(lower, pa.array(kinds > 0), pa.array(fixed, pa.large_string()))
 
 
 # --- features and score --------------------------------------------------------------------
@@ -286,7 +301,8 @@ def _counted(docs: DataFrame, text_col: str) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(TRIGRAMS, np.int64)
         for b in batches:
-            n += count_trigrams(b.column(0))
+            for part in C.pieces(b, 0):
+                n += count_trigrams(part.column(0))
         k = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(n[k])], ["k", "n"])
 
@@ -353,7 +369,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample:
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(CharacterModel(kept.value))
-        for b in batches:
+        for b in (part for whole in batches for part in C.pieces(whole, 2)):
             for a, z, f, d in features(restore(b.column(2), restorer)):
                 pair = np.unique(d * BUCKETS + f)
                 edge = np.searchsorted(pair, np.arange(z - a + 1) * BUCKETS)
@@ -401,7 +417,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = kept.value.scorer()
         restorer = Restorer(CharacterModel(kept.value.counts))
-        for b in batches:
+        for b in (part for whole in batches for part in C.pieces(whole, 1)):
             out = [b.column(0), pa.array(score(b.column(1)), pa.float64())]
             if with_text:
                 out.append(restore(b.column(1), restorer).cast(pa.string()))
@@ -418,7 +434,7 @@ def below(docs: DataFrame, model: Model, threshold: float, text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = kept.value.scorer()
-        for b in batches:
+        for b in (part for whole in batches for part in C.pieces(whole, column)):
             yield b.filter(pa.array(score(b.column(column)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

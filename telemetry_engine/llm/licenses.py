@@ -12,8 +12,9 @@ twentieth reach), at least ``MIN_KNOWN``.  A prediction is confirmed when a temp
 similar: the share of the smaller set of word pairs that both have is at least
 ``CONFIRM``.  An unconfirmed prediction is ``unknown`` too.
 
-Only paragraphs with a feature that speaks for some family against ``none`` are
-scored; without one, no family can outweigh the intercepts, which favour ``none``.
+Only paragraphs with a telling feature are scored.  The intercepts favour
+``none``, and features whose weights together cannot make up for that are not
+telling; a paragraph with no others cannot be a notice.
 
 All of it is DataFrame, SQL and Spark ML functions.  Null and empty texts have
 no paragraph; rows are treated one by one, so repeated rows and null ids change
@@ -22,6 +23,8 @@ nothing; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -138,14 +141,24 @@ def _examples(templates: DataFrame) -> DataFrame:
 
 class Classifier:
     def __init__(self, vectorizer: CountVectorizerModel, regression: LogisticRegressionModel, families: list[str],
-                 threshold: float):
+                 threshold: float, common: dict[str, int]):
+        """common: in how many paragraphs of the sample each feature occurs."""
         self.vectorizer, self.regression, self.families, self.threshold = vectorizer, regression, families, threshold
         weights, bias = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
         if not (bias[1:] < bias[0]).all():
             raise ValueError("without features a paragraph must be no notice")
-        #: features that speak for a family, and the words that such a feature begins with
-        self.terms = [t for k, t in enumerate(vectorizer.vocabulary) if (weights[1:, k] > weights[0, k]).any()]
-        self.words = sorted({t.split(" ")[0] for t in self.terms})
+        speak = {t: float((weights[1:, k] - weights[0, k]).max()) for k, t in enumerate(vectorizer.vocabulary)}
+        # A notice needs a family within log(families) of ``none``.  Common features whose weights together
+        # cannot close the intercepts' gap are not enough: a notice holds one of the others.
+        left = float((bias[0] - bias[1:]).min()) - math.log(len(families) - 1)
+        self.terms = []
+        for t in sorted((t for t in speak if speak[t] > 0), key=lambda t: (-common.get(t, 0) / speak[t], t)):
+            if common.get(t, 0) and speak[t] < left:
+                left -= speak[t]
+            else:
+                self.terms.append(t)
+        #: a word of each such feature, the rarer one of a pair
+        self.words = sorted({min(t.split(" "), key=lambda w: (common.get(w, 0), w)) for t in self.terms})
 
     def scored(self, df: DataFrame) -> DataFrame:
         """Adds ``p``, the probabilities of ``families``, to a table with ``features``."""
@@ -169,7 +182,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Clas
     lines = docs.select(F.explode(F.split(C.col(text_col).cast("string"), "\n", -1)).alias("text")).where(F.trim("text") != "")
     # whole paragraphs in the order of a hash; twice as many as wanted, as some may resemble a template
     some = (lines.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(2 * sample).distinct()
-            .select(F.lit(NONE).alias("family"), _words(F.col("text")).alias("words"), "h")
+            .select(F.lit(NONE).alias("family"), "text", "h"))
+    some = (C.computed(some, words=_words(F.col("text"))).drop("text")
             .where(~F.arrays_overlap(_runs(F.col("words"), 3), known)).orderBy("h").limit(sample).drop("h"))
     examples = _examples(templates)
     families = [NONE, *TEMPLATES]
@@ -186,7 +200,9 @@ def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Clas
     weight = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("label"))
     regression = LogisticRegression(featuresCol="vector", family="multinomial", weightCol="weight", regParam=2e-4,
                                     elasticNetParam=1.0, maxIter=100).fit(vectors.withColumn("weight", weight))
-    model = Classifier(vectorizer, regression, families, MIN_KNOWN)
+    common = {r["f"]: r["count"] for r in data.where("label = 0").select(F.explode("features").alias("f"))
+              .where(F.col("f").isin(vocabulary)).groupBy("f").count().collect()}
+    model = Classifier(vectorizer, regression, families, MIN_KNOWN, common)
     own = model.scored(data.where("label > 0")).select(F.get("p", F.col("label").cast("int")).alias("p"))
     model.threshold = max(MIN_KNOWN, float(own.agg(F.percentile_approx("p", 0.05)).first()[0]) * 0.8)
     return model
@@ -196,9 +212,9 @@ def scan(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: s
     """(doc_id, paragraph, family, probability, template, similarity, text) of every paragraph that is a notice."""
     spark = docs.sparkSession
     few = lambda values: F.array(*map(F.lit, values))  # noqa: E731  the templates' own words, a fixed number
-    rows = (paragraphs(docs, id_col, text_col).withColumn("words", _words(F.col("text")))
-            .where(F.arrays_overlap("words", few(model.words)))
-            .withColumn("features", _features(F.col("words"))).where(F.arrays_overlap("features", few(model.terms))))
+    rows = C.computed(paragraphs(docs, id_col, text_col), words=_words(F.col("text")))
+    rows = C.computed(rows.where(F.arrays_overlap("words", few(model.words))), features=_features(F.col("words")))
+    rows = rows.where(F.arrays_overlap("features", few(model.terms)))
     rows = model.scored(rows).where(F.get("p", F.lit(0)) < 0.5)
     best = F.array_max(F.transform("p", lambda p, i: F.struct(F.when(i == 0, -1.0).otherwise(p).alias("p"), (-i).alias("i"))))
     rows = (rows.withColumn("best", best)

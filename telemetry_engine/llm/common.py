@@ -49,6 +49,20 @@ def discard(spark: SparkSession, path: str) -> None:
     f.delete(p, True)
 
 
+def hash_sample(df: DataFrame, size: int, *by: str) -> DataFrame:
+    """At most ``size`` rows, those of the least hash of ``by``: the bounded sample that a classifier is fitted on.
+
+    The rows are counted first, so that about ``2 * size`` of them meet in one
+    task, however many tasks read ``df``.
+    """
+    h = F.xxhash64(*by)
+    n = df.count()
+    if n > 4 * size:
+        df = df.where(F.shiftrightunsigned(h, 1) < int(2 * size / n * (1 << 63)))
+    # xxhash64 is signed; the shifted value orders alike with and without the cut above
+    return df.orderBy(F.shiftrightunsigned(h, 1), *by).limit(size)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are kept for testing: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

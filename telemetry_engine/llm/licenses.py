@@ -180,11 +180,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Clas
     runs = [r["run"] for r in templates.select(F.explode(_runs(_words(F.col("text")), 3)).alias("run")).distinct().collect()]
     known = F.array(*[F.lit(r) for r in sorted(runs)])  # fixed: the templates' runs
     lines = docs.select(F.explode(F.split(C.col(text_col).cast("string"), "\n", -1)).alias("text")).where(F.trim("text") != "")
-    # whole paragraphs in the order of a hash; twice as many as wanted, as some may resemble a template
-    some = (lines.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(2 * sample).distinct()
-            .select(F.lit(NONE).alias("family"), "text", "h"))
+    # whole paragraphs; twice as many as wanted, as some may resemble a template
+    some = C.hash_sample(lines, 2 * sample, "text").distinct().select(F.lit(NONE).alias("family"), "text")
     some = (C.computed(some, words=_words(F.col("text"))).drop("text")
-            .where(~F.arrays_overlap(_runs(F.col("words"), 3), known)).orderBy("h").limit(sample).drop("h"))
+            .where(~F.arrays_overlap(_runs(F.col("words"), 3), known)).orderBy(F.xxhash64("words")).limit(sample))
     examples = _examples(templates)
     families = [NONE, *TEMPLATES]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1

@@ -318,7 +318,7 @@ def sample_labels(labels: DataFrame, label_col: str, size: int, id_col: str = "d
     one = (labels.select(C.col(id_col).cast("long").alias("doc_id"), C.col(label_col).cast("int").alias("label"))
            .where("doc_id is not null and label is not null").where(~C.held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("label").alias("label")))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    return C.hash_sample(one, size, "doc_id")
 
 
 def pick(texts: list[np.ndarray], toxic: np.ndarray, candidates: np.ndarray) -> tuple[dict[int, float], float]:

@@ -20,7 +20,9 @@ from telemetry_engine.plans.catalog import messages_table, metrics_csv_dir, run_
 from telemetry_engine.schemas import CSV_COLUMNS, METRIC_CATALOGUE
 from telemetry_engine.session import materialize
 from telemetry_engine.sources.csv_metrics import good_rows, read_metrics_csv, rejected_rows
-from telemetry_engine.sources.store import append_telemetry, read_telemetry
+from telemetry_engine.sources.store import (
+    append_telemetry, read_registry, read_telemetry, upsert_registry, write_registry,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,7 +198,10 @@ def q_device_upsert(spark, sf):
     recs = adapters.csv_records_from_events(_t(spark, sf, "events"), _t(spark, sf, "customer"), _t(spark, sf, "nation"))
     recs = recs.withColumn("pod", F.concat(F.lit("pod-"), F.col("metric_name")))
     updates = ingest.to_devices(recs, keep=["seq"])
-    return registry.upsert_devices(_devices(spark, sf), updates, "seq")
+    base = run_dir(spark, "registry")
+    write_registry(_devices(spark, sf), base)
+    upsert_registry(spark, updates, base, "seq")
+    return read_registry(spark, base)
 
 
 def q_counts(spark, sf):

@@ -22,6 +22,10 @@ _DEFAULTS = {
     # reliable checkpoints (bulk history's validated requests) are removed
     # once their datasets are garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # state of streams on local disks with changelog checkpoints, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # parquet written by this engine is sorted by (gpu_uuid, timestamp) inside
     # each event_date partition, so row-group min/max stats prune point lookups
     "spark.sql.parquet.filterPushdown": "true",
@@ -58,9 +62,7 @@ def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> d
 
     Shuffle partitions start at shuffle_bytes / 256 MiB (AQE then coalesces
     small ones and splits skewed ones at run time); scan splits stay at
-    256 MiB so a task's input fits comfortably in executor memory; the
-    stateful lease stream keeps its state in RocksDB with changelog
-    checkpointing.  Most plans here shuffle far less than they scan (partial
+    256 MiB so a task's input fits comfortably in executor memory.  Most plans here shuffle far less than they scan (partial
     aggregates, broadcast request sides), so size from the shuffle, not the
     input.
     """
@@ -70,9 +72,6 @@ def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> d
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 

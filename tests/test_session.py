@@ -10,7 +10,10 @@ def test_scale_conf_sizes_from_shuffle_bytes():
     big = scale_conf(10 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"          # floor
     assert big["spark.sql.shuffle.partitions"] == str((10 << 40) // (256 << 20))
-    assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_streams_keep_their_state_in_rocksdb(spark):
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
 def test_materialize_computes_once_and_cuts_lineage(spark):

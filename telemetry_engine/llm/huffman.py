@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from telemetry_engine.llm import common as C
 from telemetry_engine.llm import tokens as T
 
-LIMIT = 20          # longest code in bits; 2**LIMIT ids can have one
+LIMIT = 16          # longest code in bits, so that the decoding table fits a cache; more only if the ids need it
 LANE = 256          # ids between two bit-offset checkpoints
 BLOCK_IDS = 65_536  # a block ends with the document that reaches this
 SHARD_IDS = 8_000_000
@@ -39,6 +39,11 @@ BLOCK_SCHEMA = ("shard int, block int, start long, doc_ids array<long>, doc_toke
 
 # --- the code ------------------------------------------------------------------------------
 
+def limit_for(counts: np.ndarray) -> int:
+    """``LIMIT``, or two bits more than the number of ids needs."""
+    return max(LIMIT, (int(np.count_nonzero(counts)) - 1).bit_length() + 2)
+
+
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     """Optimal code lengths of at most ``limit`` bits for ids with a positive count (package-merge); 0 elsewhere."""
     lengths = np.zeros(len(counts), np.uint8)
@@ -88,18 +93,16 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """For each value of the next ``width`` bits: the id and its code's length."""
+def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each value of the next ``width`` bits: 32 times the id, plus its code's length."""
     width = max(1, int(lengths.max(initial=0)))
     order = np.flatnonzero(lengths)
     order = order[np.argsort(lengths[order], kind="stable")]
     reach = np.int64(1) << (width - lengths[order].astype(np.int64))
-    table_id = np.zeros(1 << width, np.uint32)
-    table_len = np.ones(1 << width, np.uint8)
-    n = int(reach.sum())
-    table_id[:n] = np.repeat(order.astype(np.uint32), reach)
-    table_len[:n] = np.repeat(lengths[order], reach)
-    return table_id, table_len, width
+    table = np.ones(1 << width, np.uint32)
+    entry = order.astype(np.uint32) * np.uint32(32) + lengths[order]
+    table[:int(reach.sum())] = np.repeat(entry, reach)
+    return table, width
 
 
 def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray, int]:
@@ -123,9 +126,9 @@ def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[byt
 
 
 def decode(payload: np.ndarray, lane_bits: np.ndarray, lane_tokens: np.ndarray,
-           table: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+           table: tuple[np.ndarray, int]) -> np.ndarray:
     """Ids of all lanes end to end.  ``lane_bits``: where each lane begins in ``payload``."""
-    table_id, table_len, width = table
+    entries, width = table
     if len(lane_bits) == 0:
         return np.zeros(0, np.uint32)
     data = np.concatenate([payload, np.zeros(4, np.uint8)]).astype(np.uint32)
@@ -136,13 +139,13 @@ def decode(payload: np.ndarray, lane_bits: np.ndarray, lane_tokens: np.ndarray,
     steps = int(left[0])
     alive = np.searchsorted(-left, -np.arange(1, steps + 1), side="right")  # lanes that have a step-th id
     out = np.zeros((steps, len(at)), np.uint32)
-    shift = np.uint32(32 - width)
+    shift, five, low = np.uint32(32 - width), np.uint32(5), np.uint32(31)
     for s in range(steps):
         k = alive[s]
         p = at[:k]
-        key = (window[p >> 3] << (p & 7).astype(np.uint32)) >> shift
-        out[s, :k] = table_id[key]
-        at[:k] = p + table_len[key]
+        entry = entries[(window[p >> 3] << (p & 7).astype(np.uint32)) >> shift]
+        out[s, :k] = entry >> five
+        p += (entry & low).astype(np.int64)
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     by_lane = out.T[back]
@@ -184,7 +187,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None =
     n_shards = max(1, -(-total // shard_ids))
     bounds = _range_bounds(ids, n_shards)
     counts, shard_sizes = _count(ids, bounds)
-    lengths = code_lengths(counts)
+    lengths = code_lengths(counts, limit_for(counts))
     (spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id int, bits int")
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/codes"))
 

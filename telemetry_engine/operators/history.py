@@ -184,20 +184,20 @@ class _Branch:
 
 
 def _branches(statuses: DataFrame) -> list[_Branch]:
-    """The non-empty groups of ``ok`` requests by (limit: none, small, large; has a start; has an end).
+    """The non-empty groups of ``ok`` requests by (limit: none, small, large; both time bounds or not).
 
     One open-ended request leaves the bounds of the others alone, and one large
-    limit leaves the early cut of the others alone.
+    limit leaves the early cut of the others alone.  At most six groups.
     """
     ok = materialize(statuses.where(F.col("status") == "ok").select(
         "request_id", F.col("uuid").alias("_uuid"), "start_ts", "end_ts", "limit_n"))
     size = F.when(F.col("limit_n").isNull(), 0).when(F.col("limit_n") <= SMALL_LIMIT, 1).otherwise(2)
-    flags = [size, F.col("start_ts").isNotNull(), F.col("end_ts").isNotNull()]
-    groups = (ok.groupBy(*[f.alias(n) for n, f in zip(("l", "s", "e"), flags)])
-              .agg(F.coalesce(F.max("limit_n"), F.lit(0)).alias("most"), F.min("start_ts").alias("lo"), F.max("end_ts").alias("hi"))
-              .collect())  # at most twelve rows
-    return [_Branch(g["most"], ok.where((flags[0] == g["l"]) & (flags[1] == g["s"]) & (flags[2] == g["e"])), g["lo"], g["hi"])
-            for g in sorted(groups)]
+    closed = F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()
+    every = lambda c, value: F.when(F.count_if(F.col(c).isNull()) == 0, value)  # noqa: E731  a bound only if all have one
+    groups = (ok.groupBy(size.alias("l"), closed.alias("c"))
+              .agg(F.coalesce(F.max("limit_n"), F.lit(0)).alias("most"), every("start_ts", F.min("start_ts")).alias("lo"),
+                   every("end_ts", F.max("end_ts")).alias("hi")).orderBy("l", "c").collect())
+    return [_Branch(g["most"], ok.where((size == g["l"]) & (closed == g["c"])), g["lo"], g["hi"]) for g in groups]
 
 
 def _matches(branch: _Branch, telemetry: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +17,31 @@ from telemetry_engine.session import shared_dir
 from telemetry_engine.sources import fs
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """See to it that the tasks can import this package.
+
+    Nothing is done where its folder is on PYTHONPATH or the working folder (as
+    with ``--py-files`` or the repository as working folder); else a zip of
+    the package is handed to Spark once per application, which sends it along.
+    """
+    root = Path(__file__).resolve().parents[2]
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or not (root / "telemetry_engine").is_dir() or any(p and Path(p).resolve() == root for p in known):
+        return
+    path = Path(tempfile.mkdtemp(prefix="run-")) / "telemetry_engine.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "telemetry_engine").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(str(path))
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -39,6 +67,7 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
 
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+    ship(df.sparkSession)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -3,11 +3,13 @@
 1. *Character model.*  Trigrams of letters (with word boundaries) are counted
    over all documents, in ``TRIGRAMS`` hashed buckets.
 2. *Noisy channel.*  A word written with look-alike symbols (``1d10t``), with
-   letters set apart (``i d i o t``) or drawn out (``idiooot``) becomes a
-   lattice: each symbol may be any letter it stands for, a run of three or
-   more equal letters one or two of them, a gap between single letters a word
-   boundary or nothing.  Viterbi finds the path of the greatest probability
-   under the character model.  Other words have one path, themselves.
+   letters set apart (``i d i o t``) or drawn out (``idiooot``), of any length,
+   becomes a lattice: each symbol may be any letter it stands for, punctuation
+   that ends the word also itself, a run of three or more equal letters one or
+   two of them, a run of two letters or of symbols fewer at a cost, a gap
+   between single letters a word boundary or nothing.  Viterbi finds the path
+   of the greatest probability under the character model.  Other words have
+   one path, themselves.
 3. *Score.*  Features are the restored words and their first 4, 5 and 6 bytes,
    hashed.  From at most ``SAMPLE`` labelled rows (``held_out`` ones never),
    features that occur mainly in toxic texts are picked greedily: each pick
@@ -24,8 +26,9 @@ change nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +54,15 @@ LOOK_ALIKES = {
 }
 _SYMBOLS = "".join(re.escape(c) for c in LOOK_ALIKES)
 _LETTER = r"[^\W\d_]"
-#: Letters and symbols, at least one letter, with a symbol before a letter; or digits inside or at the end.
-_LEET = re.compile(rf"(?<![\w@$!|+*€])(?=[\d{_SYMBOLS}]*{_LETTER})(?:{_LETTER}|[{_SYMBOLS}])*[{_SYMBOLS}]{_LETTER}+"
-                   rf"(?:[0134578](?![\w@$]))?|(?<![\w@$!|+*€]){_LETTER}{{2,}}[0134578](?![\w@$])")
-_APART = re.compile(rf"(?<![\w])(?:[\w@$!|]([ ._\-*]))(?:[\w@$!|]\1)+[\w@$!|](?![\w])")
-_DRAWN = re.compile(rf"\w*({_LETTER})\1{{2,}}\w*")
+_EITHER = rf"(?:{_LETTER}|[{_SYMBOLS}])"
+#: A whole run of letters and symbols with at least one of each.
+_LEET = re.compile(rf"(?<!{_LETTER})(?<![{_SYMBOLS}])(?:{_LETTER}++[{_SYMBOLS}]|[{_SYMBOLS}]++{_LETTER}){_EITHER}*+")
+_APART = re.compile(r"(?<![\w])(?:[\w@$!|€]([ ._\-*]))(?:[\w@$!|€]\1)+[\w@$!|€](?![\w])")
+_DRAWN = re.compile(rf"(?<!\w)\w*({_LETTER})\1{{2,}}\w*")
+#: Symbols that may also be punctuation when they end a word.
+_ENDS = "!|+*"
+FEWER = -4.0  # log cost of one letter fewer than written in a run of two, or of symbols
+_SETTLE = 512  # places after which paths that agree are written out
 
 
 # --- the character model -------------------------------------------------------------------
@@ -99,6 +106,7 @@ class CharacterModel:
     def __init__(self, counts: np.ndarray):
         self.counts = counts
         self.context: dict[tuple[int, int], float] = {}
+        self.seen: dict[tuple[int, int, int], float] = {}
         self.total = max(1, int(counts.sum()))
         self.alphabet = [0, *map(ord, "abcdefghijklmnopqrstuvwxyzàáâäåæçèéêëìíîïñòóôöøùúûüýßœ")]
 
@@ -107,6 +115,14 @@ class CharacterModel:
         return float(self.counts[int(_key(np.array([a], u), np.array([b], u), np.array([c], u))[0])])
 
     def logp(self, a: int, b: int, c: int) -> float:
+        got = self.seen.get((a, b, c))
+        if got is None:
+            if len(self.seen) > 100_000:
+                self.seen.clear()
+            got = self.seen[a, b, c] = self._logp(a, b, c)
+        return got
+
+    def _logp(self, a: int, b: int, c: int) -> float:
         key = (a, b)
         if key not in self.context:
             u = np.uint64
@@ -118,43 +134,76 @@ class CharacterModel:
         return float(np.log((self._count(a, b, c) + 0.05) / (self.context[key] + 0.05 * len(self.alphabet))))
 
 
-def viterbi(lattice: list[list[tuple[str, float]]], model: CharacterModel) -> str:
-    """The likeliest string: one option (string of 0 to 2 letters or a space, log cost) at each place."""
-    # a state is the last two letters, the boundary as 0
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in [*lattice, [(" ", 0.0)]]:
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, done) in states.items():
+def viterbi(lattice: Iterable[list[tuple[str, float]]], model: CharacterModel) -> str:
+    """The likeliest string: one option (letters, a boundary or nothing, log cost) at each place.
+
+    Whatever is no letter is a boundary; boundaries side by side count once.
+    """
+    # a state is the last two letters, the boundary as 0; its path is a chain of [earlier, string]
+    states: dict[tuple[int, int], tuple[float, list | None]] = {(0, 0): (0.0, None)}
+    done: list[str] = []
+    for k, options in enumerate(chain(lattice, [[(" ", 0.0)]]), 1):
+        after: dict[tuple[int, int], tuple[float, list]] = {}
+        for (a, b), (score, path) in states.items():
             for string, cost in options:
                 x, y, s = a, b, score + cost
                 for ch in string:
-                    c = 0 if ch == " " else ord(ch)
-                    s += model.logp(x, y, c)
+                    c = ord(ch) if ch.isalpha() else 0
+                    if c or y:
+                        s += model.logp(x, y, c)
                     x, y = (0, 0) if c == 0 else (y, c)
                 kept = after.get((x, y))
                 if kept is None or s > kept[0]:
-                    after[x, y] = (s, done + string)
+                    after[x, y] = (s, [path, string])
         states = after
-    return max(states.values())[1].strip()
-
-
-def _places(word: str) -> list[list[tuple[str, float]]]:
+        if k % _SETTLE == 0:
+            _settle([path for _, path in states.values()], done)
+    _settle([max(states.values(), key=lambda x: x[0])[1]], done)
+    return "".join(done).strip()
+
+
+def _settle(paths: list[list], done: list[str]) -> None:
+    """Moves what all paths begin with to ``done``."""
+    whole = []
+    for path in paths:
+        nodes = []
+        while path is not None:
+            nodes.append(path)
+            path = path[0]
+        whole.append(nodes[::-1])
+    same = 0
+    while all(len(w) > same and w[same] is whole[0][same] for w in whole):
+        same += 1
+    if same:
+        done += [node[1] for node in whole[0][:same]]
+        last = whole[0][same - 1]
+        last[0], last[1] = None, ""
+
+
+def _places(word: str) -> Iterator[list[tuple[str, float]]]:
     """The lattice of one written word."""
-    out, i = [], 0
+    ends = len(word.rstrip(_ENDS))
+    i = 0
     while i < len(word):
         ch = word[i]
         n = 1
-        while i + n < len(word) and word[i + n] == ch:
+        while i + n < len(word) and word[i + n] == ch and i + n != ends:
             n += 1
         stand = LOOK_ALIKES.get(ch)
-        if stand:
-            out += [[(c, 0.0) for c in stand]] * n
+        if i >= ends:
+            yield [(ch * n, 0.0)] + [(c * m, 0.0) for c in stand for m in range(1, min(n, 2) + 1)]
+        elif stand:
+            letters = [(c, 0.0) for c in stand]
+            yield letters
+            for _ in range(n - 1):
+                yield [*letters, ("", FEWER)]
         elif n >= 3 and ch.isalpha():
-            out.append([(ch, 0.0), (ch * 2, 0.0)])
+            yield [(ch, 0.0), (ch * 2, 0.0)]
+        elif n == 2 and ch.isalpha():
+            yield [(ch * 2, 0.0), (ch, FEWER)]
         elif ch.isalpha():
-            out += [[(ch, 0.0)]] * n
+            yield [(ch, 0.0)]
         i += n
-    return out
 
 
 class Restorer:
@@ -167,24 +216,26 @@ class Restorer:
     def word(self, written: str) -> str:
         got = self.known.get(written)
         if got is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            # no disguise is longer than this; a hash or a key stays as it is
-            got = viterbi(_places(written), self.model) if len(written) <= 40 else written
-            self.known[written] = got
+            got = viterbi(_places(written), self.model)
+            if len(written) <= 40:  # longer ones are not met again often
+                if len(self.known) > 200_000:
+                    self.known.clear()
+                self.known[written] = got
         return got
 
     def _apart(self, m: re.Match) -> str:
-        mark = m[1]
-        letters = m[0].split(mark)
-        if not any(c.isalpha() for c in letters) or len(letters) > 200:
+        letters = m[0][::2]
+        if not any(c.isalpha() for c in letters):
             return m[0]
-        lattice: list = []
-        for k, c in enumerate(letters):
-            if k:
-                lattice.append([("", 0.0), (" ", -2.0)])
-            lattice.append([(x, 0.0) for x in LOOK_ALIKES.get(c, c if c.isalpha() else " ")])
-        return viterbi(lattice, self.model)
+
+        def places() -> Iterator[list[tuple[str, float]]]:
+            gap = [("", 0.0), (" ", -2.0)]
+            for k, c in enumerate(letters):
+                if k:
+                    yield gap
+                yield [(x, 0.0) for x in LOOK_ALIKES.get(c, c if c.isalpha() else " ")]
+
+        return viterbi(places(), self.model)
 
     def text(self, lower: str, kinds: int = 7) -> str:
         """``kinds``: as ``disguised`` gives them; what one step restores may need the next."""
@@ -224,8 +275,9 @@ def disguised(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(data) >= 6:  # a letter of two bytes, three times
         drawn[5:] |= ((data[5:] & 0xC0) == 0x80) & (data[5:] == data[3:-2]) & (data[3:-2] == data[1:-4])
     note(np.flatnonzero(drawn), 1)
-    # a symbol before a letter, or a digit after one
-    note(np.flatnonzero((symbol[:-1] & letter[1:]) | (letter[:-1] & symbol[1:] & (data[1:] < 58) & (data[1:] > 47))), 2)
+    # a symbol beside a letter, or the one symbol of several bytes
+    note(np.flatnonzero((symbol[:-1] & letter[1:]) | (letter[:-1] & symbol[1:])), 2)
+    note(np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x82) & (data[2:] == 0xAC)), 2)
     # three single characters with one mark between each two
     first = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of characters
     if len(first) >= 5:

@@ -53,6 +53,18 @@ def test_disguises_are_found_and_restored():
     assert toxicity.restore(pa.array([None, "ÉTÉ"]), r).to_pylist() == ["", "été"]
 
 
+def test_no_gate_or_length_keeps_a_disguise():
+    texts = pa.array(["the idiot will kill an ass and a worthless euro"] * 30 + ["plain words of a text, no!"] * 30)
+    r = toxicity.Restorer(toxicity.CharacterModel(toxicity.count_trigrams(texts)))
+    long = "the worthless idiot will kill an ass " * 20
+    for written, meant in [("idi" + "o" * 40 + "t", "idiot"), ("idi" + "0" * 40 + "t", "idiot"), ("a$$", "ass"),
+                           ("a55", "ass"), ("idi07", "idiot"), ("ki11", "kill"), ("w0rthl355", "worthless"),
+                           ("€uro", "euro"), ("idi00t", "idiot"), ("no!", "no!"), ("1d10t!!!", "idiot!!!"),
+                           (" ".join(long.replace(" ", "")), long.strip()), ("k1ll" * 2_000, "kill" * 2_000)]:
+        got = toxicity.restore(pa.array([written]), r).to_pylist()[0]
+        assert got == meant, written[:60]
+
+
 def test_viterbi_takes_the_likeliest_path():
     model = toxicity.CharacterModel(toxicity.count_trigrams(pa.array(["bad dab cab"] * 50)))
     options = [[("b", 0.0), ("c", 0.0)], [("a", 0.0), ("d", 0.0)], [("d", 0.0), ("b", 0.0)]]

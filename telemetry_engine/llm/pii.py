@@ -11,7 +11,7 @@ entity e in at least ``SUPPORT`` contexts and a word t that shares at least
 
     PMI(t, e) = log2(N * n(t, e) / (n(t) * n(e))),   IC(e) = log2(N / n(e))
 
-with n counted over all lines of all documents and N their number.
+with n counted over the distinct lines of all documents and N their number.
 PMI(t, e) / IC(e) is the share of e's information that t alone discloses: 1 if
 t never occurs without e.  From ``GENERALISE`` on, t is replaced by its shape
 ([NAME], [NUMBER], [WORD]) wherever it occurs in the corpus, from ``REMOVE``
@@ -174,14 +174,14 @@ def disclosing_terms(docs: DataFrame, path: str, support: int = SUPPORT, general
               .where(F.col("n_te") >= support))
     # n(t) is at least what the entities' own contexts show; where that alone rules a term out (as it does for
     # common words), the corpus need not be searched for it
-    total = docs.agg(F.sum(F.size(F.split("text", "\n", -1)))).first()[0] or 0
+    all_lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    total = all_lines.select(F.xxhash64("line").alias("line_key")).distinct().count()
     least = context.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("least"))
     most = F.col("n_te") * F.pow(F.greatest(F.lit(float(total)) / F.col("n_e"), F.lit(1.0)), F.lit(1 - generalise))
     shared = C.store(shared.join(least, "term").where(F.col("least") <= most * 1.000001), f"{path}/shared")
     if shared.isEmpty():
         return None
 
-    all_lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     wanted = C.store(shared.select("term").distinct(), f"{path}/wanted")
     # the hash first, so that the text is not carried to every word
     with_term = (all_lines.select(F.xxhash64("line").alias("line_key"), _words(F.col("line")).alias("words"))

@@ -86,6 +86,16 @@ def test_copies_of_a_line_are_one_context(documents):
     assert {r["spans"] for r in pii.report(documents(rows)).collect()} == {"email:12:24", ""}
 
 
+def test_copies_of_another_line_change_no_span(documents):
+    rows = [(k, f"ask Zorblax {k} by zor@blax.org") for k in range(3)]
+    rows += [(10 + k, f"Zorblax sold {k} pears") for k in range(7)]
+    rows += [(100 + k, f"ask by other {k}") for k in range(300)]
+    copies = [(1000 + k, "a line of no matter") for k in range(20_000)]
+    spans = lambda more: {r["doc_id"]: r["spans"] for r in pii.report(documents(rows + more)).collect()}
+    once, often = spans(copies[:1]), spans(copies)
+    assert "term" not in once[10] and {i: often[i] for i in once} == once
+
+
 def test_sanitised_keeps_columns_nulls_and_overlaps(documents):
     docs = documents([(1, "a@1.2.3.4 x"), (2, None), (2, None), (3, ""), (None, "+1 (415) 555-2671!")])
     out = pii.sanitised(docs)

@@ -7,7 +7,9 @@ Each has a learned vector; a text is the mean of the vectors of all its
 features, and a softmax layer gives its class.  Vectors and layer are learned
 by stochastic gradient descent in numpy, on at most ``SAMPLE`` labelled rows
 (``held_out`` ones never) of at most ``SAMPLE_BYTES`` of text, chosen by a hash
-of the id.  To score a text, each feature adds one number: its vector's
+of the id.  What is held of a text are its distinct features, of which even the
+longest has no more than ``BUCKETS``: it counts as ``LONG`` bytes at most, and
+a row that does not fit leaves its place to the next ones.  To score a text, each feature adds one number: its vector's
 product with the difference of the layer's two rows.
 
 Null and empty texts have no features and get the layer's bias.  Without
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
@@ -35,6 +37,7 @@ EPOCHS = 8
 RATE = 0.5
 SAMPLE = 3_000
 SAMPLE_BYTES = 12 << 20
+LONG = BUCKETS // 3  # bytes that can have BUCKETS distinct features: some three start at each
 
 AGAIN = np.uint64(0xA6A16)
 _SPACE = np.zeros(256, bool)
@@ -119,17 +122,28 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
           sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Model:
     chosen = sample_labels(labels, label_col, sample, "doc_id")
     picked = docs.select(C.col(id_col).cast("long").alias("doc_id"), C.col(text_col).cast("string").alias("text"))
-    # whole texts, in the order of the hash, while their bytes fit: a window over at most ``sample`` ids
-    size = F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("size")
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    fitting = (picked.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(size)
-               .withColumn("upto", F.sum("size").over(order)).where(F.col("upto") <= sample_bytes)
-               .select("doc_id", "label"))
+    # whole texts, in the order of the hash, each whose bytes still fit: at most ``sample`` ids come to the driver
+    size = F.sum(F.least(F.octet_length(F.coalesce("text", F.lit(""))), F.lit(LONG))).alias("size")
+    sizes = (picked.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(size)
+             .select("doc_id", "label", "size", F.xxhash64("doc_id").alias("hash")).collect())
+    fit_in, left = [], sample_bytes
+    for r in sorted(sizes, key=lambda r: (r["hash"], r["doc_id"])):
+        if r["size"] <= left:
+            fit_in.append((r["doc_id"], r["label"]))
+            left -= r["size"]
+    fitting = docs.sparkSession.createDataFrame(fit_in, "doc_id long, label int")
     sized = picked.join(F.broadcast(fitting), "doc_id").select("label", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for a, z, f, d in features(b.column(1)):
+                if z - a == 1:  # a long text: a count of each bucket needs less than a sort
+                    n = np.bincount(f, minlength=BUCKETS)
+                    own = np.flatnonzero(n)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).slice(a, 1), pa.array([own.astype("<i4").tobytes()], pa.binary()),
+                         pa.array([n[own].astype("<u4").tobytes()], pa.binary())], ["label", "ids", "n"])
+                    continue
                 pair, n = np.unique(d * np.int64(BUCKETS) + f, return_counts=True)
                 edge = np.searchsorted(pair, np.arange(z - a + 1) * BUCKETS)
                 ids = [(pair[x:y] % BUCKETS).astype("<i4").tobytes() for x, y in zip(edge, edge[1:])]

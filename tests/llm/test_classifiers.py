@@ -146,6 +146,22 @@ def test_quality_of_held_out_texts(spark, documents, words):
     assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_a_huge_text_leaves_the_sample_to_others(spark, documents, words):
+    first = [r["id"] for r in spark.range(2_000).where(~C.held_out(F.col("id"))).orderBy(F.xxhash64("id")).limit(1).collect()]
+    rows, labels = [], []
+    for k in [*first, *range(2_000, 2_150)]:
+        low = k % 2
+        text = words(60_000 if k in first else 30, k)
+        rows.append((k, text.upper() if low else text))
+        labels.append((k, 0, int(not low), "clash"))
+    assert len(rows[0][1]) > 300_000
+    docs = documents(rows)
+    model = quality.train(docs, spark.createDataFrame(labels, LABELS), sample_bytes=300_000)
+    got = toxicity.result(quality.scored(docs, model), 0.5).where("held_out").collect()
+    truth = {i: q for i, _, q, _ in labels}
+    assert len(got) > 30 and sum(r["predicted"] == truth[r["doc_id"]] for r in got) >= 0.95 * len(got)
+
+
 def test_descent_fits_separable_texts():
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 60)

@@ -232,8 +232,7 @@ def _tiles(threshold: float, tolerance: float):
 
     def solve(key: tuple, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts)
-        # rows repeated with their id bring a class's text more than once
-        t = t.take(np.unique(t.column("cls").to_numpy(), return_index=True)[1])
+        t = t.take(np.argsort(t.column("cls").to_numpy(), kind="stable"))
         sets = [s for c in t.column("text").chunks for s in _sets(c)]
         sketch = np.frombuffer(b"".join(t.column("minhash").to_pylist()), np.uint32).reshape(-1, HASHES)
         cls, docs, side = (t.column(c).to_numpy() for c in ("cls", "n_docs", "side"))
@@ -288,7 +287,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     stars = bands.join(heads.select("bucket", "head"), "bucket").where("cls != head")
     parts = components(stars.select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct(), f"{path}/candidates")
 
-    linked = _verify(picked, classes, parts, threshold, tolerance, tile, path)
+    # rows that repeat an id with its text would bring the text of their class once each
+    again = not rows.groupBy("rid", "text_key").count().where("count > 1").isEmpty()
+    once = picked.select("rid", "text_key", "text")
+    linked = _verify(once.dropDuplicates(["rid", "text_key"]) if again else once, classes, parts, threshold, tolerance, tile,
+                     path)
     groups = components(linked.select(F.col("cls").alias("a"), F.col("root").alias("b")), f"{path}/links")
     degree = linked.groupBy("cls").agg(F.sum("links").alias("links"))
     found = C.store(
@@ -334,7 +337,10 @@ def _keys(docs: DataFrame, id_col: str, text_col: str) -> dict:
 
 def _verify(picked: DataFrame, classes: DataFrame, parts: DataFrame, threshold: float, tolerance: float, tile: int,
             path: str) -> DataFrame:
-    """(cls, links, root) of every tile, written below ``path``."""
+    """(cls, links, root) of every tile, written below ``path``.
+
+    ``picked``: rid, text_key and text, each pair of the first two once.
+    """
     sizes = parts.groupBy("component").agg(F.count("*").alias("m"))
     blocks = F.ceil(F.col("m") / F.lit(tile)).cast("int")
     member = (parts.join(sizes, "component")
@@ -342,7 +348,7 @@ def _verify(picked: DataFrame, classes: DataFrame, parts: DataFrame, threshold:
               .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
     member = C.store(member.join(classes.select("cls", "rid", "text_key", "n_docs", "minhash"), "cls"), f"{path}/members")
     # one text per class: that of its least row
-    full = C.store(picked.select("rid", "text_key", "text").join(member, ["rid", "text_key"]), f"{path}/texts")
+    full = C.store(picked.join(member, ["rid", "text_key"]), f"{path}/texts")
     dealt = (full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("component", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                      F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),

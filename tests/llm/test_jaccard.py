@@ -90,6 +90,24 @@ def test_null_and_repeated_ids(documents, words):
     assert Counter(texts) == Counter([a, b, words(40, 3), words(40, 4), None, None])
 
 
+def test_repeated_rows_bring_their_text_once(documents, words, monkeypatch):
+    a = words(60, 1)
+    rows = [(None, a)] * 300 + [(5, a + " more")] * 300 + [(7, words(60, 2))]
+    stored, store = {}, J.C.store
+
+    def counting(df, path):
+        out = store(df, path)
+        stored[path.rsplit("/", 1)[-1]] = out
+        if path.endswith("/texts"):
+            stored["n"] = out.count()
+        return out
+
+    monkeypatch.setattr(J.C, "store", counting)
+    got = J.near_duplicates(documents(rows), tile=1).collect()
+    assert len(got) == 601 and stored["n"] == 2
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in got} == {(None, 5, 599), (5, 5, 599), (7, 7, 0)}
+
+
 def test_empty_table(documents):
     assert J.near_duplicates(documents([])).collect() == []
     assert J.one_of_each(documents([])).collect() == []

@@ -5,7 +5,8 @@
    sets form a *class*, which later steps meet once; copies are never paired.
 2. Classes get ``HASHES`` MinHash values.  ``BANDS`` bands of ``ROWS`` values
    each find candidates: members of one bucket are tied to the bucket's least
-   member (a star, never all pairs), and components of those ties hold every
+   member (a star, never all pairs), the ties of a class to several such heads
+   become one tie and ties between heads, and components of those ties hold every
    pair that shares a band.  A pair at the threshold 0.8 shares none with a
    probability of (1 - 0.8**5)**32 = 3e-6, and less above.
 3. Components are dealt out in square tiles of at most ``TILE`` x ``TILE``
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_engine.llm import common as C
-from telemetry_engine.llm.components import components
+from telemetry_engine.llm.components import components, starred
 
 THRESHOLD = 0.8
 SHINGLE = 5
@@ -285,14 +286,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     bands = classes.select("cls", "minhash").mapInArrow(_bands, "bucket long, cls long")
     heads = bands.groupBy("bucket").agg(F.min("cls").alias("head"), F.count("*").alias("n")).where("n > 1")
     stars = bands.join(heads.select("bucket", "head"), "bucket").where("cls != head")
-    parts = components(stars.select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct(), f"{path}/candidates")
+    parts = components(starred(stars, "cls", "head", f"{path}/candidates"), f"{path}/candidates")
 
     # rows that repeat an id with its text would bring the text of their class once each
     again = not rows.groupBy("rid", "text_key").count().where("count > 1").isEmpty()
     once = picked.select("rid", "text_key", "text")
     linked = _verify(once.dropDuplicates(["rid", "text_key"]) if again else once, classes, parts, threshold, tolerance, tile,
                      path)
-    groups = components(linked.select(F.col("cls").alias("a"), F.col("root").alias("b")), f"{path}/links")
+    groups = components(starred(linked, "cls", "root", f"{path}/links"), f"{path}/links")
     degree = linked.groupBy("cls").agg(F.sum("links").alias("links"))
     found = C.store(
         classes.select(*key, "cls", "n_docs").join(degree, "cls", "left")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from telemetry_engine.llm import jaccard as J
-from telemetry_engine.llm.components import components
+from telemetry_engine.llm.components import components, starred
 
 
 def shingle_set(text):
@@ -153,3 +153,27 @@ def test_components_of_paths_and_stars(spark, tmp):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 130)] + [(7, 7), (None, 3)]
     got = components(spark.createDataFrame(edges, "a long, b long"), f"{tmp}/c").collect()
     assert {r["node"]: r["component"] for r in got} == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 130)}}
+
+
+def test_edges_stay_near_one_per_member(spark, tmp):
+    """Members of a dense group with up to 16 heads each: the edges double with the group, one or so a member."""
+    sizes = {}
+    for m in (500, 1000, 2000):
+        rng = random.Random(m)
+        rows = [(100 + i, h) for i in range(m) for h in rng.sample(range(32), 16)]
+        edges = starred(spark.createDataFrame(rows, "cls long, head long"), "cls", "head", f"{tmp}/{m}")
+        sizes[m] = edges.count()
+        got = {r["node"]: r["component"] for r in components(edges, f"{tmp}/c{m}").collect()}
+        assert set(got.values()) == {0} and len(got) == m + 32
+    assert all(n < m + 32 * 32 for m, n in sizes.items()) and sizes[2000] <= 2 * sizes[1000]
+
+
+def test_components_of_paths_stars_and_loops(spark, tmp):
+    path = [(i, i + 1) for i in range(1000, 1300)]
+    star = [(5, 2000 + i) for i in range(200)] + [(2000 + i, 5) for i in range(50)]
+    df = spark.createDataFrame(path + star + [(7, 7), (None, 3), (9, None), (30, 31), (31, 32), (32, 30)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(df, f"{tmp}/c").collect()}
+    assert got == ({i: 1000 for i in range(1000, 1301)} | {2000 + i: 5 for i in range(200)} | {5: 5}
+                   | {i: 30 for i in (30, 31, 32)})
+    empty = spark.createDataFrame([], "a long, b long")
+    assert components(empty, f"{tmp}/e").collect() == []

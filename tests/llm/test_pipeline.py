@@ -62,4 +62,4 @@ def test_run_applies_the_stages(spark, sf_dir):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)

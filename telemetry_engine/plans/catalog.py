@@ -24,7 +24,7 @@ from telemetry_engine.sources.store import append_telemetry, read_telemetry
 
 
 # Bump when the layout or content rules of a derived table change.
-LAYOUT_VERSION = 5
+LAYOUT_VERSION = 6
 
 
 def derived_path(spark: SparkSession, sf_dir: str, name: str, sources: list[str]) -> str:
@@ -61,7 +61,8 @@ def _quoted(c) -> F.Column:
 CSV_SWAPPED_HEADER = ["metric_name", "uuid", *CSV_FILE_HEADER[2:-1]]
 
 
-def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame, header: list[str] | None = None) -> DataFrame:
+def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame, header: list[str] | None = None,
+                      line_feeds: bool = False) -> DataFrame:
     """Raw CSV lines for every event, with data-driven defects.
 
     click & value < 1      -> blank uuid            (missing_required)
@@ -70,8 +71,13 @@ def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame,
     purchase & value >= 300-> quoted model name containing a comma
     click & value >= 1     -> space before the quoted labels
     every row              -> value written with a leading space
+
+    With ``line_feeds``, further: purchase & value < 300 and error & value >= 300
+    hold a line feed inside the quoted model name; the model names of signups
+    hold a quote that opens nothing.
     """
     r = adapters.csv_records_from_events(events, customer, nation)
+    line_feeds = F.lit(line_feeds)
     v = F.col("value").cast("double")
     mt = F.col("metric_name")
     field = {
@@ -79,7 +85,9 @@ def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame,
         "value": F.concat(F.lit(" "), F.col("value")),
         "modelName": F.when(
             (mt == "purchase") & (v >= 300), _quoted(F.concat(F.col("modelName"), F.lit(", rev B")))
-        ).otherwise(F.col("modelName")),
+        ).when(line_feeds & (((mt == "purchase") & (v < 300)) | ((mt == "error") & (v >= 300))),
+               _quoted(F.concat(F.col("modelName"), F.lit("\nrev C"))))
+        .when(line_feeds & (mt == "signup"), F.concat(F.col("modelName"), F.lit(' 5" bay'))).otherwise(F.col("modelName")),
         "labels_raw": F.concat(F.when((mt == "click") & (v >= 1), F.lit("  ")).otherwise(F.lit("")), _quoted(F.col("labels_raw"))),
         "rack": F.concat(F.lit("r"), F.col("gpu_id")),
     }
@@ -95,14 +103,18 @@ def metrics_csv_lines(events: DataFrame, customer: DataFrame, nation: DataFrame,
 
 
 def metrics_csv_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Metrics CSV files derived from events/customer/nation: a glob over two folders, one per header layout."""
+    """Metrics CSV files derived from events/customer/nation: a glob over folders, one per header layout.
+
+    The files of the third begin with a blank line and hold line feeds inside
+    quotes; one more file holds nothing but blank lines.
+    """
     path = derived_path(spark, sf_dir, "metrics_csv", ["events", "customer", "nation"])
     if not fs.exists(spark, f"{path}/_SUCCESS"):
-        events = adapters.load(spark, sf_dir, "events")
-        for k, header in enumerate((CSV_FILE_HEADER, CSV_SWAPPED_HEADER)):
-            lines = metrics_csv_lines(events.where(F.col("event_id") % 2 == k), adapters.load(spark, sf_dir, "customer"),
-                                      adapters.load(spark, sf_dir, "nation"), header)
-            write_csv_lines(lines, f"{path}/layout{k}", ",".join(header), mode="overwrite")
+        events, customer, nation = (adapters.load(spark, sf_dir, t) for t in ("events", "customer", "nation"))
+        for k, header in enumerate((CSV_FILE_HEADER, CSV_SWAPPED_HEADER, CSV_FILE_HEADER)):
+            lines = metrics_csv_lines(events.where(F.col("event_id") % 3 == k), customer, nation, header, line_feeds=k == 2)
+            write_csv_lines(lines, f"{path}/layout{k}", ("\n" if k == 2 else "") + ",".join(header), mode="overwrite")
+        fs.write_text(spark, f"{path}/layout3/blank.csv", "\n \n")
         fs.write_text(spark, f"{path}/_SUCCESS", "")
     return f"{path}/layout*"
 

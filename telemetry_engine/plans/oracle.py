@@ -79,7 +79,10 @@ REC = f"""rec AS (
 CSV = """csv AS (
   SELECT timestamp, metric_name, gpu_id, device,
          CASE WHEN metric_name = 'click' AND v < 1 THEN '' ELSE uuid END AS uuid,
-         CASE WHEN metric_name = 'purchase' AND v >= 300 THEN modelName || ', rev B' ELSE modelName END AS modelName,
+         CASE WHEN metric_name = 'purchase' AND v >= 300 THEN modelName || ', rev B'
+              WHEN seq % 3 = 2 AND ((metric_name = 'purchase' AND v < 300) OR (metric_name = 'error' AND v >= 300))
+              THEN modelName || chr(10) || 'rev C'
+              WHEN seq % 3 = 2 AND metric_name = 'signup' THEN modelName || ' 5" bay' ELSE modelName END AS modelName,
          Hostname, container, pod, namespace, value, labels_raw,
          CASE WHEN metric_name IN ('error', 'view') AND v >= 300 THEN 'field_count'
               WHEN metric_name = 'click' AND v < 1 THEN 'missing_required' END AS reject_reason

@@ -27,7 +27,7 @@ from telemetry_engine.operators.registry import latest_per_key
 from telemetry_engine.schemas import DEVICE_COLUMNS
 from telemetry_engine.sources import fs
 from telemetry_engine.sources.csv_metrics import (
-    file_headers, good_rows, missing_column, read_metrics_csv, rejected_rows, stream_metrics_files,
+    file_layouts, good_rows, missing_column, read_metrics_csv, rejected_rows, stream_metrics_files, without_lines,
 )
 from telemetry_engine.sources.messages_io import stream_messages, write_messages
 from telemetry_engine.sources.store import with_event_date
@@ -58,8 +58,9 @@ def start_ingest(
 ) -> StreamingQuery:
     """CSV files -> ``out_dir/messages`` (+ ``quarantine``, ``stats``), each file by its own header.
 
-    A file whose header lacks a required column is counted in ``files_rejected``
-    and named in the quarantine; it does not stop the stream.
+    A file whose header lacks a required column, or that has no line but blank
+    ones, is counted in ``files_rejected`` and named in ``rejected_files``; it does
+    not stop the stream.
     ``available_now`` drains what is there (one pass); ``processing_time``
     (e.g. '5 seconds') keeps polling for new files.
     """
@@ -69,11 +70,13 @@ def start_ingest(
         session = batch.sparkSession
         ts, bid = batch_stamp()
         names = [r["path"] for r in batch.collect()]  # at most ``max_files`` names
-        headers = file_headers(session, names) if names else {}
-        bad = sorted(f for f, h in headers.items() if missing_column(h))
-        good = sorted(f for f in headers if f not in set(bad))
+        layouts = file_layouts(session, names) if names else {}
+        faults = {f: f"header lacks {missing_column(x.names)}" for f, x in layouts.items() if missing_column(x.names)}
+        faults |= {f: "no header line" for f in without_lines(names, layouts)}
+        bad = sorted(faults)
+        good = {f: x for f, x in layouts.items() if f not in faults}
         if good:
-            b = read_metrics_csv(session, good).persist()
+            b = read_metrics_csv(session, sorted(good), layouts=good).persist()
             try:
                 msgs = encode_messages(good_rows(b), batch_ts=ts, batch_id=bid, instance_id=F.lit(instance_id))
                 write_messages(msgs, epoch_dir(f"{out_dir}/messages", epoch_id), mode="overwrite")
@@ -92,7 +95,7 @@ def start_ingest(
                 zero.alias("rows_total"), zero.alias("rows_sent"), zero.alias("rows_rejected"),
                 F.lit(len(bad)).cast("bigint").alias("files_rejected"), bid.alias("batch_id")), out_dir, epoch_id)
         if bad:
-            rows = [(f, f"header lacks {missing_column(headers[f])}") for f in bad]
+            rows = [(f, faults[f]) for f in bad]
             (session.createDataFrame(rows, "source_file string, reject_reason string").coalesce(1)
              .write.mode("overwrite").parquet(epoch_dir(f"{out_dir}/rejected_files", epoch_id)))
         commit(session, out_dir, epoch_id)

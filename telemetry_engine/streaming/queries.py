@@ -45,7 +45,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return stream_totals(spark, _run_ingest(spark, sf), ["rows_total", "rows_sent", "rows_rejected"])
+    return stream_totals(spark, _run_ingest(spark, sf), ["rows_total", "rows_sent", "rows_rejected", "files_rejected"])
 
 
 def q_collector_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +108,9 @@ STREAM_ORACLE: dict[str, str] = {
         CAST(NULL AS VARCHAR) AS reject_reason FROM csv WHERE reject_reason IS NULL""",
     "stream_ingest_stats": _w(REC, CSV) + """SELECT count(*) AS rows_total,
         count(*) FILTER (WHERE reject_reason IS NULL) AS rows_sent,
-        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rows_rejected FROM csv""",
+        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rows_rejected,
+        CAST(1 AS BIGINT) AS files_rejected -- the file of blank lines
+        FROM csv""",
     "collector_stream": _w(REC, MSG, DEC) + """SELECT gpu_uuid, metric_name, value, timestamp, batch_id,
         labels_raw, seq FROM decv WHERE reject_reason IS NULL""",
     "collector_registry": _w(REC, MSG, DEC) + """, d AS (SELECT gpu_uuid AS uuid, seq, """ + ", ".join(

@@ -94,6 +94,18 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def pickle_by_value(module: str) -> None:
+    """Send a module's functions and classes to the tasks by value.
+
+    Python processes that Spark starts (executors, and the driver-side runner of
+    stateful processors) may not have this package on their path.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
 
 def materialize(df):
     """Compute ``df`` once into a reliable checkpoint in the shared folder.

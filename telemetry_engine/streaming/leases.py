@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
+from telemetry_engine.session import pickle_by_value
 
 KEY = ["topic", "consumer_group", "message_id"]
 UPDATE_SCHEMA = (
@@ -33,20 +34,6 @@ UPDATE_SCHEMA = (
 EPOCH = "1970-01-01 00:00:00"
 
 
-def _pickle_by_value() -> None:
-    """Serialise this module's processor by value.
-
-    The processor runs in Python processes started by Spark (executors and a
-    driver-side pre-init runner) that may not have this package on their
-    path; shipping the class by value makes it self-contained.
-    """
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
 def key_leases(events: list[tuple[int, int, str]], timeout_us: int) -> list[tuple[int, int, int, int, bool]]:
     """(fetch_us, fetch_seq, expires_s, deliveries, ended) of each lease of one key's ordered events."""
     out: list[list] = []
@@ -96,7 +83,7 @@ class LeaseLog(StatefulProcessor):
 
 def lease_updates(log_stream: DataFrame, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS) -> DataFrame:
     """Streaming DataFrame of lease versions (append mode)."""
-    _pickle_by_value()
+    pickle_by_value(__name__)
     gap = F.col("ts") - F.lit(EPOCH).cast("timestamp_ntz")
     part = lambda unit: F.extract(F.lit(unit), gap)  # noqa: E731  in no zone
     us = ((part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60).cast("bigint") * 1_000_000

@@ -10,14 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry_engine.operators import delivery
 from telemetry_engine.operators.messages import decode_messages
 from telemetry_engine.plans import catalog
 from telemetry_engine.plans.oracle import ACK, CSV, DEC, LOG, MSG, REC, TEL, K, _open, _w
 from telemetry_engine.schemas import DELIVERY_EVENT_SCHEMA, DEVICE_COLUMNS, TELEMETRY_SCHEMA
-from telemetry_engine.sources.messages_io import read_messages
+from telemetry_engine.sources.messages_io import read_messages, stream_messages
 from telemetry_engine.streaming.dedup import dedup_stream
 from telemetry_engine.streaming.epochs import epoch_paths, read_epochs, state_on_disk
+from telemetry_engine.streaming.handlers import handler_log, process_stream
 from telemetry_engine.streaming.leases import expired_leases, lease_updates
+from telemetry_engine.streaming.redeliveries import outstanding, redelivery_changes
 from telemetry_engine.streaming.pipeline import (
     read_collected_registry, start_collector, start_ingest, stream_totals,
 )
@@ -70,6 +73,28 @@ def q_stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     return stream_totals(spark, _run_collector(spark, sf), COUNTERS)
 
 
+def payload_check(messages) -> None:
+    """A handler: every payload of the batch must be JSON with a device."""
+    import json
+
+    for payload in messages["payload"]:
+        if not json.loads(payload).get("gpu_uuid"):
+            raise LookupError("no device")
+
+
+def q_handler_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Final state, acks and last error of every message after a handler that fails on some of them."""
+    out = catalog.run_dir(spark, "handler")
+    src = stream_messages(spark, catalog.messages_dir(spark, sf), extra_schema="seq bigint", max_files=FILES_PER_BATCH)
+    process_stream(src, payload_check, out, consumer_group="checks").awaitTermination()
+    log = handler_log(spark, out)
+    acks = log.groupBy("topic", "consumer_group", "message_id").agg(
+        F.count_if(F.col("op") == "ack").alias("acks"),
+        F.max_by(F.substring_index("error", ":", 1), "seq").alias("error"))
+    return delivery.delivery_state(log).join(acks, ["topic", "consumer_group", "message_id"]).select(
+        "topic", "consumer_group", "message_id", "state", "acks", "error")
+
+
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     src = (spark.readStream.schema(TELEMETRY_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH)
            .parquet(catalog.telemetry_arrivals_dir(spark, sf)))
@@ -87,6 +112,15 @@ def q_lease_expiry_stream(spark: SparkSession, sf: str) -> DataFrame:
     return expired_leases(spark.read.parquet(f"{out}/data"))
 
 
+def q_lease_redeliveries_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream emitted as time passed, net of what it revoked."""
+    src = (spark.readStream.schema(DELIVERY_EVENT_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH)
+           .parquet(catalog.delivery_log_dir(spark, sf)))
+    out = catalog.run_dir(spark, "redeliveries")
+    _drain(spark, redelivery_changes(src), out)
+    return outstanding(spark.read.parquet(f"{out}/data"))
+
+
 def _drain(spark: SparkSession, rows: DataFrame, out: str) -> None:
     with state_on_disk(spark):
         query = (rows.writeStream.format("parquet").option("path", f"{out}/data")
@@ -118,6 +152,10 @@ STREAM_ORACLE: dict[str, str] = {
         for k, o in _DEV_FIELDS) + """ FROM decv WHERE reject_reason IS NULL),
         r AS (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY seq DESC) AS rn FROM d)
         SELECT """ + ", ".join(DEVICE_COLUMNS) + " FROM r WHERE rn = 1",
+    "handler_outcomes": _w(REC, MSG, DEC) + """SELECT 'telemetry' AS topic, 'checks' AS consumer_group, CAST(seq AS VARCHAR) AS message_id,
+        CASE WHEN reject_reason IN ('bad_json', 'missing_uuid') THEN 'ready' ELSE 'acked' END AS state,
+        CAST(CASE WHEN reject_reason IN ('bad_json', 'missing_uuid') THEN 0 ELSE 1 END AS BIGINT) AS acks,
+        CASE reject_reason WHEN 'bad_json' THEN 'JSONDecodeError' WHEN 'missing_uuid' THEN 'LookupError' END AS error FROM decv""",
     "stream_progress": _w(REC, MSG, DEC) + """SELECT count(*) AS processed,
         count(*) FILTER (WHERE reject_reason IS NOT NULL) AS errors,
         count(*) FILTER (WHERE reject_reason IS NULL) AS gpus_stored,
@@ -146,3 +184,5 @@ STREAM_ORACLE: dict[str, str] = {
           AND NOT (lf.next_fetch_ts IS NOT NULL AND {_open('lf.ts', 'lf.next_fetch_ts')})
           AND date_trunc('second', lf.ts + INTERVAL 300 SECOND) <= (SELECT wm_ts FROM wm)""",
 }
+# the same leases, emitted by timers
+STREAM_ORACLE["lease_redeliveries_stream"] = STREAM_ORACLE["lease_expiry_stream"]

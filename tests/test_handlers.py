@@ -1,0 +1,105 @@
+"""Message handlers: outcomes, redelivery, dead letters, replay."""
+
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from telemetry_engine.operators.delivery import delivery_state
+from telemetry_engine.sources.messages_io import stream_messages, write_messages
+from telemetry_engine.streaming.epochs import read_epochs
+from telemetry_engine.streaming.handlers import dead_letters, handled, handler_log, outcomes_of, process_stream
+
+
+def _messages(spark, ids, topic="t"):
+    rows = spark.createDataFrame([(str(i), i) for i in ids], "id string, n int")
+    return rows.select("id", F.lit(topic).alias("topic"), F.concat(F.lit('{"n":'), "n", F.lit("}")).alias("payload"),
+                       F.create_map(F.lit("h"), F.col("id")).alias("headers"),
+                       F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("timestamp"), F.lit("{}").alias("metadata"))
+
+
+@pytest.mark.parametrize("bad", [[], [0], [6], [3, 4], list(range(7))])
+def test_a_raising_batch_is_halved_until_the_bad_stand_alone(bad):
+    calls = []
+
+    def handler(m):
+        calls.append(len(m))
+        if set(m["n"]) & set(bad):
+            raise ValueError("no")
+
+    got = outcomes_of(handler, pd.DataFrame({"n": range(7)}))
+    assert got == ["ValueError: no" if i in bad else None for i in range(7)]
+    assert len(calls) <= 1 + 2 * 3 * max(1, len(bad))
+
+
+def test_outcomes_per_message_and_a_wrong_number_of_them():
+    m = pd.DataFrame({"n": range(4)})
+    assert outcomes_of(lambda m: [None if n % 2 else f"even {n}" for n in m["n"]], m) == ["even 0", None, "even 2", None]
+    assert outcomes_of(lambda m: [None], m) == [None] * 4  # right for one message at a time
+    assert outcomes_of(lambda m: [], m) == ["ValueError: handler gave 0 outcomes for 1 messages"] * 4
+    assert outcomes_of(lambda m: 1 / 0, m.iloc[:0]) == []
+
+
+def test_counts_of_ten_good_and_five_bad(spark):
+    def handler(m):
+        if (m["id"].astype(int) % 3 == 0).any():
+            raise RuntimeError("third")
+
+    got = handled(_messages(spark, range(15)), handler, batch_rows=4)
+    assert got.columns[-1] == "error" and got.where("error is null").count() == 10
+    assert {r.id for r in got.where("error = 'RuntimeError: third'").collect()} == {"0", "3", "6", "9", "12"}
+    assert got.where("headers['h'] = id").count() == 15
+
+
+def _run(spark, tmp, handler, **how):
+    src = stream_messages(spark, f"{tmp}/queue/*", max_files=1)
+    q = process_stream(src, handler, f"{tmp}/out", consumer_group="g", **how)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_failed_messages_are_redelivered_and_the_rest_acknowledged_once(spark, tmp):
+    for k in range(4):
+        write_messages(_messages(spark, range(10 * k, 10 * k + 10)).coalesce(1), f"{tmp}/queue/{k}", mode="overwrite")
+
+    def handler(m):
+        for i, n in zip(m["id"].astype(int), m["deliveries"]):
+            if i == 3 or (i % 10 == 5 and n == 1):  # always; at first
+                raise LookupError("not yet")
+
+    _run(spark, tmp, handler, max_deliveries=3)
+    log = handler_log(spark, f"{tmp}/out")
+    ops = {(r.message_id, r.op): r.n for r in log.groupBy("message_id", "op").agg(F.count("*").alias("n")).collect()}
+    assert all(ops.get((str(i), "ack"), 0) == (0 if i in (3, 35) else 1) for i in range(40))
+    assert ops["3", "nack"] == ops["3", "fetch"] == 3 and ops["5", "nack"] == 1 and ops["5", "fetch"] == 2
+    assert ops["35", "nack"] == 1 and ("0", "nack") not in ops
+    dead = dead_letters(spark, f"{tmp}/out").collect()
+    assert [(r.id, r.deliveries, r.error, r.payload) for r in dead] == [("3", 3, "LookupError: not yet", '{"n":3}')]
+    states = {r.message_id: r.state for r in delivery_state(log).collect()}
+    assert {i for i, s in states.items() if s == "ready"} == {"3", "35"}
+    stats = read_epochs(spark, f"{tmp}/out/stats").agg(F.sum("delivered"), F.sum("errors")).first()
+    assert tuple(stats) == (38, 3 + 4)
+    # a later run takes up what is left
+    write_messages(_messages(spark, [100]).coalesce(1), f"{tmp}/queue/9", mode="overwrite")
+    _run(spark, tmp, handler, max_deliveries=3)
+    assert handler_log(spark, f"{tmp}/out").where("message_id = '35' and op = 'ack'").count() == 1
+
+
+def test_a_replayed_epoch_acknowledges_nothing_twice(spark, tmp):
+    for k in range(3):
+        write_messages(_messages(spark, range(10 * k, 10 * k + 10)).coalesce(1), f"{tmp}/queue/{k}", mode="overwrite")
+
+    def handler(m):
+        if (m["id"].astype(int) == 12).any() and m["deliveries"].max() == 1:
+            raise ValueError("once")
+
+    _run(spark, tmp, handler)
+    before = sorted(map(tuple, handler_log(spark, f"{tmp}/out").select("message_id", "op", "seq").collect()))
+    os.remove(f"{tmp}/out/_committed/{2:010d}")  # as if the driver was lost within the last epoch
+    for name in ("2", ".2.crc"):
+        os.remove(f"{tmp}/out/_checkpoints/handler/commits/{name}")
+    assert handler_log(spark, f"{tmp}/out").where("op = 'ack'").count() < 30
+    _run(spark, tmp, handler)
+    after = sorted(map(tuple, handler_log(spark, f"{tmp}/out").select("message_id", "op", "seq").collect()))
+    assert after == before and sum(op == "ack" for _, op, _ in after) == 30

@@ -235,8 +235,9 @@ def test_ingest_binds_each_file_by_its_header(spark, tmp):
     payloads = [json.loads(r.payload) for r in spark.read.json(f"{out}/messages/epoch=*").collect()]
     assert sorted((p["gpu_uuid"], p["metric_name"], p["value"]) for p in payloads) == [("uuid-A", "util", "1"), ("uuid-B", "util", "2")]
     s = stream_totals(spark, out, ["rows_total", "rows_sent", "rows_rejected", "files_rejected"]).first()
-    assert tuple(s) == (3, 2, 1, 1)
-    assert [r.source_file.rsplit("/", 1)[-1] for r in read_epochs(spark, f"{out}/rejected_files").collect()] == ["c.csv"]
+    assert tuple(s) == (3, 2, 1, 2)
+    assert sorted((r.source_file.rsplit("/", 1)[-1], r.reject_reason) for r in read_epochs(spark, f"{out}/rejected_files").collect()) == [
+        ("c.csv", "header lacks metric_name"), ("d.csv", "no header line")]
 
 
 def test_collector_keeps_running_on_a_processing_time_trigger(spark, tmp):

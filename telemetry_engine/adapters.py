@@ -99,7 +99,9 @@ def messages_from_events(events: DataFrame, customer: DataFrame, nation: DataFra
     truncated payload (undecodable); click events with value < 1 lost their
     uuid; signup events with value >= 300 carry the zero time; click events with
     value >= 300 carry further, nested fields; purchase events with value >= 300
-    repeat a key (the last counts).  In the metadata, view events with value < 10
+    repeat a key (the last counts); signup events with value < 100 write a key in
+    capitals and a longer fraction of the time; view events with value >= 200 repeat
+    a key in another case.  In the metadata, view events with value < 10
     give gpu_index as a number, purchase events with value < 10 a numeric device
     beside a nested text one.  One batch per hour of ``ts``; the message is
     stamped with its event time.
@@ -127,6 +129,9 @@ def messages_from_events(events: DataFrame, customer: DataFrame, nation: DataFra
         .when((mt == "signup") & (v >= 300), zero_time)
         .when((mt == "click") & (v >= 300), F.regexp_replace("payload", r"\}$", ',"extra":{"value":1,"gpu_uuid":2}}'))
         .when((mt == "purchase") & (v >= 300), F.regexp_replace("payload", r"^\{", '{"value":"0",'))
+        .when((mt == "signup") & (v < 100), F.replace(
+            F.regexp_replace("payload", r'(\.[0-9]+)Z"', '$10000000000123Z"'), F.lit('"gpu_uuid"'), F.lit('"GPU_UUID"')))
+        .when((mt == "view") & (v >= 200), F.regexp_replace("payload", r"^\{", '{"Gpu_Uuid":"x","VALUE":null,'))
         .otherwise(F.col("payload"))
     )
     numeric_index = F.regexp_replace("metadata", r'"gpu_index":"([0-9]+)"', '"gpu_index":$1')

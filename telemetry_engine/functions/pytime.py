@@ -26,7 +26,10 @@ def parse_rfc3339_py(s: str) -> datetime | None:
     if hh >= 24 or mm >= 60:
         return None
     off = timedelta(hours=hh, minutes=mm)
-    return local - off if zone[0] == "+" else local + off
+    try:
+        return local - off if zone[0] == "+" else local + off
+    except OverflowError:
+        return None
 
 
 def format_rfc3339_nano_py(ts: datetime) -> str:

@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 # RFC 3339 as accepted by a strict parser: date 'T' time, optional fraction,
 # then 'Z' or a +hh:mm / -hh:mm offset.  A bare date is rejected.
 RFC3339_REGEX = (
-    r"([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2}:[0-9]{2}:[0-9]{2})(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})"
+    r"([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2}:[0-9]{2}:[0-9]{2})(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})"
 )
 
-
-RFC3339_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
@@ -37,15 +35,22 @@ def is_rfc3339(s: Column | str) -> Column:
 def parse_rfc3339(s: Column | str) -> Column:
     """Strict RFC 3339 text -> UTC ``timestamp_ntz``; invalid text -> null.
 
-    One regex guards the strict shape (Spark's own parser is lenient about
-    case); Spark's offset-aware parser yields the instant, and its epoch
-    microseconds give the UTC wall time without touching the session zone.
-    Digits below the microsecond are truncated.
+    One regex guards the strict shape, so the parts have fixed places.  The wall
+    time is cast without a zone and the offset, of up to 23:59 hours, taken off by
+    arithmetic.  The fraction may be of any length; digits below the microsecond
+    are cut.
     """
     s = _c(s)
-    instant = F.try_to_timestamp(s, F.lit(RFC3339_PATTERN))
-    utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
-    return F.when(matches_whole(s, RFC3339_REGEX), utc)
+    zulu = F.endswith(s, F.lit("Z"))
+    zone = F.right(s, F.lit(6))
+    number = lambda at: F.substring(zone, at, 2).try_cast("int")
+    hours, minutes = F.when(zulu, 0).otherwise(number(2)), F.when(zulu, 0).otherwise(number(5))
+    fraction = F.substring(s, F.lit(20), F.least(F.lit(7), F.length(s) - 19 - F.when(zulu, 1).otherwise(6)))
+    local = F.concat(F.substring(s, 1, 10), F.lit(" "), F.substring(s, 12, 8), fraction).try_cast("timestamp_ntz")
+    east = F.when(F.startswith(zone, F.lit("-")) & ~zulu, -1).otherwise(1)
+    none = F.lit(0)
+    utc = local - F.make_dt_interval(none, none, east * (hours * 60 + minutes), F.lit(0))
+    return F.when(matches_whole(s, RFC3339_REGEX) & (hours < 24) & (minutes < 60), utc)
 
 
 def _text(ts: Column | str) -> Column:

@@ -97,6 +97,34 @@ def _parse_once(df: DataFrame, column: str, names: list[str], prefix: str) -> Da
     return parsed.select("*", F.inline(F.array(values))).drop(f"{prefix}_raw")
 
 
+def _parse_folded(df: DataFrame, column: str, names: list[str], prefix: str) -> DataFrame:
+    """``_parse_once`` with keys matched without regard to case, as a struct decoder matches them.
+
+    All of the object's keys are read in order.  Of those that name one field, in
+    whatever case, the last text counts, a null changes nothing, and one of
+    another type makes the payload undecodable.
+    """
+    text = F.col(column)
+    entries = F.map_entries(F.from_json(text, "map<string, variant>"))
+    kind = lambda e: F.schema_of_variant(e["value"])
+    named = F.filter(entries, lambda e: F.lower(F.upper(e["key"])).isin(*names))
+    read = F.transform(named, lambda e: F.struct(
+        F.lower(F.upper(e["key"])).alias("name"), kind(e).alias("kind"),
+        F.when(kind(e) == "STRING", F.try_variant_get(e["value"], "$", "string")).alias("text")))
+    parsed = df.select("*", F.inline(F.array(F.struct(read.alias(f"{prefix}_read")))))
+    fields = F.col(f"{prefix}_read")
+    # one object and nothing after it
+    whole = (text.rlike(r"\A\s*\{") & fields.isNotNull()
+             & (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1))
+    wrong = F.exists(fields, lambda e: ~e["kind"].isin("STRING", "VOID"))
+    last = lambda n: F.try_element_at(
+        F.filter(fields, lambda e: (e["name"] == n) & e["text"].isNotNull()), F.lit(-1))["text"]
+    values = F.struct(
+        (~F.coalesce(whole, F.lit(False)) | F.coalesce(wrong, F.lit(True))).alias(f"{prefix}_bad"),
+        F.struct(*[last(n).alias(n) for n in names]).alias(f"{prefix}_val"))
+    return parsed.select("*", F.inline(F.array(values))).drop(f"{prefix}_read")
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Decode payloads and validate the points.
 
@@ -104,7 +132,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     timestamp_ntz (null when absent or the zero time), and ``reject_reason``:
     bad_json, missing_uuid, missing_metric, missing_timestamp, or null.
     """
-    df = _parse_once(messages, "payload", PAYLOAD_FIELDS, "_pl")
+    df = _parse_folded(messages, "payload", PAYLOAD_FIELDS, "_pl")
     ts_text = F.col("_pl_val.timestamp")
     df = df.withColumn("_ts", parse_rfc3339(ts_text))
     bad = F.col("_pl_bad") | (ts_text.isNotNull() & F.col("_ts").isNull())

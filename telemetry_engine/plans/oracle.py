@@ -18,7 +18,7 @@ def _nano(ts: str) -> str:
     )
 
 
-RFC_RE = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
+RFC_RE = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
 
 def _rfc(s: str) -> str:
@@ -125,8 +125,15 @@ msg AS (
          WHEN metric_name = 'click' AND v >= 300
            THEN left(payload0, length(payload0) - 1) || ',"extra":{{"value":1,"gpu_uuid":2}}}}'
          WHEN metric_name = 'purchase' AND v >= 300 THEN '{{"value":"0",' || substring(payload0, 2)
+         WHEN metric_name = 'signup' AND v < 100
+           THEN replace(CASE WHEN payload0 LIKE '%.%Z"%' AND regexp_matches(payload0, '[.][0-9]+Z"')
+                             THEN regexp_replace(payload0, '([0-9])Z"', '\\10000000000123Z"') ELSE payload0 END,
+                        '"gpu_uuid"', '"GPU_UUID"')
+         WHEN metric_name = 'view' AND v >= 200 THEN '{{"Gpu_Uuid":"x","VALUE":null,' || substring(payload0, 2)
          ELSE payload0 END AS payload,
-    (metric_name = 'purchase' AND v >= 300) AS repeated, payload0,
+    -- what such a payload says is what it said before
+    (metric_name = 'purchase' AND v >= 300) OR (metric_name = 'signup' AND v < 100) OR (metric_name = 'view' AND v >= 200)
+      AS repeated, payload0,
     CASE WHEN metric_name = 'view' AND v < 10
          THEN replace(metadata0, '"gpu_index":"' || gpu_id || '"', '"gpu_index":' || gpu_id)
          WHEN metric_name = 'purchase' AND v < 10
@@ -308,6 +315,12 @@ def _w(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def _far(zone: str) -> str:
+    """The start time with a long fraction and another offset, where it is a plain time in Z."""
+    text = f"left(start_time, length(start_time) - 1) || '.1234567890123{zone}'"
+    return f"CASE WHEN length(start_time) = 20 AND right(start_time, 1) = 'Z' THEN {_rfc('(' + text + ')')} END"
+
+
 ORACLE: dict[str, str] = {
     "csv_scan": _w(REC, CSV) + f"SELECT {CSV_COLS} FROM csv WHERE reject_reason IS NULL",
     "csv_rejects": _w(REC, CSV) + "SELECT uuid, metric_name, value, reject_reason FROM csv WHERE reject_reason IS NOT NULL",
@@ -424,7 +437,8 @@ ORACLE: dict[str, str] = {
         CASE WHEN metric_name = 'click' THEN {_nano('timestamp')} ELSE batch_id END AS point_key FROM tel""",
     "rfc3339": _w(REQ) + f"""SELECT request_id, start_time, {_rfc('start_time')} AS start_ts,
         coalesce(regexp_matches(start_time, '{RFC_RE}') AND {_rfc('start_time')} IS NOT NULL, false) AS start_valid,
-        end_time, {_rfc('end_time')} AS end_ts FROM req""",
+        end_time, {_rfc('end_time')} AS end_ts, {_far('+19:00')} AS east_ts, {_far('-23:59')} AS west_ts,
+        {_far('+24:00')} AS beyond_ts FROM req""",
     "rfc3339_format": _w(TEL) + f"""SELECT seq, strftime(timestamp, '%Y-%m-%dT%H:%M:%SZ') AS ts_rfc3339,
         {_nano('timestamp')} AS ts_rfc3339_nano FROM tel""",
     "day_bounds": _w(TEL) + """SELECT seq, CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS day_start,

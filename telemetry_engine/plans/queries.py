@@ -326,6 +326,13 @@ def q_point_key(spark, sf):
 
 def q_rfc3339(spark, sf):
     req = adapters.history_requests_from_customers(_t(spark, sf, "customer"))
+    start = F.col("start_time")
+    plain = (F.length(start) == 20) & F.endswith(start, F.lit("Z"))
+
+    def far(zone: str):
+        """The start time with a long fraction and another offset."""
+        return F.when(plain, timeutil.parse_rfc3339(F.concat(F.rtrim(start, F.lit("Z")), F.lit(f".1234567890123{zone}"))))
+
     return req.select(
         "request_id",
         "start_time",
@@ -333,6 +340,9 @@ def q_rfc3339(spark, sf):
         timeutil.is_rfc3339("start_time").alias("start_valid"),
         "end_time",
         timeutil.parse_rfc3339("end_time").alias("end_ts"),
+        far("+19:00").alias("east_ts"),
+        far("-23:59").alias("west_ts"),
+        far("+24:00").alias("beyond_ts"),
     )
 
 

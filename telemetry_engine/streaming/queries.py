@@ -78,7 +78,7 @@ def payload_check(messages) -> None:
     import json
 
     for payload in messages["payload"]:
-        if not json.loads(payload).get("gpu_uuid"):
+        if not {k.lower(): v for k, v in json.loads(payload).items()}.get("gpu_uuid"):
             raise LookupError("no device")
 
 

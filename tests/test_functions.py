@@ -23,7 +23,7 @@ def test_keys(spark):
 
 def test_uuid_pattern(spark):
     ok = ["GPU-0000002a-0000-0000-0000-00000000002a", "0000002a-0000-0000-0000-00000000002a"]
-    bad = ["GPU-5fd4f087", "gpu-0000002a-0000-0000-0000-00000000002a", "", "GPU-zzd4f087-86f3-7a43-b711-4771313afc50"]
+    bad = ["GPU-0000beef", "gpu-0000002a-0000-0000-0000-00000000002a", "", "GPU-zz00002a-0000-0000-0000-00000000002a"]
     df = spark.createDataFrame([(u,) for u in ok + bad], "u string")
     got = [r.v for r in df.select(S.uuid_is_valid("u").alias("v")).collect()]
     assert got == [True] * 2 + [False] * 4
@@ -59,3 +59,23 @@ def test_labels_numeric_clamp(spark):
     assert vals[0] == 98.5 and vals[1] is None and vals[2] != vals[2]
     assert [_one(spark, S.clamp(F.lit(v))) for v in (0, 500, 9999)] == [1, 500, 2500]
     assert _one(spark, S.parse_int(F.lit("+42"))) == 42 and _one(spark, S.parse_int(F.lit("4 2"))) is None
+
+
+def test_rfc3339_wide_offsets_and_long_fractions(spark):
+    from datetime import datetime
+
+    from telemetry_engine.functions.pytime import parse_rfc3339_py
+    from telemetry_engine.functions.timeutil import parse_rfc3339
+
+    forms = {
+        "2024-03-01T10:00:00+19:00": datetime(2024, 2, 29, 15),
+        "2024-03-01T10:00:00-23:59": datetime(2024, 3, 2, 9, 59),
+        "2024-03-01T10:00:00.1234567891234567Z": datetime(2024, 3, 1, 10, 0, 0, 123456),
+        "2024-03-01T10:00:00.5+00:30": datetime(2024, 3, 1, 9, 30, 0, 500000),
+        "2024-03-01T10:00:00+24:00": None, "2024-03-01T10:00:00+10:60": None, "2024-03-01T10:00:00.Z": None,
+        "2024-02-30T10:00:00Z": None, "2024-03-01T24:00:00Z": None, "2024-03-01T10:00:00": None, "": None, "Z": None,
+    }
+    df = spark.createDataFrame([(k,) for k in forms], "s string")
+    got = {r.s: r.t for r in df.select("s", parse_rfc3339("s").alias("t")).collect()}
+    assert got == forms
+    assert {k: parse_rfc3339_py(k) for k in forms} == forms

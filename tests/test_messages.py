@@ -76,3 +76,23 @@ def test_encode_round_trip_omits_empty_optional_fields(spark):
     d = M.decode_messages(m).first()
     assert (d.gpu_uuid, d.value, d.reject_reason) == ("GPU-1", "75", None)
     assert d.timestamp == datetime(2025, 1, 18, 10, 0, 0, 500000)
+
+
+def test_payload_keys_without_regard_to_case(spark):
+    from telemetry_engine.operators.messages import decode_messages
+
+    rest = '"metric_name":"m","timestamp":"2024-01-01T00:00:00Z"}'
+    payloads = {
+        "capitals": '{"GPU_UUID":"a",' + rest,
+        "last of any case": '{"gpu_uuid":"a","Gpu_Uuid":"b",' + rest,
+        "null changes nothing": '{"gpu_uuid":"a","GPU_UUID":null,' + rest,
+        "wrong type in another case": '{"gpu_uuid":"a","VALUE":1,' + rest,
+        "deeper keys have no say": '{"gpu_uuid":"a","x":{"VALUE":1},' + rest,
+        "no field": '{"gpu uuid":"a",' + rest,
+    }
+    rows = spark.createDataFrame(list(payloads.items()), "id string, payload string").selectExpr(
+        "id", "'t' AS topic", "payload", "timestamp_ntz '2024-01-01 00:00:00' AS timestamp", "'{}' AS metadata")
+    got = {r.id: (r.gpu_uuid, r.reject_reason) for r in decode_messages(rows).collect()}
+    assert got == {"capitals": ("a", None), "last of any case": ("b", None), "null changes nothing": ("a", None),
+                   "wrong type in another case": (None, "bad_json"), "deeper keys have no say": ("a", None),
+                   "no field": ("", "missing_uuid")}

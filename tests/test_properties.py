@@ -6,8 +6,8 @@ from hypothesis import strategies as st
 from telemetry_engine.operators import history as H
 
 UUIDS = st.sampled_from([
-    "", "GPU-0000002a-0000-0000-0000-00000000002a", "5FD4F087-86F3-7A43-B711-4771313AFC50",
-    "GPU-5fd4f087-86f3-7a43-b711-4771313afc5", "gpu-0000002a-0000-0000-0000-00000000002a", "x",
+    "", "GPU-0000002a-0000-0000-0000-00000000002a", "0000ABCD-00EF-0000-0000-00000000FACE",
+    "GPU-0000002a-0000-0000-0000-00000000002", "gpu-0000002a-0000-0000-0000-00000000002a", "x",
 ])
 
 
@@ -54,7 +54,7 @@ def test_columnar_validation_matches_driver_validation(spark, reqs):
             assert (g[1], g[2], g[3]) == (start, end, limit), (r, g)
 
 
-LABEL_KEYS = st.sampled_from(["a", "b", "Hostname", "DCGM_FI_DRIVER_VERSION", "x.y", "_k"])
+LABEL_KEYS = st.sampled_from(["a", "b", "Hostname", "UPPER_KEY_9", "x.y", "_k"])
 BS = chr(92)  # backslash
 LABEL_VALUES = st.text(alphabet='abc ,="\\\\1', max_size=8)
 

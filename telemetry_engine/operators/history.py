@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetry_engine.functions.scalars import blank_to_empty, parse_int, uuid_is_valid
-from telemetry_engine.functions.timeutil import parse_rfc3339
+from telemetry_engine.functions.timeutil import EPOCH_NTZ, parse_rfc3339
 from telemetry_engine.functions.pytime import parse_rfc3339_py
 from telemetry_engine.schemas import HISTORY_MAX_LIMIT, UUID_PATTERN
 from telemetry_engine.session import materialize
@@ -183,15 +183,16 @@ class _Branch:
     hi: datetime | None
 
 
-def _branches(statuses: DataFrame) -> list[_Branch]:
+def _branches(statuses: DataFrame, by_limit: bool = True) -> list[_Branch]:
     """The non-empty groups of ``ok`` requests by (limit: none, small, large; both time bounds or not).
 
     One open-ended request leaves the bounds of the others alone, and one large
-    limit leaves the early cut of the others alone.  At most six groups.
+    limit leaves the early cut of the others alone.  At most six groups, two
+    where limits make no difference.
     """
     ok = materialize(statuses.where(F.col("status") == "ok").select(
         "request_id", F.col("uuid").alias("_uuid"), "start_ts", "end_ts", "limit_n"))
-    size = F.when(F.col("limit_n").isNull(), 0).when(F.col("limit_n") <= SMALL_LIMIT, 1).otherwise(2)
+    size = F.when(F.col("limit_n").isNull(), 0).when(F.col("limit_n") <= SMALL_LIMIT, 1).otherwise(2) if by_limit else F.lit(0)
     closed = F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()
     every = lambda c, value: F.when(F.count_if(F.col(c).isNull()) == 0, value)  # noqa: E731  a bound only if all have one
     groups = (ok.groupBy(size.alias("l"), closed.alias("c"))
@@ -200,14 +201,48 @@ def _branches(statuses: DataFrame) -> list[_Branch]:
     return [_Branch(g["most"], ok.where((size == g["l"]) & (closed == g["c"])), g["lo"], g["hi"]) for g in groups]
 
 
-def _matches(branch: _Branch, telemetry: DataFrame, columns: list[str]) -> DataFrame:
-    """Telemetry within reach of the branch, joined to its requests; small request sides are broadcast by size."""
+def _within(branch: _Branch, telemetry: DataFrame, columns: list[str]) -> DataFrame:
+    """Telemetry within the branch's time bounds, with ``_day``."""
     t = telemetry
     for p in _time_predicates(telemetry, branch.lo, branch.hi):
         t = t.where(p)
-    t, r = t.select(*columns), branch.requests
-    in_time = F.coalesce(t.timestamp >= r.start_ts, F.lit(True)) & F.coalesce(t.timestamp <= r.end_ts, F.lit(True))
-    return t.join(r, (t.gpu_uuid == r._uuid) & in_time, "inner")
+    day = F.col("event_date") if "event_date" in telemetry.columns else F.col("timestamp").cast("date")
+    return t.select(*columns, day.alias("_day"))
+
+
+def request_days(branch: _Branch, points: DataFrame) -> DataFrame:
+    """The branch's requests once for every day that they need of their device, with its number of points ``_n``.
+
+    One count per (device, day), combined where the points are read.  A day
+    that lies between the bounds counts in full, so a limited request needs no
+    day older than those that fill its limit.
+    """
+    wanted = branch.requests.select(F.col("_uuid").alias("gpu_uuid")).distinct()
+    days = points.join(wanted, "gpu_uuid", "left_semi").groupBy("gpu_uuid", "_day").agg(F.count(F.lit(1)).alias("_n"))
+    r = branch.requests
+    first, last = F.col("start_ts").cast("date"), F.col("end_ts").cast("date")
+    reach = F.coalesce(F.col("_day") >= first, F.lit(True)) & F.coalesce(F.col("_day") <= last, F.lit(True))
+    out = days.join(r, (days.gpu_uuid == r._uuid) & reach).drop("gpu_uuid")
+    if branch.most:
+        whole = F.coalesce(F.col("_day") > first, F.lit(True)) & F.coalesce(F.col("_day") < last, F.lit(True))
+        newer = Window.partitionBy("request_id").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+        full = F.coalesce(F.sum(F.when(whole, F.col("_n")).otherwise(0)).over(newer), F.lit(0))
+        out = out.withColumn("_newer", full).where((F.col("_newer") < F.col("limit_n")) | F.col("limit_n").isNull()).drop("_newer")
+    return out
+
+
+def _matches(branch: _Branch, telemetry: DataFrame, columns: list[str]) -> DataFrame:
+    """Telemetry joined to the requests that it answers, by device and day.
+
+    The days join as keys, so what is joined is near the answer however many
+    requests share a device, and a device spreads over its days; the ends of a
+    request decide only within its first and last day.
+    """
+    days = request_days(branch, _within(branch, telemetry, ["gpu_uuid"]))
+    days = days.select("request_id", "_uuid", F.col("_day").alias("_on"), "start_ts", "end_ts", "limit_n")
+    t = _within(branch, telemetry, columns)
+    in_time = F.coalesce(t.timestamp >= days.start_ts, F.lit(True)) & F.coalesce(t.timestamp <= days.end_ts, F.lit(True))
+    return t.join(days, (t.gpu_uuid == days._uuid) & (t._day == days._on) & in_time, "inner").drop("_day", "_on")
 
 
 def bulk_history(statuses: DataFrame, telemetry: DataFrame, salts: int | None = None) -> DataFrame:
@@ -246,20 +281,60 @@ def _newest(rows: DataFrame, most: int, salts: int | None) -> DataFrame:
     return cut(cut(rows.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(n))), w1), w2)
 
 
+FOREVER = "9999-12-31 23:59:59.999999"
+
+
+def _counts(branch: _Branch, telemetry: DataFrame) -> DataFrame:
+    """request_id, ``_n``: matching points, as the difference of two running counts.
+
+    Points become counts per (device, hour), and per time only in hours that
+    hold the end of some request; both are combined where the points are read.
+    Requests come in as bounds among them: one sweep by (device, hour, time)
+    gives every bound the points up to it.  No row stands for a pair of request and
+    point, and an hour of a device is the most that one task orders.
+    """
+    epoch = F.lit(EPOCH_NTZ).cast("timestamp_ntz")
+    hour = lambda c: F.timestamp_diff("HOUR", epoch, c)
+    r = branch.requests
+    ends = F.array(
+        F.struct(F.coalesce("end_ts", F.lit(FOREVER).cast("timestamp_ntz")).alias("at"), F.lit(2).alias("kind"), F.lit(1).alias("sign")),
+        F.struct(F.col("start_ts").alias("at"), F.lit(0).alias("kind"), F.lit(-1).alias("sign")))
+    bounds = r.select("request_id", F.col("_uuid").alias("gpu_uuid"), F.inline(ends)).where("at is not null")
+    bounds = materialize(bounds.withColumn("_hour", hour(F.col("at"))))
+
+    points = _within(branch, telemetry, ["gpu_uuid", "timestamp"]).select("gpu_uuid", "timestamp", hour(F.col("timestamp")).alias("_hour"))
+    wanted = bounds.select("gpu_uuid").distinct()
+    cut = bounds.select("gpu_uuid", "_hour").distinct().withColumn("_cut", F.lit(True))
+    points = points.join(wanted, "gpu_uuid", "left_semi").join(cut, ["gpu_uuid", "_hour"], "left")
+    none = F.lit(None)
+    counts = points.groupBy("gpu_uuid", "_hour", F.when(F.col("_cut"), F.col("timestamp")).alias("at")).agg(F.count(F.lit(1)).alias("_n"))
+    line = counts.select("gpu_uuid", "_hour", "at", F.lit(1).alias("kind"), "_n", none.cast(r.schema["request_id"].dataType).alias("request_id"),
+                         none.cast("int").alias("sign"))
+    line = line.unionByName(bounds.withColumn("_n", F.lit(0).cast("long")))
+
+    upto = Window.partitionBy("gpu_uuid", "_hour").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = line.withColumn("_upto", F.sum("_n").over(upto))
+    hours = line.groupBy("gpu_uuid", "_hour").agg(F.sum("_n").alias("_sum"))
+    before = Window.partitionBy("gpu_uuid").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select("gpu_uuid", "_hour", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    ranks = line.where(F.col("sign").isNotNull()).join(hours, ["gpu_uuid", "_hour"])
+    return ranks.groupBy("request_id").agg(F.sum(F.col("sign") * (F.col("_before") + F.col("_upto"))).alias("_n"))
+
+
 def history_totals(statuses: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Per request: status and ``total`` = rows that ``bulk_history`` would return.
 
-    Counts need no order: the matches are counted (map-side combined) and cut
-    to the limit.  Non-ok requests have a null total; ok requests with no rows 0.
+    The matches are counted (see ``_counts``) and cut to the limit.  Non-ok
+    requests have a null total; ok requests with no rows 0.
     """
     statuses = materialize(statuses)
     counts = None
-    for b in _branches(statuses):
-        one = _matches(b, telemetry, ["gpu_uuid", "timestamp"]).groupBy("request_id", "limit_n").agg(
-            F.count(F.lit(1)).alias("_n")).select("request_id", F.least("_n", F.coalesce("limit_n", "_n")).alias("_n"))
+    for b in _branches(statuses, by_limit=False):
+        one = _counts(b, telemetry)
         counts = one if counts is None else counts.unionByName(one)
     total = F.lit(0)
     out = statuses
     if counts is not None:
-        out, total = statuses.join(counts, "request_id", "left"), F.coalesce(F.col("_n"), F.lit(0))
+        out = statuses.join(counts, "request_id", "left")
+        total = F.least(F.coalesce(F.col("_n"), F.lit(0)), F.coalesce("limit_n", "_n", F.lit(0)))
     return out.select("request_id", "uuid", "status", F.when(F.col("status") == "ok", total.cast("bigint")).alias("total"))

@@ -122,6 +122,18 @@ def _features(words: Column) -> Column:
     return F.array_distinct(F.concat(words, _runs(words, 2)))
 
 
+ORDINARY = [
+    "The morning train was late again, and nobody on the platform seemed surprised.",
+    "Add the flour slowly and stir until no lumps are left, then let it rest for an hour.",
+    "Results of the second run were close to those of the first, with less noise.",
+    "She opened the window to hear the rain better and went on reading.",
+    "The committee will meet on Thursday to go over the budget for the coming year.",
+    "Our team lost the final by two points after a long and even game.",
+    "A short walk along the river leads to the old mill and its garden.",
+    "Please send me the photographs from the trip when you find the time.",
+]
+
+
 def _templates(spark: SparkSession) -> DataFrame:
     """(template, family, text): the templates whole, a fixed number of rows."""
     rows = [(n, family, text) for n, (family, text) in
@@ -181,9 +193,12 @@ def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Clas
     known = F.array(*[F.lit(r) for r in sorted(runs)])  # fixed: the templates' runs
     lines = docs.select(F.explode(F.split(C.col(text_col).cast("string"), "\n", -1)).alias("text")).where(F.trim("text") != "")
     # whole paragraphs; twice as many as wanted, as some may resemble a template
-    some = C.hash_sample(lines, 2 * sample, "text").distinct().select(F.lit(NONE).alias("family"), "text")
+    some = C.hash_sample(lines.distinct(), 2 * sample, "text").select(F.lit(NONE).alias("family"), "text")
     some = (C.computed(some, words=_words(F.col("text"))).drop("text")
             .where(~F.arrays_overlap(_runs(F.col("words"), 3), known)).orderBy(F.xxhash64("words")).limit(sample))
+    # so that there is ordinary text to learn from in any corpus
+    plain = spark.createDataFrame([(NONE, t) for t in ORDINARY], "family string, text string").coalesce(1)
+    some = some.unionByName(plain.select("family", _words(F.col("text")).alias("words")))
     examples = _examples(templates)
     families = [NONE, *TEMPLATES]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1

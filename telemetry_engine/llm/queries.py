@@ -205,12 +205,12 @@ WITH v AS (
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.vec_id AS query_id, q.e AS query, c.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
-  WHERE q.vec_id % 100 = 0),
+  FROM (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 100 = 0) q
+  JOIN v c ON c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
 r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
          vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """,

@@ -36,7 +36,7 @@ BLOCK_ROWS = 128
 GROUP_ROWS = 16_384          # rows of a task whose blocks are ordered together
 QUERY_BYTES = 8 << 20
 NONE = -(1 << 62)  # below every score; its negative exists
-SCHEMA = "query_id long, vec_id long, score long"
+SCHEMA = "query_id long, query long, vec_id long, score long"
 
 
 def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -126,16 +126,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
           query_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's k greatest inner products; ties to the smaller id.
 
-    ``is_query``: a condition on ``vec_id``.
+    ``is_query``: a condition on ``vec_id``.  Equal query rows are one query; rows of one id with different
+    vectors are queries of their own, each with its ranks.
     """
     spark = vectors.sparkSession
     rows = clean(vectors, id_col, vector_col)
-    stated = rows.where(is_query)
+    stated = rows.where(is_query).select("vec_id", "v", F.xxhash64("vec_id", "v").alias("query")).distinct()
     size = stated.agg(F.sum(8 * F.size("v") + 64)).first()[0] or 0
     n = max(1, -(-2 * size // query_bytes))
     out = None
     for part in range(n):
-        block = stated.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == part) if n > 1 else stated
+        block = stated.where(F.pmod("query", F.lit(n)) == part) if n > 1 else stated
         got = block.collect()  # at most about ``query_bytes``
         by_length: dict[int, list] = {}
         for r in got:
@@ -143,7 +144,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         if not got:
             continue
         kept = spark.sparkContext.broadcast({
-            d: (np.array([r["vec_id"] for r in own], np.int64), whole(np.array([r["v"] for r in own], float).reshape(len(own), d)))
+            d: (np.array([r["vec_id"] for r in own], np.int64), whole(np.array([r["v"] for r in own], float).reshape(len(own), d)),
+                np.array([r["query"] for r in own], np.int64))
             for d, own in by_length.items()})
 
         def find(batches: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:
@@ -155,7 +157,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
                 held.clear()
                 for ids, v in _matrices(t.column(0).to_numpy(), t.column(1).chunk(0)):
                     if v.shape[1] in best:
-                        q_ids, q = kept.value[v.shape[1]]
+                        q_ids, q, _ = kept.value[v.shape[1]]
                         search(q_ids, q, ids, v, best[v.shape[1]], np.arange(len(q_ids)))
 
             n_held = 0
@@ -171,12 +173,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
             for d, x in best.items():
                 i, j = np.nonzero(x.score != NONE)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kept.value[d][0][i]), pa.array(x.id[i, j]), pa.array(x.score[i, j])],
-                    ["query_id", "vec_id", "score"])
+                    [pa.array(kept.value[d][0][i]), pa.array(kept.value[d][2][i]), pa.array(x.id[i, j]), pa.array(x.score[i, j])],
+                    ["query_id", "query", "vec_id", "score"])
 
         one = rows.mapInArrow(find, SCHEMA)
         out = one if out is None else out.unionAll(one)
     if out is None:
         out = spark.createDataFrame([], SCHEMA)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
     return (out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))

@@ -25,6 +25,7 @@ change nothing.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -373,8 +374,19 @@ def sample_labels(labels: DataFrame, label_col: str, size: int, id_col: str = "d
     return C.hash_sample(one, size, "doc_id")
 
 
+def enough(rate: float, chance: float = 0.01) -> float:
+    """In how many toxic texts, and no other, a feature must be found so that not even one of all ``BUCKETS``
+    features is likely (``chance``) to be there by accident, where ``rate`` of the texts are toxic."""
+    if rate <= 0 or rate >= 1:
+        return float("inf")
+    return max(MIN_TEXTS, math.log(BUCKETS / chance) / -math.log(rate))
+
+
 def pick(texts: list[np.ndarray], toxic: np.ndarray, candidates: np.ndarray) -> tuple[dict[int, float], float]:
-    """Greedy picks among candidate features; texts: the distinct candidate numbers in each text."""
+    """Greedy picks among candidate features, and all that are found in toxic texts alone and often enough.
+
+    texts: the distinct candidate numbers in each text.
+    """
     n = len(candidates)
     flat = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
@@ -400,6 +412,10 @@ def pick(texts: list[np.ndarray], toxic: np.ndarray, candidates: np.ndarray) ->
         open_[own] = False
         left = left - np.bincount(np.concatenate([np.zeros(0, np.int64), *(texts[t] for t in own)]).astype(np.int64),
                                   minlength=n)
+    # what others accompany tells as much when it stands alone
+    all_toxic = np.bincount(flat[toxic[owner]], minlength=n)
+    for c in np.flatnonzero((negative == 0) & (all_toxic >= enough(float(toxic.mean()) if len(toxic) else 0.0))):
+        weights.setdefault(int(candidates[c]), float((all_toxic[c] + 0.5) / (all_toxic[c] + 1)))
     covered = np.zeros(len(texts), bool)
     for k in weights:
         c = int(np.searchsorted(candidates, k))

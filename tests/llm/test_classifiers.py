@@ -174,3 +174,21 @@ def test_descent_fits_separable_texts():
 def test_subword_features_mark_word_ends():
     got = {k: set(f.tolist()) for k, (_, _, f, _) in enumerate(next(quality.features(pa.array([t]))) for t in ("ab", "xab", "ab ab"))}
     assert got[2] - got[0] == {int(quality.AGAIN) % quality.BUCKETS} and len(got[0] & got[1]) == 1  # only "ab>" is common
+
+
+def test_a_word_that_others_accompany_is_kept():
+    """Features 0 and 1 explain all toxic texts; 2 occurs beside them and never in a clean text; 3 only three times."""
+    texts, toxic = [], []
+    for k in range(40):
+        texts.append(np.array([k % 2, 2] if k < 20 else [k % 2] + ([3] if k < 23 else [])))
+        toxic.append(True)
+    for k in range(360):
+        texts.append(np.array([4]))
+        toxic.append(False)
+    weights, rest = toxicity.pick(texts, np.array(toxic), np.array([10, 11, 12, 13, 14]))
+    assert weights[12] > 0.9 and 13 not in weights and 14 not in weights and rest < 0.1
+
+
+def test_accidental_words_are_not_enough():
+    assert toxicity.enough(0.1) > 8 and toxicity.enough(0.5) > 28
+    assert toxicity.enough(0.0) == toxicity.enough(1.0) == float("inf")

@@ -199,3 +199,17 @@ def test_native_plans_hold_no_python(spark, documents, scanned):
     for df in (pii.report(docs), preference.preferences(turns), licenses.scan(docs, scanned[2])):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_licences_of_a_corpus_without_ordinary_text(documents):
+    texts = [t for own in licenses.TEMPLATES.values() for t in own]
+    for rows in ([], [(1, None), (2, "")], [(1, texts[0])] * 3, [(n, t) for n, t in enumerate(texts)]):
+        docs = documents(rows)
+        got = licenses.scan(docs, licenses.train(docs)).collect()
+        assert {r.doc_id for r in got} == {i for i, t in rows if t}
+
+
+def test_a_common_line_does_not_fill_the_sample_of_ordinary_text(documents, words):
+    docs = documents([(n, words(12, 5)) for n in range(400)] + [(1000 + n, words(12, 100 + n)) for n in range(40)])
+    model = licenses.train(docs, sample=30)
+    assert licenses.scan(docs, model).count() == 0

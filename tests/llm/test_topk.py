@@ -15,7 +15,7 @@ def brute(rows, k):
     for q in sorted(v):
         if q % 10:
             continue
-        for own in v[q]:
+        for own in {tuple(x): x for x in v[q]}.values():  # equal rows are one query
             best = sorted((-sum(a * b for a, b in zip(own, c)), i) for i in v if i != q for c in v[i] if len(c) == len(own))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best[:k])]
     return sorted(out)
@@ -26,7 +26,7 @@ def test_equals_brute_force_with_ties_nulls_and_odd_vectors(spark):
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 8], "s") for i in range(300)]
     rows += [(301, None, "s"), (302, [1.0, None, 0.0, 0.0, 0.0, 0.0], "s"), (303, [float("nan")] * 6, "s"),
              (304, [float("inf")] * 6, "s"), (None, [1.0] * 6, "s"), (310, [1.0, 2.0], "s"), (311, [3.0, 1.0], "s"),
-             (320, [], "s"), (5, rows[5][1], "s")]
+             (320, [], "s"), (5, rows[5][1], "s"), (20, rows[20][1], "s"), (30, rows[31][1], "s")]
     got = topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=7)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted(map(tuple, got.collect())) == brute(rows, 7)

@@ -383,7 +383,7 @@ def enough(rate: float, chance: float = 0.01) -> float:
 
 
 def pick(texts: list[np.ndarray], toxic: np.ndarray, candidates: np.ndarray) -> tuple[dict[int, float], float]:
-    """Greedy picks among candidate features, and all that are found in toxic texts alone and often enough.
+    """Greedy picks among candidate features, and all that are found in toxic texts alone, in enough that differ.
 
     texts: the distinct candidate numbers in each text.
     """
@@ -412,10 +412,16 @@ def pick(texts: list[np.ndarray], toxic: np.ndarray, candidates: np.ndarray) ->
         open_[own] = False
         left = left - np.bincount(np.concatenate([np.zeros(0, np.int64), *(texts[t] for t in own)]).astype(np.int64),
                                   minlength=n)
-    # what others accompany tells as much when it stands alone
-    all_toxic = np.bincount(flat[toxic[owner]], minlength=n)
-    for c in np.flatnonzero((negative == 0) & (all_toxic >= enough(float(toxic.mean()) if len(toxic) else 0.0))):
-        weights.setdefault(int(candidates[c]), float((all_toxic[c] + 0.5) / (all_toxic[c] + 1)))
+    # What others accompany tells as much when it stands alone.  Copies of one text are no further evidence:
+    # texts with the same picks count once.
+    picked = np.zeros(n, bool)
+    picked[[int(np.searchsorted(candidates, k)) for k in weights]] = True
+    kind = np.unique([t[picked[t]].tobytes() for t in texts], return_inverse=True)[1] if texts else owner
+    least = enough(float(toxic.mean()) if len(toxic) else 0.0)
+    for c in np.flatnonzero((negative == 0) & ~picked):
+        own = by_feature[edge[c]:edge[c + 1]]
+        if len(own) >= least and len(np.unique(kind[own])) >= least:
+            weights[int(candidates[c])] = float((len(own) + 0.5) / (len(own) + 1))
     covered = np.zeros(len(texts), bool)
     for k in weights:
         c = int(np.searchsorted(candidates, k))

@@ -177,16 +177,15 @@ def test_subword_features_mark_word_ends():
 
 
 def test_a_word_that_others_accompany_is_kept():
-    """Features 0 and 1 explain all toxic texts; 2 occurs beside them and never in a clean text; 3 only three times."""
-    texts, toxic = [], []
-    for k in range(40):
-        texts.append(np.array([k % 2, 2] if k < 20 else [k % 2] + ([3] if k < 23 else [])))
-        toxic.append(True)
-    for k in range(360):
-        texts.append(np.array([4]))
-        toxic.append(False)
-    weights, rest = toxicity.pick(texts, np.array(toxic), np.array([10, 11, 12, 13, 14]))
-    assert weights[12] > 0.9 and 13 not in weights and 14 not in weights and rest < 0.1
+    """Features 0 to 7 explain the toxic texts, two in each; 8 occurs beside many of them and never in a clean text; 9
+    only in copies of one text; 10 in clean texts."""
+    pairs = [(i, j) for i in range(8) for j in range(i)]
+    texts = [np.array(sorted(p)) for p in pairs] + [np.array(sorted(p) + [8] * (min(p) < 2)) for p in pairs]
+    texts += [np.array([0, 9])] * 30
+    toxic = [True] * len(texts) + [False] * 1500
+    texts += [np.array([10])] * 1500
+    weights, rest = toxicity.pick(texts, np.array(toxic), np.arange(100, 111))
+    assert weights[108] > 0.9 and 109 not in weights and 110 not in weights and rest < 0.1
 
 
 def test_accidental_words_are_not_enough():

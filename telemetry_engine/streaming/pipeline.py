@@ -60,7 +60,7 @@ def start_ingest(
 
     A file whose header lacks a required column, or that has no line but blank
     ones, is counted in ``files_rejected`` and named in ``rejected_files``; it does
-    not stop the stream.
+    not stop the stream.  (Files of no bytes are not listed by the source.)
     ``available_now`` drains what is there (one pass); ``processing_time``
     (e.g. '5 seconds') keeps polling for new files.
     """

@@ -226,7 +226,7 @@ def test_ingest_binds_each_file_by_its_header(spark, tmp):
     os.makedirs(f"{tmp}/csv")
     files = {"a": "timestamp,metric_name,gpu_id,device,uuid,modelName,Hostname,value\nt,util,0,n0,uuid-A,X,h,1\n",
              "b": "timestamp,uuid,gpu_id,device,metric_name,modelName,Hostname,value\nt,uuid-B,0,n0,util,\"X, 2\",h, 2\nt,,0,n0,util,X,h,3\n",
-             "c": "timestamp,uuid\nt,uuid-C\n", "d": ""}
+             "c": "timestamp,uuid\nt,uuid-C\n", "d": "\n \n"}
     for name, text in files.items():
         with open(f"{tmp}/csv/{name}.csv", "w") as f:
             f.write(text)

@@ -185,6 +185,19 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         .alias("paragraph", "text")).where(F.trim("text") != ""))
 
 
+def _distinct_sample(lines: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` distinct lines, those of the least hash.
+
+    An estimate of the number of distinct lines cuts by the hash first, with room to spare, so that only
+    some twice ``size`` of them and their copies meet, map-side combined.
+    """
+    h = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    n = lines.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
+    if n > 4 * size:
+        lines = lines.where(h < int(2 * size / n * (1 << 63)))
+    return lines.distinct().orderBy(h, "text").limit(size)
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Classifier:
     """Fit on the templates and at most ``sample`` paragraphs of the corpus."""
     spark = docs.sparkSession
@@ -193,7 +206,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Clas
     known = F.array(*[F.lit(r) for r in sorted(runs)])  # fixed: the templates' runs
     lines = docs.select(F.explode(F.split(C.col(text_col).cast("string"), "\n", -1)).alias("text")).where(F.trim("text") != "")
     # whole paragraphs; twice as many as wanted, as some may resemble a template
-    some = C.hash_sample(lines.distinct(), 2 * sample, "text").select(F.lit(NONE).alias("family"), "text")
+    some = _distinct_sample(lines, 2 * sample).select(F.lit(NONE).alias("family"), "text")
     some = (C.computed(some, words=_words(F.col("text"))).drop("text")
             .where(~F.arrays_overlap(_runs(F.col("words"), 3), known)).orderBy(F.xxhash64("words")).limit(sample))
     # so that there is ordinary text to learn from in any corpus

@@ -52,16 +52,27 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file that ``write_text`` wrote."""
+    fs, p = _fs_and_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or directory that this run made."""
     fs, p = _fs_and_path(spark, path)
     fs.delete(p, True)
 
 
-def older_than(spark: SparkSession, path: str, hours: float) -> list[str]:
-    """Directories directly under ``path`` that were last changed that long ago."""
+def older_than(spark: SparkSession, path: str, hours: float, files: bool = False) -> list[str]:
+    """Directories (or files) directly under ``path`` that were last changed that long ago."""
     fs, p = _fs_and_path(spark, path)
     if not fs.exists(p):
         return []
     limit = int(time.time() * 1000 - hours * 3_600_000)
-    return [str(s.getPath()) for s in fs.listStatus(p) if s.isDirectory() and s.getModificationTime() < limit]
+    return [str(s.getPath()) for s in fs.listStatus(p)
+            if s.isDirectory() != files and s.getModificationTime() < limit]

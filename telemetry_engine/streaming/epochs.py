@@ -25,6 +25,10 @@ def commit(spark: SparkSession, out_dir: str, epoch_id: int) -> None:
     fs.write_text(spark, f"{out_dir}/_committed/{epoch_id:010d}", "")
 
 
+def is_committed(spark: SparkSession, out_dir: str, epoch_id: int) -> bool:
+    return fs.exists(spark, f"{out_dir}/_committed/{epoch_id:010d}")
+
+
 def committed(spark: SparkSession, out_dir: str) -> list[int]:
     return sorted(int(n) for n in fs.list_names(spark, f"{out_dir}/_committed") if n.isdigit())
 

@@ -23,7 +23,6 @@ from telemetry_engine.operators.ingest import batch_stamp
 from telemetry_engine.operators.messages import (
     decode_messages, encode_messages, message_devices, telemetry_of,
 )
-from telemetry_engine.operators.registry import latest_per_key
 from telemetry_engine.schemas import DEVICE_COLUMNS
 from telemetry_engine.sources import fs
 from telemetry_engine.sources.csv_metrics import (
@@ -31,7 +30,10 @@ from telemetry_engine.sources.csv_metrics import (
 )
 from telemetry_engine.sources.messages_io import stream_messages, write_messages
 from telemetry_engine.sources.store import with_event_date
-from telemetry_engine.streaming.epochs import commit, committed, epoch_dir, epoch_paths, read_epochs
+from telemetry_engine.streaming.epochs import commit, epoch_dir, is_committed, read_epochs
+from telemetry_engine.streaming.registry_runs import (
+    RUNS_PER_LEVEL, SCHEMA, add_run, latest_devices, live_runs, read_runs,
+)
 
 log = logging.getLogger(__name__)
 
@@ -123,12 +125,13 @@ def start_collector(
     processing_time: str | None = None,
     max_files: int | None = None,
     report_seconds: float = REPORT_SECONDS,
+    runs_per_level: int = RUNS_PER_LEVEL,
 ) -> StreamingQuery:
     """Message files -> ``out_dir/telemetry``, ``registry``, ``quarantine``, ``stats``.
 
     Telemetry is written first.  Then the epoch's latest row per device is
-    folded into the registry snapshot.  A failing fold is tried again, then the
-    rows are set aside in ``devices_pending`` for the next epoch's fold and
+    added to the registry (``registry_runs``).  A failing write is tried again,
+    then the rows are set aside in ``devices_pending`` for the next epoch and
     counted as errors; telemetry is not held up.  ``stats`` counts what was
     written, after it was written.  Progress is logged every ``report_seconds``.
     """
@@ -152,7 +155,7 @@ def start_collector(
             b.where(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(
                 epoch_dir(f"{out_dir}/quarantine", epoch_id)
             )
-            folded = _store_devices(session, message_devices(b), out_dir, epoch_id)
+            folded = _store_devices(session, message_devices(b), out_dir, epoch_id, runs_per_level)
             processed, rejected = b.agg(F.count(F.lit(1)), F.count_if(F.col("reject_reason").isNotNull())).first()
             valid = processed - rejected
             counts = {"processed": processed, "errors": rejected + (0 if folded else valid),
@@ -171,49 +174,37 @@ def start_collector(
     return query
 
 
-def _store_devices(session: SparkSession, updates: DataFrame, out_dir: str, epoch_id: int) -> bool:
-    """Fold the epoch's devices, and those that earlier epochs set aside, into a new snapshot.
+def _store_devices(session: SparkSession, updates: DataFrame, out_dir: str, epoch_id: int, per_level: int) -> bool:
+    """Add the epoch's devices, and those that earlier epochs set aside, to the registry as a run.
 
-    The base is the newest snapshot of a committed epoch before this one, so a
-    replayed epoch folds the same rows into the same base.
+    It starts from the newest committed epoch before this one, so a replayed
+    epoch adds the same rows to the same runs.
     """
     order = F.col("seq") if "seq" in updates.columns else F.lit(epoch_id)
-    own = _latest(updates.select(*DEVICE_COLUMNS, order.cast("bigint").alias("ord")))
+    own = latest_devices(updates.select(*DEVICE_COLUMNS, order.cast("bigint").alias("ord")))
+    base, aside = f"{out_dir}/registry", f"{out_dir}/devices_pending"
     for attempt in range(1, STORE_ATTEMPTS + 1):
         try:
-            base, rows = f"{out_dir}/registry", own
-            before = [e for e in committed(session, out_dir) if e < epoch_id]
-            there = set(fs.list_names(session, base))
-            last = max((e for e in before if epoch_dir("", e)[1:] in there), default=-1)
-            if last >= 0:
-                rows = rows.unionByName(session.read.parquet(epoch_dir(base, last)))
-            waiting = set(fs.list_names(session, f"{out_dir}/devices_pending"))
-            for e in before:
-                if e > last and epoch_dir("", e)[1:] in waiting:
-                    rows = rows.unionByName(session.read.parquet(epoch_dir(f"{out_dir}/devices_pending", e)))
-            _latest(rows).write.mode("overwrite").parquet(epoch_dir(base, epoch_id))
+            rows = own
+            last = max((e for e, _ in live_runs(session, base, before=epoch_id)), default=-1)
+            for name in fs.list_subdirs(session, aside):
+                e = int(name.removeprefix("epoch="))
+                if last < e < epoch_id and is_committed(session, out_dir, e):
+                    rows = rows.unionByName(session.read.schema(SCHEMA).parquet(epoch_dir(aside, e)))
+            add_run(session, base, epoch_id, rows, per_level)
             return True
         except Exception:  # noqa: BLE001 - non-fatal by contract
             log.exception("devices of epoch %s not stored (attempt %s)", epoch_id, attempt)
     try:
-        own.write.mode("overwrite").parquet(epoch_dir(f"{out_dir}/devices_pending", epoch_id))
+        own.write.mode("overwrite").parquet(epoch_dir(aside, epoch_id))
     except Exception:  # noqa: BLE001
         log.exception("devices of epoch %s not set aside", epoch_id)
     return False
 
 
-def _latest(rows: DataFrame) -> DataFrame:
-    """The row of the greatest ``ord`` per uuid; ties fall back to the contents."""
-    order = [F.col("ord").desc_nulls_last()] + [F.col(c).desc() for c in DEVICE_COLUMNS[1:]]
-    return latest_per_key(rows, "uuid", order)
-
-
 def read_collected_registry(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The registry snapshot of the newest committed epoch that has one."""
-    paths = epoch_paths(spark, f"{out_dir}/registry")
-    if not paths:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in DEVICE_COLUMNS))
-    return spark.read.parquet(paths[-1]).select(*DEVICE_COLUMNS)
+    """The registry as of the newest committed epoch that wrote to it."""
+    return read_runs(spark, f"{out_dir}/registry")
 
 
 def stream_totals(spark: SparkSession, out_dir: str, columns: list[str]) -> DataFrame:

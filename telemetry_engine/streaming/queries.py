@@ -60,6 +60,14 @@ def q_collector_registry(spark: SparkSession, sf: str) -> DataFrame:
     return read_collected_registry(spark, _run_collector(spark, sf))
 
 
+def q_collector_registry_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry after an epoch a file, whose runs were merged on the way."""
+    out = catalog.run_dir(spark, "collector")
+    start_collector(spark, catalog.messages_dir(spark, sf), out, extra_schema="seq bigint", max_files=1,
+                    runs_per_level=2).awaitTermination()
+    return read_collected_registry(spark, out)
+
+
 def q_collector_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The counters of every epoch that has input, with its number of telemetry rows found in the store."""
     out = _run_collector(spark, sf)
@@ -184,5 +192,7 @@ STREAM_ORACLE: dict[str, str] = {
           AND NOT (lf.next_fetch_ts IS NOT NULL AND {_open('lf.ts', 'lf.next_fetch_ts')})
           AND date_trunc('second', lf.ts + INTERVAL 300 SECOND) <= (SELECT wm_ts FROM wm)""",
 }
+# the same devices, merged from runs
+STREAM_ORACLE["collector_registry_runs"] = STREAM_ORACLE["collector_registry"]
 # the same leases, emitted by timers
 STREAM_ORACLE["lease_redeliveries_stream"] = STREAM_ORACLE["lease_expiry_stream"]

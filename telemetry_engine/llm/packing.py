@@ -7,7 +7,10 @@ task, and each gathering is partitioned into k windows by multiway
 differencing: the two partial partitions whose windows differ most are merged,
 the fullest windows of one with the emptiest of the other.  k starts at the
 fewest windows that could hold the items and rises while a window exceeds its
-capacity.  Everything happens where the texts are read, so nothing is
+capacity.  Where many items are alike, that could go on for long (items of 300
+tokens fit six times into 2,048, whatever k is): once k has risen by the
+``RISE``-th part and one, the fewest windows are taken, what exceeds a window is
+cut off its items and fills the room that others have.  Everything happens where the texts are read, so nothing is
 shuffled, and memory holds one gathering.
 
 Null and empty texts are documents of the end id alone; repeated rows are
@@ -29,6 +32,7 @@ from telemetry_engine.llm import tokens as T
 WINDOW = 2048
 ITEM_TOKENS = 512
 GROUP_ITEMS = 2048
+RISE = 64  # at most some 1.6 % more windows than the fewest, and one
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long, ids binary")
 
@@ -71,16 +75,55 @@ def _leaves(tree) -> list[int]:
     return out
 
 
-def windows(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Item numbers of each window; no window exceeds ``capacity`` (every size is at most that)."""
+def windows(sizes: list[int], capacity: int, most: int | None = None) -> list[list[int]] | None:
+    """Item numbers of each window; no window exceeds ``capacity`` (every size is at most that).
+
+    None where that takes more than ``most`` windows.
+    """
     if not sizes:
         return []
     k = max(1, -(-sum(sizes) // capacity))
-    while True:
+    while most is None or k <= most:
         parts = differencing(sizes, k)
         if max(s for s, _ in parts) <= capacity:
             return [items for _, items in parts]
         k += 1
+    return None
+
+
+def pieces(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """(item number, from, to) of the pieces in each window: whole items, or cut ones where those need too many windows."""
+    fewest = -(-sum(sizes) // capacity)
+    whole = windows(sizes, capacity, fewest + fewest // RISE + 1)
+    if whole is not None:
+        return [[(i, 0, sizes[i]) for i in items] for items in whole]
+    return cut_to_fit([items for _, items in differencing(sizes, fewest)], sizes, capacity)
+
+
+def cut_to_fit(parts: list[list[int]], sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """As many windows as ``parts``, or as the sum needs: what exceeds one is cut off and fills the room that others have."""
+    out, ends = [], []
+    for items in parts:
+        own, surplus = [], max(0, sum(sizes[i] for i in items) - capacity)
+        for i in items:
+            cut = min(surplus, sizes[i])
+            if cut:
+                ends.append((i, sizes[i] - cut, sizes[i]))
+                surplus -= cut
+            if cut < sizes[i]:
+                own.append((i, 0, sizes[i] - cut))
+        out.append(own)
+    out.extend([] for _ in range(-(-sum(sizes) // capacity) - len(out)))
+    for own in out:
+        room = capacity - sum(y - x for _, x, y in own)
+        while room and ends:
+            i, x, y = ends.pop()
+            take = min(room, y - x)
+            own.append((i, x, x + take))
+            room -= take
+            if x + take < y:
+                ends.append((i, x + take, y))
+    return out
 
 
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int | None = 1, id_col: str = "doc_id",
@@ -100,13 +143,13 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int | N
 
         def solve():
             nonlocal number
-            for w in windows([len(x[2]) // 4 for x in items], window):
+            for w in pieces([len(x[2]) // 4 for x in items], window):
                 at = 0
-                fill = sum(len(items[i][2]) // 4 for i in w)
-                for i in w:
+                fill = sum(y - x for _, x, y in w)
+                for i, x, y in w:
                     doc, start, ids, n = items[i]
-                    rows.append((doc, start, len(ids) // 4, n, number, at, fill, ids))
-                    at += len(ids) // 4
+                    rows.append((doc, start + x, y - x, n, number, at, fill, ids[4 * x:4 * y]))
+                    at += y - x
                 number += 1
             items.clear()
 

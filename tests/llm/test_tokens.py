@@ -129,6 +129,42 @@ def test_window_count_rises_only_as_far_as_needed():
     assert len(packing.windows([6, 6, 6], 10)) == 3 and len(packing.windows([1] * 25, 10)) == 3
 
 
+def test_alike_items_are_cut_to_fit():
+    rng = random.Random(8)
+    cases = [[300] * 2048, [400] * 2048, [500] * 700, [1025] * 90, [2048] * 5, [2047] * 40, [1], [2048, 1],
+             [rng.choice([700, 701, 690]) for _ in range(500)], [rng.randint(1, 512) for _ in range(900)], [6] * 3]
+    for sizes in cases:
+        got = packing.pieces(sizes, 2048)
+        fewest = -(-sum(sizes) // 2048)
+        assert fewest <= len(got) <= fewest + fewest // packing.RISE + 1
+        assert all(0 < sum(y - x for _, x, y in w) <= 2048 for w in got)
+        spans = {}
+        for i, x, y in (p for w in got for p in w):
+            spans.setdefault(i, []).append((x, y))
+        for i, n in enumerate(sizes):  # every item once, whole
+            own = sorted(spans[i])
+            assert own[0][0] == 0 and own[-1][1] == n and all(x < y for x, y in own)
+            assert all(a[1] == b[0] for a, b in zip(own, own[1:]))
+    assert packing.pieces([], 2048) == [] and len(packing.pieces([6, 6, 6], 10)) == 3
+    assert sum(len(w) for w in packing.pieces([300] * 2048, 2048)) <= 2048 + 2 * 300  # a few cuts a window
+    assert packing.cut_to_fit([[0, 1, 2]], [6, 6, 6], 10) == [[(1, 0, 4), (2, 0, 6)], [(1, 4, 6), (0, 0, 6)]]
+
+
+def test_alike_documents_leave_little_padding(spark, documents, vocabulary):
+    words = " ".join(["window"] * 299)
+    got = packing.pack(documents([(k, words) for k in range(700)]).coalesce(1), vocabulary).collect()
+    total = sum(r["length"] for r in got)
+    assert len({r["sequence_id"] for r in got}) <= -(-total // 2048) * 65 // 64 + 1
+    by_doc = {}
+    for r in got:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for own in by_doc.values():
+        own.sort(key=lambda r: r["start"])
+        assert [r["start"] for r in own] == list(np.cumsum([0] + [r["length"] for r in own])[:-1])
+        assert sum(r["length"] for r in own) == own[0]["doc_tokens"]
+    assert len(by_doc) == 700 and len({b"".join(r["ids"] for r in own) for own in by_doc.values()}) == 1
+
+
 def test_pieces_cover_every_document(documents, vocabulary, words):
     rows = [(k, words(k * 3 % 900, k)) for k in range(300)] + [(None, "x"), (5, None), (5, ""), (5, ""), (900, words(30_000))]
     got = packing.pack(documents(rows).repartition(3), vocabulary).collect()

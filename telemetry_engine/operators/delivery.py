@@ -24,6 +24,8 @@ CLOSES = ["ack", "nack"]
 
 # A key with more log rows than this is split by time; a task sorts fewer with ease.
 HOT_ROWS = 1_000_000
+# So many of them are broadcast (a few MB); more are joined as Spark sees fit.
+HOT_KEYS = 50_000
 
 
 def _lease_open(fetch_ts: Column, at: Column, timeout: int) -> Column:
@@ -77,9 +79,11 @@ def leases(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     e = log.select(*KEY, "consumer_id", "op", "ts", "seq")
     hot = e.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).select(*KEY)
     hot = materialize(hot)  # at most (rows of the log / hot_rows) keys
-    if hot.isEmpty():
+    keys = hot.count()
+    if not keys:
         return _with_leases(e)
-    hot = F.broadcast(hot)
+    if keys <= HOT_KEYS:
+        hot = F.broadcast(hot)
     return _with_leases(e.join(hot, KEY, "left_anti")).unionByName(_with_leases_by_time(e.join(hot, KEY, "left_semi")))
 
 

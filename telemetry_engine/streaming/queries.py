@@ -7,17 +7,18 @@ the stream wrote, so the result can be compared with its SQL twin.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemetry_engine.operators import delivery
 from telemetry_engine.operators.messages import decode_messages
 from telemetry_engine.plans import catalog
 from telemetry_engine.plans.oracle import ACK, CSV, DEC, LOG, MSG, REC, TEL, K, _open, _w
-from telemetry_engine.schemas import DELIVERY_EVENT_SCHEMA, DEVICE_COLUMNS, TELEMETRY_SCHEMA
+from telemetry_engine.schemas import DELIVERY_EVENT_SCHEMA, DEVICE_COLUMNS, PREFETCH_MAX, TELEMETRY_SCHEMA
 from telemetry_engine.sources.messages_io import read_messages, stream_messages
 from telemetry_engine.streaming.dedup import dedup_stream
 from telemetry_engine.streaming.epochs import epoch_paths, read_epochs, state_on_disk
+from telemetry_engine.streaming.fetch import fetch_stream, fetched
 from telemetry_engine.streaming.handlers import handler_log, process_stream
 from telemetry_engine.streaming.leases import expired_leases, lease_updates
 from telemetry_engine.streaming.redeliveries import outstanding, redelivery_changes
@@ -103,6 +104,25 @@ def q_handler_outcomes(spark: SparkSession, sf: str) -> DataFrame:
         "topic", "consumer_group", "message_id", "state", "acks", "error")
 
 
+# group -> messages per fetch, the second beyond the greatest that is allowed
+FETCH_GROUPS = {"collectors": 100, "audit": 9_999}
+
+
+def q_fetch_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each group fetched each message, and whether its batches kept to the group's size; started twice."""
+    parts = []
+    for group, size in FETCH_GROUPS.items():
+        out = catalog.run_dir(spark, "fetch")
+        for _ in range(2):  # the second start finds the group's position and no new message
+            src = stream_messages(spark, catalog.messages_dir(spark, sf), extra_schema="seq bigint", max_files=FILES_PER_BATCH)
+            fetch_stream(src, "telemetry", group, out, size, consumers=("consumer-0", "consumer-1")).awaitTermination()
+        parts.append(fetched(spark, out).select(
+            F.lit(group).alias("consumer_group"), "topic", F.col("id").alias("message_id"),
+            (F.count(F.lit(1)).over(Window.partitionBy("batch_id")) <= min(size, PREFETCH_MAX)).alias("in_bounds")))
+    return parts[0].unionByName(parts[1]).groupBy("consumer_group", "topic", "message_id").agg(
+        F.count(F.lit(1)).alias("fetches"), F.bool_and("in_bounds").alias("in_bounds"))
+
+
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     src = (spark.readStream.schema(TELEMETRY_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH)
            .parquet(catalog.telemetry_arrivals_dir(spark, sf)))
@@ -164,6 +184,9 @@ STREAM_ORACLE: dict[str, str] = {
         CASE WHEN reject_reason IN ('bad_json', 'missing_uuid') THEN 'ready' ELSE 'acked' END AS state,
         CAST(CASE WHEN reject_reason IN ('bad_json', 'missing_uuid') THEN 0 ELSE 1 END AS BIGINT) AS acks,
         CASE reject_reason WHEN 'bad_json' THEN 'JSONDecodeError' WHEN 'missing_uuid' THEN 'LookupError' END AS error FROM decv""",
+    "fetch_batches": _w(REC, MSG, DEC) + """SELECT consumer_group, 'telemetry' AS topic, CAST(seq AS VARCHAR) AS message_id,
+        CAST(1 AS BIGINT) AS fetches, true AS in_bounds
+        FROM decv, (VALUES ('collectors'), ('audit')) AS g(consumer_group)""",
     "stream_progress": _w(REC, MSG, DEC) + """SELECT count(*) AS processed,
         count(*) FILTER (WHERE reject_reason IS NOT NULL) AS errors,
         count(*) FILTER (WHERE reject_reason IS NULL) AS gpus_stored,

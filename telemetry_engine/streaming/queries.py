@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from telemetry_engine.operators import delivery
 from telemetry_engine.operators.messages import decode_messages
 from telemetry_engine.plans import catalog
-from telemetry_engine.plans.oracle import ACK, CSV, DEC, LOG, MSG, REC, TEL, K, _open, _w
+from telemetry_engine.plans.oracle import ACK, CSV, DEC, LOG, MSG, ORACLE, REC, TEL, K, _open, _w
 from telemetry_engine.schemas import DELIVERY_EVENT_SCHEMA, DEVICE_COLUMNS, PREFETCH_MAX, TELEMETRY_SCHEMA
 from telemetry_engine.sources.messages_io import read_messages, stream_messages
 from telemetry_engine.streaming.dedup import dedup_stream
+from telemetry_engine.streaming.depths import queue_depths, start_depths
 from telemetry_engine.streaming.epochs import epoch_paths, read_epochs, state_on_disk
 from telemetry_engine.streaming.fetch import fetch_stream, fetched
 from telemetry_engine.streaming.handlers import handler_log, process_stream
@@ -149,6 +150,15 @@ def q_lease_redeliveries_stream(spark: SparkSession, sf: str) -> DataFrame:
     return outstanding(spark.read.parquet(f"{out}/data"))
 
 
+def q_queue_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters kept up by the stream, after all files in any order."""
+    src = (spark.readStream.schema(DELIVERY_EVENT_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH)
+           .parquet(catalog.delivery_log_dir(spark, sf)))
+    out = catalog.run_dir(spark, "depths")
+    start_depths(src, out).awaitTermination()
+    return queue_depths(spark, out)
+
+
 def _drain(spark: SparkSession, rows: DataFrame, out: str) -> None:
     with state_on_disk(spark):
         query = (rows.writeStream.format("parquet").option("path", f"{out}/data")
@@ -219,3 +229,5 @@ STREAM_ORACLE: dict[str, str] = {
 STREAM_ORACLE["collector_registry_runs"] = STREAM_ORACLE["collector_registry"]
 # the same leases, emitted by timers
 STREAM_ORACLE["lease_redeliveries_stream"] = STREAM_ORACLE["lease_expiry_stream"]
+# the same counters, kept up by changes
+STREAM_ORACLE["queue_stats_stream"] = ORACLE["queue_stats"]

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -145,21 +145,29 @@ class Redeliveries(StatefulProcessor):
         pass
 
 
+def event_micros() -> Column:
+    """``ts`` in microseconds since 1970, in no zone."""
+    gap = F.col("ts") - F.lit(EPOCH_NTZ).cast("timestamp_ntz")
+    part = lambda unit: F.extract(F.lit(unit), gap)
+    return ((part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60).cast("bigint") * 1_000_000
+            + (part("SECOND") * 1_000_000).cast("bigint"))
+
+
+def ticking(events: DataFrame) -> DataFrame:
+    """``events`` (with ``ts_us``), every one of which moves the clock while none is late.
+
+    The watermark is that of a second row with a clock, which ends here, while the event itself has none.
+    """
+    ticked = events.withColumn("clock", F.explode(F.array(F.lit(None).cast("timestamp"), F.timestamp_micros("ts_us"))))
+    return ticked.withWatermark("clock", "0 seconds").where(F.col("clock").isNull())
+
+
 def redelivery_changes(log_stream: DataFrame, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS, max_retries: int = MAX_RETRIES,
                        chunk: int = CHUNK) -> DataFrame:
     """Streaming DataFrame of changes (append mode): a row that holds (+1) or holds no more (-1)."""
     pickle_by_value(__name__)
-    gap = F.col("ts") - F.lit(EPOCH_NTZ).cast("timestamp_ntz")
-    part = lambda unit: F.extract(F.lit(unit), gap)  # noqa: E731  in no zone
-    us = ((part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60).cast("bigint") * 1_000_000
-          + (part("SECOND") * 1_000_000).cast("bigint"))
-    events = log_stream.where(F.col("op").isin("fetch", "ack", "nack")).select(*KEY, "op", "seq", us.alias("ts_us"))
-    # Every event moves the clock, but none is late: the watermark is that of a second row with a clock, which ends
-    # here, while the event itself has none.
-    clock = F.timestamp_micros("ts_us")
-    ticked = events.withColumn("clock", F.explode(F.array(F.lit(None).cast("timestamp"), clock)))
-    own = ticked.withWatermark("clock", "0 seconds").where(F.col("clock").isNull())
-    return own.groupBy(*KEY).transformWithState(
+    events = log_stream.where(F.col("op").isin("fetch", "ack", "nack")).select(*KEY, "op", "seq", event_micros().alias("ts_us"))
+    return ticking(events).groupBy(*KEY).transformWithState(
         statefulProcessor=Redeliveries(visibility_timeout, max_retries, chunk), outputStructType=CHANGES, outputMode="Append",
         timeMode="EventTime")
 

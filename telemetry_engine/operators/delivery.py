@@ -24,8 +24,10 @@ CLOSES = ["ack", "nack"]
 
 # A key with more log rows than this is split by time; a task sorts fewer with ease.
 HOT_ROWS = 1_000_000
-# So many of them are broadcast (a few MB); more are joined as Spark sees fit.
+# So many of them, or of their segments, are broadcast (a few MB); more are joined as Spark sees fit.
 HOT_KEYS = 50_000
+# Characters of a time's text: hour, minute, second, tenth, thousandth, microsecond.
+GRAINS = [13, 16, 19, 21, 23, 26]
 
 
 def _lease_open(fetch_ts: Column, at: Column, timeout: int) -> Column:
@@ -43,14 +45,36 @@ def _with_leases(e: DataFrame) -> DataFrame:
     return _leased(e, F.col("_closes"))
 
 
-def _with_leases_by_time(e: DataFrame) -> DataFrame:
-    """``_with_leases`` for keys too large for one task.
+def with_segments(e: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows with ``_b``, the segment of time they lie in; segments of a key sort by time as texts.
 
-    Per (key, hour) the number of closes and the last fetch are aggregates;
-    what earlier hours leave is a window over those one-row summaries; only the
-    running values inside an hour are a window over its rows.
+    An hour is a segment unless it holds more than ``hot_rows`` rows of its key: then its minutes are, and so
+    on down to the microsecond.  Each step counts, with map-side combine, only the rows of segments just split, and its
+    outcome depends on the counts alone.  Rows without a time are the first segment.
     """
-    e = e.withColumn("_b", F.substring(F.col("ts").cast("string"), 1, 13))
+    text = F.coalesce(F.col("ts").cast("string"), F.lit(""))
+    e = e.withColumn("_b", F.substring(text, 1, GRAINS[0])).withColumn("_split", F.lit(True))
+    for finer in GRAINS[1:]:
+        rows = e.where("_split").groupBy(*KEY, "_b").agg(F.count(F.lit(1)).alias("_rows"))
+        full = materialize(rows.where(F.col("_rows") > hot_rows).select(*KEY, "_b"))  # at most (rows / hot_rows)
+        n = full.count()
+        if not n:
+            break
+        full = full.withColumn("_full", F.lit(True))
+        e = (e.drop("_split").join(F.broadcast(full) if n <= HOT_KEYS else full, [*KEY, "_b"], "left")
+             .withColumn("_split", F.col("_full").isNotNull()).drop("_full")
+             .withColumn("_b", F.when(F.col("_split"), F.substring(text, 1, finer)).otherwise(F.col("_b"))))
+    return e.drop("_split")
+
+
+def _with_leases_by_time(e: DataFrame, hot_rows: int) -> DataFrame:
+    """``_with_leases`` for keys too large for one task: a segmented scan.
+
+    Per (key, segment of time) the number of closes and the last fetch are
+    aggregates; what earlier segments leave is a window over those one-row
+    summaries; only the running values inside a segment are a window over its rows.
+    """
+    e = with_segments(e, hot_rows)
     inside = Window.partitionBy(*KEY, "_b").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     e = e.withColumn("_c", F.count_if(F.col("op").isin(*CLOSES)).over(inside))
     e = e.withColumn("_in", F.max(F.when(F.col("op") == "fetch", F.struct("ts", "seq", "_c"))).over(inside))
@@ -84,7 +108,7 @@ def leases(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         return _with_leases(e)
     if keys <= HOT_KEYS:
         hot = F.broadcast(hot)
-    return _with_leases(e.join(hot, KEY, "left_anti")).unionByName(_with_leases_by_time(e.join(hot, KEY, "left_semi")))
+    return _with_leases(e.join(hot, KEY, "left_anti")).unionByName(_with_leases_by_time(e.join(hot, KEY, "left_semi"), hot_rows))
 
 
 def match_acks(

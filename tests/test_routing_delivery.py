@@ -97,6 +97,28 @@ def test_hot_keys_give_the_same_leases_and_states(spark):
     assert sorted(map(str, D.lease_outcomes(log, None).collect())) == sorted(map(str, D.lease_outcomes(log, None, hot_rows=100).collect()))
 
 
+def test_a_key_with_most_rows_in_one_hour_is_split_finely_and_gives_the_same(spark):
+    import random
+
+    rng = random.Random(4)
+    ops = ["fetch", "fetch", "ack", "nack"]
+    hour = [("q", "g", "c", "hot", rng.choice(ops), T0 + timedelta(microseconds=rng.choice([0, 1, 500_000, 520_000, 999_999])
+             + rng.randint(0, 3_000_000) * rng.randint(0, 1_000)), k) for k in range(700)]
+    same = [("q", "g", "c", "hot", rng.choice(ops), T0 + timedelta(seconds=90), 700 + k) for k in range(60)]  # one time
+    rest = [("q", "g", "c", f"m{k % 3}", rng.choice(ops), T0 + timedelta(hours=k), 800 + k) for k in range(40)]
+    odd = [("q", "g", "c", "hot", "fetch", None, 900), ("q", "g", "c", None, "fetch", T0, 901), ("q", "g", "c", None, "ack", T0, 902)]
+    log = spark.createDataFrame([*hour, *same, *rest, *odd], LOG)
+    per = D.with_segments(log.where("message_id = 'hot'"), 50).groupBy("_b").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ts").alias("times"), F.min("ts").alias("a"), F.max("ts").alias("z"))
+    per = sorted(per.collect(), key=lambda r: r["_b"])
+    assert sum(r.n for r in per) == 761
+    assert all(r.n <= 50 or r.times == 1 for r in per) and len(per) >= 15  # none is large but that of one time
+    assert all(x.z < y.a for x, y in zip(per[1:], per[2:])) and per[0]["_b"] == "" and per[0].n == 1  # in the order of time
+    for f in (D.leases, D.match_acks):
+        assert sorted(map(str, f(log).collect())) == sorted(map(str, f(log, hot_rows=50).collect()))
+    assert sorted(map(str, D.delivery_state(log).collect())) == sorted(map(str, D.delivery_state(log, hot_rows=50).collect()))
+
+
 def test_matching_and_states_take_one_shuffle(spark, tmp):
     rows = [("q", "g", "c", f"m{k % 7}", "fetch" if k % 2 else "ack", T0 + timedelta(seconds=k), k) for k in range(60)]
     spark.createDataFrame(rows, LOG).write.parquet(f"{tmp}/log")

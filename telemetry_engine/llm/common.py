@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -18,6 +19,7 @@ from telemetry_engine.sources import fs
 
 
 _SHIPPED: set[str] = set()
+WORK_HOURS = 7 * 24  # no run takes that long
 
 
 def ship(spark: SparkSession) -> None:
@@ -51,8 +53,22 @@ def col(name: str) -> Column:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one (``spark.checkpoint.dir``)."""
-    return f"{shared_dir(spark)}/telemetry_engine/llm/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared one (``spark.checkpoint.dir``).
+
+    Results may read from it after the operator has returned, so folders of earlier runs are removed
+    once they are ``WORK_HOURS`` old.
+    """
+    base = f"{shared_dir(spark)}/telemetry_engine/llm"
+    for old in fs.older_than(spark, base, WORK_HOURS):
+        if re.fullmatch(r"\w+-[0-9a-f]{12}", old.rstrip("/").rsplit("/", 1)[-1]):
+            fs.delete(spark, old)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def filtered(df: DataFrame, keep) -> DataFrame:
+    """``df`` through ``keep``, which filters its Arrow batches.  Columns go by number: Arrow jobs refuse names with dots."""
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*df.columns)
 
 
 def computed(df: DataFrame, **columns: Column) -> DataFrame:

@@ -245,5 +245,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, m
                     ok[d] &= block.coverage(k, tiles) < threshold
                 yield b.filter(pa.array(ok))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = C.filtered(docs, keep)
     return docs

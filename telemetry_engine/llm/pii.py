@@ -264,7 +264,7 @@ def sanitised(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
     own = docs.select(F.struct(*[C.col(c) for c in docs.columns]).alias("row"), C.col(text_col).cast("string").alias("text"))
     merged = with_spans(own, "text", **limits).withColumn("pii_merged", _merged(F.col("pii_spans")))
     new = replaced(F.col("text"), F.col("pii_merged"), _label)
-    return merged.select(*[(new if c == text_col else F.col("row")["`" + c + "`" if "." in c else c]).alias(c)
+    return merged.select(*[(new if c == text_col else F.col("row")[c]).alias(c)
                            for c in docs.columns])
 
 

@@ -511,7 +511,7 @@ def below(docs: DataFrame, model: Model, threshold: float, text_col: str = "text
         for b in (part for whole in batches for part in C.pieces(whole, column)):
             yield b.filter(pa.array(score(b.column(column)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return C.filtered(docs, run)
 
 
 def result(rows: DataFrame, threshold: float) -> DataFrame:

@@ -1,8 +1,10 @@
 """The operators that use SQL functions only: personal data, licences, preference formatting."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -96,6 +98,67 @@ def test_copies_of_another_line_change_no_span(documents):
     assert "term" not in once[10] and {i: often[i] for i in once} == once
 
 
+def disclosing(texts, support=3, generalise=0.8, remove=0.95):
+    """term -> kind by counting: the share of an entity's information that a term on its lines gives away."""
+    lines = {x for t in texts for x in (t or "").split("\n")}
+    words = lambda x: {w for w in re.findall(r"[^\W_]+", x.lower()) if len(w) >= 3}
+    n_t, n_e, n_te = Counter(), Counter(), Counter()
+    for x in lines:
+        n_t.update(words(x))
+        found, outside = base_spans(x), list(x)
+        for s, _, _, e in found:
+            outside[s:e] = " " * (e - s)
+        held = {(k, x[s:e].lower() if k == 0 else x[s:e]) for s, k, _, e in found}
+        n_e.update(held)
+        n_te.update((t, e) for t in words("".join(outside)) for e in held)
+    share = {}
+    for (t, e), n in n_te.items():
+        if n >= support and n_e[e] >= support:
+            pmi = math.log2(len(lines) * n / (n_t[t] * n_e[e]))
+            share[t] = max(share.get(t, 0), pmi / math.log2(len(lines) / n_e[e]))
+    return {t: "removed" if x >= remove else "term" for t, x in share.items() if x >= generalise}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_terms_and_their_spans_equal_brute_force(documents, seed):
+    rng = random.Random(seed)
+    common = ["of", "the", "line", "pear", "quick", "brown", "fox", "over", "lazy", "river", "stone", "Éclair"]
+    entities = [f"u{k}@mail{k}.org" for k in range(6)] + ["10.1.2.3", "10.1.2.4"]
+    names = {e: f"Name{chr(65 + k)}x" for k, e in enumerate(entities)}
+
+    def line():
+        out = rng.choices(common, k=rng.randint(2, 7)) + [str(rng.randint(0, 40))]
+        if rng.random() < 0.3:
+            e = rng.choice(entities)
+            out.insert(rng.randint(0, len(out)), e)
+            if rng.random() < 0.9:
+                out.insert(rng.randint(0, len(out)), names[e])
+        elif rng.random() < 0.08:
+            out.append(rng.choice(list(names.values())).upper())
+        return " ".join(out)
+
+    texts = ["\n".join(line() for _ in range(rng.randint(0, 5))) for _ in range(150)]
+    texts += [texts[0], "", None, "nameax NAMEBX,namecx_nameDx xNameAx", "NameAx " * 3 + entities[0]]
+    terms = disclosing(texts)
+    assert len(set(terms.values())) == 2 and len(terms) < len(names) + 3
+    for r in pii.report(documents(list(enumerate(texts)))).collect():
+        t = texts[r["doc_id"]] or ""
+        base = base_spans(t)
+        more = [(m.start(), 4 if terms[m[0].lower()] == "term" else 5, terms[m[0].lower()], m.end())
+                for m in re.finditer(r"[^\W_]+", t) if m[0].lower() in terms
+                and not any(m.start() < e and s < m.end() for s, _, _, e in base)]
+        assert r["spans"] == ",".join(f"{kind}:{s}:{e}" for s, _, kind, e in sorted(base + more)), t
+
+
+def test_a_very_long_text_with_many_terms(documents):
+    rows = [(10 * k + i, f"Agent{k}x wrote {i} from box{k}@mail.org") for k in range(150) for i in range(3)]
+    long = " ".join(f"agent{k % 200}x then word{k % 90}" for k in range(2_000))
+    got = {r["doc_id"]: r["spans"] for r in pii.report(documents([*rows, (9_999, long), (10_000, "x" * 300_000)])).collect()}
+    spans = [x.split(":") for x in got[9_999].split(",")]
+    assert {long[int(s):int(e)] for _, s, e in spans} == {f"agent{k}x" for k in range(150)}
+    assert len(spans) == sum(k % 200 < 150 for k in range(2_000)) and got[10_000] == ""
+
+
 def test_sanitised_keeps_columns_nulls_and_overlaps(documents):
     docs = documents([(1, "a@1.2.3.4 x"), (2, None), (2, None), (3, ""), (None, "+1 (415) 555-2671!")])
     out = pii.sanitised(docs)

@@ -1,9 +1,13 @@
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from telemetry_engine.llm import common as C
 from telemetry_engine.llm import packing, queries
+from telemetry_engine.sources import fs
 
 
 @pytest.fixture()
@@ -60,6 +64,35 @@ def test_run_applies_the_stages(spark, sf_dir):
     assert ids == ({k for k in range(240) if k % 4} | {1000, 1020, 1030, 1031})
 
 
+def test_run_on_repeated_rows_and_clashing_columns(spark, sf_dir, tmp):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    more = docs.where("doc_id in (1, 4, 1020, 1030)")
+    clash = [F.lit(k).alias(c) for k, c in enumerate(["score", "row", "base", "cls", "rid", "pii_text", "a.b", "sequence_id", "ids"])]
+    out = f"{tmp}/again"
+    docs.unionByName(more).select("*", *clash).write.parquet(f"{out}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").write.parquet(f"{out}/{t}.parquet")
+    got = P.run(spark, out)
+    rows = Counter(r["doc_id"] for r in got.where("start = 0").collect())
+    assert set(rows) == {k for k in range(240) if k % 4} | {1000, 1020, 1030, 1031}
+    assert rows[1] == rows[1020] == 1 and 4 not in rows
+
+
+def test_run_on_empty_documents(spark, sf_dir, tmp):
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(0).write.parquet(f"{tmp}/none/{t}.parquet")
+    assert P.run(spark, f"{tmp}/none").collect() == []
+
+
+def test_old_work_folders_go(spark, monkeypatch):
+    path = C.store(spark.range(3).toDF("a"), C.work_dir(spark, "aged")).inputFiles()[0].rsplit("/", 1)[0]
+    C.work_dir(spark, "next")
+    assert fs.exists(spark, path)
+    monkeypatch.setattr(C.fs, "older_than", lambda s, base, hours: [path, f"{base}/kept"] if hours == C.WORK_HOURS else [])
+    C.work_dir(spark, "next")
+    assert not fs.exists(spark, path)
+
+
 def test_every_operator_has_one_query():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)

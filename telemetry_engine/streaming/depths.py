@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
 from telemetry_engine.session import pickle_by_value
 from telemetry_engine.sources import fs
+from telemetry_engine.streaming.buckets import by_buckets
 from telemetry_engine.streaming.epochs import commit, epoch_dir, is_committed, state_on_disk
 from telemetry_engine.streaming.redeliveries import KEY, event_micros, ticking
 
@@ -118,9 +119,7 @@ def depth_changes(log_stream: DataFrame, visibility_timeout: int = VISIBILITY_TI
     pickle_by_value(__name__)
     events = (log_stream.where(F.col("op").isin("publish", "fetch", "ack", "nack") & F.col("ts").isNotNull())
               .select(*KEY, "consumer_id", "op", "seq", event_micros().alias("ts_us")))
-    return ticking(events).groupBy(*KEY).transformWithState(
-        statefulProcessor=MessageStates(visibility_timeout, max_retries), outputStructType=CHANGES, outputMode="Append",
-        timeMode="EventTime")
+    return by_buckets(ticking(events), KEY, MessageStates(visibility_timeout, max_retries), CHANGES, "EventTime")
 
 
 def start_depths(log_stream: DataFrame, out_dir: str, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS,

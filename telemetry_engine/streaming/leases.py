@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
 from telemetry_engine.session import pickle_by_value
+from telemetry_engine.streaming.buckets import by_buckets
 
 KEY = ["topic", "consumer_group", "message_id"]
 UPDATE_SCHEMA = (
@@ -50,8 +51,7 @@ def key_leases(events: list[tuple[int, int, str]], timeout_us: int) -> list[tupl
 class LeaseLog(StatefulProcessor):
     """State: the key's version and its events, as text of ``us:seq:op`` entries.
 
-    Every state call is a round trip to the JVM: the state is read once and
-    written once per key and micro-batch.
+    It is read once and written once per key and micro-batch, with those of other keys (``buckets``).
     """
 
     def __init__(self, visibility_timeout: int = VISIBILITY_TIMEOUT_SECONDS):
@@ -89,12 +89,7 @@ def lease_updates(log_stream: DataFrame, visibility_timeout: int = VISIBILITY_TI
     us = ((part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60).cast("bigint") * 1_000_000
           + (part("SECOND") * 1_000_000).cast("bigint"))
     events = log_stream.where(F.col("op").isin("fetch", "ack", "nack")).select(*KEY, "op", "seq", us.alias("ts_us"))
-    return events.groupBy(*KEY).transformWithState(
-        statefulProcessor=LeaseLog(visibility_timeout),
-        outputStructType=UPDATE_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
-    )
+    return by_buckets(events, KEY, LeaseLog(visibility_timeout), UPDATE_SCHEMA, "None")
 
 
 def expired_leases(updates: DataFrame, as_of: datetime | None = None, max_retries: int = MAX_RETRIES) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from telemetry_engine.functions.timeutil import EPOCH_NTZ
 from telemetry_engine.schemas import MAX_RETRIES, VISIBILITY_TIMEOUT_SECONDS
 from telemetry_engine.session import pickle_by_value
+from telemetry_engine.streaming.buckets import by_buckets
 
 KEY = ["topic", "consumer_group", "message_id"]
 CHANGES = ("topic string, consumer_group string, message_id string, fetch_us long, fetch_seq long, deliveries long, "
@@ -167,9 +168,7 @@ def redelivery_changes(log_stream: DataFrame, visibility_timeout: int = VISIBILI
     """Streaming DataFrame of changes (append mode): a row that holds (+1) or holds no more (-1)."""
     pickle_by_value(__name__)
     events = log_stream.where(F.col("op").isin("fetch", "ack", "nack")).select(*KEY, "op", "seq", event_micros().alias("ts_us"))
-    return ticking(events).groupBy(*KEY).transformWithState(
-        statefulProcessor=Redeliveries(visibility_timeout, max_retries, chunk), outputStructType=CHANGES, outputMode="Append",
-        timeMode="EventTime")
+    return by_buckets(ticking(events), KEY, Redeliveries(visibility_timeout, max_retries, chunk), CHANGES, "EventTime")
 
 
 def outstanding(changes: DataFrame) -> DataFrame:

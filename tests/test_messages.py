@@ -96,3 +96,22 @@ def test_payload_keys_without_regard_to_case(spark):
     assert got == {"capitals": ("a", None), "last of any case": ("b", None), "null changes nothing": ("a", None),
                    "wrong type in another case": (None, "bad_json"), "deeper keys have no say": ("a", None),
                    "no field": ("", "missing_uuid")}
+
+
+def test_message_files_are_compressed_and_bounded(spark, tmp, monkeypatch):
+    import os
+    from datetime import datetime
+
+    from telemetry_engine.sources import messages_io as io
+
+    monkeypatch.setattr(io, "MAX_MESSAGES_PER_FILE", 300)
+    rows = [(str(i), "t", '{"gpu_uuid":"GPU-%d","labels_raw":"k=\\"ü\\n\\""}' % i, {"gpu_uuid": f"GPU-{i}"},
+             datetime(2024, 1, 1, 0, 0, 0, i), None, i) for i in range(1000)]
+    sent = spark.createDataFrame(rows, "id string, topic string, payload string, headers map<string,string>, "
+                                       "timestamp timestamp_ntz, metadata string, seq long")
+    io.write_messages(sent.coalesce(1), f"{tmp}/m", mode="overwrite")
+    files = [f"{tmp}/m/{n}" for n in os.listdir(f"{tmp}/m") if n.startswith("part-")]
+    assert len(files) == 4  # one task reads a file
+    assert sum(map(os.path.getsize, files)) < sum(len(r[2]) for r in rows)
+    back = io.read_messages(spark, f"{tmp}/m", "seq long")
+    assert sorted(map(tuple, back.select(sent.columns).collect()), key=lambda r: r[6]) == rows

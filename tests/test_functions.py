@@ -79,3 +79,12 @@ def test_rfc3339_wide_offsets_and_long_fractions(spark):
     got = {r.s: r.t for r in df.select("s", parse_rfc3339("s").alias("t")).collect()}
     assert got == forms
     assert {k: parse_rfc3339_py(k) for k in forms} == forms
+
+
+def test_label_pairs_look_for_the_labels_once(spark):
+    rows = [('a="1",b="x, \\"y\\"",a="2"',), ("",), (None,), ("no labels",)]
+    got = spark.createDataFrame(rows, "s string").select("s", S.label_pairs("s").alias("p"))
+    assert {r.s: [tuple(p) for p in r.p] for r in got.collect()} == {
+        rows[0][0]: [("b", 'x, "y"'), ("a", "2")], "": [], None: [], "no labels": []}
+    # a search inside a lambda runs for every element of the array
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2
